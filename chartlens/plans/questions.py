@@ -7,8 +7,10 @@ returns lazy DataFrames; nothing here runs a job.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from chartlens.operators import clean, lifecycle
+from chartlens.schema import RELEASE_CUTOFF
 
 
 def lifecycle_base(charts: DataFrame) -> DataFrame:
@@ -25,3 +27,26 @@ def q1_delay(charts: DataFrame) -> DataFrame:
 def q2_streak(charts: DataFrame) -> DataFrame:
     """Q2: longest near-consecutive chart run, per region (no release check)."""
     return lifecycle.streak_by_region(lifecycle.longest_streak(lifecycle_base(charts)))
+
+
+def funnel(charts: DataFrame) -> DataFrame:
+    """Rows left after each cleaning step, at row and track-region level."""
+    cutoff = F.lit(RELEASE_CUTOFF).cast("date")
+    rows = clean.filter_funnel(
+        charts,
+        [
+            ("chart is top200", F.col("chart") == "top200"),
+            ("released after 2017-01-01", F.col("release_day") > cutoff),
+        ],
+        level="rows",
+    )
+    tr = lifecycle.track_region(lifecycle_base(charts))
+    trs = clean.filter_funnel(
+        tr,
+        [
+            ("release known", F.col("release_day").isNotNull()),
+            ("release on or before first chart day", F.col("release_day") <= F.col("first_chart_day")),
+        ],
+        level="track_regions",
+    )
+    return rows.unionByName(trs)

@@ -13,8 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from chartlens.operators import clean, lifecycle
 from chartlens.plans import oracle as O
 from chartlens.plans import questions as Q
-from chartlens.schema import CHART_COLUMNS
-from chartlens.sources import chart_rows, typed_charts
+from pyspark.sql import functions as F
+
+from chartlens.schema import AUDIO_FEATURES, CHART_COLUMNS, DANCEABLE_MIN, RELEASE_CUTOFF
+from chartlens.session import fresh_path
+from chartlens.sources import chart_rows, read_report, typed_charts, write_report
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -75,4 +78,141 @@ def _delay_by_region(c: DataFrame) -> DataFrame:
     return Q.q1_delay(c)
 
 
-__all__ = ["QUERIES", "charts_of", "query", "clean"]
+
+
+TYPED = CHART_COLUMNS + ["release_day"]
+TYPED_SQL = O.CHART_COLS + ", release_day"
+
+
+def rows_sql(where: str) -> str:
+    return O.sql(f"select {TYPED_SQL} from chart where {where}")
+
+
+# ---------------------------------------------------------------- filters
+@query("keep_chart", rows_sql("chart = 'top200'"))
+def _keep_chart(c: DataFrame) -> DataFrame:
+    """Rows of the top200 chart (F1)."""
+    return clean.keep_chart(c).select(*TYPED)
+
+
+@query("released_after", rows_sql("chart = 'top200' and release_day > date '2017-01-01'"))
+def _released_after(c: DataFrame) -> DataFrame:
+    """top200 rows released strictly after 2017-01-01 (F1 + F2 exclusive)."""
+    return Q.lifecycle_base(c).select(*TYPED)
+
+
+@query("released_on_or_after", rows_sql("release_day >= date '2017-01-01'"))
+def _released_on_or_after(c: DataFrame) -> DataFrame:
+    """Rows released on or after 2017-01-01 (F2 inclusive, title spread)."""
+    return clean.released_after(c, RELEASE_CUTOFF, inclusive=True).select(*TYPED)
+
+
+@query("min_feature", rows_sql("af_danceability >= 0.75"))
+def _min_feature(c: DataFrame) -> DataFrame:
+    """Rows with danceability at least 0.75."""
+    return clean.min_feature(c, "af_danceability", DANCEABLE_MIN).select(*TYPED)
+
+
+@query(
+    "valid_release",
+    O.sql(
+        """select track_id, region, release_day, first_chart_day, chart_entries from tr
+           where release_day is not null and release_day <= first_chart_day"""
+    ),
+)
+def _valid_release(c: DataFrame) -> DataFrame:
+    """Track-regions with a release day no later than the first chart day."""
+    return clean.valid_release(lifecycle.track_region(Q.lifecycle_base(c)))
+
+
+@query(
+    "typed_features",
+    O.sql(
+        "select track_id, region, date, explicit, "
+        + ", ".join(f"cast({f} as double) as {f}" for f in AUDIO_FEATURES)
+        + " from top"
+    ),
+)
+def _typed_features(c: DataFrame) -> DataFrame:
+    """Model input types on the cleaned top200 rows."""
+    return clean.typed_features(Q.lifecycle_base(c)).select("track_id", "region", "date", "explicit", *AUDIO_FEATURES)
+
+
+# ---------------------------------------------------------------- funnel
+FUNNEL_SQL = O.sql(
+    """select 'rows' as level, 0 as step_no, 'input' as step, count(*) as row_count from chart
+       union all select 'rows', 1, 'chart is top200', count(*) from chart where chart = 'top200'
+       union all select 'rows', 2, 'released after 2017-01-01', count(*) from top
+       union all select 'track_regions', 0, 'input', count(*) from tr
+       union all select 'track_regions', 1, 'release known', count(*) from tr where release_day is not null
+       union all select 'track_regions', 2, 'release on or before first chart day', count(*) from tr
+                 where release_day is not null and release_day <= first_chart_day"""
+)
+
+
+@query("filter_funnel", FUNNEL_SQL)
+def _filter_funnel(c: DataFrame) -> DataFrame:
+    """Row counts after each cleaning step (S3): two single-pass aggregations."""
+    return Q.funnel(c)
+
+
+# ---------------------------------------------------------------- lifecycle
+@query("debut_day", O.sql("select track_id, region, first_chart_day from tr"))
+def _debut_day(c: DataFrame) -> DataFrame:
+    """First chart day per (track, region) (L2)."""
+    return lifecycle.debut_day(lifecycle.track_region(Q.lifecycle_base(c)))
+
+
+@query(
+    "debut_delay",
+    O.sql(
+        """select track_id, region, release_day, first_chart_day, chart_entries,
+                  cast(first_chart_day - release_day as int) as days_until_chart from tr"""
+    ),
+)
+def _debut_delay(c: DataFrame) -> DataFrame:
+    """Days from release to first chart day per (track, region) (L3)."""
+    return lifecycle.debut_delay(lifecycle.track_region(Q.lifecycle_base(c)))
+
+
+STREAK_CTES = dict(
+    s1="""select track_id, region, date,
+                 lag(date) over (partition by track_id, region order by date) as prev from top""",
+    s2="""select *, sum(case when prev is null or date - prev > 3 then 1 else 0 end)
+                 over (partition by track_id, region order by date
+                       rows between unbounded preceding and current row) as run_id from s1""",
+    s3="select track_id, region, run_id, count(date) as run_len from s2 group by track_id, region, run_id",
+    streak="""select track_id, region, cast(greatest(max(run_len), 1) as int) as days_in_chart
+              from s3 group by track_id, region""",
+)
+
+
+@query("longest_streak", O.sql("select * from streak", **STREAK_CTES))
+def _longest_streak(c: DataFrame) -> DataFrame:
+    """Longest run of chart entries at most 3 days apart, per (track, region)."""
+    return lifecycle.longest_streak(Q.lifecycle_base(c))
+
+
+@query("streak_by_region", O.sql(O.stats_sql("streak", "region", "days_in_chart", "days_in_chart"), **STREAK_CTES))
+def _streak_by_region(c: DataFrame) -> DataFrame:
+    """Q2 report: streak statistics per region."""
+    return Q.q2_streak(c)
+
+
+@query("peak_rank", O.sql("select track_id, region, min(rank) as highest_ranking from top group by track_id, region"))
+def _peak_rank(c: DataFrame) -> DataFrame:
+    """Best rank per (track, region)."""
+    return lifecycle.peak_rank(Q.lifecycle_base(c))
+
+
+# ---------------------------------------------------------------- sinks
+def _report_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the Q1 report as CSV under the shared folder and read it back."""
+    report = Q.q1_delay(charts_of(spark, sf_dir))
+    path = fresh_path(spark, "report-q1")
+    write_report(report, path)
+    return read_report(spark, path, report.schema)
+
+
+QUERIES["report_round_trip"] = _report_round_trip
+O.register("report_round_trip", O.ORACLE["delay_by_region"])
