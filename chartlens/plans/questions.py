@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartlens.operators import clean, lifecycle
-from chartlens.schema import RELEASE_CUTOFF
+from chartlens.operators import artists, clean, lifecycle, spread
+from chartlens.schema import DANCEABLE_MIN, RELEASE_CUTOFF
 
 
 def lifecycle_base(charts: DataFrame) -> DataFrame:
@@ -50,3 +50,70 @@ def funnel(charts: DataFrame) -> DataFrame:
         level="track_regions",
     )
     return rows.unionByName(trs)
+
+
+# ---------------------------------------------------------------- Q4 tiers
+def artist_rows(charts: DataFrame) -> DataFrame:
+    """Cleaned top200 rows, one per artist (input of Q4)."""
+    base = lifecycle_base(charts).select("track_id", "region", "date", "release_day", "artist")
+    return artists.explode_artists(base)
+
+
+def tier_inputs(charts: DataFrame):
+    """(bridge, tiers) of the tier question."""
+    bridge = artists.artist_bridge(artist_rows(charts))
+    tiers = artists.artist_tiers(artists.artist_counts(bridge))
+    return bridge, tiers
+
+
+def track_regions_with_artists(charts: DataFrame) -> DataFrame:
+    """(track, region, first_chart_day) of pairs with at least one artist."""
+    bridge = artists.artist_bridge(artist_rows(charts))
+    return bridge.groupBy("track_id", "region").agg(F.min("first_chart_day").alias("first_chart_day"))
+
+
+def tier_edges(charts: DataFrame) -> DataFrame:
+    """Q4 edges: (tier, track, from_region, to_region, from_date, to_date, days)."""
+    bridge, tiers = tier_inputs(charts)
+    flags = artists.tier_flags(bridge, tiers)
+    edges = spread.days_to_popular(spread.first_arrivals(flags))
+    return spread.explode_tiers(edges).select(
+        "tier", "track_id", "from_region", "to_region", "from_date", "to_date", "days_to_popular"
+    )
+
+
+def q4_spread(charts: DataFrame) -> DataFrame:
+    """Q4 report: days to reach each region, per artist tier."""
+    return spread.spread_by_destination(tier_edges(charts))
+
+
+def q4_corridors(charts: DataFrame, origins=None) -> DataFrame:
+    """Q4 corridor reports: mean days from each origin (or the listed ones), per tier.
+
+    The reference reports France, Japan and the United Kingdom
+    (``TIER_ORIGINS``); one aggregation serves every origin.
+    """
+    edges = tier_edges(charts)
+    return spread.corridor_avg(edges if origins is None else clean.from_origin(edges, origins))
+
+
+# ---------------------------------------------------------------- Q3 titles
+def title_rows(charts: DataFrame) -> DataFrame:
+    """Rows of the title question: released on/after the cutoff, danceable, top200."""
+    rows = clean.released_after(charts, RELEASE_CUTOFF, inclusive=True)
+    rows = clean.keep_chart(clean.min_feature(rows, "af_danceability", DANCEABLE_MIN))
+    return rows.select("title", "date", "region")
+
+
+def title_spread(charts: DataFrame) -> DataFrame:
+    """Q3 corridor sums over all origins."""
+    return spread.chart_day_spread(spread.title_region_days(title_rows(charts)))
+
+
+def q3_corridors(charts: DataFrame, origins=None) -> DataFrame:
+    """Q3 reports: rounded mean days from each origin (or the listed ones).
+
+    The reference reports five origins (``TITLE_ORIGINS``).
+    """
+    s = title_spread(charts)
+    return spread.corridor_avg_rounded(s if origins is None else clean.from_origin(s, origins))

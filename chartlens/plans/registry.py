@@ -9,13 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chartlens.operators import clean, lifecycle
+from chartlens.operators import artists, clean, lifecycle, spread
 from chartlens.plans import oracle as O
 from chartlens.plans import questions as Q
-from pyspark.sql import functions as F
-
-from chartlens.schema import AUDIO_FEATURES, CHART_COLUMNS, DANCEABLE_MIN, RELEASE_CUTOFF
+from chartlens.schema import (
+    AUDIO_FEATURES,
+    CHART_COLUMNS,
+    DANCEABLE_MIN,
+    RELEASE_CUTOFF,
+    TIER_ORIGINS,
+)
 from chartlens.session import fresh_path
 from chartlens.sources import chart_rows, read_report, typed_charts, write_report
 
@@ -216,3 +221,192 @@ def _report_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["report_round_trip"] = _report_round_trip
 O.register("report_round_trip", O.ORACLE["delay_by_region"])
+
+
+# ---------------------------------------------------------------- artists (Q4)
+def _in_list(values) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
+ARTIST_CTES = dict(
+    ex="""select track_id, region, date, release_day, trim(unnest(string_split(artist, ','))) as artist
+          from top where artist is not null""",
+    bridge="""select track_id, region, artist, min(date) as first_chart_day
+              from ex group by track_id, region, artist""",
+    tra="select track_id, region, min(date) as first_chart_day from ex group by track_id, region",
+    counts="select artist, count(*) as n_track_regions from bridge group by artist",
+    ranked="""select artist, n_track_regions,
+                     row_number() over (order by n_track_regions desc, artist) as position,
+                     count(*) over () as n_artists
+              from counts""",
+    tiers="""select artist, n_track_regions, position,
+                    case when position <= n_artists // 3 then 'top'
+                         when position <= 2 * (n_artists // 3) then 'middle'
+                         else 'bottom' end as tier
+             from ranked""",
+    tier_tr="select distinct b.track_id, b.region, t.tier from bridge b join tiers t on b.artist = t.artist",
+    origins="""select o.track_id, o.first_chart_day as first_date, o.region as first_region
+               from tra o join (select track_id, min(first_chart_day) as m from tra group by track_id) g
+                 on o.track_id = g.track_id and o.first_chart_day = g.m""",
+    raw_edges="""select t.tier, o.track_id, o.first_region as from_region, b.region as to_region,
+                        o.first_date as from_date, b.first_chart_day as to_date
+                 from origins o
+                 join tra b on o.track_id = b.track_id and b.first_chart_day >= o.first_date
+                              and o.first_region <> b.region
+                 join tier_tr t on t.track_id = b.track_id and t.region = b.region""",
+    arrivals="""select tier, track_id, min(from_region) as from_region, to_region,
+                       min(from_date) as from_date, min(to_date) as to_date
+                from raw_edges group by tier, track_id, to_region""",
+    days="select *, cast(to_date - from_date as int) as days_to_popular from arrivals",
+)
+
+
+@query("explode_artists", O.sql("select track_id, region, date, artist from ex", **ARTIST_CTES))
+def _explode_artists(c: DataFrame) -> DataFrame:
+    """One row per artist of each cleaned top200 row (A1)."""
+    return Q.artist_rows(c).select("track_id", "region", "date", "artist")
+
+
+@query(
+    "track_region_artists",
+    O.sql(
+        """select track_id, region, min(release_day) as release_day, min(date) as first_chart_day,
+                  list_sort(list(distinct artist)) as artists
+           from ex group by track_id, region""",
+        **ARTIST_CTES,
+    ),
+)
+def _track_region_artists(c: DataFrame) -> DataFrame:
+    """Per (track, region): release, first chart day, sorted artist set (A2)."""
+    return artists.track_region_artists(Q.artist_rows(c))
+
+
+@query("artist_counts", O.sql("select * from counts", **ARTIST_CTES))
+def _artist_counts(c: DataFrame) -> DataFrame:
+    """Track-region pairs per artist (A3)."""
+    return artists.artist_counts(artists.artist_bridge(Q.artist_rows(c)))
+
+
+@query("artist_tiers", O.sql("select * from tiers", **ARTIST_CTES))
+def _artist_tiers(c: DataFrame) -> DataFrame:
+    """Artist popularity thirds: top, middle, bottom with the remainder (A4)."""
+    return Q.tier_inputs(c)[1]
+
+
+@query("tier_tracks", O.sql("select * from tier_tr", **ARTIST_CTES))
+def _tier_tracks(c: DataFrame) -> DataFrame:
+    """Track-regions of each tier's artists (A5)."""
+    bridge, tiers = Q.tier_inputs(c)
+    return artists.tier_tracks(bridge, tiers)
+
+
+# ---------------------------------------------------------------- spread (Q4)
+@query("track_origins", O.sql("select * from origins", **ARTIST_CTES))
+def _track_origins(c: DataFrame) -> DataFrame:
+    """Region(s) where each track first charted (M1)."""
+    return spread.origins(Q.track_regions_with_artists(c))
+
+
+@query(
+    "first_arrivals",
+    O.sql("select tier, track_id, from_region, to_region, from_date, to_date from arrivals", **ARTIST_CTES),
+)
+def _first_arrivals(c: DataFrame) -> DataFrame:
+    """One edge per tier, track and region reached after the origin (M3)."""
+    return Q.tier_edges(c).drop("days_to_popular")
+
+
+@query("days_to_popular", O.sql("select * from days", **ARTIST_CTES))
+def _days_to_popular(c: DataFrame) -> DataFrame:
+    """First-arrival edges with days from origin to region (M5)."""
+    return Q.tier_edges(c)
+
+
+@query(
+    "spread_by_destination",
+    O.sql(
+        """select tier, to_region, avg(days_to_popular) as avg_days_until_chart,
+                  median(days_to_popular) as median_days_until_chart,
+                  min(days_to_popular) as min_days_until_chart, max(days_to_popular) as max_days_until_chart
+           from days group by tier, to_region order by tier, avg_days_until_chart desc, to_region""",
+        **ARTIST_CTES,
+    ),
+)
+def _spread_by_destination(c: DataFrame) -> DataFrame:
+    """Q4 report: days-to-region statistics per tier and destination (M6)."""
+    return Q.q4_spread(c)
+
+
+@query("from_origin", O.sql(f"select * from days where from_region in ({_in_list(TIER_ORIGINS)})", **ARTIST_CTES))
+def _from_origin(c: DataFrame) -> DataFrame:
+    """Q4 edges leaving France, Japan or the United Kingdom."""
+    return clean.from_origin(Q.tier_edges(c), TIER_ORIGINS)
+
+
+@query(
+    "corridor_avg",
+    O.sql(
+        """select tier, from_region, to_region, avg(days_to_popular) as avg_days_to_popular
+            from days group by tier, from_region, to_region
+            order by tier, from_region, avg_days_to_popular, to_region""",
+        **ARTIST_CTES,
+    ),
+)
+def _corridor_avg(c: DataFrame) -> DataFrame:
+    """Q4 corridors: mean days from every origin to every region, per tier (M7)."""
+    return Q.q4_corridors(c)
+
+
+# ---------------------------------------------------------------- titles (Q3)
+TITLE_CTES = dict(
+    q3="""select title, date, region from chart
+          where release_day >= date '2017-01-01' and af_danceability >= 0.75 and chart = 'top200'""",
+    t_first="select title, min(date) as first_date from q3 group by title",
+    t_orig="""select a.title, a.first_date, o.region as first_region
+              from t_first a join q3 o on a.title = o.title and a.first_date = o.date""",
+    t_edges="""select a.title, a.first_region as from_region, b.region as to_region,
+                      cast(b.date - a.first_date as int) as days_to_popular
+               from t_orig a join q3 b on a.title = b.title and b.date >= a.first_date
+                                      and a.first_region <> b.region""",
+)
+
+
+@query(
+    "title_origins",
+    O.sql(
+        """select title, first_date, first_region, count(*) as origin_rows
+           from t_orig group by title, first_date, first_region""",
+        **TITLE_CTES,
+    ),
+)
+def _title_origins(c: DataFrame) -> DataFrame:
+    """Region(s) where each danceable title first charted, with row multiplicity (M2)."""
+    return spread.title_origins(spread.title_region_days(Q.title_rows(c)))
+
+
+@query(
+    "chart_day_spread",
+    O.sql(
+        """select from_region, to_region, count(*) as edges,
+                  cast(sum(days_to_popular) as bigint) as total_days,
+                  avg(days_to_popular) as avg_days_to_popular
+           from t_edges group by from_region, to_region""",
+        **TITLE_CTES,
+    ),
+)
+def _chart_day_spread(c: DataFrame) -> DataFrame:
+    """Title chart-day edges summed per corridor, all origins (M4)."""
+    return Q.title_spread(c)
+
+
+@query(
+    "corridor_avg_rounded",
+    O.sql(
+        """select from_region, to_region, round(avg(days_to_popular), 0) as avg_days_to_popular
+            from t_edges group by from_region, to_region order by from_region, avg_days_to_popular, to_region""",
+        **TITLE_CTES,
+    ),
+)
+def _corridor_avg_rounded(c: DataFrame) -> DataFrame:
+    """Q3 corridors: rounded mean days from every origin to every region (M8)."""
+    return Q.q3_corridors(c)

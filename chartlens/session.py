@@ -34,6 +34,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = os.environ.get("CHARTLENS_DRIVER_MEMORY", "8g")
     conf["spark.sql.execution.arrow.pyspark.enabled"] = "true"
+    conf["spark.ui.showConsoleProgress"] = "false"
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
