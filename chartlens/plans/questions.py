@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartlens.operators import artists, clean, lifecycle, spread
+from chartlens.operators import artists, clean, genres, lifecycle, spread
 from chartlens.schema import DANCEABLE_MIN, RELEASE_CUTOFF
 
 
@@ -117,3 +117,20 @@ def q3_corridors(charts: DataFrame, origins=None) -> DataFrame:
     """
     s = title_spread(charts)
     return spread.corridor_avg_rounded(s if origins is None else clean.from_origin(s, origins))
+
+
+# ---------------------------------------------------------------- Q6 genres
+def genre_rows(charts: DataFrame, date_col: str = "date") -> DataFrame:
+    """All chart rows (any chart, any release) with genre and month (Q6 input)."""
+    rows = charts.select("region", date_col, "af_danceability", "af_energy", "af_key")
+    return genres.with_month(genres.with_genre(rows), date_col)
+
+
+def q6_best_genre(charts: DataFrame, date_col: str = "date") -> DataFrame:
+    """Q6: leading genre per region and month."""
+    return genres.best_genre(genres.genre_profile(genre_rows(charts, date_col)))
+
+
+def q6_quartiles(charts: DataFrame, date_col: str = "date") -> DataFrame:
+    """Q6: genre share quartiles per region."""
+    return genres.share_quartile(genres.genre_share(genre_rows(charts, date_col)))

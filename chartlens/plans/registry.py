@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartlens.operators import artists, clean, lifecycle, spread
+from chartlens.operators import artists, clean, genres, lifecycle, spread
 from chartlens.plans import oracle as O
 from chartlens.plans import questions as Q
 from chartlens.schema import (
@@ -410,3 +410,145 @@ def _chart_day_spread(c: DataFrame) -> DataFrame:
 def _corridor_avg_rounded(c: DataFrame) -> DataFrame:
     """Q3 corridors: rounded mean days from every origin to every region (M8)."""
     return Q.q3_corridors(c)
+
+
+# ---------------------------------------------------------------- genres (Q6)
+# The chart rule folds ``date`` into 90 days; ``long_date`` spans years and
+# feeds the monthly genre questions (FIXTURES.md section 2).
+GENRE_DATE = "long_date"
+
+GENRE_CTES = dict(
+    g="""select region, long_date, af_danceability, af_energy, af_key,
+               case when af_danceability > 0.7 and af_energy > 0.7 then 'Electronic'
+                    when af_danceability > 0.6 and af_energy <= 0.7 then 'Pop'
+                    when af_danceability <= 0.6 and af_energy > 0.6 then 'Rock'
+                    when af_key in (1, 2, 3) and af_danceability < 0.5 then 'Classical'
+                    when af_key in (8, 9, 10) and af_danceability > 0.5 then 'Hip-Hop'
+                    else 'Other' end as genre,
+               cast(date_trunc('month', long_date) as date) as month
+        from chart""",
+    profile="""select region, month, genre, avg(af_danceability) as avg_danceability,
+                      avg(af_energy) as avg_energy
+               from g group by region, month, genre""",
+    best="""select region, month, genre, avg_danceability, avg_energy from (
+              select *, row_number() over (partition by region, month
+                        order by avg_danceability desc nulls last, avg_energy desc nulls last, genre) as rn
+              from profile) where rn = 1""",
+    adoption="select genre, region, min(month) as first_appearance from g group by genre, region",
+    shares="""select region, genre, count(*) as genre_count,
+                     count(*) / sum(count(*)) over (partition by region) * 100 as percentage
+              from g group by region, genre""",
+    edges="""select region, quantile_cont(genre_count, 0.25) as e1, quantile_cont(genre_count, 0.5) as e2,
+                    quantile_cont(genre_count, 0.75) as e3
+             from shares group by region""",
+    quart="""select s.*, case when genre_count <= e1 then 'Q1' when genre_count <= e2 then 'Q2'
+                              when genre_count <= e3 then 'Q3' else 'Q4' end as quartile
+             from shares s join edges using (region)""",
+)
+
+
+def genre_rows_of(c: DataFrame) -> DataFrame:
+    return Q.genre_rows(c, GENRE_DATE)
+
+
+@query(
+    "with_genre",
+    O.sql("select region, long_date, af_danceability, af_energy, af_key, genre from g", **GENRE_CTES),
+)
+def _with_genre(c: DataFrame) -> DataFrame:
+    """Every chart row with its rule-based genre (G1)."""
+    rows = c.select("region", GENRE_DATE, "af_danceability", "af_energy", "af_key")
+    return genres.with_genre(rows)
+
+
+@query("with_month", O.sql("select region, long_date, month from g", **GENRE_CTES))
+def _with_month(c: DataFrame) -> DataFrame:
+    """Every chart row with the month of its chart day."""
+    return genres.with_month(c.select("region", GENRE_DATE), GENRE_DATE)
+
+
+@query("genre_profile", O.sql("select * from profile", **GENRE_CTES))
+def _genre_profile(c: DataFrame) -> DataFrame:
+    """Mean danceability and energy per region, month and genre."""
+    return genres.genre_profile(genre_rows_of(c))
+
+
+@query("best_genre", O.sql("select * from best", **GENRE_CTES))
+def _best_genre(c: DataFrame) -> DataFrame:
+    """Leading genre per region and month."""
+    return Q.q6_best_genre(c, GENRE_DATE)
+
+
+@query("region_count", O.sql("select count(distinct region) as n_regions from best", **GENRE_CTES))
+def _region_count(c: DataFrame) -> DataFrame:
+    """Distinct regions in the leading-genre table."""
+    return genres.region_count(Q.q6_best_genre(c, GENRE_DATE))
+
+
+@query(
+    "genre_counts",
+    O.sql("select region, month, genre, count(*) as record_count from g group by region, month, genre", **GENRE_CTES),
+)
+def _genre_counts(c: DataFrame) -> DataFrame:
+    """Chart rows per region, month and genre."""
+    return genres.genre_counts(genre_rows_of(c))
+
+
+@query(
+    "genre_pivot",
+    O.sql(
+        "select region, month, "
+        + ", ".join(f"""count(*) filter (where genre = '{g}') as "{g}\"""" for g in ["Classical", "Electronic", "Hip-Hop", "Other", "Pop", "Rock"])
+        + " from g group by region, month",
+        **GENRE_CTES,
+    ),
+)
+def _genre_pivot(c: DataFrame) -> DataFrame:
+    """Genre counts as one column per genre, per region and month."""
+    return genres.genre_pivot(genre_rows_of(c))
+
+
+@query("genre_adoption", O.sql("select * from adoption", **GENRE_CTES))
+def _genre_adoption(c: DataFrame) -> DataFrame:
+    """First month of each genre per region."""
+    return genres.genre_adoption(genre_rows_of(c))
+
+
+@query(
+    "genre_spread",
+    O.sql(
+        """select genre, min(first_appearance) as earliest_adoption, max(first_appearance) as latest_adoption,
+                  cast(datediff('month', min(first_appearance), max(first_appearance)) as int) as duration_months
+           from adoption group by genre""",
+        **GENRE_CTES,
+    ),
+)
+def _genre_spread(c: DataFrame) -> DataFrame:
+    """Per genre: first and last regional adoption and months between."""
+    return genres.genre_spread(genres.genre_adoption(genre_rows_of(c)))
+
+
+@query("genre_share", O.sql("select * from shares", **GENRE_CTES))
+def _genre_share(c: DataFrame) -> DataFrame:
+    """Rows and percent of the region per genre."""
+    return genres.genre_share(genre_rows_of(c))
+
+
+@query("share_quartile", O.sql("select region, genre, genre_count, percentage, quartile from quart", **GENRE_CTES))
+def _share_quartile(c: DataFrame) -> DataFrame:
+    """Quartile of each genre's share in its region."""
+    return Q.q6_quartiles(c, GENRE_DATE)
+
+
+@query(
+    "top_genre_per_quartile",
+    O.sql(
+        """select region, quartile, genre from (
+             select *, row_number() over (partition by region, quartile order by genre_count desc, genre) as rn
+             from quart) where rn = 1""",
+        **GENRE_CTES,
+    ),
+)
+def _top_genre_per_quartile(c: DataFrame) -> DataFrame:
+    """Genre with the largest share per region and quartile."""
+    return genres.top_genre_per_quartile(Q.q6_quartiles(c, GENRE_DATE))
