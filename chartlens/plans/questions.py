@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartlens.operators import artists, clean, genres, lifecycle, spread
+from chartlens.operators import artists, clean, genres, lifecycle, model, spread
+from chartlens.session import shared_dir
 from chartlens.schema import DANCEABLE_MIN, RELEASE_CUTOFF
 
 
@@ -134,3 +135,43 @@ def q6_best_genre(charts: DataFrame, date_col: str = "date") -> DataFrame:
 def q6_quartiles(charts: DataFrame, date_col: str = "date") -> DataFrame:
     """Q6: genre share quartiles per region."""
     return genres.share_quartile(genres.genre_share(genre_rows(charts, date_col)))
+
+
+# ---------------------------------------------------------------- Q5 model
+def model_data(charts: DataFrame) -> DataFrame:
+    """Complete model rows with label and train/test split (Q5 input)."""
+    frame = model.model_frame(lifecycle_base(charts))
+    return model.train_test_split(model.complete_rows(frame))
+
+
+def assembled_data(charts: DataFrame, checkpoint: bool = True) -> DataFrame:
+    """Model rows with the feature vector, lineage cut before fitting.
+
+    Fitting reads the data many times; a reliable checkpoint in the shared
+    folder (``spark.checkpoint.dir``) means each pass, and any task retried
+    after a lost executor, starts from the written rows instead of
+    re-running the aggregation plan.
+    """
+    data = model.assemble(model_data(charts))
+    if checkpoint:
+        shared_dir(data.sparkSession)
+        data = data.checkpoint(eager=True)
+    return data
+
+
+def split_of(data: DataFrame, which: str) -> DataFrame:
+    return data.where(F.col("split") == which)
+
+
+def q5_forest(charts: DataFrame):
+    """Q5 forest: (model, test predictions)."""
+    data = assembled_data(charts)
+    m = model.fit_forest(split_of(data, "train"))
+    return m, m.transform(split_of(data, "test"))
+
+
+def q5_linear(charts: DataFrame):
+    """Q5 linear model: (model, test predictions)."""
+    data = assembled_data(charts)
+    m = model.fit_linear(split_of(data, "train"))
+    return m, m.transform(split_of(data, "test"))

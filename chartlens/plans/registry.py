@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartlens.operators import artists, clean, genres, lifecycle, spread
+from chartlens.operators import artists, clean, genres, lifecycle, model, spread
 from chartlens.plans import oracle as O
 from chartlens.plans import questions as Q
 from chartlens.schema import (
@@ -552,3 +552,98 @@ def _share_quartile(c: DataFrame) -> DataFrame:
 def _top_genre_per_quartile(c: DataFrame) -> DataFrame:
     """Genre with the largest share per region and quartile."""
     return genres.top_genre_per_quartile(Q.q6_quartiles(c, GENRE_DATE))
+
+
+# ---------------------------------------------------------------- model (Q5)
+FEATURE_SQL = ", ".join(f"min({c}) as {c}" for c in ["explicit", *AUDIO_FEATURES])
+COMPLETE_SQL = " and ".join(
+    [f"{c} is not null" for c in ["explicit", "highest_ranking"]]
+    + [f"{c} is not null and not isnan({c})" for c in AUDIO_FEATURES]
+)
+MODEL_CTES = dict(
+    **STREAK_CTES,
+    feats=f"select track_id, region, {FEATURE_SQL} from top group by track_id, region",
+    peak="select track_id, region, min(rank) as highest_ranking from top group by track_id, region",
+    frame="""select p.track_id, p.region, p.highest_ranking, s.days_in_chart, f.* exclude (track_id, region)
+             from peak p join streak s using (track_id, region) join feats f using (track_id, region)""",
+    complete=f"select *, cast(highest_ranking as double) as label from frame where {COMPLETE_SQL}",
+    splitted="""select *, case when cast('0x' || substr(md5(track_id || '|' || region), 1, 8) as bigint) % 100 < 80
+                              then 'train' else 'test' end as split
+                from complete""",
+)
+
+
+@query("audio_features", O.sql("select * from feats", **MODEL_CTES))
+def _audio_features(c: DataFrame) -> DataFrame:
+    """Explicit flag and audio features per (track, region)."""
+    return model.audio_features(Q.lifecycle_base(c))
+
+
+@query("model_frame", O.sql("select * from frame", **MODEL_CTES))
+def _model_frame(c: DataFrame) -> DataFrame:
+    """Peak rank, streak and features per (track, region) (R2)."""
+    return model.model_frame(Q.lifecycle_base(c))
+
+
+@query("drop_incomplete", O.sql("select * exclude (label) from complete", **MODEL_CTES))
+def _drop_incomplete(c: DataFrame) -> DataFrame:
+    """Model frame rows with every feature and the label present."""
+    frame = model.model_frame(Q.lifecycle_base(c))
+    return clean.drop_incomplete(frame, ["explicit", *AUDIO_FEATURES, "highest_ranking"])
+
+
+@query("train_test_split", O.sql("select * from splitted", **MODEL_CTES))
+def _train_test_split(c: DataFrame) -> DataFrame:
+    """Complete model rows with label and hash-based train/test split."""
+    return Q.model_data(c)
+
+
+@query("assembled")
+def _assembled(c: DataFrame) -> DataFrame:
+    """Complete model rows with the 13-feature vector (R3); rows-only check."""
+    return model.assemble(Q.model_data(c)).select("track_id", "region", "label", "split", "features")
+
+
+@query("forest_predictions")
+def _forest_predictions(c: DataFrame) -> DataFrame:
+    """Random forest (50 trees, depth 10) predictions on the test split."""
+    return Q.q5_forest(c)[1].select("track_id", "region", "label", "prediction")
+
+
+@query("linear_predictions")
+def _linear_predictions(c: DataFrame) -> DataFrame:
+    """Linear regression predictions on the test split."""
+    return Q.q5_linear(c)[1].select("track_id", "region", "label", "prediction")
+
+
+@query(
+    "regression_metrics",
+    O.sql(
+        """select count(*) as n, round(sqrt(sum((label - prediction) * (label - prediction)) / count(*)), 9) as rmse,
+                  round(sum(abs(label - prediction)) / count(*), 9) as mae,
+                  round(1 - sum((label - prediction) * (label - prediction))
+                      / sum((label - m) * (label - m)), 9) as r2
+           from (select t.label, r.prediction, avg(t.label) over () as m
+                 from splitted t join (select region, avg(label) as prediction from splitted
+                                       where split = 'train' group by region) r using (region)
+                 where t.split = 'test')""",
+        **MODEL_CTES,
+    ),
+)
+def _regression_metrics(c: DataFrame) -> DataFrame:
+    """RMSE, MAE, R^2 of a closed-form predictor (train-split regional mean rank)."""
+    data = Q.model_data(c)
+    means = Q.split_of(data, "train").groupBy("region").agg(F.avg("label").alias("prediction"))
+    return model.regression_metrics(Q.split_of(data, "test").join(means, "region"), digits=9)
+
+
+@query("feature_importance")
+def _feature_importance(c: DataFrame) -> DataFrame:
+    """Forest feature importances, largest first, with the 0.05 cutoff flag."""
+    return model.feature_importance(Q.q5_forest(c)[0])
+
+
+@query("coefficient_table")
+def _coefficient_table(c: DataFrame) -> DataFrame:
+    """Linear model coefficients with standard errors, t and p values."""
+    return model.coefficient_table(Q.q5_linear(c)[0])
