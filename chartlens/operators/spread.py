@@ -171,19 +171,30 @@ def chart_day_spread(region_days: DataFrame, key: str = "title") -> DataFrame:
     An origin row of region X and a chart row of region Y != X of the same
     title form one edge; its days are the row's day minus the title's first
     day. Per title and corridor the edge count is ``origin_rows(X) *
-    n_rows(Y)`` and the day total ``origin_rows(X) * sum_days(Y)``, so the
-    join pairs per-region aggregates (at most regions x origins rows per
-    title) instead of raw rows.
+    n_rows(Y)`` and the day total ``origin_rows(X) * sum_days(Y)``.
+
+    Plan: a window per title (same partitioning as ``title_region_days``,
+    so no new shuffle) gives every region row the title's origin list -
+    at most one entry per origin region - which is exploded into
+    (from, to) pairs and summed per corridor with partial aggregation. No
+    raw-row edge list and no self-join.
     Output: from_region, to_region, edges, total_days, avg_days_to_popular.
     """
-    src = region_days.where(F.col("origin_rows") > 0).select(
-        key, F.col("region").alias("from_region"), "origin_rows"
+    origin = F.when(
+        F.col("origin_rows") > 0,
+        F.struct(F.col("region").alias("from_region"), F.col("origin_rows").alias("o_rows")),
+    )
+    with_origins = region_days.withColumn("_origins", F.collect_list(origin).over(Window.partitionBy(key)))
+    pairs = (
+        with_origins.select(
+            F.col("region").alias("to_region"), "n_rows", "sum_days", F.explode("_origins").alias("o")
+        )
+        .select("o.from_region", "to_region", "o.o_rows", "n_rows", "sum_days")
+        .where(F.col("from_region") != F.col("to_region"))
     )
-    dst = region_days.select(key, F.col("region").alias("to_region"), "n_rows", "sum_days")
-    pairs = src.join(dst, key).where(F.col("from_region") != F.col("to_region"))
     return pairs.groupBy("from_region", "to_region").agg(
-        F.sum(F.col("origin_rows") * F.col("n_rows")).alias("edges"),
-        F.sum(F.col("origin_rows") * F.col("sum_days")).alias("total_days"),
+        F.sum(F.col("o_rows") * F.col("n_rows")).alias("edges"),
+        F.sum(F.col("o_rows") * F.col("sum_days")).alias("total_days"),
     ).withColumn("avg_days_to_popular", F.col("total_days") / F.col("edges"))
 
 

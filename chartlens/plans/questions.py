@@ -60,9 +60,28 @@ def artist_rows(charts: DataFrame) -> DataFrame:
     return artists.explode_artists(base)
 
 
-def tier_inputs(charts: DataFrame):
-    """(bridge, tiers) of the tier question."""
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as a reliable checkpoint in the shared folder.
+
+    Used where one intermediate feeds several branches that Spark cannot
+    share (differently pruned copies of one aggregate are planned, and
+    scanned, separately). The written rows also cut the lineage, so a lost
+    executor costs a re-read, not a re-run of the upstream plan.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def tier_inputs(charts: DataFrame, materialized: bool = True):
+    """(bridge, tiers) of the tier question.
+
+    The bridge (distinct track, region, artist) is read twice: for the
+    global artist counts and for the join back to tiers. It is written
+    once (``materialize``) so the chart rows are scanned and exploded once.
+    """
     bridge = artists.artist_bridge(artist_rows(charts))
+    if materialized:
+        bridge = materialize(bridge)
     tiers = artists.artist_tiers(artists.artist_counts(bridge))
     return bridge, tiers
 
