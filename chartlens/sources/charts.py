@@ -46,6 +46,24 @@ def typed_charts(charts: DataFrame) -> DataFrame:
     return with_release_day(charts.select(*CHART_COLUMNS, *extra))
 
 
+def write_chart_table(charts: DataFrame, path: str, partition_by: tuple[str, ...] = ("chart",)) -> None:
+    """Write chart rows once as a typed parquet table (the ingest step).
+
+    The dirty ``release_date`` text is typed to ``release_day`` (DATE) here,
+    once, so later jobs filter on a real date column: the release cutoff is
+    pushed into the parquet reader (row groups skipped by min/max) instead
+    of re-parsing text on every row of every job. Partitioning by ``chart``
+    turns the top200 filter into directory pruning.
+    """
+    typed = charts if "release_day" in charts.columns else typed_charts(charts)
+    typed.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
+def read_chart_table(spark: SparkSession, path: str) -> DataFrame:
+    """Read a table written by ``write_chart_table`` (typed, with release_day)."""
+    return spark.read.parquet(path)
+
+
 def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Write a report, replacing what is at ``path``.
 

@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from chartlens.plans import questions as Q  # noqa: E402
 from chartlens.session import fresh_path, local_session  # noqa: E402
-from chartlens.sources import chart_rows, read_charts, typed_charts  # noqa: E402
+from chartlens.sources import chart_rows, read_chart_table, write_chart_table  # noqa: E402
 
 PLANS = {
     "q1": lambda c: Q.q1_delay(c),
@@ -35,8 +35,8 @@ def main():
     full = "--full" in sys.argv
     spark = local_session()
     path = fresh_path(spark, "explain-charts")
-    chart_rows(spark, "/root/testdata/sf0.001").write.parquet(path)
-    charts = typed_charts(read_charts(spark, path, fmt="parquet"))
+    write_chart_table(chart_rows(spark, "/root/testdata/sf0.001"), path)
+    charts = read_chart_table(spark, path)
     for name, fn in PLANS.items():
         if args and name not in args:
             continue
