@@ -172,6 +172,11 @@ def assembled_data(charts: DataFrame, checkpoint: bool = True) -> DataFrame:
     re-running the aggregation plan.
     """
     data = model.assemble(model_data(charts))
+    # A fixed layout (hash partitions by key, sorted inside) makes the
+    # forest's seeded per-partition sampling see the same rows in the same
+    # order on every run, so the seed fully determines the model.
+    parts = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    data = data.repartition(parts, "track_id", "region").sortWithinPartitions("track_id", "region")
     if checkpoint:
         shared_dir(data.sparkSession)
         data = data.checkpoint(eager=True)

@@ -647,3 +647,20 @@ def _feature_importance(c: DataFrame) -> DataFrame:
 def _coefficient_table(c: DataFrame) -> DataFrame:
     """Linear model coefficients with standard errors, t and p values."""
     return model.coefficient_table(Q.q5_linear(c)[0])
+
+
+# ---------------------------------------------------------------- streaming ingest
+def _streamed_chart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chart rows written as CSV shards, ingested by the streaming file source
+    into the typed chart table, and read back (S1 incremental form)."""
+    from chartlens.streaming import ingest_chart_shards
+
+    shards = fresh_path(spark, "chart-shards")
+    chart_rows(spark, sf_dir).drop("long_date").write.option("header", True).csv(shards)
+    table = fresh_path(spark, "chart-table")
+    ingest_chart_shards(spark, shards, table).awaitTermination()
+    return spark.read.parquet(table).select(*TYPED)
+
+
+QUERIES["streamed_chart_table"] = _streamed_chart_table
+O.register("streamed_chart_table", O.sql(f"select {TYPED_SQL} from chart"))
