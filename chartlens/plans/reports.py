@@ -1,11 +1,13 @@
-"""Write every report of the reference's questions from one chart table.
+"""Write the reports of each question from one chart table.
 
-This is the batch job a user runs: read the chart table once, write each
-question's reports (CSV with header) under an output folder.
+These are the batch jobs a user runs: read the chart table once, write
+each question's reports (CSV with header) under an output folder.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame
 
 from chartlens.operators import genres, model
@@ -18,51 +20,86 @@ def _slug(name: str) -> str:
     return name.lower().replace(" ", "_")
 
 
-def write_all_reports(charts: DataFrame, out_dir: str, genre_date: str = "date", models: bool = True) -> list[str]:
-    """Write all question reports under ``out_dir``; returns the paths written.
+class _Out:
+    def __init__(self, out_dir: str, fmt: str):
+        self.base, self.fmt, self.written = out_dir.rstrip("/"), fmt, []
 
-    Each report is a separate job over the same plan prefix. The per-origin
-    and per-tier reports of the reference are filters of one aggregation
-    each, written per origin as the reference names them.
-    """
-    out = out_dir.rstrip("/")
-    written: list[str] = []
+    def put(self, df: DataFrame, name: str) -> None:
+        path = f"{self.base}/{name}"
+        write_report(df, path, self.fmt)
+        self.written.append(path)
 
-    def put(df: DataFrame, name: str) -> None:
-        path = f"{out}/{name}"
-        write_report(df, path)
-        written.append(path)
 
-    put(Q.q1_delay(charts), "question1")
-    put(Q.q2_streak(charts), "question2")
+def delay_and_streak(charts: DataFrame, out: _Out, **_) -> None:
+    """Q1 and Q2 reports."""
+    out.put(Q.q1_delay(charts), "question1")
+    out.put(Q.q2_streak(charts), "question2")
 
+
+def tier_spread(charts: DataFrame, out: _Out, **_) -> None:
+    """Q4: spread per tier, and corridors from the reference's origins per tier."""
     spread4 = Q.q4_spread(charts)
     corridors4 = Q.q4_corridors(charts, TIER_ORIGINS)
     for tier in TIERS:
-        put(spread4.where(spread4.tier == tier).drop("tier"), f"artist_popularity_{tier}")
+        out.put(spread4.where(spread4.tier == tier).drop("tier"), f"artist_popularity_{tier}")
         for origin in TIER_ORIGINS:
             rows = corridors4.where((corridors4.tier == tier) & (corridors4.from_region == origin))
-            put(rows.select("to_region", "avg_days_to_popular"), f"{_slug(origin)}_{tier}")
+            out.put(rows.select("to_region", "avg_days_to_popular"), f"{_slug(origin)}_{tier}")
+
 
+def title_spread(charts: DataFrame, out: _Out, **_) -> None:
+    """Q3: rounded corridor means from the reference's five origins."""
     corridors3 = Q.q3_corridors(charts, TITLE_ORIGINS)
     for origin in TITLE_ORIGINS:
         rows = corridors3.where(corridors3.from_region == origin)
-        put(rows.select("to_region", "avg_days_to_popular"), f"title_{_slug(origin)}")
+        out.put(rows.select("to_region", "avg_days_to_popular"), f"title_{_slug(origin)}")
 
+
+def genre_reports(charts: DataFrame, out: _Out, genre_date: str = "date", **_) -> None:
+    """Q6: leaders, counts, pivot, adoption speed, shares, quartile leaders."""
     rows6 = Q.genre_rows(charts, genre_date)
-    put(Q.q6_best_genre(charts, genre_date), "best_genres_per_month_per_region")
-    put(genres.genre_counts(rows6), "records_per_genre_per_month_per_country")
-    put(genres.genre_pivot(rows6), "popularity_per_genre_per_country")
-    put(genres.genre_spread(genres.genre_adoption(rows6)), "migration_speed_per_genre")
-    put(genres.genre_share(rows6), "genre_share_per_country")
-    put(genres.top_genre_per_quartile(Q.q6_quartiles(charts, genre_date)), "top_genre_per_quartile")
-
-    if models:
-        forest, forest_pred = Q.q5_forest(charts)
-        linear, linear_pred = Q.q5_linear(charts)
-        put(model.regression_metrics(forest_pred), "forest_metrics")
-        put(model.regression_metrics(linear_pred), "linear_metrics")
-        put(model.feature_importance(forest), "rf_feature_importances")
-        put(model.coefficient_table(linear), "linear_coefficients")
-
-    return written
+    out.put(Q.q6_best_genre(charts, genre_date), "best_genres_per_month_per_region")
+    out.put(genres.genre_counts(rows6), "records_per_genre_per_month_per_country")
+    out.put(genres.genre_pivot(rows6), "popularity_per_genre_per_country")
+    out.put(genres.genre_spread(genres.genre_adoption(rows6)), "migration_speed_per_genre")
+    out.put(genres.genre_share(rows6), "genre_share_per_country")
+    out.put(genres.top_genre_per_quartile(Q.q6_quartiles(charts, genre_date)), "top_genre_per_quartile")
+
+
+def model_reports(charts: DataFrame, out: _Out, **_) -> None:
+    """Q5: forest and linear metrics, importances, coefficients."""
+    forest, forest_pred = Q.q5_forest(charts)
+    linear, linear_pred = Q.q5_linear(charts)
+    out.put(model.regression_metrics(forest_pred), "forest_metrics")
+    out.put(model.regression_metrics(linear_pred), "linear_metrics")
+    out.put(model.feature_importance(forest), "rf_feature_importances")
+    out.put(model.coefficient_table(linear), "linear_coefficients")
+
+
+QUESTIONS: dict[str, Callable[..., None]] = {
+    "delay_streak": delay_and_streak,
+    "tiers": tier_spread,
+    "titles": title_spread,
+    "genres": genre_reports,
+    "model": model_reports,
+}
+
+
+def write_reports(
+    charts: DataFrame,
+    out_dir: str,
+    questions: Sequence[str] = tuple(QUESTIONS),
+    genre_date: str = "date",
+    fmt: str = "csv",
+) -> list[str]:
+    """Write the reports of the chosen questions; returns the paths written."""
+    out = _Out(out_dir, fmt)
+    for q in questions:
+        QUESTIONS[q](charts, out, genre_date=genre_date)
+    return out.written
+
+
+def write_all_reports(charts: DataFrame, out_dir: str, genre_date: str = "date", models: bool = True) -> list[str]:
+    """Write every question's reports under ``out_dir``."""
+    qs = [q for q in QUESTIONS if models or q != "model"]
+    return write_reports(charts, out_dir, qs, genre_date)
