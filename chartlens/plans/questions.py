@@ -6,11 +6,12 @@ returns lazy DataFrames; nothing here runs a job.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartlens.operators import artists, clean, genres, lifecycle, model, spread
-from chartlens.session import shared_dir
+from chartlens.session import fresh_path, shared_dir
 from chartlens.schema import DANCEABLE_MIN, RELEASE_CUTOFF
 
 
@@ -60,16 +61,19 @@ def artist_rows(charts: DataFrame) -> DataFrame:
     return artists.explode_artists(base)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as a reliable checkpoint in the shared folder.
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as a parquet table in the shared folder and read it back.
 
     Used where one intermediate feeds several branches that Spark cannot
     share (differently pruned copies of one aggregate are planned, and
-    scanned, separately). The written rows also cut the lineage, so a lost
-    executor costs a re-read, not a re-run of the upstream plan.
+    scanned, separately). The plan runs once; the written table also cuts
+    the lineage, so a lost executor costs a re-read, not a re-run of the
+    upstream plan.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def tier_inputs(charts: DataFrame, materialized: bool = True):
@@ -81,7 +85,7 @@ def tier_inputs(charts: DataFrame, materialized: bool = True):
     """
     bridge = artists.artist_bridge(artist_rows(charts))
     if materialized:
-        bridge = materialize(bridge)
+        bridge = materialize(bridge, "tier-bridge")
     tiers = artists.artist_tiers(artists.artist_counts(bridge))
     return bridge, tiers
 
@@ -179,7 +183,12 @@ def assembled_data(charts: DataFrame, checkpoint: bool = True) -> DataFrame:
     data = data.repartition(parts, "track_id", "region").sortWithinPartitions("track_id", "region")
     if checkpoint:
         shared_dir(data.sparkSession)
-        data = data.checkpoint(eager=True)
+        # Reliable checkpointing writes in a second job; caching first keeps
+        # that job from recomputing the plan. The cache is dropped once the
+        # checkpoint files exist.
+        cached = data.persist(StorageLevel.MEMORY_AND_DISK)
+        data = cached.checkpoint(eager=True)
+        cached.unpersist()
     return data
 
 
