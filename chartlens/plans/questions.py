@@ -178,9 +178,10 @@ def assembled_data(charts: DataFrame, checkpoint: bool = True) -> DataFrame:
     data = model.assemble(model_data(charts))
     # A fixed layout (hash partitions by key, sorted inside) makes the
     # forest's seeded per-partition sampling see the same rows in the same
-    # order on every run, so the seed fully determines the model.
-    parts = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    data = data.repartition(parts, "track_id", "region").sortWithinPartitions("track_id", "region")
+    # order on every run, so the seed fully determines the model. No fixed
+    # count: AQE sizes the partitions from the data (few for a small frame,
+    # many at scale), deterministically for the same input.
+    data = data.repartition("track_id", "region").sortWithinPartitions("track_id", "region")
     if checkpoint:
         shared_dir(data.sparkSession)
         # Reliable checkpointing writes in a second job; caching first keeps
