@@ -34,13 +34,14 @@ def with_global_position(
     """
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        df.repartitionByRange(n_parts, *order)
-        .sortWithinPartitions(*order)
+    # one range shuffle, read by both branches below (Spark reuses the exchange)
+    ranged = df.repartitionByRange(n_parts, *order)
+    numbered = (
+        ranged.sortWithinPartitions(*order)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = ranged.select(F.spark_partition_id().alias("_pid")).groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "_pid",
@@ -48,7 +49,7 @@ def with_global_position(
         F.sum("_n").over(Window.partitionBy()).alias("_total"),
     )
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33) + 1
-    out = ranged.join(F.broadcast(offsets), "_pid").withColumn(name, F.col("_off") + local)
+    out = numbered.join(F.broadcast(offsets), "_pid").withColumn(name, F.col("_off") + local)
     if total_name:
         out = out.withColumn(total_name, F.col("_total"))
     return out.drop("_pid", "_mid", "_off", "_total")
