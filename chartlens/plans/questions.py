@@ -1,7 +1,10 @@
 """The reference's questions as composed plans over a typed chart frame.
 
-Each function takes the typed chart DataFrame (``sources.typed_charts``) and
-returns lazy DataFrames; nothing here runs a job.
+Each function takes the typed chart DataFrame (``sources.typed_charts`` or
+``sources.read_chart_table``). Most only build lazy plans; the exceptions
+run jobs on purpose: ``tier_inputs`` writes the tier bridge table,
+``assembled_data`` checkpoints the model rows, and ``q5_forest`` /
+``q5_linear`` fit models.
 """
 
 from __future__ import annotations
@@ -11,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartlens.operators import artists, clean, genres, lifecycle, model, spread
-from chartlens.session import fresh_path, shared_dir
 from chartlens.schema import DANCEABLE_MIN, RELEASE_CUTOFF
+from chartlens.session import fresh_path, shared_dir
 
 
 def lifecycle_base(charts: DataFrame) -> DataFrame:

@@ -29,6 +29,11 @@ def test_tiers_put_remainder_in_bottom(spark):
     assert [t[f"a{i}"] for i in range(7)] == ["top", "top", "middle", "middle", "bottom", "bottom", "bottom"]
 
 
+def test_tiers_remainder_of_two(spark):
+    t = tiers_for(spark, {f"a{i}": 10 - i for i in range(8)})
+    assert [t[f"a{i}"] for i in range(8)] == ["top", "top", "middle", "middle"] + ["bottom"] * 4
+
+
 def test_tiers_break_ties_by_name(spark):
     t = tiers_for(spark, {"b": 5, "a": 5, "c": 5, "d": 1, "e": 1, "f": 1})
     assert t == {"a": "top", "b": "top", "c": "middle", "d": "middle", "e": "bottom", "f": "bottom"}

@@ -21,6 +21,11 @@ from tests.conftest import SF_SMALL
         (0.8, 0.8, 0.0, "Electronic"),
         (0.7, 0.7, 0.0, "Pop"),
         (0.6, 0.61, 0.0, "Rock"),
+        (0.5, 0.5, 9.0, "Other"),  # Hip-Hop needs danceability above .5
+        (0.5, 0.5, 2.0, "Other"),  # Classical needs danceability below .5
+        (0.6, 0.7, 0.0, "Rock"),  # .6 is not above .6; energy .7 is above .6
+        (0.7, 0.71, 0.0, "Other"),  # .7 is not above .7; energy above .7 is not Pop
+        (0.61, 0.7, 9.0, "Pop"),  # rules are ordered: Pop before Hip-Hop
         (None, 0.8, 9.0, "Other"),
         (float("nan"), 0.8, 9.0, "Other"),
     ],
