@@ -176,8 +176,13 @@ def chart_day_spread(region_days: DataFrame, key: str = "title") -> DataFrame:
     Plan: a window per title (same partitioning as ``title_region_days``,
     so no new shuffle) gives every region row the title's origin list -
     at most one entry per origin region - which is exploded into
-    (from, to) pairs and summed per corridor with partial aggregation. No
-    raw-row edge list and no self-join.
+    (from, to) corridor rows and summed per corridor with partial
+    aggregation. A title with ``k`` origin regions charting in ``r``
+    regions yields ``k * r`` corridor rows: one per region in the usual
+    single-origin case, never more than regions squared (the corridor
+    domain itself), independent of how many chart rows the title has. The
+    reference's row form pairs every origin row with every later chart
+    row instead. No self-join.
     Output: from_region, to_region, edges, total_days, avg_days_to_popular.
     """
     origin = F.when(
