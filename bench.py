@@ -8,7 +8,8 @@ a typed parquet table partitioned by chart under the shared folder
 (``prepare_chart_table``, timed on its own), as the ingest step of a real
 deployment would; every question then reads it.
 Each query is run to completion with the ``noop`` sink (all rows computed,
-nothing collected); model queries include fitting.
+nothing collected); model queries include fitting. ``all_reports_sec`` is
+the whole report workload (all questions, all report files written).
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from chartlens.operators import genres, model  # noqa: E402
 from chartlens.plans import questions as Q  # noqa: E402
+from chartlens.plans.reports import write_all_reports  # noqa: E402
 from chartlens.session import fresh_path, local_session  # noqa: E402
 from chartlens.sources import chart_rows, read_chart_table, write_chart_table  # noqa: E402
 
@@ -53,7 +55,7 @@ HEADLINE = {
     "q5_forest": q5_forest,
     "q5_linear": q5_linear,
     "q6_best_genre": lambda c: run(Q.q6_best_genre(c, GENRE_DATE)),
-    "q6_genre_pivot": lambda c: run(genres.genre_pivot(Q.genre_rows(c, GENRE_DATE))),
+    "q6_genre_pivot": lambda c: run(genres.genre_pivot(genres.genre_counts(Q.genre_rows(c, GENRE_DATE)))),
     "q6_top_genre_per_quartile": lambda c: run(genres.top_genre_per_quartile(Q.q6_quartiles(c, GENRE_DATE))),
 }
 
@@ -80,6 +82,13 @@ def main() -> None:
             best = min(best, time.perf_counter() - t)
         times[name] = round(best, 3)
 
+    # The whole report workload (every question's report files, as CSV),
+    # timed once warm; reported apart from the headline sum.
+    write_all_reports(charts, fresh_path(spark, "bench-reports"), genre_date=GENRE_DATE)
+    t = time.perf_counter()
+    write_all_reports(charts, fresh_path(spark, "bench-reports"), genre_date=GENRE_DATE)
+    all_reports = time.perf_counter() - t
+
     sf = os.path.basename(sf_dir).removeprefix("sf")
     out = {
         "metric": "total_warm_query_seconds",
@@ -87,6 +96,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "prepare_chart_table_sec": round(prepare, 3),
+        "all_reports_sec": round(all_reports, 3),
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "spark": spark.version,

@@ -25,14 +25,24 @@ def with_month(charts: DataFrame, date_col: str = "date") -> DataFrame:
     return charts.withColumn("month", month_of(date_col))
 
 
-def genre_profile(rows: DataFrame) -> DataFrame:
-    """Mean danceability and energy per (region, month, genre)."""
+def genre_month_stats(rows: DataFrame) -> DataFrame:
+    """Rows, mean danceability and mean energy per (region, month, genre) (G3 + G6).
+
+    One aggregation that every monthly and regional genre result can be
+    derived from; Catalyst drops whichever aggregates a caller does not use.
+    """
     return rows.groupBy("region", "month", "genre").agg(
+        F.count(F.lit(1)).alias("record_count"),
         F.avg("af_danceability").alias("avg_danceability"),
         F.avg("af_energy").alias("avg_energy"),
     )
 
 
+def genre_profile(rows: DataFrame) -> DataFrame:
+    """Mean danceability and energy per (region, month, genre)."""
+    return genre_month_stats(rows).select("region", "month", "genre", "avg_danceability", "avg_energy")
+
+
 def best_genre(profile: DataFrame) -> DataFrame:
     """Per (region, month), the genre with the highest mean danceability.
 
@@ -55,20 +65,28 @@ def region_count(df: DataFrame) -> DataFrame:
 
 def genre_counts(rows: DataFrame) -> DataFrame:
     """Chart rows per (region, month, genre) (G6): ``record_count``."""
-    return rows.groupBy("region", "month", "genre").agg(F.count(F.lit(1)).alias("record_count"))
+    return genre_month_stats(rows).select("region", "month", "genre", "record_count")
 
 
-def genre_pivot(rows: DataFrame) -> DataFrame:
-    """Rows per (region, month) with one count column per genre, 0 if none.
+def genre_pivot(counts: DataFrame) -> DataFrame:
+    """Per (region, month), one count column per genre, 0 if none.
 
-    The genre list is fixed, so ``pivot`` needs no extra job to find the
-    distinct values.
+    Takes ``genre_counts`` (or ``genre_month_stats``). The genre list is
+    fixed, so ``pivot`` needs no extra job to find the distinct values.
     """
-    return rows.groupBy("region", "month").pivot("genre", GENRES).count().na.fill(0, subset=GENRES)
+    return (
+        counts.groupBy("region", "month")
+        .pivot("genre", GENRES)
+        .agg(F.sum("record_count"))
+        .na.fill(0, subset=GENRES)
+    )
 
 
 def genre_adoption(rows: DataFrame) -> DataFrame:
-    """First month of each genre in each region (G8): ``first_appearance``."""
+    """First month of each genre in each region (G8): ``first_appearance``.
+
+    Works on genre rows or on ``genre_counts`` (same months appear in both).
+    """
     return rows.groupBy("genre", "region").agg(F.min("month").alias("first_appearance"))
 
 
@@ -87,11 +105,14 @@ def genre_spread(adoption: DataFrame) -> DataFrame:
     )
 
 
-def genre_share(rows: DataFrame) -> DataFrame:
-    """Rows per (region, genre) and their percent of the region's rows."""
-    counts = rows.groupBy("region", "genre").agg(F.count(F.lit(1)).alias("genre_count"))
+def genre_share(counts: DataFrame) -> DataFrame:
+    """Rows per (region, genre) and their percent of the region's rows.
+
+    Takes ``genre_counts`` (or ``genre_month_stats``); months are summed.
+    """
+    per_genre = counts.groupBy("region", "genre").agg(F.sum("record_count").alias("genre_count"))
     total = F.sum("genre_count").over(Window.partitionBy("region"))
-    return counts.withColumn("percentage", F.col("genre_count") / total * 100)
+    return per_genre.withColumn("percentage", F.col("genre_count") / total * 100)
 
 
 def share_quartile(shares: DataFrame) -> DataFrame:

@@ -109,6 +109,35 @@ def longest_streak(
     )
 
 
+def track_region_summary(charts: DataFrame, max_gap: int = STREAK_MAX_GAP_DAYS) -> DataFrame:
+    """L1 and L5 in one pass: release day, first chart day, entries, streak.
+
+    Same per-day counting and run numbering as ``longest_streak``; the
+    release day rides along as a per-day minimum, so one scan and two
+    shuffles (per day, then per track-region window) give everything the
+    delay and streak reports need. Output: track_id, region, release_day,
+    first_chart_day, chart_entries, days_in_chart.
+    """
+    per_day = charts.groupBy(*KEY, "date").agg(
+        F.count("date").alias("n"), F.min("release_day").alias("release_day")
+    )
+    w = Window.partitionBy(*KEY).orderBy(F.col("date").asc_nulls_first())
+    prev = F.lag("date").over(w)
+    starts = F.when(prev.isNull() | (F.datediff("date", prev) > max_gap), 1).otherwise(0)
+    runs = per_day.withColumn(
+        "run_id", F.sum(starts).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    )
+    per_run = runs.groupBy(*KEY, "run_id").agg(
+        F.sum("n").alias("run_len"), F.min("date").alias("run_first"), F.min("release_day").alias("release_day")
+    )
+    return per_run.groupBy(*KEY).agg(
+        F.min("release_day").alias("release_day"),
+        F.min("run_first").alias("first_chart_day"),
+        F.sum("run_len").alias("chart_entries"),
+        F.greatest(F.max("run_len"), F.lit(1)).cast("int").alias("days_in_chart"),
+    )
+
+
 def streak_by_region(streaks: DataFrame) -> DataFrame:
     """Streak statistics per region, highest average first (L6, Q2 report)."""
     return _stats(streaks, "region", "days_in_chart", "days_in_chart")

@@ -34,6 +34,19 @@ def q2_streak(charts: DataFrame) -> DataFrame:
     return lifecycle.streak_by_region(lifecycle.longest_streak(lifecycle_base(charts)))
 
 
+def q1_q2(charts: DataFrame, materialized: bool = True):
+    """Q1 and Q2 reports from one scan: (delay report, streak report).
+
+    The per track-region summary (release, first day, streak) is computed in
+    one pass and written once; both reports read it.
+    """
+    summary = lifecycle.track_region_summary(lifecycle_base(charts))
+    if materialized:
+        summary = materialize(summary, "track-region-summary")
+    delay = lifecycle.delay_by_region(clean.valid_release(lifecycle.debut_delay(summary)))
+    return delay, lifecycle.streak_by_region(summary)
+
+
 def funnel(charts: DataFrame) -> DataFrame:
     """Rows left after each cleaning step, at row and track-region level."""
     cutoff = F.lit(RELEASE_CUTOFF).cast("date")
@@ -160,7 +173,7 @@ def q6_best_genre(charts: DataFrame, date_col: str = "date") -> DataFrame:
 
 def q6_quartiles(charts: DataFrame, date_col: str = "date") -> DataFrame:
     """Q6: genre share quartiles per region."""
-    return genres.share_quartile(genres.genre_share(genre_rows(charts, date_col)))
+    return genres.share_quartile(genres.genre_share(genres.genre_counts(genre_rows(charts, date_col))))
 
 
 # ---------------------------------------------------------------- Q5 model
@@ -200,15 +213,15 @@ def split_of(data: DataFrame, which: str) -> DataFrame:
     return data.where(F.col("split") == which)
 
 
-def q5_forest(charts: DataFrame):
-    """Q5 forest: (model, test predictions)."""
-    data = assembled_data(charts)
+def q5_forest(charts: DataFrame, data: DataFrame | None = None):
+    """Q5 forest: (model, test predictions). ``data``: ``assembled_data`` to reuse."""
+    data = assembled_data(charts) if data is None else data
     m = model.fit_forest(split_of(data, "train"))
     return m, m.transform(split_of(data, "test"))
 
 
-def q5_linear(charts: DataFrame):
-    """Q5 linear model: (model, test predictions)."""
-    data = assembled_data(charts)
+def q5_linear(charts: DataFrame, data: DataFrame | None = None):
+    """Q5 linear model: (model, test predictions). ``data``: ``assembled_data`` to reuse."""
+    data = assembled_data(charts) if data is None else data
     m = model.fit_linear(split_of(data, "train"))
     return m, m.transform(split_of(data, "test"))

@@ -505,7 +505,7 @@ def _genre_counts(c: DataFrame) -> DataFrame:
 )
 def _genre_pivot(c: DataFrame) -> DataFrame:
     """Genre counts as one column per genre, per region and month."""
-    return genres.genre_pivot(genre_rows_of(c))
+    return genres.genre_pivot(genres.genre_counts(genre_rows_of(c)))
 
 
 @query("genre_adoption", O.sql("select * from adoption", **GENRE_CTES))
@@ -531,7 +531,7 @@ def _genre_spread(c: DataFrame) -> DataFrame:
 @query("genre_share", O.sql("select * from shares", **GENRE_CTES))
 def _genre_share(c: DataFrame) -> DataFrame:
     """Rows and percent of the region per genre."""
-    return genres.genre_share(genre_rows_of(c))
+    return genres.genre_share(genres.genre_counts(genre_rows_of(c)))
 
 
 @query("share_quartile", O.sql("select region, genre, genre_count, percentage, quartile from quart", **GENRE_CTES))

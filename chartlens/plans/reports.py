@@ -1,7 +1,9 @@
 """Write the reports of each question from one chart table.
 
-These are the batch jobs a user runs: read the chart table once, write
-each question's reports (CSV with header) under an output folder.
+These are the batch jobs a user runs: each question scans the chart table
+once, writes its small intermediate (track-region summary, tier edges,
+corridor sums, monthly genre statistics, model frame) to the shared
+folder, and derives all of its reports (CSV with header) from it.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
-from chartlens.operators import genres, model
+from chartlens.operators import clean, genres, model, spread
 from chartlens.plans import questions as Q
 from chartlens.schema import TIER_ORIGINS, TIERS, TITLE_ORIGINS
 from chartlens.sources.charts import write_report
@@ -31,15 +33,20 @@ class _Out:
 
 
 def delay_and_streak(charts: DataFrame, out: _Out, **_) -> None:
-    """Q1 and Q2 reports."""
-    out.put(Q.q1_delay(charts), "question1")
-    out.put(Q.q2_streak(charts), "question2")
+    """Q1 and Q2 reports, from one scan of the chart rows."""
+    delay, streak = Q.q1_q2(charts)
+    out.put(delay, "question1")
+    out.put(streak, "question2")
 
 
 def tier_spread(charts: DataFrame, out: _Out, **_) -> None:
-    """Q4: spread per tier, and corridors from the reference's origins per tier."""
-    spread4 = Q.q4_spread(charts)
-    corridors4 = Q.q4_corridors(charts, TIER_ORIGINS)
+    """Q4: spread per tier, and corridors from the reference's origins per tier.
+
+    The tier edges are written once; the 12 reports read that table.
+    """
+    edges = Q.materialize(Q.tier_edges(charts), "tier-edges")
+    spread4 = spread.spread_by_destination(edges)
+    corridors4 = spread.corridor_avg(clean.from_origin(edges, TIER_ORIGINS))
     for tier in TIERS:
         out.put(spread4.where(spread4.tier == tier).drop("tier"), f"artist_popularity_{tier}")
         for origin in TIER_ORIGINS:
@@ -48,28 +55,39 @@ def tier_spread(charts: DataFrame, out: _Out, **_) -> None:
 
 
 def title_spread(charts: DataFrame, out: _Out, **_) -> None:
-    """Q3: rounded corridor means from the reference's five origins."""
-    corridors3 = Q.q3_corridors(charts, TITLE_ORIGINS)
+    """Q3: rounded corridor means from the reference's five origins.
+
+    The corridor sums (at most regions x regions rows) are written once.
+    """
+    sums = Q.materialize(Q.title_spread(charts), "title-corridors")
+    corridors3 = spread.corridor_avg_rounded(clean.from_origin(sums, TITLE_ORIGINS))
     for origin in TITLE_ORIGINS:
         rows = corridors3.where(corridors3.from_region == origin)
         out.put(rows.select("to_region", "avg_days_to_popular"), f"title_{_slug(origin)}")
 
 
 def genre_reports(charts: DataFrame, out: _Out, genre_date: str = "date", **_) -> None:
-    """Q6: leaders, counts, pivot, adoption speed, shares, quartile leaders."""
-    rows6 = Q.genre_rows(charts, genre_date)
-    out.put(Q.q6_best_genre(charts, genre_date), "best_genres_per_month_per_region")
-    out.put(genres.genre_counts(rows6), "records_per_genre_per_month_per_country")
-    out.put(genres.genre_pivot(rows6), "popularity_per_genre_per_country")
-    out.put(genres.genre_spread(genres.genre_adoption(rows6)), "migration_speed_per_genre")
-    out.put(genres.genre_share(rows6), "genre_share_per_country")
-    out.put(genres.top_genre_per_quartile(Q.q6_quartiles(charts, genre_date)), "top_genre_per_quartile")
+    """Q6: leaders, counts, pivot, adoption speed, shares, quartile leaders.
+
+    One scan: every report derives from the per (region, month, genre)
+    statistics, written once.
+    """
+    stats = Q.materialize(genres.genre_month_stats(Q.genre_rows(charts, genre_date)), "genre-month-stats")
+    counts = stats.select("region", "month", "genre", "record_count")
+    shares = genres.genre_share(counts)
+    out.put(genres.best_genre(stats), "best_genres_per_month_per_region")
+    out.put(counts, "records_per_genre_per_month_per_country")
+    out.put(genres.genre_pivot(counts), "popularity_per_genre_per_country")
+    out.put(genres.genre_spread(genres.genre_adoption(counts)), "migration_speed_per_genre")
+    out.put(shares, "genre_share_per_country")
+    out.put(genres.top_genre_per_quartile(genres.share_quartile(shares)), "top_genre_per_quartile")
 
 
 def model_reports(charts: DataFrame, out: _Out, **_) -> None:
-    """Q5: forest and linear metrics, importances, coefficients."""
-    forest, forest_pred = Q.q5_forest(charts)
-    linear, linear_pred = Q.q5_linear(charts)
+    """Q5: forest and linear metrics, importances, coefficients (one model frame)."""
+    data = Q.assembled_data(charts)
+    forest, forest_pred = Q.q5_forest(charts, data)
+    linear, linear_pred = Q.q5_linear(charts, data)
     out.put(model.regression_metrics(forest_pred), "forest_metrics")
     out.put(model.regression_metrics(linear_pred), "linear_metrics")
     out.put(model.feature_importance(forest), "rf_feature_importances")

@@ -136,3 +136,18 @@ def test_null_release_fails_valid_release(charts):
     tr = lifecycle.track_region(charts([dict(release_date=None)]))
     assert clean.valid_release(tr).count() == 0
     assert tr.select(F.col("release_day").isNull().alias("n")).first().n
+
+
+def test_summary_gives_the_same_reports(spark):
+    from chartlens.plans.registry import charts_of
+    from tests.conftest import SF_SMALL
+
+    c = charts_of(spark, SF_SMALL)
+    delay, streak = Q.q1_q2(c)
+    assert delay.collect() == Q.q1_delay(c).collect()
+    assert streak.collect() == Q.q2_streak(c).collect()
+    summary = lifecycle.track_region_summary(Q.lifecycle_base(c))
+    tr = lifecycle.track_region(Q.lifecycle_base(c)).join(lifecycle.longest_streak(Q.lifecycle_base(c)),
+                                                            ["track_id", "region"])
+    cols = ["track_id", "region", "release_day", "first_chart_day", "chart_entries", "days_in_chart"]
+    assert sorted(summary.select(cols).collect()) == sorted(tr.select(cols).collect())
