@@ -68,16 +68,22 @@ def genre_counts(rows: DataFrame) -> DataFrame:
     return genre_month_stats(rows).select("region", "month", "genre", "record_count")
 
 
-def genre_pivot(counts: DataFrame) -> DataFrame:
+def _rows_in(df: DataFrame):
+    """Row count of a group: counts genre rows, or sums ``record_count``
+    when given per (region, month, genre) counts."""
+    return F.sum("record_count") if "record_count" in df.columns else F.count(F.lit(1))
+
+
+def genre_pivot(df: DataFrame) -> DataFrame:
     """Per (region, month), one count column per genre, 0 if none.
 
-    Takes ``genre_counts`` (or ``genre_month_stats``). The genre list is
-    fixed, so ``pivot`` needs no extra job to find the distinct values.
+    Takes genre rows or ``genre_counts`` / ``genre_month_stats``. The genre
+    list is fixed, so ``pivot`` needs no extra job to find the values.
     """
     return (
-        counts.groupBy("region", "month")
+        df.groupBy("region", "month")
         .pivot("genre", GENRES)
-        .agg(F.sum("record_count"))
+        .agg(_rows_in(df))
         .na.fill(0, subset=GENRES)
     )
 
@@ -105,12 +111,13 @@ def genre_spread(adoption: DataFrame) -> DataFrame:
     )
 
 
-def genre_share(counts: DataFrame) -> DataFrame:
+def genre_share(df: DataFrame) -> DataFrame:
     """Rows per (region, genre) and their percent of the region's rows.
 
-    Takes ``genre_counts`` (or ``genre_month_stats``); months are summed.
+    Takes genre rows, or ``genre_counts`` / ``genre_month_stats`` (months
+    are then summed).
     """
-    per_genre = counts.groupBy("region", "genre").agg(F.sum("record_count").alias("genre_count"))
+    per_genre = df.groupBy("region", "genre").agg(_rows_in(df).cast("bigint").alias("genre_count"))
     total = F.sum("genre_count").over(Window.partitionBy("region"))
     return per_genre.withColumn("percentage", F.col("genre_count") / total * 100)
 
