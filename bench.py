@@ -1,7 +1,7 @@
 """Bench: headline questions on the test tables; prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (timed runs per query, best is kept; default 2).
+BENCH_REPEAT (timed runs per query, best is kept; default 3).
 
 The chart table is first derived from the test tables and written once as
 a typed parquet table partitioned by chart under the shared folder
@@ -63,7 +63,7 @@ HEADLINE = {
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus), app="chartlens-bench")
 
     t0 = time.perf_counter()

@@ -92,14 +92,22 @@ def tier_tracks(bridge: DataFrame, tiers: DataFrame) -> DataFrame:
     return bridge.join(tiers.select("artist", "tier"), "artist").select(*KEY, "tier").distinct()
 
 
-def tier_flags(bridge: DataFrame, tiers: DataFrame) -> DataFrame:
+def tier_flags(bridge: DataFrame, tiers: DataFrame, cluster_by: tuple[str, ...] = ("track_id",)) -> DataFrame:
     """Per (track, region): first chart day and one membership flag per tier.
 
     Same membership as ``tier_tracks`` but as one row per track-region
     (``in_top``, ``in_middle``, ``in_bottom``), so that later steps keep a
     single row per pair and need no join back.
+
+    The joined rows are clustered by ``cluster_by`` (track) before the
+    aggregation, so the per-track origin window that follows reuses that
+    partitioning instead of shuffling again. The bridge is already
+    aggregated: a track has one row per (region, artist), whatever the
+    number of raw chart rows.
     """
     j = bridge.join(tiers.select("artist", "tier"), "artist")
+    if cluster_by:
+        j = j.repartition(*cluster_by)
     return j.groupBy(*KEY).agg(
         F.min("first_chart_day").alias("first_chart_day"),
         *[F.max(F.col("tier") == t).alias(f"in_{t}") for t in TIERS],
