@@ -183,29 +183,30 @@ def model_data(charts: DataFrame) -> DataFrame:
     return model.train_test_split(model.complete_rows(frame))
 
 
+MODEL_ROWS_PER_PARTITION = 1_000_000
+
+
 def assembled_data(charts: DataFrame, checkpoint: bool = True) -> DataFrame:
-    """Model rows with the feature vector, lineage cut before fitting.
+    """Model rows with the feature vector, in a fixed layout, lineage cut.
+
+    Layout: the forest samples rows per partition from its seed, so the
+    rows are hash-partitioned by (track, region) into a partition count
+    that depends only on the row count (about a million rows each), and
+    sorted inside each partition. The same data then gives the same model
+    on any cluster size.
 
     Fitting reads the data many times; a reliable checkpoint in the shared
     folder (``spark.checkpoint.dir``) means each pass, and any task retried
     after a lost executor, starts from the written rows instead of
     re-running the aggregation plan.
     """
-    data = model.assemble(model_data(charts))
-    # A fixed layout (hash partitions by key, sorted inside) makes the
-    # forest's seeded per-partition sampling see the same rows in the same
-    # order on every run, so the seed fully determines the model. No fixed
-    # count: AQE sizes the partitions from the data (few for a small frame,
-    # many at scale), deterministically for the same input.
-    data = data.repartition("track_id", "region").sortWithinPartitions("track_id", "region")
+    frame = model.assemble(model_data(charts)).persist(StorageLevel.MEMORY_AND_DISK)
+    parts = max(1, -(-frame.count() // MODEL_ROWS_PER_PARTITION))
+    data = frame.repartition(parts, "track_id", "region").sortWithinPartitions("track_id", "region")
     if checkpoint:
         shared_dir(data.sparkSession)
-        # Reliable checkpointing writes in a second job; caching first keeps
-        # that job from recomputing the plan. The cache is dropped once the
-        # checkpoint files exist.
-        cached = data.persist(StorageLevel.MEMORY_AND_DISK)
-        data = cached.checkpoint(eager=True)
-        cached.unpersist()
+        data = data.checkpoint(eager=True)
+        frame.unpersist()
     return data
 
 
