@@ -18,6 +18,28 @@ from chartlens.schema import TIER_ORIGINS, TIERS, TITLE_ORIGINS
 from chartlens.sources.charts import write_report
 
 
+# Report folder names, as the reference names its outputs
+# ({tier} is top, middle or bottom; {origin} is the origin region in lower
+# case with spaces as underscores).
+REPORT_NAMES = {
+    "delay": "question1",
+    "streak": "question2",
+    "tier_spread": "artist_popularity_{tier}",
+    "tier_corridor": "{origin}_{tier}",
+    "title_corridor": "title_{origin}",
+    "best_genre": "best_genres_per_month_per_region",
+    "genre_counts": "records_per_genre_per_month_per_country",
+    "genre_pivot": "popularity_per_genre_per_country",
+    "genre_spread": "migration_speed_per_genre",
+    "genre_share": "genre_share_per_country",
+    "quartile_leaders": "top_genre_per_quartile",
+    "forest_metrics": "forest_metrics",
+    "linear_metrics": "linear_metrics",
+    "importances": "rf_feature_importances",
+    "coefficients": "linear_coefficients",
+}
+
+
 def _slug(name: str) -> str:
     return name.lower().replace(" ", "_")
 
@@ -35,8 +57,8 @@ class _Out:
 def delay_and_streak(charts: DataFrame, out: _Out, **_) -> None:
     """Q1 and Q2 reports, from one scan of the chart rows."""
     delay, streak = Q.q1_q2(charts)
-    out.put(delay, "question1")
-    out.put(streak, "question2")
+    out.put(delay, REPORT_NAMES["delay"])
+    out.put(streak, REPORT_NAMES["streak"])
 
 
 def tier_spread(charts: DataFrame, out: _Out, **_) -> None:
@@ -48,10 +70,12 @@ def tier_spread(charts: DataFrame, out: _Out, **_) -> None:
     spread4 = spread.spread_by_destination(edges)
     corridors4 = spread.corridor_avg(clean.from_origin(edges, TIER_ORIGINS))
     for tier in TIERS:
-        out.put(spread4.where(spread4.tier == tier).drop("tier"), f"artist_popularity_{tier}")
+        name = REPORT_NAMES["tier_spread"].format(tier=tier)
+        out.put(spread4.where(spread4.tier == tier).drop("tier"), name)
         for origin in TIER_ORIGINS:
             rows = corridors4.where((corridors4.tier == tier) & (corridors4.from_region == origin))
-            out.put(rows.select("to_region", "avg_days_to_popular"), f"{_slug(origin)}_{tier}")
+            name = REPORT_NAMES["tier_corridor"].format(origin=_slug(origin), tier=tier)
+            out.put(rows.select("to_region", "avg_days_to_popular"), name)
 
 
 def title_spread(charts: DataFrame, out: _Out, **_) -> None:
@@ -63,7 +87,8 @@ def title_spread(charts: DataFrame, out: _Out, **_) -> None:
     corridors3 = spread.corridor_avg_rounded(clean.from_origin(sums, TITLE_ORIGINS))
     for origin in TITLE_ORIGINS:
         rows = corridors3.where(corridors3.from_region == origin)
-        out.put(rows.select("to_region", "avg_days_to_popular"), f"title_{_slug(origin)}")
+        name = REPORT_NAMES["title_corridor"].format(origin=_slug(origin))
+        out.put(rows.select("to_region", "avg_days_to_popular"), name)
 
 
 def genre_reports(charts: DataFrame, out: _Out, genre_date: str = "date", **_) -> None:
@@ -75,12 +100,12 @@ def genre_reports(charts: DataFrame, out: _Out, genre_date: str = "date", **_) -
     stats = Q.materialize(genres.genre_month_stats(Q.genre_rows(charts, genre_date)), "genre-month-stats")
     counts = stats.select("region", "month", "genre", "record_count")
     shares = genres.genre_share(counts)
-    out.put(genres.best_genre(stats), "best_genres_per_month_per_region")
-    out.put(counts, "records_per_genre_per_month_per_country")
-    out.put(genres.genre_pivot(counts), "popularity_per_genre_per_country")
-    out.put(genres.genre_spread(genres.genre_adoption(counts)), "migration_speed_per_genre")
-    out.put(shares, "genre_share_per_country")
-    out.put(genres.top_genre_per_quartile(genres.share_quartile(shares)), "top_genre_per_quartile")
+    out.put(genres.best_genre(stats), REPORT_NAMES["best_genre"])
+    out.put(counts, REPORT_NAMES["genre_counts"])
+    out.put(genres.genre_pivot(counts), REPORT_NAMES["genre_pivot"])
+    out.put(genres.genre_spread(genres.genre_adoption(counts)), REPORT_NAMES["genre_spread"])
+    out.put(shares, REPORT_NAMES["genre_share"])
+    out.put(genres.top_genre_per_quartile(genres.share_quartile(shares)), REPORT_NAMES["quartile_leaders"])
 
 
 def model_reports(charts: DataFrame, out: _Out, **_) -> None:
@@ -88,10 +113,10 @@ def model_reports(charts: DataFrame, out: _Out, **_) -> None:
     data = Q.assembled_data(charts)
     forest, forest_pred = Q.q5_forest(charts, data)
     linear, linear_pred = Q.q5_linear(charts, data)
-    out.put(model.regression_metrics(forest_pred), "forest_metrics")
-    out.put(model.regression_metrics(linear_pred), "linear_metrics")
-    out.put(model.feature_importance(forest), "rf_feature_importances")
-    out.put(model.coefficient_table(linear), "linear_coefficients")
+    out.put(model.regression_metrics(forest_pred), REPORT_NAMES["forest_metrics"])
+    out.put(model.regression_metrics(linear_pred), REPORT_NAMES["linear_metrics"])
+    out.put(model.feature_importance(forest), REPORT_NAMES["importances"])
+    out.put(model.coefficient_table(linear), REPORT_NAMES["coefficients"])
 
 
 QUESTIONS: dict[str, Callable[..., None]] = {
