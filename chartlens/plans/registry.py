@@ -664,3 +664,53 @@ def _streamed_chart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["streamed_chart_table"] = _streamed_chart_table
 O.register("streamed_chart_table", O.sql(f"select {TYPED_SQL} from chart"))
+
+
+# ---------------------------------------------------------------- fused forms used by the report jobs
+@query("artist_bridge", O.sql("select * from bridge", **ARTIST_CTES))
+def _artist_bridge(c: DataFrame) -> DataFrame:
+    """Distinct (track, region, artist) with the pair's first chart day (A2 bridge)."""
+    return artists.artist_bridge(Q.artist_rows(c))
+
+
+@query(
+    "tier_flags",
+    O.sql(
+        """select t.track_id, t.region, min(t.first_chart_day) as first_chart_day,
+                  bool_or(r.tier = 'top') as in_top, bool_or(r.tier = 'middle') as in_middle,
+                  bool_or(r.tier = 'bottom') as in_bottom
+           from bridge t join tiers r on t.artist = r.artist group by t.track_id, t.region""",
+        **ARTIST_CTES,
+    ),
+)
+def _tier_flags(c: DataFrame) -> DataFrame:
+    """Per (track, region): first chart day and membership flag per tier (A5, one row per pair)."""
+    bridge, tiers = Q.tier_inputs(c)
+    return artists.tier_flags(bridge, tiers)
+
+
+@query(
+    "track_region_summary",
+    O.sql(
+        """select tr.track_id, tr.region, tr.release_day, tr.first_chart_day, tr.chart_entries, s.days_in_chart
+           from tr join streak s using (track_id, region)""",
+        **STREAK_CTES,
+    ),
+)
+def _track_region_summary(c: DataFrame) -> DataFrame:
+    """Release day, first chart day, entries and streak per (track, region) in one pass (L1 + L5)."""
+    return lifecycle.track_region_summary(Q.lifecycle_base(c))
+
+
+@query(
+    "genre_month_stats",
+    O.sql(
+        """select region, month, genre, count(*) as record_count, avg(af_danceability) as avg_danceability,
+                  avg(af_energy) as avg_energy
+           from g group by region, month, genre""",
+        **GENRE_CTES,
+    ),
+)
+def _genre_month_stats(c: DataFrame) -> DataFrame:
+    """Rows and mean danceability/energy per region, month and genre (G3 + G6 in one aggregation)."""
+    return genres.genre_month_stats(genre_rows_of(c))
