@@ -19,14 +19,13 @@ from chartlens.sources.charts import write_report
 
 
 # Report folder names, as the reference names its outputs
-# ({tier} is top, middle or bottom; {origin} is the origin region in lower
-# case with spaces as underscores).
+# ({tier} is top, middle or bottom; {origin} is the origin's name below).
 REPORT_NAMES = {
     "delay": "question1",
     "streak": "question2",
     "tier_spread": "artist_popularity_{tier}",
     "tier_corridor": "{origin}_{tier}",
-    "title_corridor": "title_{origin}",
+    "title_corridor": "{origin}",
     "best_genre": "best_genres_per_month_per_region",
     "genre_counts": "records_per_genre_per_month_per_country",
     "genre_pivot": "popularity_per_genre_per_country",
@@ -40,8 +39,15 @@ REPORT_NAMES = {
 }
 
 
-def _slug(name: str) -> str:
-    return name.lower().replace(" ", "_")
+# Origin names in report folder names.
+TIER_ORIGIN_NAMES = {"France": "france", "Japan": "Japan", "United Kingdom": "UK"}
+TITLE_ORIGIN_NAMES = {
+    "Luxembourg": "luxembourg",
+    "France": "france",
+    "Dominican Republic": "dominican_republic",
+    "Japan": "japan",
+    "United Kingdom": "united_kingdom",
+}
 
 
 class _Out:
@@ -74,7 +80,7 @@ def tier_spread(charts: DataFrame, out: _Out, **_) -> None:
         out.put(spread4.where(spread4.tier == tier).drop("tier"), name)
         for origin in TIER_ORIGINS:
             rows = corridors4.where((corridors4.tier == tier) & (corridors4.from_region == origin))
-            name = REPORT_NAMES["tier_corridor"].format(origin=_slug(origin), tier=tier)
+            name = REPORT_NAMES["tier_corridor"].format(origin=TIER_ORIGIN_NAMES[origin], tier=tier)
             out.put(rows.select("to_region", "avg_days_to_popular"), name)
 
 
@@ -87,7 +93,7 @@ def title_spread(charts: DataFrame, out: _Out, **_) -> None:
     corridors3 = spread.corridor_avg_rounded(clean.from_origin(sums, TITLE_ORIGINS))
     for origin in TITLE_ORIGINS:
         rows = corridors3.where(corridors3.from_region == origin)
-        name = REPORT_NAMES["title_corridor"].format(origin=_slug(origin))
+        name = REPORT_NAMES["title_corridor"].format(origin=TITLE_ORIGIN_NAMES[origin])
         out.put(rows.select("to_region", "avg_days_to_popular"), name)
 
 

@@ -14,7 +14,7 @@ def test_write_all_reports(spark, tmp_path):
     c = charts_of(spark, SF_SMALL)
     paths = write_all_reports(c, str(tmp_path / "out"), genre_date="long_date")
     names = {os.path.basename(p) for p in paths}
-    assert {"question1", "question2", "artist_popularity_top", "france_middle", "title_luxembourg",
+    assert {"question1", "question2", "artist_popularity_top", "france_middle", "UK_bottom", "luxembourg",
             "best_genres_per_month_per_region", "forest_metrics", "linear_coefficients"} <= names
     q1 = spark.read.option("header", True).csv(str(tmp_path / "out" / "question1"))
     assert q1.count() == 25
