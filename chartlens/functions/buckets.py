@@ -11,8 +11,12 @@ def hash_bucket(*cols: str, buckets: int = 100) -> Column:
 
     Unlike ``randomSplit``, membership does not change with the number or
     order of input partitions, and the same bucket can be computed in SQL:
-    first 8 hex digits of md5 as a number, modulo ``buckets``.
+    first 8 hex digits of md5 as a number, modulo ``buckets``. A NULL key
+    gives a NULL bucket.
     """
-    key = F.concat_ws("|", *[F.col(c) for c in cols])
+    parts = []
+    for i, c in enumerate(cols):
+        parts += [F.lit("|"), F.col(c)] if i else [F.col(c)]
+    key = F.concat(*parts)  # NULL if any key is NULL, as ``a || '|' || b`` in SQL
     head = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
     return (head % F.lit(buckets)).cast("int")
