@@ -124,9 +124,8 @@ def corridor_avg(edges: DataFrame, group: Sequence[str] = ("tier",)) -> DataFram
 def title_region_days(rows: DataFrame, key: str = "title") -> DataFrame:
     """Per (title, region): rows, day sums and rows on the title's first day (M2 input).
 
-    A partial aggregation per day, then one shuffle by title that serves
-    both the per-region aggregation and the window per title (at most one
-    row per region). Columns: key, region, n_rows,
+    Partial aggregations per day and per region, then one window per title
+    over at most one row per region. Columns: key, region, n_rows,
     first_date (the title's), origin_rows (rows of this region on the
     title's first day; > 0 marks an origin), sum_days (sum over this
     region's rows of days since the title's first day).
@@ -134,11 +133,10 @@ def title_region_days(rows: DataFrame, key: str = "title") -> DataFrame:
     per_day = rows.where(F.col(key).isNotNull() & F.col("date").isNotNull()).groupBy(key, "region", "date").agg(
         F.count(F.lit(1)).alias("n")
     )
-    # Cluster the per-day counts by title once: the per-region aggregation
-    # and the per-title window below both reuse it (one shuffle, not two).
-    # A title has at most one row per (region, day) here, however many raw
-    # rows it had.
-    per_region = per_day.repartition(key).groupBy(key, "region").agg(
+    # Reduce to one row per (title, region) before anything is keyed by
+    # title alone: a hot title then reaches the per-title window as at most
+    # one row per region.
+    per_region = per_day.groupBy(key, "region").agg(
         F.min("date").alias("region_first"),
         F.min_by("n", "date").alias("n_on_region_first"),
         F.sum("n").alias("n_rows"),
