@@ -193,7 +193,9 @@ def coefficient_table(model: LinearRegressionModel, features: Sequence[str] = MO
 def _session():
     from pyspark.sql import SparkSession
 
-    return SparkSession.getActiveSession()
+    # the active session is per thread; fall back to the default one (report
+    # jobs may run in worker threads)
+    return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
 
 
 __all__ = [

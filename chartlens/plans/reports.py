@@ -9,6 +9,7 @@ folder, and derives all of its reports (CSV with header) from it.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -140,15 +141,35 @@ def write_reports(
     questions: Sequence[str] = tuple(QUESTIONS),
     genre_date: str = "date",
     fmt: str = "csv",
+    parallel: bool = True,
 ) -> list[str]:
-    """Write the reports of the chosen questions; returns the paths written."""
-    out = _Out(out_dir, fmt)
-    for q in questions:
+    """Write the reports of the chosen questions; returns the paths written.
+
+    The questions are independent, so with ``parallel`` each one submits
+    its jobs from its own driver thread to the same session; the scheduler
+    then runs their stages side by side instead of one question after the
+    other (useful when one question's stages do not fill the cluster).
+    """
+    if not parallel or len(questions) < 2:
+        out = _Out(out_dir, fmt)
+        for q in questions:
+            QUESTIONS[q](charts, out, genre_date=genre_date)
+        return out.written
+
+    def run(q: str) -> list[str]:
+        charts.sparkSession.sparkContext.setJobDescription(f"chartlens report: {q}")
+        out = _Out(out_dir, fmt)
         QUESTIONS[q](charts, out, genre_date=genre_date)
-    return out.written
+        return out.written
 
+    with ThreadPoolExecutor(max_workers=len(questions)) as pool:
+        results = list(pool.map(run, questions))
+    return [p for paths in results for p in paths]
 
-def write_all_reports(charts: DataFrame, out_dir: str, genre_date: str = "date", models: bool = True) -> list[str]:
+
+def write_all_reports(
+    charts: DataFrame, out_dir: str, genre_date: str = "date", models: bool = True, parallel: bool = True
+) -> list[str]:
     """Write every question's reports under ``out_dir``."""
     qs = [q for q in QUESTIONS if models or q != "model"]
-    return write_reports(charts, out_dir, qs, genre_date)
+    return write_reports(charts, out_dir, qs, genre_date, parallel=parallel)

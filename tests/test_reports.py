@@ -28,3 +28,18 @@ def test_cli_ingest_and_reports(spark, tmp_path):
     main(["ingest", "--input", str(csv_dir), "--table", table])
     main(["reports", "--table", table, "--out", str(tmp_path / "rep"), "--questions", "delay_streak", "titles"])
     assert spark.read.option("header", True).csv(str(tmp_path / "rep" / "question2")).count() == 25
+
+
+def test_parallel_and_sequential_reports_agree(spark, tmp_path):
+    from chartlens.plans.reports import write_reports
+
+    c = charts_of(spark, SF_SMALL)
+    qs = ["delay_streak", "titles", "genres"]
+    a = write_reports(c, str(tmp_path / "seq"), qs, genre_date="long_date", parallel=False)
+    b = write_reports(c, str(tmp_path / "par"), qs, genre_date="long_date", parallel=True)
+    assert sorted(os.path.basename(p) for p in a) == sorted(os.path.basename(p) for p in b)
+    for p in a:
+        name = os.path.basename(p)
+        x = spark.read.option("header", True).csv(p).collect()
+        y = spark.read.option("header", True).csv(str(tmp_path / "par" / name)).collect()
+        assert sorted(map(tuple, x)) == sorted(map(tuple, y)), name
