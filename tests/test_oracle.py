@@ -77,3 +77,19 @@ def test_entry_runs(spark):
         "max_days_until_chart",
     ]
     assert len(rows) > 0
+
+
+ROWS_ONLY_COLUMNS = {
+    "assembled": ["track_id", "region", "label", "split", "features"],
+    "forest_predictions": ["track_id", "region", "label", "prediction"],
+    "linear_predictions": ["track_id", "region", "label", "prediction"],
+    "feature_importance": ["index", "feature", "importance", "above_cutoff"],
+    "coefficient_table": ["index", "feature", "coefficient", "std_error", "t_value", "p_value"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(ROWS_ONLY_COLUMNS))
+def test_rows_only_queries_run(spark, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    assert df.columns == ROWS_ONLY_COLUMNS[name]
+    assert df.count() > 0
