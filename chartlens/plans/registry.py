@@ -714,3 +714,15 @@ def _track_region_summary(c: DataFrame) -> DataFrame:
 def _genre_month_stats(c: DataFrame) -> DataFrame:
     """Rows and mean danceability/energy per region, month and genre (G3 + G6 in one aggregation)."""
     return genres.genre_month_stats(genre_rows_of(c))
+
+
+@query("forest_metrics")
+def _forest_metrics(c: DataFrame) -> DataFrame:
+    """RMSE, MAE, R^2 of the random forest on the test split (R5 + R7); rows-only check."""
+    return model.regression_metrics(Q.q5_forest(c)[1])
+
+
+@query("linear_metrics")
+def _linear_metrics(c: DataFrame) -> DataFrame:
+    """RMSE, MAE, R^2 of the linear model on the test split (R6 + R7); rows-only check."""
+    return model.regression_metrics(Q.q5_linear(c)[1])

@@ -52,6 +52,8 @@ def test_every_query_has_oracle_or_is_model_output():
         "linear_predictions",
         "feature_importance",
         "coefficient_table",
+        "forest_metrics",
+        "linear_metrics",
     }
 
 
@@ -85,6 +87,8 @@ ROWS_ONLY_COLUMNS = {
     "linear_predictions": ["track_id", "region", "label", "prediction"],
     "feature_importance": ["index", "feature", "importance", "above_cutoff"],
     "coefficient_table": ["index", "feature", "coefficient", "std_error", "t_value", "p_value"],
+    "forest_metrics": ["n", "rmse", "mae", "r2"],
+    "linear_metrics": ["n", "rmse", "mae", "r2"],
 }
 
 
