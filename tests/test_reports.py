@@ -28,6 +28,10 @@ def test_cli_ingest_and_reports(spark, tmp_path):
     main(["ingest", "--input", str(csv_dir), "--table", table])
     main(["reports", "--table", table, "--out", str(tmp_path / "rep"), "--questions", "delay_streak", "titles"])
     assert spark.read.option("header", True).csv(str(tmp_path / "rep" / "question2")).count() == 25
+    main(["reports", "--input", str(csv_dir), "--out", str(tmp_path / "rep2"), "--questions", "delay_streak"])
+    a = spark.read.option("header", True).csv(str(tmp_path / "rep" / "question1")).collect()
+    b = spark.read.option("header", True).csv(str(tmp_path / "rep2" / "question1")).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
 def test_parallel_and_sequential_reports_agree(spark, tmp_path):
