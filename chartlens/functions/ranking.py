@@ -23,7 +23,8 @@ def with_global_position(
     1. range-partition by ``order`` (Spark samples the keys to pick
        balanced bounds) and sort inside each partition;
     2. number rows inside each partition with
-       ``monotonically_increasing_id`` (consecutive within a partition);
+       ``monotonically_increasing_id`` (documented layout: partition id in
+       the upper 31 bits, consecutive record number in the lower 33);
     3. count rows per partition and turn the counts into offsets - a table
        with one row per partition, so its size is bounded by ``partitions``
        and it is safe to broadcast;
