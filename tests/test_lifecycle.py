@@ -60,6 +60,8 @@ def streak_of(charts, dates):
 )
 def test_streak_cases(charts, dates, expected):
     assert streak_of(charts, dates) == expected
+    rows = [dict(date=x) for x in dates] or [dict(date=None)]
+    assert lifecycle.longest_streak(charts(rows), method="array").first().days_in_chart == expected
 
 
 def python_rule(dates):
@@ -151,3 +153,12 @@ def test_summary_gives_the_same_reports(spark):
                                                             ["track_id", "region"])
     cols = ["track_id", "region", "release_day", "first_chart_day", "chart_entries", "days_in_chart"]
     assert sorted(summary.select(cols).collect()) == sorted(tr.select(cols).collect())
+
+
+def test_streak_forms_agree_on_test_tables(spark):
+    from chartlens.plans.registry import charts_of
+    from tests.conftest import SF_SMALL
+
+    base = Q.lifecycle_base(charts_of(spark, SF_SMALL))
+    a = sorted(lifecycle.longest_streak(base).collect())
+    assert a == sorted(lifecycle.longest_streak(base, method="array").collect())

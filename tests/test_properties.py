@@ -37,3 +37,16 @@ def test_tiers_are_thirds_of_the_ranking(spark, counts):
     s = len(order) // 3
     want = {a: "top" if i < s else "middle" if i < 2 * s else "bottom" for i, a in enumerate(order)}
     assert got == want
+
+
+@SETTINGS
+@given(groups)
+def test_streak_array_form_equals_window_form(charts, offsets):
+    rows = []
+    for g, days in enumerate(offsets):
+        rows += [dict(track_id=f"t{g}", date=DAY0 + dt.timedelta(days=x)) for x in days]
+    rows.append(dict(track_id="nodate", date=None))
+    c = charts(rows)
+    a = sorted(lifecycle.longest_streak(c, method="window").collect())
+    b = sorted(lifecycle.longest_streak(c, method="array").collect())
+    assert a == b
