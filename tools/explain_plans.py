@@ -34,6 +34,7 @@ def main():
     args = [a for a in sys.argv[1:] if not a.startswith("--")]
     full = "--full" in sys.argv
     spark = local_session()
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # full filter lists
     path = fresh_path(spark, "explain-charts")
     write_chart_table(chart_rows(spark, "/root/testdata/sf0.001"), path)
     charts = read_chart_table(spark, path)
