@@ -42,6 +42,7 @@ def ingest_chart_shards(
     table_path: str,
     checkpoint_path: str | None = None,
     available_now: bool = True,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Append new shards of ``shard_dir`` to the typed chart table at ``table_path``.
 
@@ -49,10 +50,12 @@ def ingest_chart_shards(
     batch-style run); otherwise the query keeps running and picks up shards
     as they land. The checkpoint defaults to a new folder under the shared
     folder; pass the same one on every run of the same table.
+    ``max_files_per_trigger`` bounds each micro-batch, so a large backlog
+    of shards is appended in several commits instead of one huge one.
     """
     ckpt = checkpoint_path or fresh_path(spark, "ingest-checkpoint")
     writer = (
-        typed_charts(stream_chart_shards(spark, shard_dir))
+        typed_charts(stream_chart_shards(spark, shard_dir, max_files_per_trigger))
         .writeStream.format("parquet")
         .option("path", table_path)
         .option("checkpointLocation", ckpt)

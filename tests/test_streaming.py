@@ -30,7 +30,10 @@ def test_incremental_ingest_matches_batch(spark, tmp_path):
     assert key_rows(read_chart_table(spark, str(table))) == key_rows(typed_charts(read_charts(spark, str(shards))))
 
     shard(shards / "p_3.csv", [row("d", "2017-03-04", "2017-01-15")])
-    ingest_chart_shards(spark, str(shards), str(table), str(ckpt)).awaitTermination()
+    shard(shards / "p_4.csv", [row("e", "2017-03-05", "2017-01-16")])
+    q = ingest_chart_shards(spark, str(shards), str(table), str(ckpt), max_files_per_trigger=1)
+    q.awaitTermination()
+    assert q.lastProgress["numInputRows"] == 1  # one shard per micro-batch
     got = key_rows(read_chart_table(spark, str(table)))
     assert got == key_rows(typed_charts(read_charts(spark, str(shards))))
-    assert [r[0] for r in got] == ["a", "b", "c", "d"]  # each shard exactly once
+    assert [r[0] for r in got] == ["a", "b", "c", "d", "e"]  # each shard exactly once
