@@ -24,6 +24,13 @@ from tests.conftest import d
         (None, None),
         ("junk", None),
         ("2017-13-45", None),
+        (" 2017", d("2017-01-01")),
+        ("2017-1-5", d("2017-01-05")),
+        ("2017-02-30", None),
+        ("2017-02-03T10:00", d("2017-02-03")),
+        ("", None),
+        ("17", None),
+        ("2017-13", None),
     ],
 )
 def test_release_day_typing(spark, raw, expected):
@@ -162,3 +169,17 @@ def test_streak_forms_agree_on_test_tables(spark):
     base = Q.lifecycle_base(charts_of(spark, SF_SMALL))
     a = sorted(lifecycle.longest_streak(base).collect())
     assert a == sorted(lifecycle.longest_streak(base, method="array").collect())
+
+
+def test_release_typing_agrees_with_oracle_sql(spark):
+    import duckdb
+
+    from chartlens.plans.oracle import RELEASE_DAY_SQL
+
+    vals = ["2017", "2017-02", "2017-02-03", "0000", " 2017", "2017-1-5", "junk", "2017-02-30",
+            "2017-02-03T10:00", "2017-02-03 10:00:00", "", "17", "2017-13", None]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    got = {r.v: r.r for r in df.select("v", release_day("v").alias("r")).collect()}
+    sql = f"select release_date, {RELEASE_DAY_SQL} from (select unnest(?) as release_date)"
+    want = dict(duckdb.connect().execute(sql, [vals]).fetchall())
+    assert got == want
