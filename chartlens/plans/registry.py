@@ -418,15 +418,20 @@ def _corridor_avg_rounded(c: DataFrame) -> DataFrame:
 GENRE_DATE = "long_date"
 
 GENRE_CTES = dict(
+    g0="""select region, long_date, af_danceability, af_energy, af_key,
+                case when isnan(af_danceability) then null else af_danceability end as d,
+                case when isnan(af_energy) then null else af_energy end as e,
+                case when isnan(af_key) then null else af_key end as k
+         from chart""",
     g="""select region, long_date, af_danceability, af_energy, af_key,
-               case when af_danceability > 0.7 and af_energy > 0.7 then 'Electronic'
-                    when af_danceability > 0.6 and af_energy <= 0.7 then 'Pop'
-                    when af_danceability <= 0.6 and af_energy > 0.6 then 'Rock'
-                    when af_key in (1, 2, 3) and af_danceability < 0.5 then 'Classical'
-                    when af_key in (8, 9, 10) and af_danceability > 0.5 then 'Hip-Hop'
+               case when d > 0.7 and e > 0.7 then 'Electronic'
+                    when d > 0.6 and e <= 0.7 then 'Pop'
+                    when d <= 0.6 and e > 0.6 then 'Rock'
+                    when k in (1, 2, 3) and d < 0.5 then 'Classical'
+                    when k in (8, 9, 10) and d > 0.5 then 'Hip-Hop'
                     else 'Other' end as genre,
                cast(date_trunc('month', long_date) as date) as month
-        from chart""",
+        from g0""",
     profile="""select region, month, genre, avg(af_danceability) as avg_danceability,
                       avg(af_energy) as avg_energy
                from g group by region, month, genre""",
