@@ -81,12 +81,9 @@ def days_to_popular(edges: DataFrame) -> DataFrame:
 
 def explode_tiers(edges: DataFrame) -> DataFrame:
     """One edge row per tier the destination track-region belongs to."""
-    tiers = F.filter(
-        F.array(*[F.when(F.col(f"in_{t}"), F.lit(t)) for t in TIERS]),
-        lambda t: t.isNotNull(),
-    )
+    tiers = F.array(*[F.when(F.col(f"in_{t}"), F.lit(t)) for t in TIERS])
     flags = [f"in_{t}" for t in TIERS]
-    return edges.withColumn("tier", F.explode(tiers)).drop(*flags)
+    return edges.withColumn("tier", F.explode(tiers)).where(F.col("tier").isNotNull()).drop(*flags)
 
 
 def spread_by_destination(edges: DataFrame, group: Sequence[str] = ("tier",)) -> DataFrame:

@@ -60,3 +60,19 @@ def test_only_bounded_explicit_broadcasts(table):
     optimized = df._jdf.queryExecution().optimizedPlan().toString()
     assert optimized.count("strategy=broadcast") == 1
     assert re.search(r"Join Inner, \(_pid#\d+ = _pid#\d+\), rightHint=\(strategy=broadcast\)", optimized)
+
+
+@pytest.mark.parametrize(
+    "name,plan",
+    [
+        ("q1", Q.q1_delay),
+        ("q2", Q.q2_streak),
+        ("q3", Q.q3_corridors),
+        ("q4", Q.q4_spread),
+        ("q6_best", Q.q6_best_genre),
+        ("q6_quartiles", Q.q6_quartiles),
+    ],
+)
+def test_headline_plans_have_no_lambda_functions(table, name, plan):
+    # higher-order-function lambdas are evaluated outside generated code
+    assert "lambdafunction" not in plan_of(plan(table)).lower(), name

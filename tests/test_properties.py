@@ -50,3 +50,15 @@ def test_streak_array_form_equals_window_form(charts, offsets):
     a = sorted(lifecycle.longest_streak(c, method="window").collect())
     b = sorted(lifecycle.longest_streak(c, method="array").collect())
     assert a == b
+
+
+@SETTINGS
+@given(st.lists(st.text("AB ,\t", max_size=12), min_size=1, max_size=40))
+def test_artist_split_equals_trim_of_each_piece(spark, texts):
+    # plain statement of the rule: split on ',' and trim spaces from each piece
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, artist string")
+    got = {}
+    for r in artists.explode_artists(df).collect():
+        got.setdefault(r.i, []).append(r.artist)
+    want = {i: [p.strip(" ") for p in t.split(",")] for i, t in enumerate(texts)}
+    assert got == want
