@@ -133,3 +133,25 @@ def test_split_is_partitioning_independent(spark):
     assert a == b
     share = sum(v == "train" for v in a.values()) / len(a)
     assert 0.7 < share < 0.9
+
+
+def test_linear_model_equals_numpy_least_squares(fitted):
+    import numpy as np
+
+    from chartlens.schema import MODEL_FEATURES
+
+    c, _, _, linear, _ = fitted
+    train = Q.split_of(Q.assembled_data(c, checkpoint=False), "train").select(*MODEL_FEATURES, "label")
+    rows = train.collect()
+    x = np.array([[float(r[f]) for f in MODEL_FEATURES] for r in rows])
+    y = np.array([r.label for r in rows])
+    design = np.hstack([x, np.ones((len(rows), 1))])
+    beta, *_ = np.linalg.lstsq(design, y, rcond=None)
+    resid = y - design @ beta
+    sigma2 = resid @ resid / (len(rows) - design.shape[1])
+    se = np.sqrt(np.diag(sigma2 * np.linalg.inv(design.T @ design)))
+    table = model.coefficient_table(linear).collect()
+    got_beta = np.array([r.coefficient for r in table])
+    got_se = np.array([r.std_error for r in table])
+    np.testing.assert_allclose(got_beta, beta, rtol=1e-6, atol=1e-8)
+    np.testing.assert_allclose(got_se, se, rtol=1e-6, atol=1e-8)
