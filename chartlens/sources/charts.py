@@ -29,7 +29,8 @@ def read_charts(spark: SparkSession, path: str | list[str], fmt: str = "csv") ->
         )
     elif fmt == "parquet":
         df = reader.parquet(*([path] if isinstance(path, str) else path))
-        df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CHART_SCHEMA.fields])
+        # try_cast: a stray value becomes NULL, as in the permissive CSV read
+        df = df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in CHART_SCHEMA.fields])
     else:
         raise ValueError(f"unsupported chart format: {fmt}")
     return df
