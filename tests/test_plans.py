@@ -76,3 +76,20 @@ def test_only_bounded_explicit_broadcasts(table):
 def test_headline_plans_have_no_lambda_functions(table, name, plan):
     # higher-order-function lambdas are evaluated outside generated code
     assert "lambdafunction" not in plan_of(plan(table)).lower(), name
+
+
+def test_model_frame_join_is_co_partitioned(spark, table):
+    from chartlens.operators import model
+
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        # the plan a large cluster gets: no broadcast, static plan
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plan = plan_of(model.model_frame(Q.lifecycle_base(table)))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan
+    # aggregates by (track, region), per-day counts, streak window: the join adds none
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 3
