@@ -192,8 +192,8 @@ def assembled_data(charts: DataFrame, checkpoint: bool = True) -> DataFrame:
     Layout: the forest samples rows per partition from its seed, so the
     rows are hash-partitioned by (track, region) into a partition count
     that depends only on the row count (about a million rows each), and
-    sorted inside each partition. The same data then gives the same model
-    on any cluster size.
+    sorted inside each partition. The seed then fixes every tree's sample
+    whatever the cluster size.
 
     Fitting reads the data many times; a reliable checkpoint in the shared
     folder (``spark.checkpoint.dir``) means each pass, and any task retried
