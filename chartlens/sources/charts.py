@@ -47,16 +47,28 @@ def typed_charts(charts: DataFrame) -> DataFrame:
     return with_release_day(charts.select(*CHART_COLUMNS, *extra))
 
 
-def write_chart_table(charts: DataFrame, path: str, partition_by: tuple[str, ...] = ("chart",)) -> None:
+def write_chart_table(
+    charts: DataFrame,
+    path: str,
+    partition_by: tuple[str, ...] = ("chart",),
+    sort_by: tuple[str, ...] = ("release_day",),
+) -> None:
     """Write chart rows once as a typed parquet table (the ingest step).
 
     The dirty ``release_date`` text is typed to ``release_day`` (DATE) here,
     once, so later jobs filter on a real date column: the release cutoff is
-    pushed into the parquet reader (row groups skipped by min/max) instead
-    of re-parsing text on every row of every job. Partitioning by ``chart``
-    turns the top200 filter into directory pruning.
+    pushed into the parquet reader instead of re-parsing text on every row
+    of every job. Rows are sorted by ``sort_by`` inside each written file
+    (a per-task sort, no shuffle), so each row group covers a narrow range
+    of release days and the reader skips row groups by their min/max.
+    Partitioning by ``chart`` turns the top200 filter into directory
+    pruning.
     """
     typed = charts if "release_day" in charts.columns else typed_charts(charts)
+    if sort_by:
+        # partition columns first: the writer needs rows grouped by them and
+        # would otherwise re-sort each task, losing the release-day order
+        typed = typed.sortWithinPartitions(*partition_by, *sort_by)
     typed.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 

@@ -31,3 +31,17 @@ def test_parquet_reader_types_raw_files(spark, tmp_path):
     raw.write.parquet(path)
     back = typed_charts(read_charts(spark, path, fmt="parquet"))
     assert rows(back, [*CHART_COLUMNS, "release_day"]) == rows(typed_charts(raw), [*CHART_COLUMNS, "release_day"])
+
+
+def test_table_files_are_sorted_by_release_day(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "table")
+    write_chart_table(charts_of(spark, SF_SMALL), path)
+    files = glob.glob(f"{path}/chart=*/*.parquet")
+    assert files
+    for f in files:
+        days = [d for d in pq.read_table(f, columns=["release_day"]).column(0).to_pylist() if d is not None]
+        assert days == sorted(days)
