@@ -60,7 +60,16 @@ def shared_dir(spark: SparkSession) -> str:
     return current
 
 
+def app_dir(spark: SparkSession) -> str:
+    """This application's folder under the shared folder.
+
+    Every table chartlens writes for its own use (materialized
+    intermediates, round trips) goes here, so one application's scratch
+    data can be removed in one step when the job is done.
+    """
+    return f"{shared_dir(spark).rstrip('/')}/chartlens-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path under the shared folder."""
-    base = shared_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unused path in this application's folder under the shared folder."""
+    return f"{app_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
