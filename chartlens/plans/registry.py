@@ -18,6 +18,7 @@ from chartlens.schema import (
     AUDIO_FEATURES,
     CHART_COLUMNS,
     DANCEABLE_MIN,
+    GENRES,
     RELEASE_CUTOFF,
     TIER_ORIGINS,
 )
@@ -83,8 +84,6 @@ def _delay_by_region(c: DataFrame) -> DataFrame:
     return Q.q1_delay(c)
 
 
-
-
 TYPED = CHART_COLUMNS + ["release_day"]
 TYPED_SQL = O.CHART_COLS + ", release_day"
 
@@ -503,7 +502,7 @@ def _genre_counts(c: DataFrame) -> DataFrame:
     "genre_pivot",
     O.sql(
         "select region, month, "
-        + ", ".join(f"""count(*) filter (where genre = '{g}') as "{g}\"""" for g in ["Classical", "Electronic", "Hip-Hop", "Other", "Pop", "Rock"])
+        + ", ".join(f"""count(*) filter (where genre = '{g}') as "{g}\"""" for g in GENRES)
         + " from g group by region, month",
         **GENRE_CTES,
     ),
