@@ -2,7 +2,8 @@
 
 Usage: python tools/explain_plans.py [name ...] [--full]
 
-For each plan: number of shuffles (Exchange), broadcasts, scans with their
+For each plan: number of shuffles (Exchange), broadcasts, operators inside
+whole-stage code generation (and the kinds outside it), scans with their
 pushed filters and read schema. ``--full`` prints the formatted plan.
 """
 
@@ -46,7 +47,18 @@ def main():
         text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted") if full else plan
         shuffles = len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan))
         bcast = plan.count("BroadcastExchange")
-        print(f"== {name}: shuffles={shuffles} broadcasts={bcast}")
+        # code generation is decided when the adaptive plan runs: run the
+        # query, then read the final plan
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        skip = ("Exchange", "BroadcastExchange", "AdaptiveSparkPlan", "==", "ResultQueryStage", "ShuffleQueryStage",
+                "BroadcastQueryStage", "AQEShuffleRead", "ReusedExchange", "TableCacheQueryStage")
+        ops = [ln.strip().lstrip(":+- ") for ln in final.splitlines()]
+        ops = [o for o in ops if o and not o.startswith(skip)]
+        in_codegen = sum(1 for o in ops if re.match(r"\*\(\d+\)", o))
+        outside = sorted({o.split(" ")[0].split("[")[0] for o in ops if not re.match(r"\*\(\d+\)", o)})
+        print(f"== {name}: shuffles={shuffles} broadcasts={bcast} "
+              f"codegen={in_codegen}/{len(ops)} operators; outside codegen: {', '.join(outside)}")
         for m in re.finditer(r"PushedFilters: (\[[^\]]*\])", plan):
             print("   pushed", m.group(1))
         for m in re.finditer(r"ReadSchema: (struct<[^>]*>)", plan):
