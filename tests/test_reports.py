@@ -47,3 +47,18 @@ def test_parallel_and_sequential_reports_agree(spark, tmp_path):
         x = spark.read.option("header", True).csv(p).collect()
         y = spark.read.option("header", True).csv(str(tmp_path / "par" / name)).collect()
         assert sorted(map(tuple, x)) == sorted(map(tuple, y)), name
+
+
+def test_cli_parquet_reports(spark, tmp_path):
+    c = charts_of(spark, SF_SMALL).drop("release_day", "long_date")
+    csv_dir = tmp_path / "csv"
+    c.write.option("header", True).csv(str(csv_dir))
+    main(["reports", "--input", str(csv_dir), "--out", str(tmp_path / "pq"), "--questions", "delay_streak",
+          "--format", "parquet"])
+    got = spark.read.parquet(str(tmp_path / "pq" / "question1"))
+    from chartlens.plans import questions as Q
+    from chartlens.sources import typed_charts
+
+    want = Q.q1_delay(typed_charts(c))
+    assert got.schema == want.schema
+    assert sorted(got.collect()) == sorted(want.collect())
