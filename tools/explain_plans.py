@@ -1,6 +1,6 @@
 """Print physical plans of the headline questions over a parquet chart table.
 
-Usage: python tools/explain_plans.py [name ...] [--full]
+Usage: python tools/explain_plans.py [name ...] [--full] [--write docs/PLANS.md]
 
 For each plan: number of shuffles (Exchange), broadcasts, operators inside
 whole-stage code generation (and the kinds outside it), scans with their
@@ -34,6 +34,13 @@ PLANS = {
 def main():
     args = [a for a in sys.argv[1:] if not a.startswith("--")]
     full = "--full" in sys.argv
+    write_to = sys.argv[sys.argv.index("--write") + 1] if "--write" in sys.argv else None
+    if write_to:
+        args = [a for a in args if a != write_to]
+    doc = ["# Physical plans of the headline questions", "",
+           "Generated by `python tools/explain_plans.py --write docs/PLANS.md` on the typed chart table of",
+           "sf0.001 (local session, AQE on). Each block is the final adaptive plan after the query ran;",
+           "`*(n)` marks operators inside whole-stage code generation.", ""]
     spark = local_session()
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # full filter lists
     path = fresh_path(spark, "explain-charts")
@@ -65,6 +72,16 @@ def main():
             print("   read  ", m.group(1))
         if full:
             print(text)
+        if write_to:
+            tree = re.sub(r"Location: InMemoryFileIndex\([^\]]*\]", "Location: <table>", final)
+            tree = re.sub(r", \[plan_id=\d+\]", "", tree)
+            doc += [f"## {name}", "", f"shuffles={shuffles} broadcasts={bcast} "
+                    f"codegen={in_codegen}/{len(ops)} operators; outside codegen: {', '.join(outside)}", "",
+                    "```", tree.rstrip().removesuffix("+-").rstrip(), "```", ""]
+    if write_to:
+        os.makedirs(os.path.dirname(write_to) or ".", exist_ok=True)
+        with open(write_to, "w") as fh:
+            fh.write("\n".join(doc))
     spark.stop()
 
 
