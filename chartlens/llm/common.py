@@ -58,27 +58,22 @@ def words(text: Column) -> Column:
 def running_total(
     df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, out: str, chunk: Column
 ) -> DataFrame:
-    """Adds ``out``: the sum of ``value`` over the rows before this one.
+    """Adds ``out``: the sum of ``value`` over the rows of a group before this one.
 
     Rows of a ``group`` are ordered by (``chunk``, ``order``). Totals per
     (group, chunk) are summed first, so a task sees one chunk of a group's
-    rows, or one row per chunk, and never a whole group's rows. Null group
-    values form a group of their own.
+    rows, or one row per chunk, and never a whole group's rows. Group values
+    and chunks must not be null.
     """
     c, t, base = "__chunk", "__total", "__base"
     keys = [*group, c]
     rows = df.withColumn(c, chunk)
-    per_chunk = rows.groupBy(*keys).agg(F.sum(value).alias(t))
     before = Window.partitionBy(*group).orderBy(c).rowsBetween(Window.unboundedPreceding, -1)
-    per_chunk = per_chunk.select(*keys, F.coalesce(F.sum(t).over(before), F.lit(0)).alias(base))
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    per_chunk = rows.groupBy(*keys).agg(F.sum(value).alias(t))
+    per_chunk = per_chunk.select(*keys, F.coalesce(F.sum(t).over(before), F.lit(0)).alias(base))
     rows = rows.withColumn(t, F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    r, p = rows.alias("r"), per_chunk.alias("p")
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(f"r.{k}").eqNullSafe(F.col(f"p.{k}"))
-    joined = r.join(p, on)
-    return joined.select(*[F.col(f"r.{x}") for x in df.columns], (F.col(f"r.{t}") + F.col(f"p.{base}")).alias(out))
+    return rows.join(per_chunk, keys).select(*df.columns, (F.col(t) + F.col(base)).alias(out))
 
 
 def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
@@ -107,6 +102,16 @@ def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFr
         yield pd.concat(held, ignore_index=True)
 
 
+def hashed_chunk(key: Column) -> Column:
+    """One of 4,096 chunks by the md5 of a key's text (null: the text ``null``)."""
+    return F.conv(F.substring(hashed(key), 1, 3), 16, 10).cast("int")
+
+
+def hashed(key: Column) -> Column:
+    """md5 of a key's text, lowercase hex; the same in other SQL engines."""
+    return F.md5(F.coalesce(key.cast("string"), F.lit("null")))
+
+
 def by_bytes(sizes: Sequence[int], limit: int) -> Iterator[tuple[int, int]]:
     """Index ranges whose sizes sum to about ``limit``; a larger item is alone."""
     start, total = 0, 0

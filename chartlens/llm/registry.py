@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from . import neardup
+from . import fingerprints, mixing, neardup, packing, sharding, tokencount, topk, urlfilter
 
 QUERIES = {
+    "op1_document_fingerprints": fingerprints.op1_document_fingerprints,
     "op3_minhash_near_dedup": neardup.op3_minhash_near_dedup,
+    "op4_source_mixing": mixing.op4_source_mixing,
+    "op5_token_counts": tokencount.op5_token_counts,
+    "op6_packing": packing.op6_packing,
+    "op7_exact_top_k": topk.op7_exact_top_k,
+    "op8_sharding": sharding.op8_sharding,
+    "op10_url_filters": urlfilter.op10_url_filters,
 }
 
 ORACLE = {
     "op3_minhash_near_dedup": neardup.OP3_SQL,
+    "op4_source_mixing": mixing.OP4_SQL,
+    "op7_exact_top_k": topk.OP7_SQL,
+    "op8_sharding": sharding.OP8_SQL,
+    "op10_url_filters": urlfilter.OP10_SQL,
 }
