@@ -76,30 +76,27 @@ def running_total(
     return rows.join(per_chunk, keys).select(*df.columns, (F.col(t) + F.col(base)).alias(out))
 
 
-def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Whole groups, one at a time, out of batches sorted by ``keys``."""
-    held: list[pd.DataFrame] = []
-    last = None
+def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Batches sorted by ``keys``, cut between groups: frames and where their groups begin and end."""
+    held = None
     for batch in batches:
         if not len(batch):
             continue
-        cols = [batch[k].to_numpy() for k in keys]
-        change = np.zeros(len(batch), bool)
-        for col in cols:
-            change[1:] |= col[1:] != col[:-1]
-        first = tuple(col[0] for col in cols)
-        if last is not None and first != last:
-            yield pd.concat(held, ignore_index=True)
-            held = []
-        cuts = [0, *np.flatnonzero(change), len(batch)]
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            held.append(batch.iloc[a:b])
-            if b < len(batch):
-                yield pd.concat(held, ignore_index=True)
-                held = []
-        last = tuple(col[-1] for col in cols)
-    if held:
-        yield pd.concat(held, ignore_index=True)
+        frame = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        cuts = _cuts(frame, keys)
+        held = frame.iloc[cuts[-2] :]  # may go on in the next batch
+        if cuts[-2]:
+            yield frame.iloc[: cuts[-2]], cuts[:-1]
+    if held is not None:
+        yield held, np.array([0, len(held)])
+
+
+def _cuts(frame: pd.DataFrame, keys: list[str]) -> np.ndarray:
+    change = np.zeros(len(frame), bool)
+    for k in keys:
+        col = frame[k].to_numpy()
+        change[1:] |= col[1:] != col[:-1]
+    return np.concatenate([[0], np.flatnonzero(change), [len(frame)]])
 
 
 def hashed_chunk(key: Column) -> Column:

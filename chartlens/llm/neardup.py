@@ -16,9 +16,11 @@ band with probability (1 - 0.8^4)^32 = 5e-8.
 Large groups. Texts with equal sets are one class before anything is compared.
 First each class is compared with the smallest class of each of its buckets;
 connected classes are then one component. What is left are buckets with classes
-of different components: all pairs of different components in them are judged
-block against block inside tasks, and only pairs whose estimate passes leave a
-task. So every pair that shares a bucket is either joined already or judged.
+of different components: pairs of different components in them are estimated
+block against block inside tasks, and the rows of pairs that pass are dealt
+again, with their sets, and confirmed there; a task returns only links that join
+two components. So every pair that shares a bucket is either in one component
+already or judged, and no list of pairs of a large group is ever written.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, runs, ship, written
+from .common import components, ship, whole_groups, written
 from .text import mix, shingles
 
 REGISTERS = 128
@@ -40,7 +42,10 @@ RATE = 20.0
 WORDS = 5
 THRESHOLD = 80  # per cent of the union
 MARGIN = 0.2  # below the threshold; over five standard errors of the estimate
-BLOCK = 2048
+BLOCK = 1 << 18  # shingles of a bucket that a block holds
+PAIRS = 1 << 18  # looked at together
+JUDGED = 1 << 14  # estimated together
+BLOCK_KEYS = ["band", "bucket", "lo", "hi"]
 
 _U = np.uint64
 _SEEDS = mix(np.arange(1, REGISTERS + 1, dtype=_U), 0x5E75)
@@ -136,34 +141,88 @@ def _hopeful(batches, threshold: float) -> Iterator[pd.DataFrame]:
         yield batch.loc[fits & (j >= threshold - MARGIN), ["a", "b"]]
 
 
-def _across(batches, threshold: float) -> Iterator[pd.DataFrame]:
-    """In each block pair of a bucket: hopeful pairs of different components."""
-    for group in runs(batches, ["band", "bucket", "lo", "hi"]):
-        s = np.frombuffer(b"".join(group["sketch"]), np.uint16).reshape(-1, REGISTERS)
-        bands = s.view(np.uint64)
-        n, part = group["n"].to_numpy().astype(float), group["part"].to_numpy()
-        band, sig = int(group["band"].iloc[0]), group["sig"].to_numpy()
-        root = pd.factorize(group["root"])[0]
-        two_blocks = group["lo"].iloc[0] != group["hi"].iloc[0]
-        size = np.bincount(root)
-        for i in np.argsort(size[root], kind="stable"):  # small components first
-            if size[root[i]] == size.max() and (root == root[i]).all():
-                break
-            other = root != root[i]
-            if two_blocks:
-                other &= part != part[i]
-            # one of the two reports the pair: the one in the smaller component
-            other &= (size[root] > size[root[i]]) | ((size[root] == size[root[i]]) & (root > root[i]))
-            other &= np.minimum(n, n[i]) >= threshold * np.maximum(n, n[i])
-            at = np.flatnonzero(other)
-            if len(at) and band:  # met in an earlier band's bucket already
-                at = at[~(bands[at, :band] == bands[i, :band]).any(axis=1)]
-            if not len(at):
-                continue
-            j = estimate(np.full(len(at), n[i]), n[at], (s[at] < s[i]).sum(axis=1), (s[at] > s[i]).sum(axis=1))
-            at = at[j >= threshold - MARGIN]
-            if len(at):
-                yield pd.DataFrame({"a": [sig[i]] * len(at), "b": sig[at]})
+def _pairs(cuts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs i < j of rows of one group, in chunks."""
+    sizes = np.diff(cuts)
+    first = np.repeat(cuts[:-1], sizes)
+    after = np.repeat(cuts[1:], sizes) - np.arange(len(first)) - 1  # partners that follow each row
+    ends = np.cumsum(after)
+    a = 0
+    while a < len(after):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + PAIRS, "right")))
+        i = np.repeat(np.arange(a, b), after[a:b])
+        start = np.repeat(ends[a:b] - after[a:b], after[a:b])
+        j = i + 1 + np.arange(len(i)) + (ends[a - 1] if a else 0) - start
+        yield i, j
+        a = b
+
+
+def _apart(frame: pd.DataFrame, cuts: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Hopeful pairs of different components within the groups of a frame of sorted blocks."""
+    s = np.frombuffer(b"".join(frame["sketch"]), np.uint16).reshape(-1, REGISTERS)
+    bands, n = s.view(np.uint64), frame["n"].to_numpy().astype(float)
+    root = pd.factorize(frame["root"])[0]
+    band, part = frame["band"].to_numpy(), frame["part"].to_numpy()
+    two_blocks = frame["lo"].to_numpy() != frame["hi"].to_numpy()
+    earlier = np.arange(REGISTERS // ROWS)
+    found = [(np.empty(0, np.int64),) * 2]
+    for i, j in _pairs(cuts):
+        ok = (root[i] != root[j]) & (np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]))
+        ok &= ~two_blocks[i] | (part[i] != part[j])
+        i, j = i[ok], j[ok]
+        for x in range(0, len(i), JUDGED):
+            u, v = i[x : x + JUDGED], j[x : x + JUDGED]
+            # a pair that shares an earlier band meets in that band's bucket
+            new = ~((bands[u] == bands[v]) & (earlier < band[u][:, None])).any(axis=1)
+            u, v = u[new], v[new]
+            est = estimate(n[u], n[v], (s[u] > s[v]).sum(axis=1), (s[u] < s[v]).sum(axis=1))
+            good = est >= threshold - MARGIN
+            found.append((u[good], v[good]))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _open_rows(batches, threshold: float) -> Iterator[pd.DataFrame]:
+    """The rows of blocks that have a hopeful pair across components."""
+    for frame, cuts in whole_groups(batches, BLOCK_KEYS):
+        i, j = _apart(frame, cuts, threshold)
+        yield frame.iloc[np.union1d(i, j)]
+
+
+def _joined(batches, threshold: float, percent: int) -> Iterator[pd.DataFrame]:
+    """Links, confirmed on full sets, that join components; one for each two parts that meet in a block."""
+    for frame, cuts in whole_groups(batches, BLOCK_KEYS):
+        i, j = _apart(frame, cuts, threshold)
+        sig, items = frame["sig"].to_numpy(), frame["items"].to_numpy()
+        label = np.searchsorted(cuts, np.arange(len(frame)), "right") * len(frame) + pd.factorize(frame["root"])[0]
+        turn = np.argsort(i, kind="stable")
+        i, j = i[turn], j[turn]
+        links = []
+        for a, b in zip(*_stretches(i)):
+            x, at = i[a], j[a:b]
+            at = at[label[at] != label[x]]
+            for c in range(0, len(at), 256):
+                some = at[c : c + 256]
+                some = some[label[some] != label[x]]
+                if not len(some):
+                    continue
+                own, sizes = items[x], np.array([len(items[k]) for k in some])
+                all_items = np.concatenate([items[k] for k in some])
+                place = np.minimum(np.searchsorted(own, all_items), len(own) - 1)
+                common = np.add.reduceat((own[place] == all_items).astype(np.int64), np.cumsum(sizes) - sizes)
+                for k in some[100 * common >= percent * (len(own) + sizes - common)]:
+                    if label[k] != label[x]:
+                        links.append((sig[x], sig[k]))
+                        label[label == label[k]] = label[x]
+        if links:
+            yield pd.DataFrame(links, columns=["a", "b"])
+
+
+def _stretches(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each stretch of equal values begins and ends."""
+    if not len(values):
+        return values, values
+    starts = np.concatenate([[0], np.flatnonzero(values[1:] != values[:-1]) + 1])
+    return starts, np.append(starts[1:], len(values))
 
 
 def near_duplicates(
@@ -204,48 +263,48 @@ def near_duplicates(
 
     full = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
 
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        side = classes.select("sig", "n", "sketch")
-        a = side.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-        b = side.select(F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-        hopeful = pairs.join(a, "a").join(b, "b").mapInPandas(lambda x: _hopeful(x, threshold), "a binary, b binary")
-        hopeful = written(hopeful, f"{name}-pairs")
-        wanted = hopeful.select(F.col("a").alias("sig")).union(hopeful.select("b")).distinct()
-        # one row of a class carries its set: the row of its least doc_id
+    def sets_of(wanted: DataFrame, name: str) -> DataFrame:
+        """The full sets of some classes (rows: sig): read again from the row of a class's least doc_id."""
         ids = classes.join(wanted, "sig", "left_semi").select("id").distinct()
         texts = full.join(ids, full["id"].eqNullSafe(ids["id"]), "left_semi").where("text is not null").select("text")
         sets = texts.mapInPandas(lambda x: _set_rows(x, k), "sig binary, items array<long>")
         # rows of one doc_id may differ in text, and rows of one text may repeat
-        sets = written(sets.join(wanted, "sig", "left_semi").dropDuplicates(["sig"]), f"{name}-sets")
-        both = hopeful.join(sets.select(F.col("sig").alias("a"), F.col("items").alias("xa")), "a")
-        both = both.join(sets.select(F.col("sig").alias("b"), F.col("items").alias("xb")), "b")
-        common = F.size(F.array_intersect("xa", "xb"))
-        union = F.size("xa") + F.size("xb") - common
-        return written(both.where(100 * common >= percent * union).select("a", "b"), f"{name}-links")
+        return written(sets.join(wanted, "sig", "left_semi").dropDuplicates(["sig"]), name)
 
     # 1. every class against the least class of each of its buckets
+    side = classes.select("sig", "n", "sketch")
+    a = side.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    b = side.select(F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     stars = met.where("sig != least").select(F.col("sig").alias("a"), F.col("least").alias("b")).distinct()
-    links = confirmed(stars, "stars")
-    roots = components(links)
+    stars = stars.join(a, "a").join(b, "b").mapInPandas(lambda x: _hopeful(x, threshold), "a binary, b binary")
+    stars = written(stars, "stars")
+    sets = sets_of(stars.select(F.col("a").alias("sig")).union(stars.select("b")).distinct(), "star-sets")
+    both = stars.join(sets.select(F.col("sig").alias("a"), F.col("items").alias("xa")), "a")
+    both = both.join(sets.select(F.col("sig").alias("b"), F.col("items").alias("xb")), "b")
+    common = F.size(F.array_intersect("xa", "xb"))
+    linked = 100 * common >= percent * (F.size("xa") + F.size("xb") - common)
+    roots = components(both.where(linked).select("a", "b"))
 
     # 2. what is still apart inside a bucket of three or more
     root = F.coalesce("root", "sig").alias("root")
     placed = met.where("size > 2").join(roots.withColumnRenamed("node", "sig"), "sig", "left")
-    placed = placed.select("sig", "band", "bucket", "size", root)
-    mixed = placed.groupBy("band", "bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y")
-    apart = placed.join(mixed.select("band", "bucket"), ["band", "bucket"], "left_semi")
-    apart = apart.join(classes.select("sig", "n", "sketch"), "sig")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    placed = placed.select("sig", "band", "bucket", root)
+    placed = placed.join(classes.select("sig", "n"), "sig")
+    mixed = placed.groupBy("band", "bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.sum("n").alias("weight"))
+    apart = placed.join(mixed.where("x != y").select("band", "bucket", "weight"), ["band", "bucket"])
+    apart = apart.join(classes.select("sig", "sketch"), "sig")
+    blocks = F.ceil(F.col("weight") / BLOCK).cast("int")
     apart = apart.withColumn("blocks", blocks).withColumn("part", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
     apart = apart.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     apart = apart.select(
         "band", "bucket", F.least("part", "with").alias("lo"), F.greatest("part", "with").alias("hi"),
         "part", "sig", "root", "n", "sketch",
     )
-    keys = ["band", "bucket", "lo", "hi"]
-    apart = apart.repartition(*keys).sortWithinPartitions(*keys, "sig")
-    rest = apart.mapInPandas(lambda x: _across(x, threshold), "a binary, b binary").distinct()
-    late = confirmed(written(rest, "across"), "across")
+    apart = apart.repartition(*BLOCK_KEYS).sortWithinPartitions(*BLOCK_KEYS, "sig")
+    still = written(apart.mapInPandas(lambda x: _open_rows(x, threshold), apart.schema), "open")
+    sets = sets_of(still.select("sig").distinct(), "open-sets")
+    still = still.join(sets, "sig").repartition(*BLOCK_KEYS).sortWithinPartitions(*BLOCK_KEYS, "sig")
+    late = written(still.mapInPandas(lambda x: _joined(x, threshold, percent), "a binary, b binary").distinct(), "late")
     if not late.isEmpty():
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(late))
 
