@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import fingerprints, mixing, neardup, packing, sharding, tokencount, topk, urlfilter
+from . import fingerprints, language, mixing, neardup, packing, sharding, tokencount, topk, toxicity, urlfilter
 
 QUERIES = {
     "op1_document_fingerprints": fingerprints.op1_document_fingerprints,
+    "op2_language_id": language.op2_language_id,
     "op3_minhash_near_dedup": neardup.op3_minhash_near_dedup,
     "op4_source_mixing": mixing.op4_source_mixing,
     "op5_token_counts": tokencount.op5_token_counts,
     "op6_packing": packing.op6_packing,
     "op7_exact_top_k": topk.op7_exact_top_k,
     "op8_sharding": sharding.op8_sharding,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_url_filters": urlfilter.op10_url_filters,
 }
 
