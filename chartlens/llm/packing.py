@@ -42,7 +42,7 @@ MAX_SEGMENTS = 256
 MAX_LOSS = 2048
 POOL = 256  # pieces
 BATCH_BYTES = 4 << 20
-REMEMBERED = 500_000
+REMEMBERED = 700_000
 LONGEST_REMEMBERED = 48
 
 _loaded: dict[str, "WordEncoder"] = {}
@@ -51,9 +51,9 @@ _loaded: dict[str, "WordEncoder"] = {}
 class WordEncoder:
     """Ids of whole texts, as little-endian unsigned 32-bit numbers."""
 
-    #: Letters whose lower case and byte form need no tables, then ASCII
-    #: punctuation without the apostrophe (which may begin a contraction).
-    SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+    #: Lower-case letters, then ASCII punctuation without the apostrophe (which
+    #: may begin a contraction).
+    SIMPLE = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -79,29 +79,44 @@ class WordEncoder:
 
     def _run(self, run: str) -> bytes:
         """A lower-case run of letters: one pre-token, straight to the merges."""
-        ids = self.runs.get(run)
-        if ids is None:
-            found = self.model.tokenize(run.encode().decode("latin-1").translate(self.letters))
-            ids = self.runs[run] = struct.pack(f"<{len(found)}I", *[t.id for t in found])
+        form = run if run.isascii() else run.encode().decode("latin-1").translate(self.letters)
+        found = self.model.tokenize(form)
+        ids = self.runs[run] = struct.pack(f"<{len(found)}I", *[t.id for t in found])
         return ids
 
     def _new(self, strings: list[str]) -> dict[str, bytes]:
-        out, odd, fullmatch = {}, [], self.SIMPLE.fullmatch
+        out, odd, match, runs = {}, [], self.SIMPLE.fullmatch, self.runs
         for w in strings:
-            if len(w) <= LONGEST_REMEMBERED and (m := fullmatch(w)):
-                tail = m[2]
-                if tail and tail not in self.runs:
-                    self.runs[tail] = self._encode([tail])[0]
-                out[w] = self._run(m[1].lower()) + self.runs[tail]
+            if len(w) <= LONGEST_REMEMBERED and (m := match(w)):
+                run, tail = m.groups()
+                ids = runs.get(run)
+                if ids is None:
+                    ids = self._run(run)
+                if tail:
+                    if tail not in runs:
+                        runs[tail] = self._encode([tail])[0]
+                    ids += runs[tail]
+                out[w] = ids
             else:
                 odd.append(w)
         out.update(zip(odd, self._encode(odd)))
         return out
 
+    @staticmethod
+    def _units(text: str) -> list[str]:
+        """Strings that are encoded by themselves; lower-cased where that changes nothing."""
+        if "<|" not in text:  # else it might become a special string
+            try:
+                text.encode("latin-1")
+                text = text.lower()
+            except UnicodeEncodeError:
+                pass
+        return text.replace("\n", " ").split(" ")
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_words:
             return self._encode(texts)
-        units = [t.replace("\n", " ").split(" ") for t in texts]
+        units = [self._units(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.known = {"": b""}
         if len(self.runs) > REMEMBERED:

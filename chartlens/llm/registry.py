@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import fingerprints, language, mixing, neardup, packing, sharding, tokencount, topk, toxicity, urlfilter
 
 QUERIES = {
@@ -15,6 +17,7 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_url_filters": urlfilter.op10_url_filters,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
