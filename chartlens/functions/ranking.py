@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chartlens.session import fresh_path
+
 
 def with_global_position(
     df: DataFrame,
@@ -21,28 +23,34 @@ def with_global_position(
     task. Instead:
 
     1. range-partition by ``order`` (Spark samples the keys to pick
-       balanced bounds) and sort inside each partition;
-    2. number rows inside each partition with
-       ``monotonically_increasing_id`` (documented layout: partition id in
-       the upper 31 bits, consecutive record number in the lower 33);
-    3. count rows per partition and turn the counts into offsets - a table
-       with one row per partition, so its size is bounded by ``partitions``
-       and it is safe to broadcast;
-    4. position = partition offset + row number inside the partition.
+       balanced bounds), sort inside each partition, number the rows there
+       with ``monotonically_increasing_id`` (documented layout: partition id
+       in the upper 31 bits, consecutive record number in the lower 33) and
+       write them once to the shared folder;
+    2. count the written rows per partition and turn the counts into
+       offsets - a table with one row per partition, so its size is bounded
+       by ``partitions`` and it is safe to broadcast;
+    3. position = partition offset + row number inside the partition.
+
+    Offsets and positions come from the same written rows, so they agree
+    whatever the planner does (range bounds are sampled anew for each copy
+    of an exchange).
 
     ``order`` must be a total order (unique keys) for the result to be
     deterministic. Optionally adds the total row count as ``total_name``.
     """
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # one range shuffle, read by both branches below (Spark reuses the exchange)
-    ranged = df.repartitionByRange(n_parts, *order)
-    numbered = (
-        ranged.sortWithinPartitions(*order)
+    path = fresh_path(spark, "positions")
+    (
+        df.repartitionByRange(n_parts, *order)
+        .sortWithinPartitions(*order)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
+        .write.parquet(path)
     )
-    sizes = ranged.select(F.spark_partition_id().alias("_pid")).groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    numbered = spark.read.parquet(path)
+    sizes = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "_pid",

@@ -72,18 +72,20 @@ def delay_by_region(delays: DataFrame) -> DataFrame:
     return _stats(delays, "region", "days_until_chart", "days_until_chart")
 
 
-def longest_streak(
-    charts: DataFrame,
-    max_gap: int = STREAK_MAX_GAP_DAYS,
-    distinct_days: bool = False,
-    method: str = "window",
-) -> DataFrame:
+def numbered_runs(per_day: DataFrame, max_gap: int = STREAK_MAX_GAP_DAYS) -> DataFrame:
+    """Rows per (track, region, date) with ``run_id``: a new run starts after a gap of more than ``max_gap`` days."""
+    w = Window.partitionBy(*KEY).orderBy(F.col("date").asc_nulls_first())
+    prev = F.lag("date").over(w)
+    starts = F.when(prev.isNull() | (F.datediff("date", prev) > max_gap), 1).otherwise(0)
+    return per_day.withColumn("run_id", F.sum(starts).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+
+def longest_streak(charts: DataFrame, max_gap: int = STREAK_MAX_GAP_DAYS) -> DataFrame:
     """Longest run of chart entries with gaps of at most ``max_gap`` days.
 
     Rule: sort a track-region's chart dates; a run continues while the next
     date is at most ``max_gap`` days after the previous one. The run length
-    counts entries, so a repeated date lengthens it (``distinct_days=True``
-    counts each day once instead). A track-region with fewer than two dated
+    counts entries, so a repeated date lengthens it. A track-region with fewer than two dated
     entries has length 1.
 
     Plan: count rows per (track, region, date) [partial aggregation] ->
@@ -92,50 +94,18 @@ def longest_streak(
     max per (track, region). The window input has one row per distinct
     day, so a hot track-region cannot blow up one task.
 
-    ``method="array"`` gives the same result without a window: the per-day
-    counts of a track-region are collected as a sorted array (one entry
-    per distinct day) and folded with ``aggregate``.
     Output: track_id, region, days_in_chart (int).
     """
-    per_day = charts.groupBy(*KEY, "date").agg(
-        (F.when(F.count("date") > 0, 1).otherwise(0) if distinct_days else F.count("date")).alias("n")
-    )
-    if method == "array":
-        return _streak_by_fold(per_day, max_gap)
-    if method != "window":
-        raise ValueError(f"unknown streak method: {method}")
-    w = Window.partitionBy(*KEY).orderBy(F.col("date").asc_nulls_first())
-    prev = F.lag("date").over(w)
-    starts = F.when(prev.isNull() | (F.datediff("date", prev) > max_gap), 1).otherwise(0)
-    runs = per_day.withColumn(
-        "run_id", F.sum(starts).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
+    per_day = charts.groupBy(*KEY, "date").agg(F.count("date").alias("n"))
     return (
-        runs.groupBy(*KEY, "run_id")
+        numbered_runs(per_day, max_gap)
+        .groupBy(*KEY, "run_id")
         .agg(F.sum("n").alias("run_len"))
         .groupBy(*KEY)
         .agg(F.greatest(F.max("run_len"), F.lit(1)).cast("int").alias("days_in_chart"))
     )
 
 
-def _streak_by_fold(per_day: DataFrame, max_gap: int) -> DataFrame:
-    """Streak from per-day counts by folding each track-region's sorted days."""
-    days = F.sort_array(F.collect_list(F.struct("date", "n")))
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("best"),
-        F.lit(0).cast("bigint").alias("cur"),
-        F.lit(None).cast("date").alias("prev"),
-    )
-
-    def step(acc, day):
-        goes_on = acc["prev"].isNotNull() & (F.datediff(day["date"], acc["prev"]) <= max_gap)
-        cur = F.when(F.coalesce(goes_on, F.lit(False)), acc["cur"] + day["n"]).otherwise(day["n"])
-        return F.struct(F.greatest(acc["best"], cur).alias("best"), cur.alias("cur"), day["date"].alias("prev"))
-
-    longest = F.aggregate(days, start, step, lambda acc: F.greatest(acc["best"], F.lit(1)))
-    return per_day.groupBy(*KEY).agg(longest.cast("int").alias("days_in_chart"))
-
-
 def track_region_summary(charts: DataFrame, max_gap: int = STREAK_MAX_GAP_DAYS) -> DataFrame:
     """L1 and L5 in one pass: release day, first chart day, entries, streak.
 
@@ -148,13 +118,7 @@ def track_region_summary(charts: DataFrame, max_gap: int = STREAK_MAX_GAP_DAYS)
     per_day = charts.groupBy(*KEY, "date").agg(
         F.count("date").alias("n"), F.min("release_day").alias("release_day")
     )
-    w = Window.partitionBy(*KEY).orderBy(F.col("date").asc_nulls_first())
-    prev = F.lag("date").over(w)
-    starts = F.when(prev.isNull() | (F.datediff("date", prev) > max_gap), 1).otherwise(0)
-    runs = per_day.withColumn(
-        "run_id", F.sum(starts).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-    per_run = runs.groupBy(*KEY, "run_id").agg(
+    per_run = numbered_runs(per_day, max_gap).groupBy(*KEY, "run_id").agg(
         F.sum("n").alias("run_len"), F.min("date").alias("run_first"), F.min("release_day").alias("release_day")
     )
     return per_run.groupBy(*KEY).agg(

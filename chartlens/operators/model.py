@@ -1,8 +1,7 @@
 """Model frame and learning: can audio features predict the peak rank?
 
-The frame has one row per (track, region). Its pieces share that key, so
-peak rank and features come from one aggregation and only the streak
-(which needs its own per-day pass) is joined, on the same key.
+The frame has one row per (track, region); peak rank, streak and features
+come from one pass over the chart rows.
 Fitting uses Spark ML (distributed tree and least-squares aggregation).
 """
 
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartlens.functions.buckets import hash_bucket
-from chartlens.operators.lifecycle import longest_streak
+from chartlens.operators.lifecycle import numbered_runs
 from chartlens.schema import (
     AUDIO_FEATURES,
     FOREST_DEPTH,
@@ -36,30 +35,45 @@ KEY = ["track_id", "region"]
 LABEL_SOURCE = "highest_ranking"
 
 
-def _feature_aggs():
-    # One value per (track, region). The reference takes ``first`` (row
-    # order dependent); ``min`` is the deterministic choice and equal to it
-    # when a track's features are the same on all its rows.
-    return [F.min(c).alias(c) for c in MODEL_FEATURES]
+def _features_of_first_row():
+    """The features of a group's first row: by date, rank and then the features themselves, NULLs last.
+
+    One whole row, so the vector is one that the data has; a missing value
+    in it stays missing.
+    """
+    order = [x for c in ("date", "rank", *MODEL_FEATURES) for x in (F.col(c).isNull(), F.col(c))]
+    keyed = F.struct(*[x.alias(f"_{i}") for i, x in enumerate(order)], *[F.col(c).alias(c) for c in MODEL_FEATURES])
+    return F.min(keyed)
 
 
 def audio_features(charts: DataFrame) -> DataFrame:
-    """Explicit flag and audio features per (track, region)."""
-    return charts.groupBy(*KEY).agg(*_feature_aggs())
+    """Explicit flag and audio features per (track, region) (R1), those of the first row."""
+    picked = charts.groupBy(*KEY).agg(_features_of_first_row().alias("_f"))
+    return picked.select(*KEY, *[F.col(f"_f.{c}").alias(c) for c in MODEL_FEATURES])
 
 
 def model_frame(charts: DataFrame) -> DataFrame:
     """Peak rank, streak and features per (track, region) (R2).
 
-    Peak rank and features: one aggregation. Streak: ``longest_streak``.
-    Both sides come out hash-partitioned on (track, region), so the inner
-    join adds no shuffle of its own. The streak is carried for analysis; it
+    One scan and two shuffles: the best rank and the first row's features
+    ride along the streak's own steps (per day, per run, per track-region;
+    see ``lifecycle.numbered_runs``). Rows without a track or region are not
+    part of it. The streak is carried for analysis; it
     is neither feature nor label.
     """
-    peak_features = charts.groupBy(*KEY).agg(F.min("rank").alias(LABEL_SOURCE), *_feature_aggs())
-    return peak_features.join(longest_streak(charts), KEY).select(
-        *KEY, LABEL_SOURCE, "days_in_chart", *MODEL_FEATURES
+    keyed = charts.where(F.col(KEY[0]).isNotNull() & F.col(KEY[1]).isNotNull())
+    per_day = keyed.groupBy(*KEY, "date").agg(
+        F.count("date").alias("n"), F.min("rank").alias("rank"), _features_of_first_row().alias("_f")
+    )
+    per_run = numbered_runs(per_day).groupBy(*KEY, "run_id").agg(
+        F.sum("n").alias("run_len"), F.min("rank").alias("rank"), F.min("_f").alias("_f")
     )
+    whole = per_run.groupBy(*KEY).agg(
+        F.min("rank").alias(LABEL_SOURCE),
+        F.greatest(F.max("run_len"), F.lit(1)).cast("int").alias("days_in_chart"),
+        F.min("_f").alias("_f"),
+    )
+    return whole.select(*KEY, LABEL_SOURCE, "days_in_chart", *[F.col(f"_f.{c}").alias(c) for c in MODEL_FEATURES])
 
 
 def complete_rows(frame: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> DataFrame:
@@ -128,7 +142,8 @@ def regression_metrics(
     """RMSE, MAE and R^2 in one aggregation (R7): one row (n, rmse, mae, r2).
 
     R^2 = 1 - SSE / SST with SST around the mean of the evaluated labels,
-    as Spark's ``RegressionEvaluator`` computes it. ``digits`` rounds the
+    as Spark's ``RegressionEvaluator`` computes it; NULL where the labels do
+    not vary, and all metrics are NULL without rows. ``digits`` rounds the
     three metrics (floating sums depend on summation order, so results
     compared across engines are rounded).
     """
@@ -138,14 +153,12 @@ def regression_metrics(
         F.count(F.lit(1)).alias("n"),
         F.sum(e * e).alias("sse"),
         F.sum(F.abs(e)).alias("sae"),
-        F.sum(y).alias("sy"),
-        F.sum(y * y).alias("syy"),
+        (F.var_pop(y) * F.count(y)).alias("sst"),
     )
-    sst = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
     metrics = {
-        "rmse": F.sqrt(F.col("sse") / F.col("n")),
-        "mae": F.col("sae") / F.col("n"),
-        "r2": F.lit(1.0) - F.col("sse") / sst,
+        "rmse": F.sqrt(F.try_divide("sse", "n")),
+        "mae": F.try_divide("sae", "n"),
+        "r2": F.lit(1.0) - F.try_divide("sse", "sst"),
     }
     return s.select(
         "n", *[(F.round(v, digits) if digits is not None else v).alias(k) for k, v in metrics.items()]
@@ -166,6 +179,13 @@ def feature_importance(
     return spark.createDataFrame(rows, schema).orderBy(F.col("importance").desc(), "index")
 
 
+def formula(model: LinearRegressionModel, features: Sequence[str] = MODEL_FEATURES, digits: int = 4) -> DataFrame:
+    """The linear model as one line of text: ``highest_ranking = ...`` (one row, ``formula``)."""
+    terms = [f"{float(model.intercept):.{digits}f}"]
+    terms += [f"({c:.{digits}f} * {f})" for f, c in zip(features, model.coefficients.toArray().tolist())]
+    return _session().createDataFrame([(f"{LABEL_SOURCE} = " + " + ".join(terms),)], "formula string")
+
+
 def coefficient_table(model: LinearRegressionModel, features: Sequence[str] = MODEL_FEATURES) -> DataFrame:
     """Coefficient, standard error, t and p value per feature and intercept.
 
@@ -210,4 +230,5 @@ __all__ = [
     "regression_metrics",
     "feature_importance",
     "coefficient_table",
+    "formula",
 ]

@@ -28,15 +28,18 @@ from chartlens.schema import TIERS
 def origins(track_regions: DataFrame, key: str = "track_id", day: str = "first_chart_day") -> DataFrame:
     """Region(s) where each key first charted (M1); ties give several rows.
 
+    A day in an unknown (NULL) region counts as a key's first day, but names
+    no origin.
+
     A window minimum per key replaces the reference's self-join to its own
     aggregate (one shuffle instead of two). Output: key, first_date,
     first_region.
     """
     w = Window.partitionBy(key)
-    valid = track_regions.where(F.col(key).isNotNull() & F.col("region").isNotNull() & F.col(day).isNotNull())
+    valid = track_regions.where(F.col(key).isNotNull() & F.col(day).isNotNull())
     return (
         valid.withColumn("first_date", F.min(day).over(w))
-        .where(F.col(day) == F.col("first_date"))
+        .where((F.col(day) == F.col("first_date")) & F.col("region").isNotNull())
         .select(key, "first_date", F.col("region").alias("first_region"))
     )
 
@@ -46,7 +49,8 @@ def first_arrivals(track_regions: DataFrame, key: str = "track_id", day: str = "
 
     For a region ``r`` the edge comes from the alphabetically first origin
     other than ``r`` (the reference keeps an arbitrary one); a region that
-    is the only origin gets no edge. Computed in one window pass per key:
+    is the only origin gets no edge. A key that first charted in an unknown
+    (NULL) region only has no origin and so no edge. Computed in one window pass per key:
     first day, smallest origin and second smallest origin; no join between
     origins and regions. Extra columns of ``track_regions`` (tier flags)
     are carried along.
@@ -54,7 +58,7 @@ def first_arrivals(track_regions: DataFrame, key: str = "track_id", day: str = "
     """
     extras = [c for c in track_regions.columns if c not in (key, "region", day)]
     w = Window.partitionBy(key)
-    valid = track_regions.where(F.col(key).isNotNull() & F.col("region").isNotNull() & F.col(day).isNotNull())
+    valid = track_regions.where(F.col(key).isNotNull() & F.col(day).isNotNull())
     s1 = valid.withColumn("from_date", F.min(day).over(w))
     is_origin = F.col(day) == F.col("from_date")
     s2 = s1.withColumn("_o1", F.min(F.when(is_origin, F.col("region"))).over(w))
@@ -62,7 +66,7 @@ def first_arrivals(track_regions: DataFrame, key: str = "track_id", day: str = "
     src = F.when(F.col("region") == F.col("_o1"), F.col("_o2")).otherwise(F.col("_o1"))
     return (
         s3.withColumn("from_region", src)
-        .where(F.col("from_region").isNotNull())
+        .where(F.col("from_region").isNotNull() & F.col("region").isNotNull())
         .select(
             key,
             "from_region",

@@ -8,7 +8,7 @@ states the question plainly in SQL, without the Spark plan's rewrites
 
 from __future__ import annotations
 
-from chartlens.sources.fixture import CHART_VIEW_SQL
+from chartlens.sources.fixture import CHART_VIEW_SQL, GROWING_VIEW_SQL
 
 RELEASE_DAY_SQL = """try_cast(case length(nullif(trim(release_date), '0000'))
            when 4 then nullif(trim(release_date), '0000') || '-01-01'
@@ -39,6 +39,11 @@ def sql(final: str, **ctes: str) -> str:
     return f"with {body}\n{final}"
 
 
+def growing(text: str) -> str:
+    """The same SQL over the growing fixture."""
+    return text.replace(CHART_VIEW_SQL, GROWING_VIEW_SQL)
+
+
 def stats_sql(src: str, by: str, value: str, suffix: str) -> str:
     return f"""select {by}, avg({value}) as avg_{suffix}, median({value}) as median_{suffix},
        min({value}) as min_{suffix}, max({value}) as max_{suffix}

@@ -2,20 +2,21 @@
 
 Each function takes the typed chart DataFrame (``sources.typed_charts`` or
 ``sources.read_chart_table``). Most only build lazy plans; the exceptions
-run jobs on purpose: ``tier_inputs`` writes the tier bridge table,
-``assembled_data`` checkpoints the model rows, and ``q5_forest`` /
-``q5_linear`` fit models.
+run jobs on purpose: ``tier_inputs`` writes the tier bridge and the numbered
+artists, ``assembled_data`` writes the model rows, and ``q5_forest`` /
+``q5_linear`` fit models. Written tables stay until the application's folder
+is removed, or the end of a ``session.scratch`` block.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartlens.operators import artists, clean, genres, lifecycle, model, spread
-from chartlens.schema import DANCEABLE_MIN, RELEASE_CUTOFF
-from chartlens.session import fresh_path, shared_dir
+from chartlens.schema import DANCEABLE_MIN, MODEL_FEATURES, RELEASE_CUTOFF
+from chartlens.session import fresh_path
+from chartlens.sources.charts import CORRUPT
 
 
 def lifecycle_base(charts: DataFrame) -> DataFrame:
@@ -34,25 +35,29 @@ def q2_streak(charts: DataFrame) -> DataFrame:
     return lifecycle.streak_by_region(lifecycle.longest_streak(lifecycle_base(charts)))
 
 
-def q1_q2(charts: DataFrame, materialized: bool = True):
+def q1_q2(charts: DataFrame):
     """Q1 and Q2 reports from one scan: (delay report, streak report).
 
     The per track-region summary (release, first day, streak) is computed in
     one pass and written once; both reports read it.
     """
-    summary = lifecycle.track_region_summary(lifecycle_base(charts))
-    if materialized:
-        summary = materialize(summary, "track-region-summary")
+    summary = materialize(lifecycle.track_region_summary(lifecycle_base(charts)), "track-region-summary")
     delay = lifecycle.delay_by_region(clean.valid_release(lifecycle.debut_delay(summary)))
     return delay, lifecycle.streak_by_region(summary)
 
 
 def funnel(charts: DataFrame) -> DataFrame:
-    """Rows left after each cleaning step, at row and track-region level."""
+    """Rows left after each cleaning step, at row and track-region level.
+
+    Charts that come from files (``read_charts``) have a first step that
+    leaves out their malformed rows.
+    """
     cutoff = F.lit(RELEASE_CUTOFF).cast("date")
+    well_formed = [("well formed", F.col(CORRUPT).isNull())] if CORRUPT in charts.columns else []
     rows = clean.filter_funnel(
         charts,
         [
+            *well_formed,
             ("chart is top200", F.col("chart") == "top200"),
             ("released after 2017-01-01", F.col("release_day") > cutoff),
         ],
@@ -71,6 +76,31 @@ def funnel(charts: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- Q4 tiers
+def tier_funnel(charts: DataFrame) -> DataFrame:
+    """Sizes along the tier question: rows, track-regions, artist rows, artists and track-regions per tier.
+
+    Output: (level, step_no, step, row_count). One scan of the chart rows;
+    the rest is counted on the written bridge.
+    """
+    bridge, tiers = tier_inputs(charts)
+    base = lifecycle_base(charts)
+    per_pair = base.groupBy("track_id", "region").agg(F.count(F.lit(1)).alias("n"))
+    sizes = per_pair.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("a"), F.count(F.lit(1)).alias("b"))
+    rows = sizes.selectExpr(
+        "stack(2, 0, 'released after 2017-01-01', a, 1, 'track-regions', b) as (step_no, step, row_count)"
+    )
+    pairs = bridge.agg(F.count(F.lit(1)).alias("a"), F.count_distinct("artist").alias("b"))
+    rows = rows.unionByName(
+        pairs.selectExpr("stack(2, 2, 'track-regions with artists, one per artist', a, 3, 'artists', b) as (step_no, step, row_count)")
+    )
+    rows = rows.select(F.lit("all").alias("level"), "step_no", "step", "row_count")
+    counts = tiers.groupBy("tier").agg(F.count(F.lit(1)).alias("row_count"))
+    rows = rows.unionByName(counts.select(F.col("tier").alias("level"), F.lit(4).alias("step_no"), F.lit("artists").alias("step"), "row_count"))
+    tracks = artists.tier_tracks(bridge, tiers).groupBy("tier").agg(F.count(F.lit(1)).alias("row_count"))
+    rows = rows.unionByName(tracks.select(F.col("tier").alias("level"), F.lit(5).alias("step_no"), F.lit("track-regions").alias("step"), "row_count"))
+    return rows.select("level", F.col("step_no").cast("int").alias("step_no"), "step", F.col("row_count").cast("bigint").alias("row_count"))
+
+
 def artist_rows(charts: DataFrame) -> DataFrame:
     """Cleaned top200 rows, one per artist (input of Q4)."""
     base = lifecycle_base(charts).select("track_id", "region", "date", "release_day", "artist")
@@ -92,16 +122,14 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def tier_inputs(charts: DataFrame, materialized: bool = True):
+def tier_inputs(charts: DataFrame):
     """(bridge, tiers) of the tier question.
 
     The bridge (distinct track, region, artist) is read twice: for the
     global artist counts and for the join back to tiers. It is written
     once (``materialize``) so the chart rows are scanned and exploded once.
     """
-    bridge = artists.artist_bridge(artist_rows(charts))
-    if materialized:
-        bridge = materialize(bridge, "tier-bridge")
+    bridge = materialize(artists.artist_bridge(artist_rows(charts)), "tier-bridge")
     tiers = artists.artist_tiers(artists.artist_counts(bridge))
     return bridge, tiers
 
@@ -166,6 +194,11 @@ def genre_rows(charts: DataFrame, date_col: str = "date") -> DataFrame:
     return genres.with_month(genres.with_genre(rows), date_col)
 
 
+def annotated_rows(charts: DataFrame, date_col: str = "date") -> DataFrame:
+    """Every chart row with its genre and month: the row-level genre dataset."""
+    return genres.with_month(genres.with_genre(charts.drop(CORRUPT)), date_col)
+
+
 def q6_best_genre(charts: DataFrame, date_col: str = "date") -> DataFrame:
     """Q6: leading genre per region and month."""
     return genres.best_genre(genres.genre_profile(genre_rows(charts, date_col)))
@@ -183,31 +216,43 @@ def model_data(charts: DataFrame) -> DataFrame:
     return model.train_test_split(model.complete_rows(frame))
 
 
-MODEL_ROWS_PER_PARTITION = 1_000_000
+# Partitions that models are trained in. A fitted forest depends on it (rows are
+# sampled per partition), so it is fixed, not derived from the data or the
+# cluster; raise it for much larger catalogues.
+MODEL_PARTITIONS = 32
 
 
-def assembled_data(charts: DataFrame, checkpoint: bool = True) -> DataFrame:
+def assembled_data(charts: DataFrame, partitions: int = MODEL_PARTITIONS) -> DataFrame:
     """Model rows with the feature vector, in a fixed layout, lineage cut.
 
-    Layout: the forest samples rows per partition from its seed, so the
-    rows are hash-partitioned by (track, region) into a partition count
-    that depends only on the row count (about a million rows each), and
-    sorted inside each partition. The seed then fixes every tree's sample
-    whatever the cluster size.
-
-    Fitting reads the data many times; a reliable checkpoint in the shared
-    folder (``spark.checkpoint.dir``) means each pass, and any task retried
-    after a lost executor, starts from the written rows instead of
-    re-running the aggregation plan.
+    The model rows are written once as parquet in the shared folder; every
+    pass of a fit, and any task retried after a lost executor, starts from
+    there. The forest samples rows per partition from its seed, so the rows
+    are hash-partitioned by (track, region) into ``partitions`` partitions and
+    sorted inside each: with the same ``partitions``, the seed fixes every
+    tree's sample whatever the size of the data, the cluster or its settings.
     """
-    frame = model.assemble(model_data(charts)).persist(StorageLevel.MEMORY_AND_DISK)
-    parts = max(1, -(-frame.count() // MODEL_ROWS_PER_PARTITION))
-    data = frame.repartition(parts, "track_id", "region").sortWithinPartitions("track_id", "region")
-    if checkpoint:
-        shared_dir(data.sparkSession)
-        data = data.checkpoint(eager=True)
-        frame.unpersist()
-    return data
+    rows = materialize(model_data(charts), "model-rows")
+    dealt = rows.repartition(partitions, "track_id", "region").sortWithinPartitions("track_id", "region")
+    return model.assemble(dealt)
+
+
+def model_funnel(charts: DataFrame) -> DataFrame:
+    """Rows left along the model question: chart rows, then model rows, then the two splits."""
+    cutoff = F.lit(RELEASE_CUTOFF).cast("date")
+    rows = clean.filter_funnel(
+        charts,
+        [("chart is top200", F.col("chart") == "top200"), ("released after 2017-01-01", F.col("release_day") > cutoff)],
+        level="rows",
+    )
+    frame = model.train_test_split(model.model_frame(lifecycle_base(charts)))
+    whole = F.lit(True)
+    for c in [*MODEL_FEATURES, model.LABEL_SOURCE]:
+        whole = whole & F.col(c).isNotNull()
+    frames = clean.filter_funnel(
+        frame, [("features and peak rank known", whole), ("train", F.col("split") == "train")], level="track_regions"
+    )
+    return rows.unionByName(frames)
 
 
 def split_of(data: DataFrame, which: str) -> DataFrame:

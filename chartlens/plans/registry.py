@@ -8,22 +8,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chartlens.operators import artists, clean, genres, lifecycle, model, spread
 from chartlens.plans import oracle as O
 from chartlens.plans import questions as Q
+from chartlens.plans.reports import TIER_ORIGIN_NAMES, TITLE_ORIGIN_NAMES
 from chartlens.schema import (
     AUDIO_FEATURES,
     CHART_COLUMNS,
     DANCEABLE_MIN,
     GENRES,
+    MODEL_FEATURES,
     RELEASE_CUTOFF,
     TIER_ORIGINS,
+    TITLE_ORIGINS,
 )
 from chartlens.session import fresh_path
-from chartlens.sources import chart_rows, read_report, typed_charts, write_report
+from chartlens.sources import chart_rows, growing_chart_rows, read_charts, read_report, typed_charts, write_report
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -36,8 +40,7 @@ def query(name: str, oracle: str | None = None):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return fn(charts_of(spark, sf_dir))
 
-        run.__name__ = name
-        run.__doc__ = fn.__doc__
+        run.__name__, run.__doc__ = name, fn.__doc__
         QUERIES[name] = run
         if oracle is not None:
             O.register(name, oracle)
@@ -46,6 +49,21 @@ def query(name: str, oracle: str | None = None):
     return wrap
 
 
+def growing_query(name: str, oracle: str):
+    """The same over the growing fixture, whose keys grow with the tables."""
+
+    def wrap(fn: Callable[[DataFrame], DataFrame]):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(typed_charts(growing_chart_rows(spark, sf_dir)))
+
+        run.__name__, run.__doc__ = name, fn.__doc__
+        QUERIES[name] = run
+        O.register(name, O.growing(oracle))
+        return fn
+
+    return wrap
+
+
 def charts_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed chart rows for a test-data folder."""
     return typed_charts(chart_rows(spark, sf_dir))
@@ -336,9 +354,12 @@ def _spread_by_destination(c: DataFrame) -> DataFrame:
     return Q.q4_spread(c)
 
 
-@query("from_origin", O.sql(f"select * from days where from_region in ({_in_list(TIER_ORIGINS)})", **ARTIST_CTES))
+FROM_ORIGIN_SQL = O.sql(f"select * from days where from_region in ({_in_list(TIER_ORIGINS)})", **ARTIST_CTES)
+
+
+@growing_query("from_origin", FROM_ORIGIN_SQL)
 def _from_origin(c: DataFrame) -> DataFrame:
-    """Q4 edges leaving France, Japan or the United Kingdom."""
+    """Q4 edges leaving France, Japan or the United Kingdom (F5), on the growing fixture."""
     return clean.from_origin(Q.tier_edges(c), TIER_ORIGINS)
 
 
@@ -559,14 +580,15 @@ def _top_genre_per_quartile(c: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- model (Q5)
-FEATURE_SQL = ", ".join(f"min({c}) as {c}" for c in ["explicit", *AUDIO_FEATURES])
+FIRST_ROW_SQL = ", ".join(f"{c} nulls last" for c in ["date", "rank", "explicit", *AUDIO_FEATURES])
 COMPLETE_SQL = " and ".join(
     [f"{c} is not null" for c in ["explicit", "highest_ranking"]]
     + [f"{c} is not null and not isnan({c})" for c in AUDIO_FEATURES]
 )
 MODEL_CTES = dict(
     **STREAK_CTES,
-    feats=f"select track_id, region, {FEATURE_SQL} from top group by track_id, region",
+    feats=f"""select track_id, region, explicit, {", ".join(AUDIO_FEATURES)} from top
+              qualify row_number() over (partition by track_id, region order by {FIRST_ROW_SQL}) = 1""",
     peak="select track_id, region, min(rank) as highest_ranking from top group by track_id, region",
     frame="""select p.track_id, p.region, p.highest_ranking, s.days_in_chart, f.* exclude (track_id, region)
              from peak p join streak s using (track_id, region) join feats f using (track_id, region)""",
@@ -602,10 +624,19 @@ def _train_test_split(c: DataFrame) -> DataFrame:
     return Q.model_data(c)
 
 
-@query("assembled")
+@query(
+    "assembled",
+    O.sql(
+        "select track_id, region, label, split, "
+        + ", ".join(f"cast({c} as double) as v{i}" for i, c in enumerate(["explicit", *AUDIO_FEATURES]))
+        + " from splitted",
+        **MODEL_CTES,
+    ),
+)
 def _assembled(c: DataFrame) -> DataFrame:
-    """Complete model rows with the 13-feature vector (R3); rows-only check."""
-    return model.assemble(Q.model_data(c)).select("track_id", "region", "label", "split", "features")
+    """Complete model rows with the 13-feature vector, as 13 doubles."""
+    rows = model.assemble(Q.model_data(c)).withColumn("v", vector_to_array("features"))
+    return rows.select("track_id", "region", "label", "split", *[F.col("v")[i].alias(f"v{i}") for i in range(13)])
 
 
 @query("forest_predictions")
@@ -653,7 +684,119 @@ def _coefficient_table(c: DataFrame) -> DataFrame:
     return model.coefficient_table(Q.q5_linear(c)[0])
 
 
-# ---------------------------------------------------------------- streaming ingest
+# Statements about the fitted models that hold whatever the fit, as rows that SQL can give.
+FEATURE_VALUES = ", ".join(f"({i}, '{c}')" for i, c in enumerate(["explicit", *AUDIO_FEATURES]))
+
+
+@query(
+    "importance_identities",
+    f"""select "index", feature, true as not_negative, 1.0e0 as total
+        from (values {FEATURE_VALUES}) v("index", feature)""",
+)
+def _importance_identities(c: DataFrame) -> DataFrame:
+    """Forest importances: one per feature, none negative, summing to 1."""
+    table = model.feature_importance(Q.q5_forest(c)[0])
+    total = F.round(F.sum("importance").over(Window.partitionBy()), 9)
+    return table.select("index", "feature", (F.col("importance") >= 0).alias("not_negative"), total.alias("total"))
+
+
+@query(
+    "coefficient_identities",
+    f"""select "index", feature, true as t_is_ratio, true as p_in_range
+        from (values {FEATURE_VALUES}, ({len(AUDIO_FEATURES) + 1}, 'intercept')) v("index", feature)""",
+)
+def _coefficient_identities(c: DataFrame) -> DataFrame:
+    """Coefficient table: t is coefficient over standard error, p a probability."""
+    table = model.coefficient_table(Q.q5_linear(c)[0])
+    ratio = F.abs(F.col("t_value") - F.col("coefficient") / F.col("std_error")) <= 1e-9 * (1 + F.abs("t_value"))
+    return table.select(
+        "index", "feature", ratio.alias("t_is_ratio"), F.col("p_value").between(0, 1).alias("p_in_range")
+    )
+
+
+@query(
+    "linear_normal_equations",
+    O.sql(
+        f"""select "index", feature, true as residuals_orthogonal, n
+            from (values {FEATURE_VALUES}, ({len(AUDIO_FEATURES) + 1}, 'intercept')) v("index", feature),
+                 (select count(*) as n from splitted where split = 'train')""",
+        **MODEL_CTES,
+    ),
+)
+def _linear_normal_equations(c: DataFrame) -> DataFrame:
+    """Training residuals are orthogonal to every feature and the intercept: the least-squares solution.
+
+    Each sum of residual x feature is at most 1e-8 of the sum of their absolute values.
+    """
+    data = Q.assembled_data(c)
+    fitted, _ = Q.q5_linear(c, data)
+    rows = fitted.transform(Q.split_of(data, "train")).withColumn("r", F.col("label") - F.col("prediction"))
+    inputs = {f: F.col(f).cast("double") for f in MODEL_FEATURES} | {"intercept": F.lit(1.0)}
+    sums = [
+        (F.abs(F.sum(F.col("r") * x)) <= 1e-8 * F.sum(F.abs("label") * (F.abs(x) + 1))).alias(f"o{i}")
+        for i, x in enumerate(inputs.values())
+    ]
+    wide = rows.agg(F.count(F.lit(1)).alias("n"), *sums)
+    stacked = ", ".join(f"{i}, '{f}', o{i}" for i, f in enumerate(inputs))
+    return wide.selectExpr("n", f"stack({len(inputs)}, {stacked}) as (index, feature, residuals_orthogonal)")
+
+
+@query(
+    "forest_identities",
+    O.sql(
+        """select track_id, region, label, true as in_train_range from splitted where split = 'test'""",
+        **MODEL_CTES,
+    ),
+)
+def _forest_identities(c: DataFrame) -> DataFrame:
+    """Forest predictions: one per test row, each within the range of the training labels."""
+    data = Q.assembled_data(c)
+    _, predicted = Q.q5_forest(c, data)
+    reach = Q.split_of(data, "train").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    low, high = reach.first()
+    return predicted.select("track_id", "region", "label", F.col("prediction").between(low, high).alias("in_train_range"))
+
+
+# ---------------------------------------------------------------- files and streaming ingest
+def _read_charts_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chart rows written as CSV shards with other columns between, in another order, with quotes and
+    commas inside fields, and read by name with ``read_charts`` (S1)."""
+    shards = fresh_path(spark, "named-shards")
+    rows = chart_rows(spark, sf_dir)
+    quoted = rows.withColumn("title", F.concat(F.lit('Say "Hi", '), "title"))
+    quoted = quoted.withColumn("extra", F.concat(F.lit("x, "), "track_id"))
+    order = ["extra", *reversed(CHART_COLUMNS), "long_date"]
+    quoted.select(*order).write.options(header=True, quote='"', escape='"').csv(shards)
+    return typed_charts(read_charts(spark, f"{shards}/*.csv")).select(*TYPED, "_corrupt_record")
+
+
+QUERIES["read_charts_by_name"] = _read_charts_by_name
+O.register(
+    "read_charts_by_name",
+    O.sql(
+        f"""select {TYPED_SQL.replace("title,", "'Say \"Hi\", ' || title as title,", 1)},
+                   cast(null as varchar) as _corrupt_record from chart"""
+    ),
+)
+
+
+def _streamed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV shards ingested by two runs with default arguments, half of the shards new to the second:
+    every row once (S1 incremental form)."""
+    from chartlens.streaming import ingest_chart_shards
+
+    shards, table = fresh_path(spark, "twice-shards"), fresh_path(spark, "twice-table")
+    rows = chart_rows(spark, sf_dir).drop("long_date")
+    for kept in (F.col("rank") % 2 == 0, F.col("rank") % 2 == 1):
+        rows.where(kept).write.mode("append").option("header", True).csv(shards)
+        ingest_chart_shards(spark, shards, table).awaitTermination()
+    return spark.read.parquet(table).select(*TYPED)
+
+
+QUERIES["streamed_twice"] = _streamed_twice
+O.register("streamed_twice", O.sql(f"select {TYPED_SQL} from chart"))
+
+
 def _streamed_chart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chart rows written as CSV shards, ingested by the streaming file source
     into the typed chart table, and read back (S1 incremental form)."""
@@ -730,3 +873,94 @@ def _forest_metrics(c: DataFrame) -> DataFrame:
 def _linear_metrics(c: DataFrame) -> DataFrame:
     """RMSE, MAE, R^2 of the linear model on the test split (R6 + R7); rows-only check."""
     return model.regression_metrics(Q.q5_linear(c)[1])
+
+
+# ---------------------------------------------------------------- the growing fixture: named reports and the flagship plans
+@growing_query(
+    "named_tier_corridors",
+    O.sql(
+        "select case from_region "
+        + " ".join(f"when '{o}' then '{n}'" for o, n in TIER_ORIGIN_NAMES.items())
+        + f""" end || '_' || tier as report, to_region, avg(days_to_popular) as avg_days_to_popular
+              from days where from_region in ({_in_list(TIER_ORIGINS)}) group by from_region, tier, to_region""",
+        **ARTIST_CTES,
+    ),
+)
+def _named_tier_corridors(c: DataFrame) -> DataFrame:
+    """The nine corridor reports per named origin and tier (M7)."""
+    names = F.create_map(*[F.lit(x) for pair in TIER_ORIGIN_NAMES.items() for x in pair])
+    rows = Q.q4_corridors(c, TIER_ORIGINS)
+    report = F.concat(names[F.col("from_region")], F.lit("_"), "tier")
+    return rows.select(report.alias("report"), "to_region", "avg_days_to_popular")
+
+
+@growing_query(
+    "named_title_corridors",
+    O.sql(
+        "select case from_region "
+        + " ".join(f"when '{o}' then '{n}'" for o, n in TITLE_ORIGIN_NAMES.items())
+        + f""" end as report, to_region, round(avg(days_to_popular), 0) as avg_days_to_popular
+              from t_edges where from_region in ({_in_list(TITLE_ORIGINS)}) group by from_region, to_region""",
+        **TITLE_CTES,
+    ),
+)
+def _named_title_corridors(c: DataFrame) -> DataFrame:
+    """The five corridor reports per named origin (M8)."""
+    names = F.create_map(*[F.lit(x) for pair in TITLE_ORIGIN_NAMES.items() for x in pair])
+    rows = Q.q3_corridors(c, TITLE_ORIGINS)
+    return rows.select(names[F.col("from_region")].alias("report"), "to_region", "avg_days_to_popular")
+
+
+growing_query("growing_artist_tiers", O.ORACLE["artist_tiers"])(_artist_tiers)
+growing_query("growing_delay_by_region", O.ORACLE["delay_by_region"])(_delay_by_region)
+growing_query("growing_streak_by_region", O.ORACLE["streak_by_region"])(_streak_by_region)
+growing_query("growing_spread_by_destination", O.ORACLE["spread_by_destination"])(_spread_by_destination)
+growing_query("growing_chart_day_spread", O.ORACLE["chart_day_spread"])(_chart_day_spread)
+growing_query("growing_model_frame", O.ORACLE["model_frame"])(_model_frame)
+
+
+# ---------------------------------------------------------------- funnels, annotated rows
+@query(
+    "tier_funnel",
+    O.sql(
+        """select 'all' as level, 0 as step_no, 'released after 2017-01-01' as step, count(*) as row_count from top
+           union all select 'all', 1, 'track-regions', count(*) from tr
+           union all select 'all', 2, 'track-regions with artists, one per artist', count(*) from bridge
+           union all select 'all', 3, 'artists', count(*) from counts
+           union all select tier, 4, 'artists', count(*) from tiers group by tier
+           union all select tier, 5, 'track-regions', count(*) from tier_tr group by tier""",
+        **ARTIST_CTES,
+    ),
+)
+def _tier_funnel(c: DataFrame) -> DataFrame:
+    """Sizes along the tier question (S3)."""
+    return Q.tier_funnel(c)
+
+
+@query(
+    "model_funnel",
+    O.sql(
+        """select 'rows' as level, 0 as step_no, 'input' as step, count(*) as row_count from chart
+           union all select 'rows', 1, 'chart is top200', count(*) from chart where chart = 'top200'
+           union all select 'rows', 2, 'released after 2017-01-01', count(*) from top
+           union all select 'track_regions', 0, 'input', count(*) from frame
+           union all select 'track_regions', 1, 'features and peak rank known', count(*) from complete
+           union all select 'track_regions', 2, 'train', count(*) from splitted where split = 'train'""",
+        **MODEL_CTES,
+    ),
+)
+def _model_funnel(c: DataFrame) -> DataFrame:
+    """Rows left along the model question (S3)."""
+    return Q.model_funnel(c)
+
+
+@query(
+    "annotated_rows",
+    O.sql("select track_id, region, rank, long_date, genre, month from a", **(GENRE_CTES | dict(
+        a=GENRE_CTES["g"].replace("select region, long_date,", "select track_id, rank, region, long_date,"),
+        g0=GENRE_CTES["g0"].replace("select region,", "select track_id, rank, region,"),
+    ))),
+)
+def _annotated_rows(c: DataFrame) -> DataFrame:
+    """Every chart row with its genre and month (G1 + G2), the row-level genre dataset."""
+    return Q.annotated_rows(c, GENRE_DATE).select("track_id", "region", "rank", "long_date", "genre", "month")

@@ -12,21 +12,27 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from chartlens.operators import clean, genres, model, spread
 from chartlens.plans import questions as Q
 from chartlens.schema import TIER_ORIGINS, TIERS, TITLE_ORIGINS
+from chartlens.session import scratch
 from chartlens.sources.charts import write_report
 
 
 # Report folder names, as the reference names its outputs
 # ({tier} is top, middle or bottom; {origin} is the origin's name below).
 REPORT_NAMES = {
+    "funnel": "filter_funnel",
     "delay": "question1",
     "streak": "question2",
+    "tier_funnel": "tier_funnel",
     "tier_spread": "artist_popularity_{tier}",
     "tier_corridor": "{origin}_{tier}",
     "title_corridor": "{origin}",
+    "genre_rows": "genre_rows",
+    "region_count": "region_count",
     "best_genre": "best_genres_per_month_per_region",
     "genre_counts": "records_per_genre_per_month_per_country",
     "genre_pivot": "popularity_per_genre_per_country",
@@ -37,6 +43,8 @@ REPORT_NAMES = {
     "linear_metrics": "linear_metrics",
     "importances": "rf_feature_importances",
     "coefficients": "linear_coefficients",
+    "formula": "linear_formula",
+    "model_funnel": "model_funnel",
 }
 
 
@@ -62,7 +70,8 @@ class _Out:
 
 
 def delay_and_streak(charts: DataFrame, out: _Out, **_) -> None:
-    """Q1 and Q2 reports, from one scan of the chart rows."""
+    """Q1 and Q2 reports, from one scan of the chart rows, and their funnel."""
+    out.put(Q.funnel(charts), REPORT_NAMES["funnel"])
     delay, streak = Q.q1_q2(charts)
     out.put(delay, REPORT_NAMES["delay"])
     out.put(streak, REPORT_NAMES["streak"])
@@ -71,18 +80,21 @@ def delay_and_streak(charts: DataFrame, out: _Out, **_) -> None:
 def tier_spread(charts: DataFrame, out: _Out, **_) -> None:
     """Q4: spread per tier, and corridors from the reference's origins per tier.
 
-    The tier edges are written once; the 12 reports read that table.
+    The tier edges are written once and aggregated once per kind of report;
+    the 12 reports are read from the two small tables.
     """
     edges = Q.materialize(Q.tier_edges(charts), "tier-edges")
-    spread4 = spread.spread_by_destination(edges)
-    corridors4 = spread.corridor_avg(clean.from_origin(edges, TIER_ORIGINS))
+    spread4 = Q.materialize(spread.spread_by_destination(edges), "tier-spread")
+    corridors4 = Q.materialize(spread.corridor_avg(clean.from_origin(edges, TIER_ORIGINS)), "tier-corridors")
+    out.put(Q.tier_funnel(charts), REPORT_NAMES["tier_funnel"])
     for tier in TIERS:
         name = REPORT_NAMES["tier_spread"].format(tier=tier)
-        out.put(spread4.where(spread4.tier == tier).drop("tier"), name)
+        rows = spread4.where(spread4.tier == tier).drop("tier")
+        out.put(rows.orderBy(F.desc("avg_days_until_chart"), "to_region"), name)
         for origin in TIER_ORIGINS:
             rows = corridors4.where((corridors4.tier == tier) & (corridors4.from_region == origin))
             name = REPORT_NAMES["tier_corridor"].format(origin=TIER_ORIGIN_NAMES[origin], tier=tier)
-            out.put(rows.select("to_region", "avg_days_to_popular"), name)
+            out.put(rows.select("to_region", "avg_days_to_popular").orderBy("avg_days_to_popular", "to_region"), name)
 
 
 def title_spread(charts: DataFrame, out: _Out, **_) -> None:
@@ -99,15 +111,18 @@ def title_spread(charts: DataFrame, out: _Out, **_) -> None:
 
 
 def genre_reports(charts: DataFrame, out: _Out, genre_date: str = "date", **_) -> None:
-    """Q6: leaders, counts, pivot, adoption speed, shares, quartile leaders.
+    """Q6: genre-annotated rows, leaders, counts, pivot, adoption speed, shares, quartile leaders.
 
-    One scan: every report derives from the per (region, month, genre)
-    statistics, written once.
+    The annotated rows are one scan; every other report derives from the per
+    (region, month, genre) statistics, written once.
     """
     stats = Q.materialize(genres.genre_month_stats(Q.genre_rows(charts, genre_date)), "genre-month-stats")
     counts = stats.select("region", "month", "genre", "record_count")
     shares = genres.genre_share(counts)
-    out.put(genres.best_genre(stats), REPORT_NAMES["best_genre"])
+    best = Q.materialize(genres.best_genre(stats), "best-genre")
+    out.put(Q.annotated_rows(charts, genre_date), REPORT_NAMES["genre_rows"])
+    out.put(best, REPORT_NAMES["best_genre"])
+    out.put(genres.region_count(best), REPORT_NAMES["region_count"])
     out.put(counts, REPORT_NAMES["genre_counts"])
     out.put(genres.genre_pivot(counts), REPORT_NAMES["genre_pivot"])
     out.put(genres.genre_spread(genres.genre_adoption(counts)), REPORT_NAMES["genre_spread"])
@@ -116,7 +131,7 @@ def genre_reports(charts: DataFrame, out: _Out, genre_date: str = "date", **_) -
 
 
 def model_reports(charts: DataFrame, out: _Out, **_) -> None:
-    """Q5: forest and linear metrics, importances, coefficients (one model frame)."""
+    """Q5: forest and linear metrics, importances, coefficients, formula (one model frame) and the funnel."""
     data = Q.assembled_data(charts)
     forest, forest_pred = Q.q5_forest(charts, data)
     linear, linear_pred = Q.q5_linear(charts, data)
@@ -124,6 +139,8 @@ def model_reports(charts: DataFrame, out: _Out, **_) -> None:
     out.put(model.regression_metrics(linear_pred), REPORT_NAMES["linear_metrics"])
     out.put(model.feature_importance(forest), REPORT_NAMES["importances"])
     out.put(model.coefficient_table(linear), REPORT_NAMES["coefficients"])
+    out.put(model.formula(linear), REPORT_NAMES["formula"])
+    out.put(Q.model_funnel(charts), REPORT_NAMES["model_funnel"])
 
 
 QUESTIONS: dict[str, Callable[..., None]] = {
@@ -149,22 +166,26 @@ def write_reports(
     its jobs from its own driver thread to the same session; the scheduler
     then runs their stages side by side instead of one question after the
     other (useful when one question's stages do not fill the cluster).
+    Tables written on the way are removed at the end.
     """
-    if not parallel or len(questions) < 2:
-        out = _Out(out_dir, fmt)
-        for q in questions:
-            QUESTIONS[q](charts, out, genre_date=genre_date)
-        return out.written
-
-    def run(q: str) -> list[str]:
-        charts.sparkSession.sparkContext.setJobDescription(f"chartlens report: {q}")
-        out = _Out(out_dir, fmt)
-        QUESTIONS[q](charts, out, genre_date=genre_date)
-        return out.written
-
-    with ThreadPoolExecutor(max_workers=len(questions)) as pool:
-        results = list(pool.map(run, questions))
-    return [p for paths in results for p in paths]
+    spark = charts.sparkSession
+    with scratch(spark) as folder:
+
+        def run(q: str) -> list[str]:
+            with scratch(spark, folder):
+                out = _Out(out_dir, fmt)
+                QUESTIONS[q](charts, out, genre_date=genre_date)
+                return out.written
+
+        if not parallel or len(questions) < 2:
+            return [p for q in questions for p in run(q)]
+
+        def described(q: str) -> list[str]:
+            spark.sparkContext.setJobDescription(f"chartlens report: {q}")
+            return run(q)
+
+        with ThreadPoolExecutor(max_workers=len(questions)) as pool:
+            return [p for paths in pool.map(described, questions) for p in paths]
 
 
 def write_all_reports(

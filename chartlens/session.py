@@ -9,8 +9,12 @@ when that setting is missing (local tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -49,10 +53,15 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
     Read from ``spark.checkpoint.dir``; set to a fresh local folder only when
-    the session has none (local runs and tests).
+    the session has none and runs in one local JVM (tests). Elsewhere a
+    session without one is an error: executors do not see a folder of the
+    driver's machine.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master: {master})")
         # spark.checkpoint.dir is fixed at start-up; the context setter is
         # the only runtime way to name one.
         current = tempfile.mkdtemp(prefix="chartlens-ckpt-")
@@ -71,5 +80,37 @@ def app_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path in this application's folder under the shared folder."""
-    return f"{app_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unused path in this application's folder under the shared folder.
+
+    Inside ``scratch`` it lies in that block's own folder.
+    """
+    base = getattr(_scope, "folder", None) or app_dir(spark)
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_scope = threading.local()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder through Spark's file systems, if it is there."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, folder: str | None = None) -> Iterator[str]:
+    """Tables that chartlens writes for its own use in this block are removed at its end.
+
+    Holds for this thread; other threads join a block by passing its
+    ``folder`` (and leave its removal to the thread that opened it).
+    """
+    before = getattr(_scope, "folder", None)
+    own = folder or f"{app_dir(spark)}/scratch-{uuid.uuid4().hex[:12]}"
+    _scope.folder = own
+    try:
+        yield own
+    finally:
+        _scope.folder = before
+        if folder is None:
+            remove(spark, own)

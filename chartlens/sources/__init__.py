@@ -9,7 +9,7 @@ from chartlens.sources.charts import (
     write_chart_table,
     write_report,
 )
-from chartlens.sources.fixture import CHART_VIEW_SQL, chart_rows
+from chartlens.sources.fixture import CHART_VIEW_SQL, GROWING_VIEW_SQL, chart_rows, growing_chart_rows
 
 __all__ = [
     "read_charts",
@@ -20,5 +20,7 @@ __all__ = [
     "with_release_day",
     "write_report",
     "chart_rows",
+    "growing_chart_rows",
     "CHART_VIEW_SQL",
+    "GROWING_VIEW_SQL",
 ]

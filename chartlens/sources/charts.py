@@ -4,36 +4,98 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartlens.functions.dates import release_day
-from chartlens.schema import CHART_COLUMNS, CHART_SCHEMA
+from chartlens.schema import AUDIO_FEATURES, CHART_COLUMNS, CHART_SCHEMA
 
 
-def read_charts(spark: SparkSession, path: str | list[str], fmt: str = "csv") -> DataFrame:
-    """Read chart rows with the fixed schema.
+CORRUPT = "_corrupt_record"
 
-    ``path`` may be a glob or a list of shards (``p_*.csv``); Spark reads all
-    shards as one table, split into tasks by
-    ``spark.sql.files.maxPartitionBytes``. No schema inference: inference
+# RFC 4180 quoting: a quote inside a quoted field is doubled.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+
+
+def csv_header(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Column names in the header of the first file of ``path`` (only its first line is read)."""
+    return spark.read.options(**CSV_OPTIONS).csv(path).columns
+
+
+def csv_schema(header: list[str]) -> T.StructType:
+    """All-text schema in the order of the file's header, and a column for malformed records.
+
+    Raises if a required column is missing or named twice.
+    """
+    missing = [c for c in CHART_COLUMNS if c not in header]
+    twice = [c for c in CHART_COLUMNS if header.count(c) > 1]
+    if missing or twice:
+        raise ValueError(f"chart file: missing columns {missing}, repeated columns {twice}; header {header}")
+    return T.StructType([T.StructField(c, T.StringType()) for c in [*header, CORRUPT]])
+
+
+def chart_columns(raw: DataFrame, strict: bool = False) -> DataFrame:
+    """Chart columns by name and type from raw columns, and ``_corrupt_record``.
+
+    A value that does not fit its type becomes NULL and its row is malformed:
+    ``_corrupt_record`` then holds the file's record, or the names of the
+    columns with such values. ``strict`` raises instead.
+    """
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in CHART_SCHEMA.fields}
+    bad = F.concat_ws(
+        ",", *[F.when(F.trim(F.col(n).cast("string")) != "", F.when(c.isNull(), F.lit(n))) for n, c in typed.items()]
+    )
+    record = F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")
+    corrupt = F.coalesce(record, F.when(bad != "", F.concat(F.lit("bad values: "), bad)))
+    if strict:
+        error = F.raise_error(F.concat(F.lit("malformed chart row: "), corrupt)).cast("string")
+        corrupt = F.when(corrupt.isNotNull(), error)
+    return raw.select(*[c.alias(n) for n, c in typed.items()], corrupt.alias(CORRUPT))
+
+
+def read_charts(
+    spark: SparkSession,
+    path: str | list[str],
+    fmt: str = "csv",
+    strict: bool = False,
+    multi_line: bool = False,
+) -> DataFrame:
+    """Read chart rows by column name (S1): ``CHART_SCHEMA`` and ``_corrupt_record``.
+
+    ``path`` may be a glob or a list of globs (``p_*.csv``); Spark reads all
+    shards of one as one table, split into tasks by
+    ``spark.sql.files.maxPartitionBytes``. Columns are taken by the names in
+    the header, whatever their order, and other columns are left out; a
+    missing column raises. Shards under one glob must share a header (Spark
+    compares each file's own and fails on a difference); shards with another
+    header are given as another element of the list. No type inference: it
     costs a full extra pass and types the same column differently from file
     to file. ``release_date`` stays text (see ``with_release_day``).
+
+    Malformed rows (too few or too many fields, or values that do not fit their
+    type) stay in the result with ``_corrupt_record`` set, and are counted by
+    ``questions.funnel``; ``strict`` raises on the first one that is read.
+    ``multi_line`` reads line breaks inside quoted fields; a file is then
+    read by one task.
     """
-    reader = spark.read
-    if fmt == "csv":
-        df = (
-            reader.schema(CHART_SCHEMA)
-            .option("header", True)
-            .option("mode", "PERMISSIVE")
-            .option("dateFormat", "yyyy-MM-dd")
-            .csv(path)
-        )
-    elif fmt == "parquet":
-        df = reader.parquet(*([path] if isinstance(path, str) else path))
-        # try_cast: a stray value becomes NULL, as in the permissive CSV read
-        df = df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in CHART_SCHEMA.fields])
-    else:
-        raise ValueError(f"unsupported chart format: {fmt}")
-    return df
+    paths = [path] if isinstance(path, str) else list(path)
+    out = None
+    for p in paths:
+        if fmt == "csv":
+            reader = spark.read.options(**CSV_OPTIONS).schema(csv_schema(csv_header(spark, p)))
+            # enforceSchema=false compares each file's header with the schema;
+            # without column pruning a record is judged as a whole
+            reader = reader.option("enforceSchema", False).option("mode", "PERMISSIVE").option("columnPruning", False)
+            raw = reader.option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", multi_line).csv(p)
+        elif fmt == "parquet":
+            raw = spark.read.parquet(p)
+            missing = [c for c in CHART_COLUMNS if c not in raw.columns]
+            if missing:
+                raise ValueError(f"chart file: missing columns {missing}")
+        else:
+            raise ValueError(f"unsupported chart format: {fmt}")
+        rows = chart_columns(raw, strict)
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def with_release_day(charts: DataFrame) -> DataFrame:
@@ -42,9 +104,13 @@ def with_release_day(charts: DataFrame) -> DataFrame:
 
 
 def typed_charts(charts: DataFrame) -> DataFrame:
-    """Chart columns in schema order plus the typed release day."""
+    """Chart columns in schema order plus the typed release day.
+
+    NaN features become NULL, so that means and minima skip them.
+    """
     extra = [c for c in charts.columns if c not in CHART_COLUMNS]
-    return with_release_day(charts.select(*CHART_COLUMNS, *extra))
+    clean = {c: F.when(~F.isnan(c), F.col(c)).alias(c) for c in AUDIO_FEATURES}
+    return with_release_day(charts.select(*[clean.get(c, c) for c in CHART_COLUMNS], *extra))
 
 
 def write_chart_table(

@@ -25,7 +25,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def chart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Regions that some nations of the test tables stand for in the
+# growing fixture, so that the named-origin reports have rows.
+REGION_OF_NATION = {
+    "NATION_0": "France",
+    "NATION_1": "Japan",
+    "NATION_2": "United Kingdom",
+    "NATION_3": "Luxembourg",
+    "NATION_4": "Dominican Republic",
+    "NATION_5": "Global",
+}
+
+
+def growing_chart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chart rows whose tracks, titles and artists grow with the tables.
+
+    As ``chart_rows``, but a track is a part (not one of 200), two parts share a title, three an
+    artist, every seventh part has a second artist, and six nations carry the
+    names of regions that the named-origin reports ask for.
+    """
+    rows = chart_rows(spark, sf_dir, fold_keys=False)
+    names = F.create_map(*[F.lit(x) for pair in REGION_OF_NATION.items() for x in pair])
+    return rows.withColumn("region", F.coalesce(names[F.col("region")], F.col("region")))
+
+
+def chart_rows(spark: SparkSession, sf_dir: str, fold_keys: bool = True) -> DataFrame:
     """Chart rows (``CHART_SCHEMA`` plus ``long_date``) from the test tables.
 
     Joins line items to orders, customers, nations and parts. Only the
@@ -48,7 +72,7 @@ def chart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .select(
-            (F.col("p_partkey") % 200).alias("k"),
+            (F.col("p_partkey") % 200 if fold_keys else F.col("p_partkey")).alias("k"),
             F.col("n_name").alias("region"),
             F.when(F.col("l_returnflag") == "R", "viral50").otherwise("top200").alias("chart"),
             (1 + (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 200).alias("rnk"),
@@ -73,6 +97,12 @@ def chart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .otherwise(F.concat(F.lit("A"), ((k * k) % 47).cast("string")))
     )
+    title = F.concat(F.lit("Title "), (k % 150 if fold_keys else F.floor(k / 2)).cast("string"))
+    if not fold_keys:
+        first = F.concat(F.lit("A"), F.floor(k / 3).cast("string"))
+        artist = F.when(k % 41 == 5, F.lit(None).cast("string")).when(
+            k % 7 == 0, F.concat(first, F.lit(", B"), F.floor(k / 70).cast("string"))
+        ).otherwise(first)
     release = (
         F.when(k % 20 == 0, F.lit("2017"))
         .when(k % 20 == 1, F.lit("0000"))
@@ -82,7 +112,7 @@ def chart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     out = s.select(
         F.concat(F.lit("T"), k.cast("string")).alias("track_id"),
-        F.concat(F.lit("Title "), (k % 150).cast("string")).alias("title"),
+        title.alias("title"),
         artist.alias("artist"),
         "region",
         "chart",
@@ -151,3 +181,20 @@ from (
   join part on l_partkey = p_partkey
 ) s
 """
+
+
+# The growing fixture as SQL: the same text with its own keys and regions.
+GROWING_VIEW_SQL = (
+    CHART_VIEW_SQL.replace("p_partkey % 200 as k", "p_partkey as k")
+    .replace("cast(k % 150 as string)", "cast(k // 2 as string)")
+    .replace(
+        """when k % 3 = 0 then 'A' || cast(k % 30 as string) || ', A' || cast((k * 7 + 3) % 53 as string)
+       else 'A' || cast((k * k) % 47 as string) end""",
+        """when k % 7 = 0 then 'A' || cast(k // 3 as string) || ', B' || cast(k // 70 as string)
+       else 'A' || cast(k // 3 as string) end""",
+    )
+    .replace(
+        "n_name as region",
+        "case n_name " + " ".join(f"when '{n}' then '{r}'" for n, r in REGION_OF_NATION.items()) + " else n_name end as region",
+    )
+)

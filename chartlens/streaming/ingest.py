@@ -4,9 +4,10 @@ Chart data arrives as CSV shards (one per day or per region). The batch
 reader (``sources.read_charts``) reads a glob of them at once; this is the
 same read done as a Structured Streaming file source, so each run only
 picks up shards it has not seen, types them (``release_day``) and appends
-them to the chart table partitioned by chart. The file sink plus the
-checkpoint in the shared folder make each shard land exactly once, also
-when a run is retried after a failure.
+them to the chart table partitioned by chart. The file sink's log in the
+table and the checkpoint belong together, so the checkpoint lies beside the
+table by default: every run of a table finds the same one, and each shard
+lands exactly once, also when a run is retried after a failure.
 """
 
 from __future__ import annotations
@@ -14,26 +15,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from chartlens.schema import CHART_SCHEMA
-from chartlens.session import fresh_path
-from chartlens.sources.charts import typed_charts
+from chartlens.sources.charts import CORRUPT, CSV_OPTIONS, chart_columns, csv_header, csv_schema, typed_charts
 
 
-def stream_chart_shards(spark: SparkSession, shard_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def stream_chart_shards(
+    spark: SparkSession, shard_dir: str, max_files_per_trigger: int | None = None, strict: bool = False
+) -> DataFrame:
     """Streaming DataFrame of chart rows from CSV shards in ``shard_dir``.
 
-    Fixed schema (a streaming file source cannot infer one safely), header
-    row per file, ISO dates.
+    Columns are taken by the names in the header of a shard that is there at
+    the start; a shard with another header fails the query. Malformed rows
+    are kept as in ``read_charts``.
     """
-    reader = (
-        spark.readStream.schema(CHART_SCHEMA)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("dateFormat", "yyyy-MM-dd")
-    )
+    reader = spark.readStream.schema(csv_schema(csv_header(spark, shard_dir))).options(**CSV_OPTIONS)
+    reader = reader.option("enforceSchema", False).option("mode", "PERMISSIVE").option("columnPruning", False)
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(shard_dir)
+    return chart_columns(reader.csv(shard_dir), strict)
 
 
 def ingest_chart_shards(
@@ -48,12 +47,12 @@ def ingest_chart_shards(
 
     ``available_now`` processes everything present and stops (a scheduled
     batch-style run); otherwise the query keeps running and picks up shards
-    as they land. The checkpoint defaults to a new folder under the shared
-    folder; pass the same one on every run of the same table.
+    as they land. The checkpoint is ``<table_path>_checkpoint`` unless given;
+    a table's runs must all use the same one.
     ``max_files_per_trigger`` bounds each micro-batch, so a large backlog
     of shards is appended in several commits instead of one huge one.
     """
-    ckpt = checkpoint_path or fresh_path(spark, "ingest-checkpoint")
+    ckpt = checkpoint_path or f"{table_path.rstrip('/')}_checkpoint"
     writer = (
         typed_charts(stream_chart_shards(spark, shard_dir, max_files_per_trigger))
         .writeStream.format("parquet")

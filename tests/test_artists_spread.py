@@ -145,3 +145,35 @@ def test_first_arrival_equals_brute_force(spark):
         if orig:
             want[(t, r)] = (orig[0], day)
     assert got == want
+
+
+@pytest.mark.parametrize("parts", [1, 7, 31])
+@pytest.mark.parametrize("setting", ["spark.sql.exchange.reuse", "spark.sql.adaptive.enabled"])
+def test_global_position_does_not_depend_on_the_planner(spark, parts, setting):
+    before = spark.conf.get(setting, "true")
+    spark.conf.set(setting, "false")
+    try:
+        df = spark.range(20000).selectExpr("(id * 7919) % 20011 as k", "id as x", "string(id) as y").repartition(5)
+        got = with_global_position(df, [F.col("k").desc()], partitions=parts).collect()
+    finally:
+        spark.conf.set(setting, before)
+    order = sorted((r.k for r in got), reverse=True)
+    want = {k: i + 1 for i, k in enumerate(order)}
+    assert all(r.position == want[r.k] for r in got)
+
+
+def test_unknown_region_counts_as_first_day(charts):
+    from chartlens.operators import lifecycle, spread
+
+    c = charts([
+        dict(track_id="T", region=None, date="2017-03-01"),
+        dict(track_id="T", region="X", date="2017-03-05"),
+        dict(track_id="T", region="Y", date="2017-03-09"),
+        dict(track_id="U", region="X", date="2017-03-01"),
+        dict(track_id="U", region=None, date="2017-03-02"),
+        dict(track_id="U", region="Y", date="2017-03-03"),
+    ])
+    tr = lifecycle.track_region(c)
+    assert [(r.track_id, r.first_region) for r in spread.origins(tr).collect()] == [("U", "X")]
+    edges = spread.first_arrivals(tr.select("track_id", "region", "first_chart_day")).collect()
+    assert [(r.track_id, r.from_region, r.to_region) for r in edges] == [("U", "X", "Y")]

@@ -101,7 +101,7 @@ def test_forest_repeatable_with_seed(spark, fitted):
 
 def test_linear_residuals_orthogonal_to_features(fitted):
     c, _, _, linear, _ = fitted
-    train = Q.split_of(Q.assembled_data(c, checkpoint=False), "train")
+    train = Q.split_of(Q.assembled_data(c), "train")
     res = linear.transform(train).withColumn("e", F.col("label") - F.col("prediction"))
     feats = ["af_danceability", "af_energy", "af_tempo"]
     sums = res.agg(*[F.sum(F.col("e") * F.col(f)).alias(f) for f in feats], F.sum("e").alias("e")).first()
@@ -141,7 +141,7 @@ def test_linear_model_equals_numpy_least_squares(fitted):
     from chartlens.schema import MODEL_FEATURES
 
     c, _, _, linear, _ = fitted
-    train = Q.split_of(Q.assembled_data(c, checkpoint=False), "train").select(*MODEL_FEATURES, "label")
+    train = Q.split_of(Q.assembled_data(c), "train").select(*MODEL_FEATURES, "label")
     rows = train.collect()
     x = np.array([[float(r[f]) for f in MODEL_FEATURES] for r in rows])
     y = np.array([r.label for r in rows])
@@ -155,3 +155,48 @@ def test_linear_model_equals_numpy_least_squares(fitted):
     got_se = np.array([r.std_error for r in table])
     np.testing.assert_allclose(got_beta, beta, rtol=1e-6, atol=1e-8)
     np.testing.assert_allclose(got_se, se, rtol=1e-6, atol=1e-8)
+
+
+def test_metrics_of_constant_labels(spark):
+    rows = [(3.0, 2.0), (3.0, 4.0)]
+    df = spark.createDataFrame(rows, "label double, prediction double")
+    assert tuple(model.regression_metrics(df).first()) == (2, 1.0, 1.0, None)
+    assert tuple(model.regression_metrics(df.where("label < 0")).first()) == (0, None, None, None)
+
+
+def test_features_come_from_one_row(charts):
+    rows = [
+        dict(date="2017-03-02", explicit=True, af_energy=0.1, af_key=0.4),
+        dict(date="2017-03-01", explicit=False, af_energy=0.9, af_key=None),
+    ]
+    for c in (charts(rows), charts(rows[::-1])):
+        r = model.audio_features(c).first()
+        assert (r.explicit, r.af_energy, r.af_key) == (False, 0.9, None)
+        f = model.model_frame(c).first()
+        assert (f.explicit, f.af_energy, f.af_key, f.days_in_chart) == (False, 0.9, None, 2)
+        assert model.complete_rows(model.model_frame(c)).count() == 0
+
+
+def test_forest_does_not_depend_on_cluster_settings(spark):
+    c = charts_of(spark, SF_SMALL)
+    found = []
+    for partitions in ("2", "13"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            data = Q.assembled_data(c.repartition(int(partitions)))
+            assert data.rdd.getNumPartitions() == Q.MODEL_PARTITIONS > 1
+            _, pred = Q.q5_forest(c, data)
+            found.append({(r.track_id, r.region): r.prediction for r in pred.collect()})
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
+
+
+def test_model_frame_is_one_scan(spark, tmp_path):
+    from chartlens.sources import chart_rows, read_chart_table, write_chart_table
+
+    write_chart_table(chart_rows(spark, SF_SMALL), str(tmp_path / "t"))
+    frame = model.model_frame(Q.lifecycle_base(read_chart_table(spark, str(tmp_path / "t"))))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan

@@ -67,8 +67,6 @@ def streak_of(charts, dates):
 )
 def test_streak_cases(charts, dates, expected):
     assert streak_of(charts, dates) == expected
-    rows = [dict(date=x) for x in dates] or [dict(date=None)]
-    assert lifecycle.longest_streak(charts(rows), method="array").first().days_in_chart == expected
 
 
 def python_rule(dates):
@@ -95,11 +93,6 @@ def test_streak_matches_rule_on_random_groups(charts):
     assert got == expected
 
 
-def test_distinct_days_option(charts):
-    c = charts([dict(date="2017-01-01"), dict(date="2017-01-01"), dict(date="2017-01-02")])
-    assert lifecycle.longest_streak(c, distinct_days=True).first().days_in_chart == 2
-
-
 def test_release_after_first_chart_day_dropped_in_q1_kept_in_q2(charts):
     c = charts([
         dict(track_id="late", region="X", release_date="2017-05-01", date="2017-03-01"),
@@ -162,15 +155,6 @@ def test_summary_gives_the_same_reports(spark):
     assert sorted(summary.select(cols).collect()) == sorted(tr.select(cols).collect())
 
 
-def test_streak_forms_agree_on_test_tables(spark):
-    from chartlens.plans.registry import charts_of
-    from tests.conftest import SF_SMALL
-
-    base = Q.lifecycle_base(charts_of(spark, SF_SMALL))
-    a = sorted(lifecycle.longest_streak(base).collect())
-    assert a == sorted(lifecycle.longest_streak(base, method="array").collect())
-
-
 def test_release_typing_agrees_with_oracle_sql(spark):
     import duckdb
 

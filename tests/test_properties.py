@@ -39,19 +39,6 @@ def test_tiers_are_thirds_of_the_ranking(spark, counts):
     assert got == want
 
 
-@SETTINGS
-@given(groups)
-def test_streak_array_form_equals_window_form(charts, offsets):
-    rows = []
-    for g, days in enumerate(offsets):
-        rows += [dict(track_id=f"t{g}", date=DAY0 + dt.timedelta(days=x)) for x in days]
-    rows.append(dict(track_id="nodate", date=None))
-    c = charts(rows)
-    a = sorted(lifecycle.longest_streak(c, method="window").collect())
-    b = sorted(lifecycle.longest_streak(c, method="array").collect())
-    assert a == b
-
-
 @SETTINGS
 @given(st.lists(st.text("AB ,\t", max_size=12), min_size=1, max_size=40))
 def test_artist_split_equals_trim_of_each_piece(spark, texts):

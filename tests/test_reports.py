@@ -7,7 +7,7 @@ import os
 from chartlens.__main__ import main
 from chartlens.plans.reports import write_all_reports
 from chartlens.plans.registry import charts_of
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_MID, SF_SMALL
 
 
 def test_write_all_reports(spark, tmp_path):
@@ -62,3 +62,38 @@ def test_cli_parquet_reports(spark, tmp_path):
     want = Q.q1_delay(typed_charts(c))
     assert got.schema == want.schema
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_reports_leave_no_scratch(spark, tmp_path):
+    from chartlens.plans.reports import write_reports
+    from chartlens.session import app_dir
+
+    def entries():
+        return set(os.listdir(app_dir(spark))) if os.path.isdir(app_dir(spark)) else set()
+
+    before = entries()
+    c = charts_of(spark, SF_SMALL)
+    names = write_reports(c, str(tmp_path / "out"), genre_date="long_date")
+    assert entries() == before
+    assert {"tier_funnel", "model_funnel", "filter_funnel", "genre_rows", "region_count", "linear_formula"} <= {
+        os.path.basename(n) for n in names
+    }
+    read = lambda n: spark.read.option("header", True).csv(str(tmp_path / "out" / n))
+    assert read("genre_rows").count() == c.count()
+    assert read("region_count").first()[0] == "25"
+    assert read("linear_formula").first()[0].startswith("highest_ranking = ")
+
+
+def test_named_reports_have_rows(spark, tmp_path):
+    from chartlens.plans.reports import TIER_ORIGIN_NAMES, TITLE_ORIGIN_NAMES, write_reports
+    from chartlens.schema import TIERS
+    from chartlens.sources import growing_chart_rows, typed_charts
+
+    c = typed_charts(growing_chart_rows(spark, SF_MID))
+    write_reports(c, str(tmp_path / "tiers"), ["tiers"])
+    write_reports(c, str(tmp_path / "titles"), ["titles"])
+    names = [f"tiers/{o}_{t}" for o in TIER_ORIGIN_NAMES.values() for t in TIERS]
+    names += [f"titles/{o}" for o in TITLE_ORIGIN_NAMES.values()]
+    for name in names:
+        rows = spark.read.option("header", True).csv(str(tmp_path / name)).collect()
+        assert rows and rows[0].__fields__ == ["to_region", "avg_days_to_popular"], name

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from chartlens.plans.registry import charts_of
 from chartlens.schema import CHART_COLUMNS
 from chartlens.sources import read_chart_table, read_charts, typed_charts, write_chart_table
@@ -45,3 +48,95 @@ def test_table_files_are_sorted_by_release_day(spark, tmp_path):
     for f in files:
         days = [d for d in pq.read_table(f, columns=["release_day"]).column(0).to_pylist() if d is not None]
         assert days == sorted(days)
+
+
+LINE = {c: "" for c in CHART_COLUMNS} | {
+    "track_id": "t1", "title": "Song", "artist": "A, B", "region": "X", "chart": "top200", "rank": "1",
+    "date": "2018-01-02", "release_date": "2017-05-01", "explicit": "False", "af_energy": "0.5",
+}
+
+
+def write_csv(path, names, rows):
+    def field(v):
+        return '"' + v.replace('"', '""') + '"' if any(c in v for c in ',"\n') else v
+
+    lines = [",".join(names)] + [r if isinstance(r, str) else ",".join(field(r.get(n, "")) for n in names) for r in rows]
+    path.write_text("\n".join(lines) + "\n")
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    names = ["extra", *reversed(CHART_COLUMNS), "other"]
+    write_csv(tmp_path / "a.csv", names, [LINE, LINE | {"title": 'Say "Hi", now', "extra": "1,2"}])
+    r1, r2 = sorted(read_charts(spark, str(tmp_path / "a.csv")).collect(), key=lambda r: r.title)[::-1]
+    assert (r1.track_id, r1.artist, r1.region, r1["rank"], str(r1.date), r1.explicit, r1.af_energy) == (
+        "t1", "A, B", "X", 1, "2018-01-02", False, 0.5
+    )
+    assert r1._corrupt_record is None and r2._corrupt_record is None
+    assert r2.title == 'Say "Hi", now' and r2.region == "X"
+
+
+def test_csv_line_breaks_in_fields(spark, tmp_path):
+    write_csv(tmp_path / "a.csv", CHART_COLUMNS, [LINE | {"title": "two\nlines"}, LINE])
+    got = read_charts(spark, str(tmp_path / "a.csv"), multi_line=True).collect()
+    assert sorted(r.title for r in got) == ["Song", "two\nlines"]
+
+
+def test_csv_headers_must_agree_or_be_listed_apart(spark, tmp_path):
+    for d in ("a", "b"):
+        (tmp_path / d).mkdir()
+    write_csv(tmp_path / "a" / "1.csv", CHART_COLUMNS, [LINE])
+    write_csv(tmp_path / "b" / "2.csv", list(reversed(CHART_COLUMNS)), [LINE | {"track_id": "t2"}])
+    with pytest.raises(Exception, match="(?i)header"):
+        read_charts(spark, str(tmp_path / "*" / "*.csv")).collect()
+    both = read_charts(spark, [str(tmp_path / "a"), str(tmp_path / "b")]).collect()
+    assert sorted((r.track_id, r.region) for r in both) == [("t1", "X"), ("t2", "X")]
+
+
+def test_csv_missing_column_fails(spark, tmp_path):
+    write_csv(tmp_path / "a.csv", [c for c in CHART_COLUMNS if c != "region"], [LINE])
+    with pytest.raises(ValueError, match="region"):
+        read_charts(spark, str(tmp_path / "a.csv"))
+
+
+def test_malformed_rows_are_kept_and_counted(spark, tmp_path):
+    from chartlens.plans import questions as Q
+
+    rows = [LINE, "only one field", LINE | {"rank": "first"}, LINE | {"date": "someday"}, LINE | {"rank": "", "track_id": "t5"}]
+    write_csv(tmp_path / "a.csv", CHART_COLUMNS, rows)
+    charts = typed_charts(read_charts(spark, str(tmp_path / "a.csv")))
+    assert charts.where("_corrupt_record is not null").count() == 3
+    # the same when few columns are asked for
+    assert charts.where("_corrupt_record is not null").select("region").count() == 3
+    funnel = {(r.level, r.step): r.row_count for r in Q.funnel(charts).collect()}
+    assert funnel[("rows", "input")] == 5 and funnel[("rows", "well formed")] == 2
+    with pytest.raises(Exception, match="malformed"):
+        read_charts(spark, str(tmp_path / "a.csv"), strict=True).collect()
+    assert read_charts(spark, str(tmp_path / "a.csv")).count() == 5
+
+
+def test_nan_features_are_missing(charts):
+    from chartlens.operators import genres
+    from chartlens.plans import questions as Q
+
+    c = charts([dict(af_danceability=float("nan"), af_energy=0.2), dict(af_danceability=0.4, af_energy=0.4)])
+    assert genres.genre_profile(Q.genre_rows(c).withColumn("genre", F.lit("g"))).first().avg_danceability == 0.4
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    from chartlens.session import shared_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())

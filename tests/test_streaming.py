@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from chartlens.schema import CHART_COLUMNS
 from chartlens.sources import read_chart_table, read_charts, typed_charts
 from chartlens.streaming import ingest_chart_shards
@@ -37,3 +39,25 @@ def test_incremental_ingest_matches_batch(spark, tmp_path):
     got = key_rows(read_chart_table(spark, str(table)))
     assert got == key_rows(typed_charts(read_charts(spark, str(shards))))
     assert [r[0] for r in got] == ["a", "b", "c", "d", "e"]  # each shard exactly once
+
+
+def test_runs_with_default_arguments_lose_nothing(spark, tmp_path):
+    shards, table = tmp_path / "in", tmp_path / "table"
+    shards.mkdir()
+    for n, track in enumerate("abc"):
+        shard(shards / f"p_{n}.csv", [row(track, "2017-03-01", "2017")])
+        ingest_chart_shards(spark, str(shards), str(table)).awaitTermination()
+        got = [r[0] for r in key_rows(read_chart_table(spark, str(table)))]
+        assert got == sorted("abc"[: n + 1])
+    ingest_chart_shards(spark, str(shards), str(table)).awaitTermination()
+    assert read_chart_table(spark, str(table)).count() == 3
+
+
+def test_shard_with_another_header_fails(spark, tmp_path):
+    shards = tmp_path / "in"
+    shards.mkdir()
+    shard(shards / "p_1.csv", [row("a", "2017-03-01", "2017")])
+    ingest_chart_shards(spark, str(shards), str(tmp_path / "t")).awaitTermination()
+    (shards / "p_2.csv").write_text(",".join(reversed(CHART_COLUMNS)) + "\n" + row("b", "2017-03-01", "2017") + "\n")
+    with pytest.raises(Exception):
+        ingest_chart_shards(spark, str(shards), str(tmp_path / "t")).awaitTermination()
