@@ -87,7 +87,7 @@ def likelihood_slope(j, n_a, n_b, more, less):
 
 def estimate(n_a, n_b, more, less) -> np.ndarray:
     """Maximum likelihood estimate of J (the log-likelihood is concave in J)."""
-    n_a, n_b = np.asarray(n_a, float), np.asarray(n_b, float)
+    n_a, n_b, more, less = (np.asarray(x, float) for x in (n_a, n_b, more, less))
     low, high = np.zeros(np.shape(more)), np.minimum(n_a, n_b) / np.maximum(n_a, n_b)
     for _ in range(40):
         mid = (low + high) / 2
@@ -192,7 +192,8 @@ def _joined(batches, threshold: float, percent: int) -> Iterator[pd.DataFrame]:
     """Links, confirmed on full sets, that join components; one for each two parts that meet in a block."""
     for frame, cuts in whole_groups(batches, BLOCK_KEYS):
         i, j = _apart(frame, cuts, threshold)
-        sig, items = frame["sig"].to_numpy(), frame["items"].to_numpy()
+        sig = frame["sig"].to_numpy()
+        items = [np.asarray(x, np.int64).view(_U) for x in frame["items"]]  # sorted as unsigned
         label = np.searchsorted(cuts, np.arange(len(frame)), "right") * len(frame) + pd.factorize(frame["root"])[0]
         turn = np.argsort(i, kind="stable")
         i, j = i[turn], j[turn]

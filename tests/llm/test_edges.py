@@ -316,7 +316,8 @@ def test_nearest_examples_are_exact(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     model = toxicity.fit(docs, docs.select("doc_id", "toxic"))
     dense = np.zeros((len(model.ids), len(model.terms.terms)))
-    number = np.repeat(np.arange(len(model.terms.terms)), np.diff(model.first))
+    cells = np.repeat(np.arange(len(model.first) - 1), np.diff(model.first))
+    number = cells // model.block_max.shape[1]
     dense[model.example, number] = model.weight
     for x, w in model.vectors([r[1] for r in rows[:100]]):
         q = np.zeros(dense.shape[1])
