@@ -28,21 +28,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import by_bytes, hashed, ship, table
-from .text import mix
 
 EXAMPLES = 2048  # of each class at most
 VOCABULARY = 16384  # terms at most
 NEIGHBOURS = 16
 BLOCK = 32  # examples
+ROUND = 8  # blocks scored first
 GRAM = 5  # bytes
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 BATCH_BYTES = 2 << 20
+EVIDENCE = 3  # examples returned with a score
+REMEMBERED = 50_000  # results
 
 _U = np.uint64
 _SPACES = bytes(32 if b in (9, 10, 11, 12, 13) else b for b in range(256))
 _MASK = _U((1 << 8 * GRAM) - 1)
 _FILTER_BITS = 20
+_NONE = np.empty(0, np.int64)
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +104,7 @@ class Model:
     idf: np.ndarray
     ids: np.ndarray  # examples' doc_ids
     toxic: np.ndarray
-    first: np.ndarray  # postings of term t: first[t] to first[t + 1]
+    first: np.ndarray  # postings of term t in block b: from first[t * blocks + b] to the next
     example: np.ndarray
     weight: np.ndarray
     block_max: np.ndarray  # term x block
@@ -109,44 +112,74 @@ class Model:
     levels: np.ndarray  # probabilities at these votes
     silent: float  # probability without any shared term
 
-    def vectors(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    def __post_init__(self) -> None:
+        #: results by vector, as most texts share their few terms with others
+        self.known: dict[bytes, tuple[float, np.ndarray, np.ndarray]] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"known": {}}
+
+    def scores(self, texts: list[str]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """Probability, nearest examples (positions) and cosines of each text."""
         owner, number, count = self.terms.counts(texts)
-        cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
+        cuts = np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
         out = []
         for a, b in zip(cuts[:-1], cuts[1:]):
-            w = (1 + np.log(count[a:b])) * self.idf[number[a:b]]
-            norm = np.sqrt((w * w).sum())
-            out.append((number[a:b], w / norm if norm else w))
+            if a == b:
+                out.append((self.silent, _NONE, _NONE))
+                continue
+            key = number[a:b].tobytes() + count[a:b].tobytes()
+            found = self.known.get(key)
+            if found is None:
+                at, cosine = self.nearest(number[a:b], self.weights(number[a:b], count[a:b]))
+                found = (self.probability(self.vote(at, cosine)) if len(at) else self.silent, at[:EVIDENCE], cosine[:EVIDENCE])
+                if len(self.known) < REMEMBERED:
+                    self.known[key] = found
+            out.append(found)
         return out
 
+    def weights(self, number: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """TF-IDF weights of unit length."""
+        w = (1 + np.log(count)) * self.idf[number]
+        norm = np.sqrt((w * w).sum())
+        return w / norm if norm else w
+
+    def vectors(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        owner, number, count = self.terms.counts(texts)
+        cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
+        return [(number[a:b], self.weights(number[a:b], count[a:b])) for a, b in zip(cuts[:-1], cuts[1:])]
+
     def nearest(self, number: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k nearest examples (positions) and their cosines, exactly; ties by position. ``but`` is left out."""
+        """The k nearest examples (positions) and their cosines, exactly. ``but`` is left out.
+
+        Of equal cosines those in blocks of larger bounds come first, then by position.
+        """
         if not len(number):
-            return np.empty(0, np.int64), np.empty(0)
+            return _NONE, np.empty(0)
         bound = w @ self.block_max[number]
-        lengths = self.first[number + 1] - self.first[number]
-        places = np.repeat(self.first[number] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-        example, part = self.example[places], np.repeat(w, lengths) * self.weight[places]
         order = np.argsort(-bound, kind="stable")
-        at, cosine = np.empty(0, np.int64), np.empty(0)
-        done = 0
+        order = order[bound[order] > 0]
+        at, cosine, done = _NONE, np.empty(0), 0
         while done < len(order):
-            size = max(1, min(8, len(order))) if not done else len(order) - done
-            least = cosine[k - 1] if len(cosine) >= k else 0.0
-            blocks = order[done : done + size]
-            blocks = blocks[bound[blocks] >= least - 1e-12]
-            blocks = blocks[bound[blocks] > 0]
-            done += size
+            blocks = order[done : done + ROUND] if not done else order[done:]
+            done += len(blocks)
+            if len(cosine) >= k:
+                blocks = blocks[bound[blocks] > cosine[k - 1] + 1e-12]
             if not len(blocks):
                 break
-            wanted = np.zeros(len(order), bool)
-            wanted[blocks] = True
-            mine = wanted[example // BLOCK]
-            total = np.bincount(example[mine], part[mine], len(self.ids))
-            new = np.flatnonzero(total > 0)
-            new = new[new != but]
-            at, cosine = np.concatenate([at, new]), np.concatenate([cosine, total[new]])
-            best = np.lexsort((at, -cosine))[:k]
+            # the postings of these terms in these blocks
+            cell = (number[:, None] * self.block_max.shape[1] + blocks).ravel()
+            start, length = self.first[cell], self.first[cell + 1] - self.first[cell]
+            total = length.sum()
+            places = np.repeat(start - np.cumsum(length) + length, length) + np.arange(total)
+            part = np.repeat(np.repeat(w, len(blocks)), length) * self.weight[places]
+            sums = np.bincount(self.example[places], part, len(self.ids))
+            new = np.flatnonzero(sums)
+            if but >= 0:
+                new = new[new != but]
+            rank = np.concatenate([np.arange(len(at)), len(at) + np.arange(len(new))])
+            at, cosine = np.concatenate([at, new]), np.concatenate([cosine, sums[new]])
+            best = np.lexsort((rank, -cosine))[:k]
             at, cosine = at[best], cosine[best]
         return at, cosine
 
@@ -264,7 +297,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
 
     # at most 2 * EXAMPLES rows of at most VOCABULARY numbers
     kept = examples.mapInPandas(vector, "doc_id long, toxic int, number array<long>, count array<long>").collect()
-    kept.sort(key=lambda r: (r["toxic"], r["number"][:1], mix(np.array([r["doc_id"]]).astype(_U))[0]))
+    kept.sort(key=lambda r: (r["toxic"], r["number"], r["doc_id"]))  # like examples share blocks
     ids, toxic = np.array([r["doc_id"] for r in kept]), np.array([r["toxic"] for r in kept], float)
     own = []
     for r in kept:
@@ -274,11 +307,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     example = np.repeat(np.arange(len(kept)), [len(x) for x, _ in own])
     number = np.concatenate([x for x, _ in own])
     weight = np.concatenate([w for _, w in own])
+    blocks = -(-len(kept) // BLOCK)
     turn = np.lexsort((example, number))
     number, example, weight = number[turn], example[turn], weight[turn]
-    block_max = np.zeros((len(terms.terms), -(-len(kept) // BLOCK)))
+    block_max = np.zeros((len(terms.terms), blocks))
     np.maximum.at(block_max, (number, example // BLOCK), weight)
-    first = np.searchsorted(number, np.arange(len(terms.terms) + 1))
+    first = np.searchsorted(number * blocks + example // BLOCK, np.arange(len(terms.terms) * blocks + 1))
     model = Model(terms, idf, ids, toxic, first, example, weight, block_max, np.zeros(1), np.zeros(1), 0.0)
 
     # each example's own neighbours; classes weigh as in all labels
@@ -297,32 +331,6 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     return model
 
 
-def score_rows(rows: DataFrame, model: Model | None, names: list[str], kinds: str) -> DataFrame:
-    """``rows`` (with a column ``text``) with score and evidence added, in the order of ``names``."""
-
-    def run(batches) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = _texts(batch["text"])
-            score, evidence = np.zeros(len(texts)), [[] for _ in texts]
-            if model is not None:
-                for i, (number, w) in enumerate(model.vectors(texts)):
-                    at, cosine = model.nearest(number, w)
-                    if len(at):
-                        score[i] = model.probability(model.vote(at, cosine))
-                        evidence[i] = [
-                            {"doc_id": int(model.ids[e]), "cosine": float(s), "toxic": int(model.toxic[e])}
-                            for e, s in zip(at[:3], cosine)
-                        ]
-                    else:
-                        score[i] = model.silent
-            yield batch.assign(score=score, evidence=evidence)[names]
-
-    return rows.mapInPandas(run, kinds)
-
-
-EVIDENCE = "array<struct<doc_id: long, cosine: double, toxic: int>>"
-
-
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per row: doc_id, held_out, score (0 to 1), predicted, evidence (the three nearest examples).
 
@@ -333,9 +341,24 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     model = fit(docs, labels)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "text")
-    names = ["doc_id", "held_out", "score", "evidence"]
-    out = score_rows(rows, model, names, f"doc_id {kind}, held_out boolean, score double, evidence {EVIDENCE}")
-    return out.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "evidence")
+
+    def run(batches) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = _texts(batch["text"])
+            found = model.scores(texts) if model is not None else [(0.0, _NONE, _NONE)] * len(texts)
+            out = batch[["doc_id", "held_out"]].copy()
+            out["score"] = [f[0] for f in found]
+            out["near"] = [model.ids[f[1]] if len(f[1]) else _NONE for f in found]
+            out["cosine"] = [f[2] for f in found]
+            out["toxic"] = [model.toxic[f[1]] if len(f[1]) else _NONE for f in found]
+            yield out
+
+    out = rows.mapInPandas(
+        run, f"doc_id {kind}, held_out boolean, score double, near array<long>, cosine array<double>, toxic array<double>"
+    )
+    evidence = F.arrays_zip(F.col("near").alias("doc_id"), "cosine", F.col("toxic").cast("array<int>").alias("toxic"))
+    predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
+    return out.select("doc_id", "held_out", "score", predicted, evidence.alias("evidence"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -347,11 +370,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
 
     def run(batches) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            score = np.full(len(batch), model.silent)
-            for i, (number, w) in enumerate(model.vectors(_texts(batch["text"]))):
-                at, cosine = model.nearest(number, w)
-                if len(at):
-                    score[i] = model.probability(model.vote(at, cosine))
+            score = np.array([f[0] for f in model.scores(_texts(batch["text"]))])
             yield batch[names][score < threshold]
 
     return docs.mapInPandas(run, docs.schema)
