@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bytes, hashed, ship, table
+from .common import by_bytes, hashed, ship, table, written
 
 EXAMPLES = 2048  # of each class at most
 VOCABULARY = 16384  # terms at most
@@ -238,7 +238,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         return None
     sample = [known.where(F.col("toxic") == c).orderBy(hashed(F.col("doc_id")), "doc_id").limit(EXAMPLES) for c in (0, 1)]
     sample = spark.createDataFrame(sample[0].union(sample[1]).toPandas(), "doc_id long, toxic int")  # at most 2 * EXAMPLES ids
-    examples = rows.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    examples = written(rows.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]), "examples")
+    examples = examples.repartition("doc_id")
 
     def present(batches) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -254,6 +255,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         return None
     found = examples.select("text", "toxic").mapInPandas(present, "term long, toxic long").groupBy("term")
     found = found.agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
+    found = written(found, "terms")
     all_terms = found.count()
     n1, n0 = float(n[1]), float(n[0])
     c, d = F.lit(n1) - F.col("a"), F.lit(n0) - F.col("b")
