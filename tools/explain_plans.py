@@ -39,12 +39,14 @@ def main():
         args = [a for a in args if a != write_to]
     doc = ["# Physical plans of the headline questions", "",
            "Generated by `python tools/explain_plans.py --write docs/PLANS.md` on the typed chart table of",
-           "sf0.001 (local session, AQE on). Each block is the final adaptive plan after the query ran;",
+           "sf0.1 (local session, AQE on, broadcast joins off as for tables too large for them). Each block is the final adaptive plan after the query ran;",
            "`*(n)` marks operators inside whole-stage code generation.", ""]
     spark = local_session()
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # full filter lists
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     path = fresh_path(spark, "explain-charts")
-    write_chart_table(chart_rows(spark, "/root/testdata/sf0.001"), path)
+    write_chart_table(chart_rows(spark, "/root/testdata/sf0.1"), path)
     charts = read_chart_table(spark, path)
     for name, fn in PLANS.items():
         if args and name not in args:
