@@ -64,12 +64,24 @@ def _gram(batches, width: int) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"place": np.arange(width * width), "value": total.ravel()})
 
 
-def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact inner products, row by row."""
+def _leading(q, c, mask, order, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, column and exact score of the k best entries under ``mask`` in each row; ties to the smaller ``order``."""
     most = np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * q.shape[1]
-    if most < 2.0**53:
-        return np.einsum("ij,ij->i", q, c).astype(np.int64)
-    return np.einsum("ij,ij->i", q.astype(np.int64), c.astype(np.int64))
+    if most * len(c) < 2.0**52:  # products and places among ties fit a double exactly
+        key = np.where(mask, (q @ c.T) * len(c) + (len(c) - 1 - order), -np.inf)
+        keep = min(k, len(c))
+        j = np.argpartition(-key, keep - 1, axis=1)[:, :keep] if keep < len(c) else np.tile(np.arange(len(c)), (len(q), 1))
+        best = np.take_along_axis(key, j, axis=1)
+        i = np.repeat(np.arange(len(q)), keep)[np.isfinite(best).ravel()]
+        score = np.floor(best[np.isfinite(best)] / len(c)).astype(np.int64)
+        return i, j[np.isfinite(best)], score
+    i, j = np.nonzero(mask)
+    qs, cs = q.astype(np.int64), c.astype(np.int64)
+    score = np.concatenate([(qs[i[n : n + 65536]] * cs[j[n : n + 65536]]).sum(axis=1) for n in range(0, len(i), 65536)] or [np.empty(0, np.int64)])
+    turn = np.lexsort((order[j], -score, i))
+    i, j, score = i[turn], j[turn], score[turn]
+    first = np.arange(len(i)) - np.searchsorted(i, i) < k
+    return i[first], j[first], score[first]
 
 
 def search(query_ids, q, floor, ids, c, norms, basis, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,11 +105,15 @@ def search(query_ids, q, floor, ids, c, norms, basis, k: int) -> tuple[np.ndarra
         if not len(live):
             break  # no later candidate is longer
         upper = turned_q[live, :head] @ turned_c[a:b, :head].T + np.outer(rest_q[live], rest_c[a:b])
-        i, j = np.nonzero(upper + slack[live, None] >= bound[live, None])
-        i, j = live[i], j + a
-        other = query_ids[i] != ids[j]
-        i, j = i[other], j[other]
-        score = np.concatenate([_scores(q[i[s : s + 65536]], c[j[s : s + 65536]]) for s in range(0, len(i), 65536)] or [np.empty(0, np.int64)])
+        mask = (upper + slack[live, None] >= bound[live, None]) & (query_ids[live, None] != ids[None, a:b])
+        rows, columns = mask.any(axis=1), mask.any(axis=0)
+        if not rows.any():
+            continue
+        rows, columns = live[rows], a + np.flatnonzero(columns)
+        place = np.argsort(np.argsort(ids[columns], kind="stable"), kind="stable")
+        within = mask[np.ix_(np.searchsorted(live, rows), columns - a)]
+        i, j, score = _leading(q[rows], c[columns], within, place, k)
+        i, j = rows[i], columns[j]
         enough = score >= bound[i]
         i, j, score = (np.concatenate([old, new[enough]]) for old, new in zip(best, (i, j, score)))
         turn = np.lexsort((ids[j], -score, i))
