@@ -327,8 +327,8 @@ def near_duplicates(
 def keep_one(docs: DataFrame, k: int = WORDS, percent: int = THRESHOLD) -> DataFrame:
     """``docs`` with one document left of each near-duplicate group.
 
-    Rows and columns are as given; of rows that repeat a kept doc_id one stays,
-    and rows without a doc_id stay unless they are near copies of a row with one.
+    Rows and columns are as given; of rows that repeat a kept doc_id one stays.
+    Rows without a doc_id cannot be told apart by it: if one of them is kept, all stay.
     """
     judged = near_duplicates(docs, k, percent)
     keep = judged.where("kept").select(F.col("doc_id").alias("__keep")).distinct()

@@ -116,8 +116,8 @@ shards AS (
   FROM jumps GROUP BY doc_id),
 sized AS (
   SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size,
-         xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(strlen(coalesce(text, ''))),
-             lambda i: ('0x' || hex[2 * i + 1 : 2 * i + 2])::BIGINT)),
+         xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex, '..'),
+             lambda h: ('0x' || h)::BIGINT)),
            lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295) AS text_crc32
   FROM (SELECT doc_id, text, hex(encode(coalesce(text, ''))) AS hex FROM documents), crcs)
 SELECT doc_id, size, text_crc32, 'key' AS law, shard,
