@@ -33,7 +33,7 @@ from .text import mix
 LANES = 16
 BUCKETS = 256
 WINDOW = 8
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
 RANGES_PER_PARTITION = 4
 
 _U = np.uint64

@@ -33,7 +33,7 @@ BUCKETS = 8192
 GRAM = 3
 PRIOR = 8.0  # rows
 LEAST = 0.5  # posterior of an accepted row
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
 UNKNOWN = "und"
 
 _U = np.uint64

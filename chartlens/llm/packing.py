@@ -41,8 +41,8 @@ MAX_TOKENS = 2048
 MAX_SEGMENTS = 256
 MAX_LOSS = 2048
 POOL = 256  # pieces
-BATCH_BYTES = 4 << 20
-REMEMBERED = 700_000
+BATCH_BYTES = 1 << 20
+REMEMBERED = 550_000
 LONGEST_REMEMBERED = 48
 
 _loaded: dict[str, "WordEncoder"] = {}

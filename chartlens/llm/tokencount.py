@@ -28,9 +28,9 @@ from .common import by_bytes, ship, table
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 CHUNK_CHARS = 1 << 16
-REMEMBERED = 400_000  # strings
+REMEMBERED = 300_000  # strings
 LONGEST_REMEMBERED = 48  # characters
 
 MARK = "▁"

@@ -37,7 +37,7 @@ ROUND = 8  # blocks scored first
 GRAM = 5  # bytes
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
 EVIDENCE = 3  # examples returned with a score
 REMEMBERED = 50_000  # results
 
