@@ -87,7 +87,6 @@ def test_entry_runs(spark):
 
 
 ROWS_ONLY_COLUMNS = {
-    "assembled": ["track_id", "region", "label", "split", "features"],
     "forest_predictions": ["track_id", "region", "label", "prediction"],
     "linear_predictions": ["track_id", "region", "label", "prediction"],
     "feature_importance": ["index", "feature", "importance", "above_cutoff"],
