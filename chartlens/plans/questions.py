@@ -219,7 +219,7 @@ def model_data(charts: DataFrame) -> DataFrame:
 # Partitions that models are trained in. A fitted forest depends on it (rows are
 # sampled per partition), so it is fixed, not derived from the data or the
 # cluster; raise it for much larger catalogues.
-MODEL_PARTITIONS = 32
+MODEL_PARTITIONS = 16
 
 
 def assembled_data(charts: DataFrame, partitions: int = MODEL_PARTITIONS) -> DataFrame:
