@@ -1,17 +1,17 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine.
 
 Terms are 5-byte windows of the lower-cased text (white space as one kind of
-byte), so word forms need no list of a language's words. The vocabulary are the
-terms that the labelled examples have more often in toxic texts than chance
-allows. Examples and texts are TF-IDF vectors over it, with document
-frequencies of the whole corpus. An inverted index holds the examples in blocks
-with each term's largest weight per block; the sum of these bounds a block's
-cosines, so only blocks that can still hold one of the k nearest are scored
-(S. Ding and T. Suel, "Faster Top-k Document Retrieval Using Block-Max Indexes",
-2011) and the result is exact. The neighbours' votes are weighted by their
-cosines, and the share of toxic votes is mapped to a probability by isotonic
-regression on votes of each example's own neighbours, weighted to the class
-sizes of all labels.
+byte), so word forms need no list of a language's words. All terms of the
+labelled examples are indexed; terms that no example holds share nothing with
+one and do not count. Examples and texts are TF-IDF vectors over these terms, with
+document frequencies of the whole corpus; a term that toxic examples have more
+often than chance allows weighs more, by its chi-squared beyond that of chance.
+
+The cosines of a text with all examples are summed exactly: frequent terms by a
+matrix product, the others from an inverted index. The neighbours' votes are
+weighted by their cosines, and the share of toxic votes is mapped to a
+probability by isotonic regression on votes of each example's own neighbours,
+weighted to the class sizes of all labels.
 
 The examples are a bounded sample of labelled rows: the ``EXAMPLES`` first of
 each class in md5 order. Everything else covers all rows.
@@ -19,8 +19,10 @@ each class in md5 order. Everything else covers all rows.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -30,10 +32,10 @@ from pyspark.sql import functions as F
 from .common import by_bytes, hashed, ship, table, written
 
 EXAMPLES = 2048  # of each class at most
-VOCABULARY = 16384  # terms at most
 NEIGHBOURS = 16
-BLOCK = 32  # examples
-ROUND = 8  # blocks scored first
+HEAD = 5000  # most frequent terms at most, summed by matrix products
+OFTEN = 0.05  # share of the examples that such a term is in
+TOGETHER = 128  # texts scored at once
 GRAM = 5  # bytes
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
@@ -44,7 +46,6 @@ REMEMBERED = 50_000  # results
 _U = np.uint64
 _SPACES = bytes(32 if b in (9, 10, 11, 12, 13) else b for b in range(256))
 _MASK = _U((1 << 8 * GRAM) - 1)
-_FILTER_BITS = 20
 _NONE = np.empty(0, np.int64)
 
 
@@ -70,12 +71,25 @@ class Terms:
 
     def __init__(self, terms: np.ndarray):
         self.terms = np.sort(terms.astype(_U))
-        self.seen = np.zeros(1 << _FILTER_BITS, bool)
-        self.seen[self._slot(self.terms)] = True
-
-    @staticmethod
-    def _slot(x: np.ndarray) -> np.ndarray:
-        return ((x * _U(0x9E3779B97F4A7C15)) >> _U(64 - _FILTER_BITS)).astype(np.int64)
+        self.bits = max(10, (8 * len(self.terms)).bit_length())
+        slot, number = self._slot(self.terms), np.arange(len(self.terms), dtype=np.int32)
+        self.at = np.full(1 << self.bits, -1, np.int32)  # term of each slot; -1: none, -2: several
+        self.at[slot] = number
+        self.at[slot[self.at[slot] != number]] = -2
+
+    def __reduce__(self):
+        return Terms, (self.terms,)
+
+    def _slot(self, x: np.ndarray) -> np.ndarray:
+        return ((x * _U(0x9E3779B97F4A7C15)) >> _U(64 - self.bits)).astype(np.int64)
+
+    def find(self, x: np.ndarray) -> np.ndarray:
+        """Numbers of terms, -1 for others."""
+        at = self.at[self._slot(x)]
+        several = np.flatnonzero(at == -2)
+        at[several] = np.minimum(np.searchsorted(self.terms, x[several]), len(self.terms) - 1)
+        at[(at >= 0) & (self.terms[at] != x)] = -1
+        return at
 
     def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, term number and count, sorted by text and term."""
@@ -83,12 +97,10 @@ class Terms:
         if len(self.terms):
             for a, b in by_bytes([len(t) for t in texts], BATCH_BYTES):
                 x, owner = grams(texts[a:b])
-                maybe = np.flatnonzero(self.seen[self._slot(x)])
-                x, owner = x[maybe], owner[maybe]
-                at = np.minimum(np.searchsorted(self.terms, x), len(self.terms) - 1)
-                hit = self.terms[at] == x
+                at = self.find(x)
+                hit = at >= 0
                 owners.append(owner[hit] + a)
-                numbers.append(at[hit])
+                numbers.append(at[hit].astype(np.int64))
         key = np.concatenate(owners or [np.empty(0, np.int64)]) * max(len(self.terms), 1)
         key += np.concatenate(numbers or [np.empty(0, np.int64)])
         key, count = np.unique(key, return_counts=True)
@@ -101,87 +113,119 @@ class Model:
     """Index of the examples, and the map from votes to probabilities."""
 
     terms: Terms
-    idf: np.ndarray
+    idf: np.ndarray  # raised for terms of toxic examples
     ids: np.ndarray  # examples' doc_ids
     toxic: np.ndarray
-    first: np.ndarray  # postings of term t in block b: from first[t * blocks + b] to the next
-    example: np.ndarray
-    weight: np.ndarray
-    block_max: np.ndarray  # term x block
+    size: np.ndarray  # terms of each example
+    number: np.ndarray  # their numbers, example by example
+    count: np.ndarray
     steps: np.ndarray  # votes, rising
     levels: np.ndarray  # probabilities at these votes
     silent: float  # probability without any shared term
 
     def __post_init__(self) -> None:
-        #: results by vector, as most texts share their few terms with others
+        #: results by vector, for copies
         self.known: dict[bytes, tuple[float, np.ndarray, np.ndarray]] = {}
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"known": {}}
+    def __reduce__(self):
+        return Model, tuple(getattr(self, f.name) for f in fields(self))  # the index is built where it is used
+
+    @cached_property
+    def _index(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Postings of term t: from ``first[t]`` to the next, each an example and its weight there."""
+        example = np.repeat(np.arange(len(self.size), dtype=np.int32), self.size)
+        w = unit_weights(example, self.number, self.count, self.idf, len(self.size))
+        turn = np.argsort(self.number, kind="stable")
+        first = np.concatenate([[0], np.cumsum(np.bincount(self.number, minlength=len(self.terms.terms)))])
+        return first, example[turn], w[turn]
+
+    first = property(lambda self: self._index[0])
+    example = property(lambda self: self._index[1])
+    weight = property(lambda self: self._index[2])
+
+    @cached_property
+    def _head(self) -> tuple[np.ndarray, np.ndarray]:
+        """Column of each frequent term (-1: another term), and the weights of these terms in all examples."""
+        length = np.diff(self.first)
+        often = np.flatnonzero(length >= OFTEN * len(self.ids))
+        often = np.sort(often[np.argsort(-length[often], kind="stable")[:HEAD]])
+        column = np.full(len(length), -1, np.int64)
+        column[often] = np.arange(len(often))
+        head = np.zeros((len(often), len(self.ids)))
+        places, length = self._postings(often)
+        head[np.repeat(np.arange(len(often)), length), self.example[places]] = self.weight[places]
+        return column, head
+
+    @property
+    def block_max(self) -> np.ndarray:
+        """Each term's largest weight; all examples are one block."""
+        return np.maximum.reduceat(self.weight, self.first[:-1])[:, None]
+
+    def _postings(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the terms' postings one after the other, and how many each term has."""
+        start, length = self.first[number], self.first[number + 1] - self.first[number]
+        places = np.repeat(start - np.cumsum(length) + length, length)
+        places += np.arange(len(places))
+        return places, length
 
     def scores(self, texts: list[str]) -> list[tuple[float, np.ndarray, np.ndarray]]:
         """Probability, nearest examples (positions) and cosines of each text."""
-        owner, number, count = self.terms.counts(texts)
-        cuts = np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
-        out = []
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            if a == b:
-                out.append((self.silent, _NONE, _NONE))
-                continue
-            key = number[a:b].tobytes() + count[a:b].tobytes()
-            found = self.known.get(key)
-            if found is None:
-                at, cosine = self.nearest(number[a:b], self.weights(number[a:b], count[a:b]))
-                found = (self.probability(self.vote(at, cosine)) if len(at) else self.silent, at[:EVIDENCE], cosine[:EVIDENCE])
-                if len(self.known) < REMEMBERED:
-                    self.known[key] = found
-            out.append(found)
+        out: list = []
+        for a, b in by_bytes([len(t) for t in texts], BATCH_BYTES):
+            vectors = self.vectors(texts[a:b])
+            keys = [hashlib.blake2b(x.tobytes() + w.tobytes(), digest_size=16).digest() for x, w in vectors]
+            found = {k: self.known[k] for k in keys if k in self.known}
+            new = list({k: i for i, k in enumerate(keys) if k not in found}.items())
+            for c in range(0, len(new), TOGETHER):
+                some = new[c : c + TOGETHER]
+                for (k, _), (at, cosine) in zip(some, self.neighbours([vectors[i] for _, i in some])):
+                    p = self.probability(self.vote(at, cosine)) if len(at) else self.silent
+                    found[k] = (p, at[:EVIDENCE], cosine[:EVIDENCE])
+            for k, _ in new[: max(REMEMBERED - len(self.known), 0)]:
+                self.known[k] = found[k]
+            out += [found[k] for k in keys]
         return out
 
-    def weights(self, number: np.ndarray, count: np.ndarray) -> np.ndarray:
-        """TF-IDF weights of unit length."""
-        w = (1 + np.log(count)) * self.idf[number]
-        norm = np.sqrt((w * w).sum())
-        return w / norm if norm else w
-
     def vectors(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Term numbers and TF-IDF weights of unit length of each text."""
         owner, number, count = self.terms.counts(texts)
-        cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
-        return [(number[a:b], self.weights(number[a:b], count[a:b])) for a, b in zip(cuts[:-1], cuts[1:])]
+        return unit_vectors(owner, number, count, self.idf, len(texts))
 
-    def nearest(self, number: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k nearest examples (positions) and their cosines, exactly. ``but`` is left out.
+    def neighbours(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS, but: list[int] | None = None):
+        """The k nearest examples (positions) of each vector and their cosines, exactly; ``but`` are left out.
 
-        Of equal cosines those in blocks of larger bounds come first, then by position.
+        Of equal cosines (to 12 places) the first positions come first.
         """
-        if not len(number):
-            return _NONE, np.empty(0)
-        bound = w @ self.block_max[number]
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        at, cosine, done = _NONE, np.empty(0), 0
-        while done < len(order):
-            blocks = order[done : done + ROUND] if not done else order[done:]
-            done += len(blocks)
-            if len(cosine) >= k:
-                blocks = blocks[bound[blocks] > cosine[k - 1] + 1e-12]
-            if not len(blocks):
-                break
-            # the postings of these terms in these blocks
-            cell = (number[:, None] * self.block_max.shape[1] + blocks).ravel()
-            start, length = self.first[cell], self.first[cell + 1] - self.first[cell]
-            total = length.sum()
-            places = np.repeat(start - np.cumsum(length) + length, length) + np.arange(total)
-            part = np.repeat(np.repeat(w, len(blocks)), length) * self.weight[places]
-            sums = np.bincount(self.example[places], part, len(self.ids))
-            new = np.flatnonzero(sums)
-            if but >= 0:
-                new = new[new != but]
-            rank = np.concatenate([np.arange(len(at)), len(at) + np.arange(len(new))])
-            at, cosine = np.concatenate([at, new]), np.concatenate([cosine, sums[new]])
-            best = np.lexsort((rank, -cosine))[:k]
-            at, cosine = at[best], cosine[best]
-        return at, cosine
+        size, (column, head) = len(self.ids), self._head
+        dense, cosine = np.zeros((len(vectors), len(head))), np.empty((len(vectors), size))
+        for r, (number, w) in enumerate(vectors):  # one by one, to stay within the processor's cache
+            often = column[number] >= 0
+            dense[r, column[number[often]]] = w[often]
+            number, w = number[~often], w[~often]
+            places, length = self._postings(number)
+            part = self.weight[places]
+            part *= np.repeat(w, length)
+            cosine[r] = np.bincount(self.example[places], part, size)
+        cosine = np.round(cosine + dense @ head, 12)
+        if but is not None:
+            cosine[np.arange(len(vectors)), but] = 0
+        least = -np.partition(-cosine, k - 1, axis=1)[:, k - 1] if k < size else np.zeros(len(vectors))
+        i, j = np.nonzero((cosine >= least[:, None]) & (cosine > 0))
+        turn = np.lexsort((j, -cosine[i, j], i))
+        i, j = i[turn], j[turn]
+        cuts = np.searchsorted(i, np.arange(len(vectors) + 1))
+        return [(j[a : min(a + k, b)], cosine[r, j[a : min(a + k, b)]]) for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))]
+
+    def nearest(self, number: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+        """``neighbours`` of one vector."""
+        return self.neighbours([(number, w)], k)[0]
+
+    def own_votes(self, a: int, b: int) -> list[float | None]:
+        """Votes of the other examples on those from ``a`` to ``b``; None without a shared term."""
+        start = np.concatenate([[0], np.cumsum(self.size)])
+        part = slice(start[a], start[b])
+        own = unit_vectors(np.repeat(np.arange(b - a), self.size[a:b]), self.number[part], self.count[part], self.idf, b - a)
+        return [self.vote(at, s) if len(at) else None for at, s in self.neighbours(own, but=list(range(a, b)))]
 
     def vote(self, at: np.ndarray, cosine: np.ndarray) -> float:
         """Share of toxic votes, weighted by the squared cosine."""
@@ -192,6 +236,22 @@ class Model:
         return float(np.interp(vote, self.steps, self.levels))
 
 
+def unit_weights(owner, number, count, idf: np.ndarray, rows: int) -> np.ndarray:
+    """TF-IDF weights, of unit length for each of ``rows`` texts."""
+    w = np.log(np.asarray(count, float))
+    w += 1
+    w *= idf[number]
+    w /= np.sqrt(np.bincount(owner, w * w, rows))[owner]
+    return w
+
+
+def unit_vectors(owner, number, count, idf: np.ndarray, rows: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Term numbers and weights of each text, from counts sorted by text."""
+    w = unit_weights(owner, number, count, idf, rows)
+    cuts = np.searchsorted(owner, np.arange(rows + 1))
+    return [(number[a:b], w[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+
+
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
     """Rising levels of y over x (pool adjacent violators), each shrunk to ``prior`` by one row's weight."""
     order = np.argsort(x, kind="stable")
@@ -249,80 +309,75 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
                 pair = np.unique(np.rec.fromarrays([owner, x], names="o,x"))
                 yield pd.DataFrame({"term": pair["x"].astype(np.int64), "toxic": toxic[a:b][pair["o"]].astype(np.int64)})
 
-    # terms that toxic examples have more often than chance: chi-squared against 2 ln(number of terms)
     n = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}  # two rows
     if len(n) < 2:
         return None
     found = examples.select("text", "toxic").mapInPandas(present, "term long, toxic long").groupBy("term")
     found = found.agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
-    found = written(found, "terms")
-    all_terms = found.count()
+    found = found.toArrow().to_pandas().sort_values("term")  # the terms of at most 2 * EXAMPLES texts
+    terms = Terms(found["term"].to_numpy().astype(_U))
+    # terms that toxic examples have more often than chance: chi-squared beyond 2 ln(number of terms)
     n1, n0 = float(n[1]), float(n[0])
-    c, d = F.lit(n1) - F.col("a"), F.lit(n0) - F.col("b")
-    a, b = F.col("a"), F.col("b")
-    chi = (n1 + n0) * (a * d - b * c) * (a * d - b * c) / ((a + b) * F.greatest(c + d, F.lit(0.5)) * n1 * n0)
-    strong = found.withColumn("chi", chi).where((a / n1 > b / n0) & (F.col("chi") > 2 * float(np.log(max(all_terms, 2)))))
-    strong = strong.orderBy(F.desc("chi"), "term").limit(VOCABULARY).select("term").toPandas()["term"]
-    terms = Terms(strong.to_numpy().astype(np.int64).astype(_U))
+    a, b = found["a"].to_numpy(), found["b"].to_numpy()
+    c, d = n1 - a, n0 - b
+    chi = (n1 + n0) * (a * d - b * c) ** 2 / ((a + b) * np.maximum(c + d, 0.5) * n1 * n0)
+    lift = 1 + np.where(a / n1 > b / n0, np.maximum(chi - 2 * np.log(max(len(found), 2)), 0), 0)
 
     def frequencies(batches) -> Iterator[pd.DataFrame]:
         total, rows_seen = np.zeros(len(terms.terms), np.int64), 0
         for batch in batches:
-            total += np.bincount(terms.counts(_texts(batch["text"]))[1], minlength=len(total))
+            texts = _texts(batch["text"])
+            for a, b in by_bytes([len(t) for t in texts], BATCH_BYTES):
+                total += np.bincount(terms.counts(texts[a:b])[1], minlength=len(total))
             rows_seen += len(batch)
         number = np.flatnonzero(total)
         yield pd.DataFrame({"number": [-1, *number], "n": [rows_seen, *total[number]]})
 
     frequency = rows.select("text").mapInPandas(frequencies, "number long, n long")
-    frequency = frequency.groupBy("number").agg(F.sum("n").alias("n")).collect()  # one row per term
-    df, corpus = np.zeros(len(terms.terms)), 0
-    for r in frequency:
-        if r["number"] < 0:
-            corpus = r["n"]
-        else:
-            df[r["number"]] = r["n"]
-    idf = np.log((corpus + 1) / (df + 1)) + 1
+    frequency = frequency.groupBy("number").agg(F.sum("n").alias("n")).toArrow().to_pandas()  # one row per term
+    corpus = int(frequency.loc[frequency["number"] < 0, "n"].sum())
+    frequency = frequency[frequency["number"] >= 0]
+    df = np.zeros(len(terms.terms))
+    df[frequency["number"].to_numpy()] = frequency["n"].to_numpy()
+    idf = (np.log((corpus + 1) / (df + 1)) + 1) * lift
 
     def vector(batches) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            owner, number, count = terms.counts(_texts(batch["text"]))
-            cuts = np.searchsorted(owner, np.arange(len(batch) + 1))
-            spans = list(zip(cuts[:-1], cuts[1:]))
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"],
-                    "toxic": batch["toxic"],
-                    "number": [number[i:j] for i, j in spans],
-                    "count": [count[i:j] for i, j in spans],
-                }
-            )
-
-    # at most 2 * EXAMPLES rows of at most VOCABULARY numbers
-    kept = examples.mapInPandas(vector, "doc_id long, toxic int, number array<long>, count array<long>").collect()
-    kept.sort(key=lambda r: (r["toxic"], r["number"], r["doc_id"]))  # like examples share blocks
-    ids, toxic = np.array([r["doc_id"] for r in kept]), np.array([r["toxic"] for r in kept], float)
-    own = []
-    for r in kept:
-        number = np.array(r["number"], np.int64)
-        w = (1 + np.log(np.array(r["count"], float))) * idf[number]
-        own.append((number, w / np.sqrt((w * w).sum()) if len(w) else w))
-    example = np.repeat(np.arange(len(kept)), [len(x) for x, _ in own])
-    number = np.concatenate([x for x, _ in own])
-    weight = np.concatenate([w for _, w in own])
-    blocks = -(-len(kept) // BLOCK)
-    turn = np.lexsort((example, number))
-    number, example, weight = number[turn], example[turn], weight[turn]
-    block_max = np.zeros((len(terms.terms), blocks))
-    np.maximum.at(block_max, (number, example // BLOCK), weight)
-    first = np.searchsorted(number * blocks + example // BLOCK, np.arange(len(terms.terms) * blocks + 1))
-    model = Model(terms, idf, ids, toxic, first, example, weight, block_max, np.zeros(1), np.zeros(1), 0.0)
+            texts = _texts(batch["text"])
+            for a, b in by_bytes([len(t) for t in texts], BATCH_BYTES):
+                owner, number, count = terms.counts(texts[a:b])
+                cuts = np.searchsorted(owner, np.arange(b - a + 1))
+                spans = list(zip(cuts[:-1], cuts[1:]))
+                out = batch[["doc_id", "toxic"]].iloc[a:b].copy()
+                out["number"] = [number[i:j].astype("<i4").tobytes() for i, j in spans]
+                out["count"] = [count[i:j].astype("<i4").tobytes() for i, j in spans]
+                yield out
+
+    # at most 2 * EXAMPLES rows
+    kept = examples.mapInPandas(vector, "doc_id long, toxic int, number binary, count binary").toArrow()
+    kept = kept.sort_by([("toxic", "ascending"), ("doc_id", "ascending")])
+    ids, toxic = kept["doc_id"].to_numpy(), kept["toxic"].to_numpy().astype(float)
+    number, count = (np.frombuffer(b"".join(x.as_py() for x in kept[c]), "<i4") for c in ("number", "count"))
+    count = count.astype(np.min_scalar_type(count.max(initial=0)))
+    size = np.array([len(x.as_py()) // 4 for x in kept["number"]])
+    del kept
+    model = Model(terms, idf, ids, toxic, size, number, count, np.zeros(1), np.zeros(1), 0.0)
 
     # each example's own neighbours; classes weigh as in all labels
     scale = np.where(toxic == 1, sizes[1] / n[1], sizes[0] / n[0])
     prior = sizes[1] / (sizes[0] + sizes[1])
-    near = [model.nearest(x, w, but=i) for i, (x, w) in enumerate(own)]
-    heard = np.array([len(at) > 0 for at, _ in near], bool)
-    votes = np.array([model.vote(at, s) if len(at) else 0.0 for at, s in near])
+    shipped = spark.sparkContext.broadcast(model)
+
+    def own_votes(batches) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for a in batch["id"]:
+                b = min(a + TOGETHER, len(ids))
+                yield pd.DataFrame({"place": np.arange(a, b), "vote": pd.Series(shipped.value.own_votes(a, b), dtype=float)})
+
+    near = spark.range(0, len(ids), TOGETHER).mapInPandas(own_votes, "place long, vote double").toArrow().to_pandas()
+    shipped.unpersist()
+    votes = near.sort_values("place")["vote"].to_numpy()
+    heard = ~np.isnan(votes)
     if heard.any():
         model.steps, model.levels = isotonic(votes[heard], toxic[heard], scale[heard], prior)
     else:
@@ -336,15 +391,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per row: doc_id, held_out, score (0 to 1), predicted, evidence (the three nearest examples).
 
-    Null and empty texts, and texts without a term of the vocabulary, get the
+    Null and empty texts, and texts that share no term with any example, get the
     rate of toxic labels among such examples. Without labels of both classes
     every score is 0. One row per input row; other columns are not read.
     """
     model = fit(docs, labels)
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    del model
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "text")
 
     def run(batches) -> Iterator[pd.DataFrame]:
+        model = shipped.value
         for batch in batches:
             texts = _texts(batch["text"])
             found = model.scores(texts) if model is not None else [(0.0, _NONE, _NONE)] * len(texts)
@@ -368,9 +426,12 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     model = fit(docs, labels)
     if model is None:
         return docs
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    del model
     names = docs.columns
 
     def run(batches) -> Iterator[pd.DataFrame]:
+        model = shipped.value
         for batch in batches:
             score = np.array([f[0] for f in model.scores(_texts(batch["text"]))])
             yield batch[names][score < threshold]

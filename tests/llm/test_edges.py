@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pytest
 
@@ -330,6 +332,21 @@ def test_nearest_examples_are_exact(spark):
     assert np.mean([r["predicted"] == int(r["doc_id"] % 3 == 0) for r in scored]) > 0.97
 
 
+def test_rare_toxic_words(spark):
+    """A text equal to the only toxic example of its language; its words are too rare for a significance test."""
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join([*rng.choice(words, 40), *(["awful"] if i % 3 == 0 else [])]), int(i % 3 == 0)) for i in range(200)]
+    lone = next(i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % toxicity.FOLDS != toxicity.HELD_OUT)
+    rows += [(lone, "žluťoučký kůň příšerně úpěl", 1), (2000, "žluťoučký kůň příšerně úpěl", None), (2001, "w1 w2 w3", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    found = by_id(toxicity.toxicity(docs, docs.select("doc_id", "toxic")))
+    (copy,), (clean,) = found[2000], found[2001]
+    assert copy["evidence"][0]["doc_id"] == lone and copy["evidence"][0]["toxic"] == 1
+    assert abs(copy["evidence"][0]["cosine"] - 1) < 1e-9
+    assert copy["predicted"] == 1 and clean["predicted"] == 0
+
+
 def test_language(docs, nothing):
     rows = language.identify(language.document_evidence(docs), ["doc_id"]).collect()
     assert len(rows) == len(ROWS)
