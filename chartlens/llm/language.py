@@ -6,7 +6,7 @@ The posterior of language l for a row is proportional to
 
 * text: a multinomial over hashed 3-byte windows of the lower-cased text,
   counted for each declared language over all rows (smoothed by one count per
-  bucket); the power undoes the overlap of windows. ``und``, no known
+  bucket); every declared value is a language. The power undoes the overlap of windows. ``und``, no known
   language, has every bucket alike;
 * declared: how often rows whose text speaks for l declare each language
   (markup, or a column), smoothed; a missing or unknown one is no evidence;
@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from .common import by_bytes, ship, table, written
 
-LANGUAGES = 64  # most frequent declared languages that are told apart
 BUCKETS = 8192
 GRAM = 3
 PRIOR = 8.0  # rows
@@ -63,16 +62,20 @@ def _texts(column) -> list[str]:
 
 def _fit_rows(batches, classes: list[str]) -> Iterator[pd.DataFrame]:
     number = {c: i for i, c in enumerate(classes)}
-    total = np.zeros(len(classes) * BUCKETS, np.int64)
+    total: dict[int, np.ndarray] = {}  # buckets of the languages met
     for batch in batches:
         texts = _texts(batch["text"])
         label = np.array([number.get(d, -1) for d in batch["declared"]], np.int64)
         for a, b in by_bytes([len(t) for t in texts], BATCH_BYTES):
             bucket, owner = _buckets(texts[a:b])
-            key = label[a:b][owner] * BUCKETS + bucket
-            total += np.bincount(key[key >= 0], minlength=len(total))
-    place = np.flatnonzero(total)
-    yield pd.DataFrame({"place": place, "n": total[place]})
+            met, mine = np.unique(label[a:b], return_inverse=True)
+            found = np.bincount(mine[owner] * BUCKETS + bucket, minlength=len(met) * BUCKETS).reshape(-1, BUCKETS)
+            for c, counts in zip(met.tolist(), found):
+                if c >= 0:
+                    total[c] = total.get(c, 0) + counts
+    for c, counts in total.items():
+        place = np.flatnonzero(counts)
+        yield pd.DataFrame({"place": c * BUCKETS + place, "n": counts[place]})
 
 
 def _text_rows(batches, log_p: np.ndarray) -> Iterator[pd.DataFrame]:
@@ -112,15 +115,14 @@ def identify(rows: DataFrame, keys: list[str]) -> DataFrame:
     spark = rows.sparkSession
     ship(spark)
     rows = rows.select(*keys, "text", "declared", "host", "domain", "suffix")
-    common = rows.where("declared != ''").groupBy("declared").count().orderBy(F.desc("count"), "declared").limit(LANGUAGES)
-    classes = sorted(r["declared"] for r in common.collect())  # at most LANGUAGES rows
+    classes = sorted(r["declared"] for r in rows.where("declared != ''").select("declared").distinct().collect())  # one row per language
     size = len(classes)
 
     counted = rows.where("declared is not null").select("text", "declared")
     counted = counted.mapInPandas(lambda b: _fit_rows(b, classes), "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
     n = np.ones((size + 1, BUCKETS))
-    for r in counted.collect():  # at most LANGUAGES * BUCKETS rows
-        n[r["place"] // BUCKETS, r["place"] % BUCKETS] += r["n"]
+    counted = counted.toArrow()  # at most BUCKETS rows per language
+    n.reshape(-1)[counted["place"].to_numpy()] += counted["n"].to_numpy()
     n[size] = 1
     log_p = np.log(n / n.sum(axis=1, keepdims=True)).T.copy()
 
@@ -137,21 +139,23 @@ def identify(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
     read = written(read, "likelihoods")
 
-    # small tables: at most (LANGUAGES + 1)^2 rows each
+    # small tables: at most one row per two languages each
     heard = read.where("best >= 0")
     said = {(r["best"], r["said"]): r["count"] for r in heard.where("said >= 0").groupBy("best", "said").count().collect()}
     ending = {(r["best"], r["ending"] + 1): r["count"] for r in heard.groupBy("best", "ending").count().collect()}
     log_said = _confusion(said, size + 1, max(size, 1))
     log_ending = _confusion(ending, size + 1, size + 1)
 
-    votes = [F.count_if(F.col("best") == c).alias(f"n{c}") for c in range(size + 1)]
-    overall = heard.agg(*votes).first()
-    overall = np.array([overall[f"n{c}"] for c in range(size + 1)], float) + 0.5
+    overall = np.full(size + 1, 0.5)
+    for r in heard.groupBy("best").count().collect():  # one row per language
+        overall[r["best"]] += r["count"]
     overall /= overall.sum()
 
     def votes_by(column: str) -> DataFrame:
-        counted = heard.where(F.col(column).isNotNull()).groupBy(column).agg(*votes)
-        return counted.select(column, F.array(*[F.col(f"n{c}") for c in range(size + 1)]).alias(f"{column}_votes"))
+        counted = heard.where(F.col(column).isNotNull()).groupBy(column, "best").agg(F.count("*").alias("n"))
+        counted = counted.groupBy(column).agg(F.map_from_entries(F.collect_list(F.struct("best", "n"))).alias("n"))
+        every = F.sequence(F.lit(0), F.lit(size))
+        return counted.select(column, F.transform(every, lambda c: F.coalesce(F.try_element_at("n", c), F.lit(0))).alias(f"{column}_votes"))
 
     joined = read.join(votes_by("host"), "host", "left").join(votes_by("domain"), "domain", "left")
     names = classes + [UNKNOWN]
@@ -193,10 +197,10 @@ def _last_labels(host: Column, n: int) -> Column:
 
 
 def document_evidence(docs: DataFrame) -> DataFrame:
-    """Documents as rows of evidence: ``lang`` is the declared language, ``source`` the host."""
+    """Documents as rows of evidence: ``lang`` up to its region suffix is the declared language, ``source`` the host."""
     none = F.lit(None).cast("string")
     return docs.select(
-        "doc_id", none.cast("long").alias("page_id"), "text", F.lower("lang").alias("declared"),
+        "doc_id", none.cast("long").alias("page_id"), "text", F.regexp_extract(F.lower("lang"), r"^\s*([^\s_-]*)", 1).alias("declared"),
         F.col("source").alias("host"), none.alias("domain"), none.alias("suffix"),
     )
 

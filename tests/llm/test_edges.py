@@ -359,6 +359,24 @@ def test_language(docs, nothing):
     assert not {2, 3, 4} & {r["doc_id"] for r in left.collect()}
 
 
+def test_more_than_64_languages(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(70):  # the last six are declared least often
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)]
+        code = f"{chr(97 + i // 26)}{chr(97 + i % 26)}"
+        for n in range(4 if i < 64 else 3):
+            declared = (code, f"{code.upper()}-US", f"{code}_gb", code)[n]
+            rows.append((100 * i + n, " ".join(rng.choice(words, 60)), declared, f"host{i % 5}"))
+        rows.append((100 * i + 50, " ".join(rng.choice(words, 60)), None, "host9"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for r in language.identify(language.document_evidence(docs), ["doc_id"]).collect():
+        i = r["doc_id"] // 100
+        assert (r["language"], r["accepted"]) == (f"{chr(97 + i // 26)}{chr(97 + i % 26)}", True)
+        assert r["declared"] in (None, r["language"])
+    assert language.keep_known(docs).count() == len(rows)
+
+
 def test_language_evidence(spark):
     """Markup, suffix and host speak up where the text says little."""
     pages = [(i, f"https://a{i % 3}.shop.de/x", f"<html lang='de'><p>und der die das nicht {i}</p>") for i in range(30)]
