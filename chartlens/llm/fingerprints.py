@@ -6,7 +6,7 @@ paragraph is inserted or deleted by adding or subtracting its vector. The
 vector has two parts:
 
 * equality: 16 lanes of BLAKE2b output, summed modulo 2^64 (1,024 bits);
-* likeness: 256 lanes summed modulo 2^16, in which every 8-byte window of the
+* likeness: 256 lanes summed modulo 2^32, in which every 8-byte window of the
   paragraph, padded with 7 zero bytes at either end, adds +1 or -1 to one lane
   (a count sketch). The dot product of two documents' lanes estimates that of
   their window counts, so their cosine tells how alike the documents are, to
@@ -69,7 +69,12 @@ def _signed_lanes(raw: bytes, first: int, count: int) -> tuple[np.ndarray, np.nd
 
 
 def likeness_lanes(documents: list[list[bytes]]) -> np.ndarray:
-    """Rows of likeness lanes modulo 2^16, one for each document's paragraphs."""
+    """The low 16 bits of ``wide_lanes``."""
+    return wide_lanes(documents).astype(np.uint16)
+
+
+def wide_lanes(documents: list[list[bytes]]) -> np.ndarray:
+    """Rows of likeness lanes modulo 2^32, one for each document's paragraphs."""
     rows = [_PAD + _PAD.join(p for p in parts if p) + _PAD if any(parts) else b"" for parts in documents]
     out = np.zeros((len(rows), BUCKETS), np.int64)
     for a, b in by_bytes([len(r) for r in rows], BATCH_BYTES):
@@ -79,33 +84,33 @@ def likeness_lanes(documents: list[list[bytes]]) -> np.ndarray:
             lane, sign = _signed_lanes(raw, first, min(2 * BATCH_BYTES, len(raw) - first))
             lane += owner[first : first + len(lane)]
             out[a:b] += np.bincount(lane, sign, (b - a) * BUCKETS).astype(np.int64).reshape(-1, BUCKETS)
-    return out.astype(np.uint16)
+    return out.astype(np.uint32)
 
 
 def fingerprints(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Equality and likeness lanes of each text."""
     parts = [paragraphs(t) for t in texts]
     equal = np.array([equality_lanes(p) for p in parts], _U).reshape(-1, LANES)
-    return equal, likeness_lanes(parts)
+    return equal, wide_lanes(parts)
 
 
 def encoded(equal: np.ndarray, like: np.ndarray) -> list[str]:
     """Fingerprints as strings (base64 of all lanes, little-endian)."""
-    return [base64.b64encode(e.astype("<u8").tobytes() + v.astype("<u2").tobytes()).decode() for e, v in zip(equal, like)]
+    return [base64.b64encode(e.astype("<u8").tobytes() + v.astype("<u4").tobytes()).decode() for e, v in zip(equal, like)]
 
 
 def decoded(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
     raw = base64.b64decode(fingerprint)
-    return np.frombuffer(raw, "<u8", LANES), np.frombuffer(raw, "<u2", BUCKETS, 8 * LANES)
+    return np.frombuffer(raw, "<u8", LANES), np.frombuffer(raw, "<u4", BUCKETS, 8 * LANES)
 
 
 def insert(fingerprint: str, paragraph: str, times: int = 1) -> str:
     """The fingerprint after ``paragraph`` (one line) is inserted; -1 deletes it."""
     equal, like = decoded(fingerprint)
     p = paragraph.encode()
-    more_equal, more_like = equality_lanes([p]), likeness_lanes([[p]])[0]
+    more_equal, more_like = equality_lanes([p]), wide_lanes([[p]])[0]
     if times < 0:
-        more_equal, more_like = ~more_equal + _U(1), (-more_like.astype(np.int64)).astype(np.uint16)
+        more_equal, more_like = ~more_equal + _U(1), (-more_like.astype(np.int64)).astype(np.uint32)
     for _ in range(abs(times)):
         equal, like = equal + more_equal, like + more_like
     return encoded(equal[None], like[None])[0]
@@ -113,7 +118,7 @@ def insert(fingerprint: str, paragraph: str, times: int = 1) -> str:
 
 def likeness(equal_a, like_a, equal_b, like_b) -> np.ndarray:
     """Cosine of the window counts, 0 to 1, row by row; 1 where the fingerprints are equal."""
-    a, b = like_a.astype(np.int16).astype(float), like_b.astype(np.int16).astype(float)
+    a, b = like_a.astype(np.int32).astype(float), like_b.astype(np.int32).astype(float)
     norm = np.sqrt((a * a).sum(axis=1) * (b * b).sum(axis=1))
     cosine = np.divide((a * b).sum(axis=1), norm, out=np.zeros(len(a)), where=norm > 0)
     same = (equal_a == equal_b).all(axis=1) & (like_a == like_b).all(axis=1)

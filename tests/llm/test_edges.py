@@ -78,6 +78,17 @@ def test_fingerprint_algebra():
     assert (together == apart.astype(np.uint16)).all()
 
 
+def test_likeness_of_repetition():
+    """Lanes beyond 16 bits: two thirds of a long run, and a line repeated 100,000 times."""
+    for text in ("x" * 40_000, "0123456789 abc\n" * 100_000):
+        equal, like = fingerprints.fingerprints([text, text[: len(text) * 2 // 3] + "other words at the end"])
+        again = [fingerprints.decoded(f) for f in fingerprints.encoded(equal, like)]
+        (a, x), (b, y) = again
+        assert fingerprints.likeness(a[None], x[None], b[None], y[None])[0] > 0.99
+    once, line = fingerprints.encoded(*fingerprints.fingerprints(["", "a line"]))
+    assert fingerprints.insert(fingerprints.insert(line, "a line", 40_000), "a line", -40_001) == once
+
+
 def test_near_duplicates(docs, nothing):
     rows = by_id(neardup.near_duplicates(docs, k=4))
     assert sum(map(len, rows.values())) == len(ROWS)
