@@ -31,7 +31,7 @@ QUERIES = 8192  # queries in a task
 BLOCK = 1024  # candidates at once
 SEEDS = 2048  # longest vectors, for the first bounds
 HEAD = 16  # rotated coordinates in the partial sum
-LARGEST = 1 << 27  # of a scaled component, so that scores of up to 512 dimensions fit 64 bits
+LARGEST = 2.0**63  # scaled components are 64-bit integers
 
 
 def _vectors(batches) -> Iterator[pd.DataFrame]:
@@ -45,14 +45,14 @@ def _vectors(batches) -> Iterator[pd.DataFrame]:
             if not np.isfinite(x).all() or (np.abs(x) >= LARGEST).any():
                 continue
             ids.append(i)
-            out.append(x.astype("<i4").tobytes())
+            out.append(x.astype("<i8").tobytes())
             norms.append(float(np.sqrt((x * x).sum())))
         yield pd.DataFrame({"id": ids, "x": out, "norm": norms})
 
 
 def _matrix(cells, width: int) -> np.ndarray:
     """Vectors as rows; shorter ones end in zeros."""
-    return np.frombuffer(b"".join(c.ljust(4 * width, b"\0") for c in cells), "<i4").reshape(-1, width).astype(float)
+    return np.frombuffer(b"".join(c.ljust(8 * width, b"\0") for c in cells), "<i8").reshape(-1, width).astype(float)
 
 
 def _gram(batches, width: int) -> Iterator[pd.DataFrame]:
@@ -64,6 +64,22 @@ def _gram(batches, width: int) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"place": np.arange(width * width), "value": total.ravel()})
 
 
+def _exact(q, c, i, j) -> np.ndarray:
+    """Products of rows ``i`` of q with rows ``j`` of c; an error if one does not fit 64 bits."""
+    qs, cs = q.astype(np.int64), c.astype(np.int64)
+    score = np.empty(len(i), np.int64)
+    for n in range(0, len(i), 65536):
+        part = slice(n, n + 65536)
+        score[part] = (qs[i[part]] * cs[j[part]]).sum(axis=1)  # modulo 2^64: right wherever the sum fits
+    length_q, length_c = np.sqrt((q * q).sum(axis=1)), np.sqrt((c * c).sum(axis=1))
+    for n in np.flatnonzero(length_q[i] * length_c[j] >= 2.0**62):
+        whole = sum(a * b for a, b in zip(qs[i[n]].tolist(), cs[j[n]].tolist()))
+        if not -(2**63) <= whole < 2**63:
+            raise OverflowError(f"a score of {whole} does not fit 64 bits")
+        score[n] = whole
+    return score
+
+
 def _leading(q, c, mask, order, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, column and exact score of the k best entries under ``mask`` in each row; ties to the smaller ``order``."""
     most = np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * q.shape[1]
@@ -75,9 +91,14 @@ def _leading(q, c, mask, order, k: int) -> tuple[np.ndarray, np.ndarray, np.ndar
         i = np.repeat(np.arange(len(q)), keep)[np.isfinite(best).ravel()]
         score = np.floor(best[np.isfinite(best)] / len(c)).astype(np.int64)
         return i, j[np.isfinite(best)], score
-    i, j = np.nonzero(mask)
-    qs, cs = q.astype(np.int64), c.astype(np.int64)
-    score = np.concatenate([(qs[i[n : n + 65536]] * cs[j[n : n + 65536]]).sum(axis=1) for n in range(0, len(i), 65536)] or [np.empty(0, np.int64)])
+    # pairs that rounding leaves among the k best, scored in integers
+    about = q @ c.T
+    error = 1e-12 * np.outer(np.sqrt((q * q).sum(axis=1)), np.sqrt((c * c).sum(axis=1))) + 1
+    least = np.full(len(q), -np.inf)
+    if k < len(c):
+        least = np.partition(np.where(mask, about - error, -np.inf), len(c) - k, axis=1)[:, len(c) - k]
+    i, j = np.nonzero(mask & (about + error >= least[:, None]))
+    score = _exact(q, c, i, j)
     turn = np.lexsort((order[j], -score, i))
     i, j, score = i[turn], j[turn], score[turn]
     first = np.arange(len(i)) - np.searchsorted(i, i) < k
@@ -114,7 +135,7 @@ def search(query_ids, q, floor, ids, c, norms, basis, k: int) -> tuple[np.ndarra
         within = mask[np.ix_(np.searchsorted(live, rows), columns - a)]
         i, j, score = _leading(q[rows], c[columns], within, place, k)
         i, j = rows[i], columns[j]
-        enough = score >= bound[i]
+        enough = score.astype(float) >= bound[i]
         i, j, score = (np.concatenate([old, new[enough]]) for old, new in zip(best, (i, j, score)))
         turn = np.lexsort((ids[j], -score, i))
         i, j, score = i[turn], j[turn], score[turn]
@@ -134,7 +155,8 @@ def top_k(
     id is divisible by ``every``, candidates all rows with another id. Ties go to the
     smaller vec_id; with fewer candidates all are returned. Rows that are null
     or hold a null or non-finite component, rows with a null id, and rows with
-    a scaled component of 2^27 or more (scores beyond 64 bits) take no part. Rows that repeat an
+    a scaled component of 2^63 or more (not an integer of 64 bits) take no part. A score
+    beyond 64 bits among a query's best of a block is an error. Rows that repeat an
     id and its vector count once; a vector shorter than others ends in zeros.
     """
     spark = vectors.sparkSession
@@ -144,7 +166,7 @@ def top_k(
     rows = written(rows, "vectors")
     is_query = F.col("id") % every == 0
     n, n_q, width = rows.agg(F.count("*"), F.count_if(is_query), F.max(F.octet_length("x"))).first()
-    width = (width or 4) // 4
+    width = (width or 8) // 8
     gram = rows.select("x").mapInPandas(lambda b: _gram(b, width), "place int, value double")
     gram = gram.groupBy("place").agg(F.sum("value").alias("value")).orderBy("place").collect()  # width^2 rows
     square = np.array([r["value"] for r in gram] or np.zeros(width * width)).reshape(width, width)

@@ -261,6 +261,25 @@ def test_top_k(spark):
     assert topk.top_k(df.where("vec_id = 50")).count() == 0
 
 
+def test_top_k_of_long_vectors(spark):
+    """Scaled components of 2^27 and more, and products that only integers tell apart."""
+    rows = [(i, [float((i * j) % 7) / 3 - 1 for j in range(1, 9)]) for i in range(120)]
+    rows += [(201 + i, [600_000.0 + i, -600_000.0 + i, 1.0, i / 256, 0.0, 0.0, 0.0, 0.0]) for i in range(20)]
+    rows += [(300 + i, [4e13, i / 256, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0]) for i in range(3)]
+    rows += [(400, [1 / 256, 7 / 256, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame([r for r in rows if r[0] != 300], "vec_id long, embedding array<double>")
+    use = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows if i != 300}
+    want = []
+    for q in use:
+        if q % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(use[q], use[c])), c) for c in use if c != q)[:5]
+            want += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scored)]
+    got = topk.top_k(df).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(tuple(r) for r in got) == sorted(want)
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        topk.top_k(spark.createDataFrame(rows, df.schema)).collect()
+
+
 def test_top_k_prunes_without_loss():
     """Several blocks and lanes against a full sort."""
     rng = np.random.default_rng(3)
