@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import fingerprints, language, mixing, neardup, packing, sharding, tokencount, topk, toxicity, urlfilter
+from . import (
+    filteraudit, fingerprints, language, licensescan, mixing, neardup, packing, sharding, tokencount, topk, toxicity,
+    urlfilter, vectorcodes,
+)
 
 QUERIES = {
     "op1_document_fingerprints": fingerprints.op1_document_fingerprints,
@@ -17,6 +20,9 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_url_filters": urlfilter.op10_url_filters,
+    "op11_vector_codes": vectorcodes.op11_vector_codes,
+    "op12_filter_audit": filteraudit.op12_filter_audit,
+    "op13_license_scan": licensescan.op13_license_scan,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -26,4 +32,7 @@ ORACLE = {
     "op7_exact_top_k": topk.OP7_SQL,
     "op8_sharding": sharding.OP8_SQL,
     "op10_url_filters": urlfilter.OP10_SQL,
+    "op11_vector_codes": vectorcodes.OP11_SQL,
+    "op12_filter_audit": filteraudit.OP12_SQL,
+    "op13_license_scan": licensescan.OP13_SQL,
 }

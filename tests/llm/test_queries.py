@@ -38,7 +38,7 @@ def _sorted(columns, rows):
 def test_registered():
     assert set(registry.ORACLE) <= set(registry.QUERIES)
     numbers = {int(re.match(r"op(\d+)_", q)[1]) for q in registry.QUERIES if q != "pipeline"}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
