@@ -8,7 +8,7 @@ and the tier lists can be any size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartlens.functions.ranking import with_global_position
@@ -17,8 +17,8 @@ from chartlens.schema import TIERS
 KEY = ["track_id", "region"]
 
 
-def explode_artists(charts: DataFrame, col: str = "artist") -> DataFrame:
-    """One row per artist of a chart row (A1).
+def explode_artists(charts: DataFrame, col: str = "artist", outer: bool = False) -> DataFrame:
+    """One row per artist of a chart row (A1); with ``outer``, a NULL artist yields a row with a NULL one.
 
     The artist text is split on commas and each piece trimmed of spaces; a
     NULL artist yields no row, empty pieces stay as ``''``. Trimming the
@@ -27,7 +27,7 @@ def explode_artists(charts: DataFrame, col: str = "artist") -> DataFrame:
     the projection stays in generated code).
     """
     artists = F.split(F.trim(F.col(col)), " *, *")
-    return charts.withColumn(col, F.explode(artists))
+    return charts.withColumn(col, F.explode_outer(artists) if outer else F.explode(artists))
 
 
 def artist_bridge(exploded: DataFrame) -> DataFrame:
@@ -108,10 +108,24 @@ def tier_flags(bridge: DataFrame, tiers: DataFrame, cluster_by: tuple[str, ...]
     aggregated: a track has one row per (region, artist), whatever the
     number of raw chart rows.
     """
-    j = bridge.join(tiers.select("artist", "tier"), "artist")
+    return _flags(bridge.join(tiers.select("artist", "tier"), "artist"), F.col("first_chart_day"), cluster_by)
+
+
+def all_tier_flags(bridge: DataFrame, tiers: DataFrame, cluster_by: tuple[str, ...] = ("track_id",)) -> DataFrame:
+    """``tier_flags`` of a bridge with NULL artists: a track-region without artists has a row, without day and flags.
+
+    Rows with a NULL artist go round the join, so they do not meet in one task.
+    """
+    known = bridge.where(F.col("artist").isNotNull()).join(tiers.select("artist", "tier"), "artist")
+    unknown = bridge.where(F.col("artist").isNull()).withColumn("tier", F.lit(None).cast("string"))
+    day = F.when(F.col("tier").isNotNull(), F.col("first_chart_day"))
+    return _flags(known.unionByName(unknown), day, cluster_by)
+
+
+def _flags(joined: DataFrame, day: Column, cluster_by: tuple[str, ...]) -> DataFrame:
     if cluster_by:
-        j = j.repartition(*cluster_by)
-    return j.groupBy(*KEY).agg(
-        F.min("first_chart_day").alias("first_chart_day"),
+        joined = joined.repartition(*cluster_by)
+    return joined.groupBy(*KEY).agg(
+        F.min(day).alias("first_chart_day"),
         *[F.max(F.col("tier") == t).alias(f"in_{t}") for t in TIERS],
     )

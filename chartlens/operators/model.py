@@ -16,12 +16,12 @@ from pyspark.ml.regression import (
     RandomForestRegressionModel,
     RandomForestRegressor,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartlens.functions.buckets import hash_bucket
-from chartlens.operators.lifecycle import numbered_runs
+from chartlens.operators.lifecycle import block_pieces, month_blocks, numbered_pieces, summary_columns
 from chartlens.schema import (
     AUDIO_FEATURES,
     FOREST_DEPTH,
@@ -35,45 +35,75 @@ KEY = ["track_id", "region"]
 LABEL_SOURCE = "highest_ranking"
 
 
-def _features_of_first_row():
-    """The features of a group's first row: by date, rank and then the features themselves, NULLs last.
+def _place() -> Column:
+    """A row's place by date, then rank, NULLs last, as one number."""
+    last = F.lit(2**31 - 1)
+    day, rank = F.coalesce(F.unix_date("date"), last), F.coalesce(F.col("rank"), last)
+    return F.shiftleft(day.cast("bigint"), 32) + rank.cast("bigint") + F.lit(2**31)
+
+
+def _features_of_first_row(place: str) -> Column:
+    """The features at the smallest ``place``, of equal ones by the features themselves, NULLs last.
 
     One whole row, so the vector is one that the data has; a missing value
     in it stays missing.
     """
-    order = [x for c in ("date", "rank", *MODEL_FEATURES) for x in (F.col(c).isNull(), F.col(c))]
-    keyed = F.struct(*[x.alias(f"_{i}") for i, x in enumerate(order)], *[F.col(c).alias(c) for c in MODEL_FEATURES])
+    order = [x for c in MODEL_FEATURES for x in (F.col(c).isNull(), F.col(c))]
+    keyed = F.struct(place, *[x.alias(f"_{i}") for i, x in enumerate(order)], *[F.col(c).alias(c) for c in MODEL_FEATURES])
     return F.min(keyed)
 
 
 def audio_features(charts: DataFrame) -> DataFrame:
-    """Explicit flag and audio features per (track, region) (R1), those of the first row."""
-    picked = charts.groupBy(*KEY).agg(_features_of_first_row().alias("_f"))
+    """Explicit flag and audio features per (track, region) (R1), those of the first row by date and rank.
+
+    Rows are first reduced to one per (track, region, features) by a hash
+    aggregation (a track has one vector, or few); only those are compared as whole rows.
+    """
+    variants = charts.groupBy(*KEY, *MODEL_FEATURES).agg(F.min(_place()).alias("_place"))
+    picked = variants.groupBy(*KEY).agg(_features_of_first_row("_place").alias("_f"))
     return picked.select(*KEY, *[F.col(f"_f.{c}").alias(c) for c in MODEL_FEATURES])
 
 
+def lifecycle_frame(charts: DataFrame) -> DataFrame:
+    """Everything the delay, streak and model questions need per (track, region), from one scan.
+
+    The features are part of the month blocks' key (``lifecycle.month_blocks``),
+    so peak rank, release day and the first row's place are fixed-size minima of
+    one hash aggregation; whole feature rows are compared only among a track-region's blocks.
+    Rows without a track or region have no features here and are one track-region
+    per known part of the key, as in ``lifecycle.track_region``. Output: the columns
+    of ``lifecycle.track_region_summary``, highest_ranking and the features.
+    """
+    keyed = F.col(KEY[0]).isNotNull() & F.col(KEY[1]).isNotNull()
+    rows = charts.withColumns({c: F.when(keyed, F.col(c)) for c in MODEL_FEATURES})
+    minima = [F.min("release_day").alias("release_day"), F.min("rank").alias("rank"), F.min(_place()).alias("_place")]
+    blocks = month_blocks(rows, by=MODEL_FEATURES, aggs=minima)
+    pieces = numbered_pieces(block_pieces(blocks, carry=["release_day", "rank", "_place", *MODEL_FEATURES]))
+    per_run = pieces.groupBy(*KEY, "run_id").agg(
+        F.sum("n").alias("run_len"),
+        F.min("start").alias("run_first"),
+        F.min("release_day").alias("release_day"),
+        F.min("rank").alias("rank"),
+        _features_of_first_row("_place").alias("_f"),
+    )
+    whole = per_run.groupBy(*KEY).agg(*summary_columns(), F.min("rank").alias(LABEL_SOURCE), F.min("_f").alias("_f"))
+    return whole.select(*whole.columns[:-1], *[F.col(f"_f.{c}").alias(c) for c in MODEL_FEATURES])
+
+
 def model_frame(charts: DataFrame) -> DataFrame:
     """Peak rank, streak and features per (track, region) (R2).
 
-    One scan and two shuffles: the best rank and the first row's features
-    ride along the streak's own steps (per day, per run, per track-region;
-    see ``lifecycle.numbered_runs``). Rows without a track or region are not
+    One scan and two shuffles (``lifecycle_frame``). Rows without a track or region are not
     part of it. The streak is carried for analysis; it
     is neither feature nor label.
     """
-    keyed = charts.where(F.col(KEY[0]).isNotNull() & F.col(KEY[1]).isNotNull())
-    per_day = keyed.groupBy(*KEY, "date").agg(
-        F.count("date").alias("n"), F.min("rank").alias("rank"), _features_of_first_row().alias("_f")
-    )
-    per_run = numbered_runs(per_day).groupBy(*KEY, "run_id").agg(
-        F.sum("n").alias("run_len"), F.min("rank").alias("rank"), F.min("_f").alias("_f")
-    )
-    whole = per_run.groupBy(*KEY).agg(
-        F.min("rank").alias(LABEL_SOURCE),
-        F.greatest(F.max("run_len"), F.lit(1)).cast("int").alias("days_in_chart"),
-        F.min("_f").alias("_f"),
-    )
-    return whole.select(*KEY, LABEL_SOURCE, "days_in_chart", *[F.col(f"_f.{c}").alias(c) for c in MODEL_FEATURES])
+    return frame_of(lifecycle_frame(charts.where(F.col(KEY[0]).isNotNull() & F.col(KEY[1]).isNotNull())))
+
+
+def frame_of(summary: DataFrame) -> DataFrame:
+    """The model frame (R2) from ``lifecycle_frame`` rows."""
+    known = summary.where(F.col(KEY[0]).isNotNull() & F.col(KEY[1]).isNotNull())
+    return known.select(*KEY, LABEL_SOURCE, "days_in_chart", *MODEL_FEATURES)
 
 
 def complete_rows(frame: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> DataFrame:
@@ -221,7 +251,9 @@ def _session():
 __all__ = [
     "AUDIO_FEATURES",
     "audio_features",
+    "lifecycle_frame",
     "model_frame",
+    "frame_of",
     "complete_rows",
     "assemble",
     "train_test_split",

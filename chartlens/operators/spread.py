@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chartlens.functions.histogram import histogram, stats_of
 from chartlens.schema import TIERS
 
 
@@ -96,16 +97,31 @@ def spread_by_destination(edges: DataFrame, group: Sequence[str] = ("tier",)) ->
     Column names follow the reference report (``*_days_until_chart``);
     ordered by group, then average descending.
     """
-    v = F.col("days_to_popular")
+    return spread_of(edge_histogram(edges, group), group)
+
+
+def edge_histogram(edges: DataFrame, group: Sequence[str] = ("tier",)) -> DataFrame:
+    """Edges per (group, from, to, days): ``n``. One aggregation of the edges that M6 and M7 both follow from.
+
+    Its size is bounded by the corridors and the calendar, not by the edges.
+    """
+    return histogram(edges, [*group, "from_region", "to_region"], "days_to_popular")
+
+
+def spread_of(hist: DataFrame, group: Sequence[str] = ("tier",)) -> DataFrame:
+    """``spread_by_destination`` from ``edge_histogram``."""
+    stats = stats_of(hist, [*group, "to_region"], "days_to_popular", "days_until_chart")
+    return stats.orderBy(*group, F.col("avg_days_until_chart").desc(), "to_region")
+
+
+def corridors_of(hist: DataFrame, group: Sequence[str] = ("tier",)) -> DataFrame:
+    """``corridor_avg`` from ``edge_histogram``."""
+    days = F.sum(F.col("days_to_popular") * F.col("n"))
+    known = F.sum(F.when(F.col("days_to_popular").isNotNull(), F.col("n")))
     return (
-        edges.groupBy(*group, "to_region")
-        .agg(
-            F.avg(v).alias("avg_days_until_chart"),
-            F.median(v).alias("median_days_until_chart"),
-            F.min(v).alias("min_days_until_chart"),
-            F.max(v).alias("max_days_until_chart"),
-        )
-        .orderBy(*group, F.col("avg_days_until_chart").desc(), "to_region")
+        hist.groupBy(*group, "from_region", "to_region")
+        .agg(F.try_divide(days, known).alias("avg_days_to_popular"))
+        .orderBy(*group, "from_region", "avg_days_to_popular", "to_region")
     )
 
 

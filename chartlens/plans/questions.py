@@ -3,19 +3,23 @@
 Each function takes the typed chart DataFrame (``sources.typed_charts`` or
 ``sources.read_chart_table``). Most only build lazy plans; the exceptions
 run jobs on purpose: ``tier_inputs`` writes the tier bridge and the numbered
-artists, ``assembled_data`` writes the model rows, and ``q5_forest`` /
+artists, ``lifecycle_summary`` writes the track-regions, ``assembled_data`` checkpoints the model rows, and ``q5_forest`` /
 ``q5_linear`` fit models. Written tables stay until the application's folder
-is removed, or the end of a ``session.scratch`` block.
+is removed, or the end of a ``session.scratch`` block. The ``..._question``
+functions also give the funnel of their question, counted by the same jobs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartlens.operators import artists, clean, genres, lifecycle, model, spread
-from chartlens.schema import DANCEABLE_MIN, MODEL_FEATURES, RELEASE_CUTOFF
-from chartlens.session import fresh_path
+from chartlens.operators.counters import SideCounter, counted
+from chartlens.schema import DANCEABLE_MIN, MODEL_FEATURES, RELEASE_CUTOFF, TIERS
+from chartlens.session import fresh_path, shared_dir
 from chartlens.sources.charts import CORRUPT
 
 
@@ -35,70 +39,97 @@ def q2_streak(charts: DataFrame) -> DataFrame:
     return lifecycle.streak_by_region(lifecycle.longest_streak(lifecycle_base(charts)))
 
 
-def q1_q2(charts: DataFrame):
-    """Q1 and Q2 reports from one scan: (delay report, streak report).
+def row_steps(charts: DataFrame) -> list:
+    """Cleaning steps of chart rows. Charts from files (``read_charts``) first leave out their malformed rows."""
+    cutoff = F.lit(RELEASE_CUTOFF).cast("date")
+    well_formed = [("well formed", F.col(CORRUPT).isNull())] if CORRUPT in charts.columns else []
+    return [
+        *well_formed,
+        ("chart is top200", F.col("chart") == "top200"),
+        ("released after 2017-01-01", F.col("release_day") > cutoff),
+    ]
+
+
+TRACK_REGION_STEPS = [
+    ("release known", lambda: F.col("release_day").isNotNull()),
+    ("release on or before first chart day", lambda: F.col("release_day") <= F.col("first_chart_day")),
+]
+
 
-    The per track-region summary (release, first day, streak) is computed in
-    one pass and written once; both reports read it.
+def lifecycle_summary(charts: DataFrame, features: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(summary, funnel): one row per track-region, written once, and the counts of the rows on the way.
+
+    The only scan of the chart rows for the delay and streak questions, and
+    with ``features`` for the model question too (``model.lifecycle_frame``). The funnel
+    is counted by the same job (``counters.SideCounter``); that is why this scan reads every chart
+    and release: the rows left out are counted too.
     """
-    summary = materialize(lifecycle.track_region_summary(lifecycle_base(charts)), "track-region-summary")
+    names = ["track_id", "region", "date", "release_day", "chart", *([CORRUPT] if CORRUPT in charts.columns else [])]
+    if features:
+        names += ["rank", *MODEL_FEATURES]
+    rows = SideCounter(charts.select(*names), row_steps(charts))
+    base = lifecycle_base(rows.rows)
+    per_track = model.lifecycle_frame(base) if features else lifecycle.track_region_summary(base)
+    track_regions = SideCounter(per_track, [(n, c()) for n, c in TRACK_REGION_STEPS], level="track_regions")
+    summary = materialize(track_regions.rows, "track-region-summary")
+    return summary, rows.funnel().unionByName(track_regions.funnel())
+
+
+def q1_q2(charts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Q1 and Q2 reports from one scan: (delay report, streak report)."""
+    return delay_and_streak_of(lifecycle_summary(charts)[0])
+
+
+def delay_and_streak_of(summary: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Q1 and Q2 reports from a ``lifecycle_summary``."""
     delay = lifecycle.delay_by_region(clean.valid_release(lifecycle.debut_delay(summary)))
     return delay, lifecycle.streak_by_region(summary)
 
 
 def funnel(charts: DataFrame) -> DataFrame:
-    """Rows left after each cleaning step, at row and track-region level.
+    """Rows left after each cleaning step, at row and track-region level, counted by the job that makes the summary."""
+    return lifecycle_summary(charts)[1]
 
-    Charts that come from files (``read_charts``) have a first step that
-    leaves out their malformed rows.
+
+# ---------------------------------------------------------------- Q4 tiers
+def tier_question(charts: DataFrame) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """(edges, funnel) of the tier question from one scan of the chart rows.
+
+    The counts ride on the jobs that write the bridge and read the edges (``counters.SideCounter``); call
+    ``funnel`` after a job has read all edges. Track-regions without artists
+    are kept up to the flags, to be counted there.
     """
-    cutoff = F.lit(RELEASE_CUTOFF).cast("date")
-    well_formed = [("well formed", F.col(CORRUPT).isNull())] if CORRUPT in charts.columns else []
-    rows = clean.filter_funnel(
-        charts,
-        [
-            *well_formed,
-            ("chart is top200", F.col("chart") == "top200"),
-            ("released after 2017-01-01", F.col("release_day") > cutoff),
-        ],
-        level="rows",
-    )
-    tr = lifecycle.track_region(lifecycle_base(charts))
-    trs = clean.filter_funnel(
-        tr,
-        [
-            ("release known", F.col("release_day").isNotNull()),
-            ("release on or before first chart day", F.col("release_day") <= F.col("first_chart_day")),
-        ],
-        level="track_regions",
-    )
-    return rows.unionByName(trs)
+    base = lifecycle_base(charts).select("track_id", "region", "date", "release_day", "artist")
+    rows = SideCounter(base, input="released after 2017-01-01")
+    pairs = artists.artist_bridge(artists.explode_artists(rows.rows, outer=True))
+    pairs = SideCounter(pairs, [("track-regions with artists, one per artist", F.col("artist").isNotNull())])
+    bridge = materialize(pairs.rows, "tier-bridge")
+    tiers = artists.artist_tiers(artists.artist_counts(bridge.where(F.col("artist").isNotNull())))
+    flags = artists.all_tier_flags(bridge, tiers)
+    flags = SideCounter(flags, also={t: F.col(f"in_{t}") for t in TIERS})
+    edges = _edges(flags.rows.where(F.col("first_chart_day").isNotNull()))
+
+    def funnel() -> DataFrame:
+        per_tier = {r["tier"]: r["count"] for r in tiers.groupBy("tier").count().collect()}  # three rows
+        found = [("all", 0, "released after 2017-01-01", rows.counts()[0])]
+        found.append(("all", 1, "track-regions", flags.counts()[0]))
+        found.append(("all", 2, "track-regions with artists, one per artist", pairs.counts()[1]))
+        found.append(("all", 3, "artists", sum(per_tier.values())))
+        found += [(t, 4, "artists", n) for t, n in per_tier.items()]
+        found += [(t, 5, "track-regions", flags.other(t)) for t in per_tier]
+        return counted(charts.sparkSession, found)
+
+    return edges, funnel
 
 
-# ---------------------------------------------------------------- Q4 tiers
 def tier_funnel(charts: DataFrame) -> DataFrame:
     """Sizes along the tier question: rows, track-regions, artist rows, artists and track-regions per tier.
 
-    Output: (level, step_no, step, row_count). One scan of the chart rows;
-    the rest is counted on the written bridge.
+    Output: (level, step_no, step, row_count), counted by the jobs that make the tier histogram.
     """
-    bridge, tiers = tier_inputs(charts)
-    base = lifecycle_base(charts)
-    per_pair = base.groupBy("track_id", "region").agg(F.count(F.lit(1)).alias("n"))
-    sizes = per_pair.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("a"), F.count(F.lit(1)).alias("b"))
-    rows = sizes.selectExpr(
-        "stack(2, 0, 'released after 2017-01-01', a, 1, 'track-regions', b) as (step_no, step, row_count)"
-    )
-    pairs = bridge.agg(F.count(F.lit(1)).alias("a"), F.count_distinct("artist").alias("b"))
-    rows = rows.unionByName(
-        pairs.selectExpr("stack(2, 2, 'track-regions with artists, one per artist', a, 3, 'artists', b) as (step_no, step, row_count)")
-    )
-    rows = rows.select(F.lit("all").alias("level"), "step_no", "step", "row_count")
-    counts = tiers.groupBy("tier").agg(F.count(F.lit(1)).alias("row_count"))
-    rows = rows.unionByName(counts.select(F.col("tier").alias("level"), F.lit(4).alias("step_no"), F.lit("artists").alias("step"), "row_count"))
-    tracks = artists.tier_tracks(bridge, tiers).groupBy("tier").agg(F.count(F.lit(1)).alias("row_count"))
-    rows = rows.unionByName(tracks.select(F.col("tier").alias("level"), F.lit(5).alias("step_no"), F.lit("track-regions").alias("step"), "row_count"))
-    return rows.select("level", F.col("step_no").cast("int").alias("step_no"), "step", F.col("row_count").cast("bigint").alias("row_count"))
+    edges, counts = tier_question(charts)
+    materialize(spread.edge_histogram(edges), "tier-histogram")
+    return counts()
 
 
 def artist_rows(charts: DataFrame) -> DataFrame:
@@ -142,8 +173,10 @@ def track_regions_with_artists(charts: DataFrame) -> DataFrame:
 
 def tier_edges(charts: DataFrame) -> DataFrame:
     """Q4 edges: (tier, track, from_region, to_region, from_date, to_date, days)."""
-    bridge, tiers = tier_inputs(charts)
-    flags = artists.tier_flags(bridge, tiers)
+    return _edges(artists.tier_flags(*tier_inputs(charts)))
+
+
+def _edges(flags: DataFrame) -> DataFrame:
     edges = spread.days_to_popular(spread.first_arrivals(flags))
     return spread.explode_tiers(edges).select(
         "tier", "track_id", "from_region", "to_region", "from_date", "to_date", "days_to_popular"
@@ -222,37 +255,46 @@ def model_data(charts: DataFrame) -> DataFrame:
 MODEL_PARTITIONS = 16
 
 
+def model_question(charts: DataFrame, lifecycle_: tuple[DataFrame, DataFrame] | None = None):
+    """(data, funnel) of the model question: ``assembled_data`` and the rows left on the way, counted by the same jobs.
+
+    ``lifecycle_`` is a ``lifecycle_summary`` with features to reuse.
+    """
+    summary, rows = lifecycle_ or lifecycle_summary(charts, features=True)
+    whole = F.lit(True)
+    for c in [*MODEL_FEATURES, model.LABEL_SOURCE]:
+        whole = whole & F.col(c).isNotNull()
+    frame = SideCounter(
+        model.train_test_split(model.frame_of(summary)),
+        [("features and peak rank known", whole), ("train", F.col("split") == "train")],
+        level="track_regions",
+    )
+    data = fixed_layout(model.complete_rows(frame.rows))
+    return data, rows.where(F.col("level") == "rows").unionByName(frame.funnel())
+
+
 def assembled_data(charts: DataFrame, partitions: int = MODEL_PARTITIONS) -> DataFrame:
-    """Model rows with the feature vector, in a fixed layout, lineage cut.
+    """Model rows with the feature vector, in a fixed layout, lineage cut (``fixed_layout``)."""
+    return fixed_layout(model_data(charts), partitions)
+
 
-    The model rows are written once as parquet in the shared folder; every
-    pass of a fit, and any task retried after a lost executor, starts from
-    there. The forest samples rows per partition from its seed, so the rows
+def fixed_layout(rows: DataFrame, partitions: int = MODEL_PARTITIONS) -> DataFrame:
+    """Model rows with the feature vector, dealt and sorted once and checkpointed in the shared folder.
+
+    Every pass of a fit, and any task retried after a lost executor, reads the
+    checkpointed partitions. The forest samples rows per partition from its seed, so the rows
     are hash-partitioned by (track, region) into ``partitions`` partitions and
     sorted inside each: with the same ``partitions``, the seed fixes every
     tree's sample whatever the size of the data, the cluster or its settings.
     """
-    rows = materialize(model_data(charts), "model-rows")
+    shared_dir(rows.sparkSession)
     dealt = rows.repartition(partitions, "track_id", "region").sortWithinPartitions("track_id", "region")
-    return model.assemble(dealt)
+    return model.assemble(dealt.checkpoint())
 
 
 def model_funnel(charts: DataFrame) -> DataFrame:
     """Rows left along the model question: chart rows, then model rows, then the two splits."""
-    cutoff = F.lit(RELEASE_CUTOFF).cast("date")
-    rows = clean.filter_funnel(
-        charts,
-        [("chart is top200", F.col("chart") == "top200"), ("released after 2017-01-01", F.col("release_day") > cutoff)],
-        level="rows",
-    )
-    frame = model.train_test_split(model.model_frame(lifecycle_base(charts)))
-    whole = F.lit(True)
-    for c in [*MODEL_FEATURES, model.LABEL_SOURCE]:
-        whole = whole & F.col(c).isNotNull()
-    frames = clean.filter_funnel(
-        frame, [("features and peak rank known", whole), ("train", F.col("split") == "train")], level="track_regions"
-    )
-    return rows.unionByName(frames)
+    return model_question(charts)[1]
 
 
 def split_of(data: DataFrame, which: str) -> DataFrame:

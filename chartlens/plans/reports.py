@@ -1,13 +1,16 @@
 """Write the reports of each question from one chart table.
 
-These are the batch jobs a user runs: each question scans the chart table
-once, writes its small intermediate (track-region summary, tier edges,
-corridor sums, monthly genre statistics, model frame) to the shared
-folder, and derives all of its reports (CSV with header) from it.
+These are the batch jobs a user runs. All reports together scan the chart rows five times:
+once for the track-region summary of the delay, streak and model questions, once for
+the tier bridge, once for the title corridors, and twice for the genres (statistics, and
+the annotated rows themselves). Each question writes its small intermediate to
+the shared folder and derives its reports (CSV with header) from it; funnels
+are counted by the same jobs (``operators.counters``).
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -69,10 +72,26 @@ class _Out:
         self.written.append(path)
 
 
-def delay_and_streak(charts: DataFrame, out: _Out, **_) -> None:
-    """Q1 and Q2 reports, from one scan of the chart rows, and their funnel."""
-    out.put(Q.funnel(charts), REPORT_NAMES["funnel"])
-    delay, streak = Q.q1_q2(charts)
+class _Shared:
+    """What several questions of one call read: made once, by the first that asks."""
+
+    def __init__(self, charts: DataFrame, questions: Sequence[str]):
+        self._charts, self._features = charts, "model" in questions
+        self._lock, self._lifecycle = threading.Lock(), None
+
+    def lifecycle(self) -> tuple[DataFrame, DataFrame]:
+        """``Q.lifecycle_summary``, with features where the model question is asked too."""
+        with self._lock:
+            if self._lifecycle is None:
+                self._lifecycle = Q.lifecycle_summary(self._charts, self._features)
+            return self._lifecycle
+
+
+def delay_and_streak(charts: DataFrame, out: _Out, shared: _Shared, **_) -> None:
+    """Q1 and Q2 reports and their funnel, from the one scan of the lifecycle summary."""
+    summary, funnel = shared.lifecycle()
+    out.put(funnel, REPORT_NAMES["funnel"])
+    delay, streak = Q.delay_and_streak_of(summary)
     out.put(delay, REPORT_NAMES["delay"])
     out.put(streak, REPORT_NAMES["streak"])
 
@@ -80,13 +99,14 @@ def delay_and_streak(charts: DataFrame, out: _Out, **_) -> None:
 def tier_spread(charts: DataFrame, out: _Out, **_) -> None:
     """Q4: spread per tier, and corridors from the reference's origins per tier.
 
-    The tier edges are written once and aggregated once per kind of report;
-    the 12 reports are read from the two small tables.
+    The edges are aggregated once, to a histogram of days per tier and corridor; it is written,
+    both kinds of reports derive from it, and the 12 reports are read from the two small tables.
     """
-    edges = Q.materialize(Q.tier_edges(charts), "tier-edges")
-    spread4 = Q.materialize(spread.spread_by_destination(edges), "tier-spread")
-    corridors4 = Q.materialize(spread.corridor_avg(clean.from_origin(edges, TIER_ORIGINS)), "tier-corridors")
-    out.put(Q.tier_funnel(charts), REPORT_NAMES["tier_funnel"])
+    edges, funnel = Q.tier_question(charts)
+    hist = Q.materialize(spread.edge_histogram(edges), "tier-histogram")
+    out.put(funnel(), REPORT_NAMES["tier_funnel"])
+    spread4 = Q.materialize(spread.spread_of(hist), "tier-spread")
+    corridors4 = Q.materialize(spread.corridors_of(clean.from_origin(hist, TIER_ORIGINS)), "tier-corridors")
     for tier in TIERS:
         name = REPORT_NAMES["tier_spread"].format(tier=tier)
         rows = spread4.where(spread4.tier == tier).drop("tier")
@@ -130,9 +150,9 @@ def genre_reports(charts: DataFrame, out: _Out, genre_date: str = "date", **_) -
     out.put(genres.top_genre_per_quartile(genres.share_quartile(shares)), REPORT_NAMES["quartile_leaders"])
 
 
-def model_reports(charts: DataFrame, out: _Out, **_) -> None:
-    """Q5: forest and linear metrics, importances, coefficients, formula (one model frame) and the funnel."""
-    data = Q.assembled_data(charts)
+def model_reports(charts: DataFrame, out: _Out, shared: _Shared, **_) -> None:
+    """Q5: forest and linear metrics, importances, coefficients, formula and the funnel, from the lifecycle summary."""
+    data, funnel = Q.model_question(charts, shared.lifecycle())
     forest, forest_pred = Q.q5_forest(charts, data)
     linear, linear_pred = Q.q5_linear(charts, data)
     out.put(model.regression_metrics(forest_pred), REPORT_NAMES["forest_metrics"])
@@ -140,7 +160,7 @@ def model_reports(charts: DataFrame, out: _Out, **_) -> None:
     out.put(model.feature_importance(forest), REPORT_NAMES["importances"])
     out.put(model.coefficient_table(linear), REPORT_NAMES["coefficients"])
     out.put(model.formula(linear), REPORT_NAMES["formula"])
-    out.put(Q.model_funnel(charts), REPORT_NAMES["model_funnel"])
+    out.put(funnel, REPORT_NAMES["model_funnel"])
 
 
 QUESTIONS: dict[str, Callable[..., None]] = {
@@ -168,13 +188,13 @@ def write_reports(
     other (useful when one question's stages do not fill the cluster).
     Tables written on the way are removed at the end.
     """
-    spark = charts.sparkSession
+    spark, shared = charts.sparkSession, _Shared(charts, questions)
     with scratch(spark) as folder:
 
         def run(q: str) -> list[str]:
             with scratch(spark, folder):
                 out = _Out(out_dir, fmt)
-                QUESTIONS[q](charts, out, genre_date=genre_date)
+                QUESTIONS[q](charts, out, genre_date=genre_date, shared=shared)
                 return out.written
 
         if not parallel or len(questions) < 2:
