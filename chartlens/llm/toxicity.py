@@ -1,15 +1,22 @@
-"""Toxicity from the nearest labelled examples, by exact TF-IDF cosine.
+"""Toxicity from the nearest labelled examples, by exact TF-IDF cosine over a block-max index.
 
-Terms are 5-byte windows of the lower-cased text (white space as one kind of
-byte), so word forms need no list of a language's words. All terms of the
+Terms are words: runs of digits, letters a-z and characters beyond ASCII of the
+lower-cased text; an ideograph, kana or Hangul syllable is a word of its own. All terms of the
 labelled examples are indexed; terms that no example holds share nothing with
 one and do not count. Examples and texts are TF-IDF vectors over these terms, with
 document frequencies of the whole corpus; a term that toxic examples have more
-often than chance allows weighs more, by its chi-squared beyond that of chance.
-
-The cosines of a text with all examples are summed exactly: frequent terms by a
-matrix product, the others from an inverted index. The neighbours' votes are
-weighted by their cosines, and the share of toxic votes is mapped to a
+often than chance allows weighs more, by its chi-squared beyond that of chance. The
+cosines here are those of these weighted vectors.
+
+Examples that resemble each other are in one block of ``BLOCK``. The index keeps, for every
+term and block, the term's largest weight there (S. Ding and T. Suel, "Faster Top-k Document Retrieval Using
+Block-Max Indexes", 2011), so a text's terms bound its cosine with all of a
+block's examples at once. A text's blocks are scored in order of their bounds until no
+bound reaches the cosine of its k-th example so far; the others are never read. Rare terms
+have postings by (term, block), frequent ones a dense matrix per block. The bounds and sums
+of 32-bit numbers leave a margin, and what may be among the k nearest is summed again in 64 bits.
+
+The neighbours' votes are weighted by their squared cosines, and the share of toxic votes is mapped to a
 probability by isotonic regression on votes of each example's own neighbours,
 weighted to the class sizes of all labels.
 
@@ -20,6 +27,7 @@ each class in md5 order. Everything else covers all rows.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
 from functools import cached_property
@@ -30,13 +38,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import by_bytes, hashed, ship, table, written
+from .text import mix, word_hashes
 
 EXAMPLES = 2048  # of each class at most
-NEIGHBOURS = 16
-HEAD = 5000  # most frequent terms at most, summed by matrix products
+NEIGHBOURS = 8
+BLOCK = 64  # examples
+HEAD = 4096  # most frequent terms at most, as dense matrices
 OFTEN = 0.05  # share of the examples that such a term is in
 TOGETHER = 128  # texts scored at once
-GRAM = 5  # bytes
+MARGIN = 1e-5  # of 32-bit bounds and sums; cosines are at most 1
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 BATCH_BYTES = 1 << 19
@@ -44,26 +54,17 @@ EVIDENCE = 3  # examples returned with a score
 REMEMBERED = 50_000  # results
 
 _U = np.uint64
-_SPACES = bytes(32 if b in (9, 10, 11, 12, 13) else b for b in range(256))
-_MASK = _U((1 << 8 * GRAM) - 1)
+_APART = re.compile("([\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uac00-\ud7af])")
+_WORDS = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _NONE = np.empty(0, np.int64)
 
 
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Terms of all texts, and the text that each belongs to."""
-    raws = [b" " + t.lower().encode().translate(_SPACES) + b" " for t in texts]
-    raw = b"".join(raws)
-    sizes = np.array([len(r) for r in raws], np.int64)
-    n = max(len(raw) - GRAM + 1, 0)
-    padded = raw + b"\0" * 16
-    x = np.empty(n, _U)
-    for k in range(min(8, n)):
-        x[k::8] = np.frombuffer(padded, "<u8", len(range(k, n, 8)), k)
-    owner = np.repeat(np.arange(len(texts)), sizes)[:n]
-    # windows over the end of a text belong to none
-    room = np.repeat(np.cumsum(sizes), sizes)[:n] - np.arange(n)
-    inside = room >= GRAM
-    return (x & _MASK)[inside], owner[inside]
+def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of all texts as 64-bit numbers, and the text that each belongs to."""
+    raws = [_APART.sub(r" \1 ", t.lower()).encode() for t in texts]
+    starts, x = word_hashes(b" ".join(raws).translate(_WORDS))
+    ends = np.cumsum(np.array([len(r) + 1 for r in raws], np.int64))
+    return x, np.searchsorted(ends, starts, side="right")
 
 
 class Terms:
@@ -96,7 +97,7 @@ class Terms:
         owners, numbers = [], []
         if len(self.terms):
             for a, b in by_bytes([len(t) for t in texts], BATCH_BYTES):
-                x, owner = grams(texts[a:b])
+                x, owner = words(texts[a:b])
                 at = self.find(x)
                 hit = at >= 0
                 owners.append(owner[hit] + a)
@@ -128,45 +129,11 @@ class Model:
         self.known: dict[bytes, tuple[float, np.ndarray, np.ndarray]] = {}
 
     def __reduce__(self):
-        return Model, tuple(getattr(self, f.name) for f in fields(self))  # the index is built where it is used
-
-    @cached_property
-    def _index(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Postings of term t: from ``first[t]`` to the next, each an example and its weight there."""
-        example = np.repeat(np.arange(len(self.size), dtype=np.int32), self.size)
-        w = unit_weights(example, self.number, self.count, self.idf, len(self.size))
-        turn = np.argsort(self.number, kind="stable")
-        first = np.concatenate([[0], np.cumsum(np.bincount(self.number, minlength=len(self.terms.terms)))])
-        return first, example[turn], w[turn]
-
-    first = property(lambda self: self._index[0])
-    example = property(lambda self: self._index[1])
-    weight = property(lambda self: self._index[2])
+        return Model, tuple(getattr(self, f.name) for f in fields(self))  # the index is made where it is used
 
     @cached_property
-    def _head(self) -> tuple[np.ndarray, np.ndarray]:
-        """Column of each frequent term (-1: another term), and the weights of these terms in all examples."""
-        length = np.diff(self.first)
-        often = np.flatnonzero(length >= OFTEN * len(self.ids))
-        often = np.sort(often[np.argsort(-length[often], kind="stable")[:HEAD]])
-        column = np.full(len(length), -1, np.int64)
-        column[often] = np.arange(len(often))
-        head = np.zeros((len(often), len(self.ids)))
-        places, length = self._postings(often)
-        head[np.repeat(np.arange(len(often)), length), self.example[places]] = self.weight[places]
-        return column, head
-
-    @property
-    def block_max(self) -> np.ndarray:
-        """Each term's largest weight; all examples are one block."""
-        return np.maximum.reduceat(self.weight, self.first[:-1])[:, None]
-
-    def _postings(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the terms' postings one after the other, and how many each term has."""
-        start, length = self.first[number], self.first[number + 1] - self.first[number]
-        places = np.repeat(start - np.cumsum(length) + length, length)
-        places += np.arange(len(places))
-        return places, length
+    def index(self) -> Index:
+        return Index(self)
 
     def scores(self, texts: list[str]) -> list[tuple[float, np.ndarray, np.ndarray]]:
         """Probability, nearest examples (positions) and cosines of each text."""
@@ -196,25 +163,7 @@ class Model:
 
         Of equal cosines (to 12 places) the first positions come first.
         """
-        size, (column, head) = len(self.ids), self._head
-        dense, cosine = np.zeros((len(vectors), len(head))), np.empty((len(vectors), size))
-        for r, (number, w) in enumerate(vectors):  # one by one, to stay within the processor's cache
-            often = column[number] >= 0
-            dense[r, column[number[often]]] = w[often]
-            number, w = number[~often], w[~often]
-            places, length = self._postings(number)
-            part = self.weight[places]
-            part *= np.repeat(w, length)
-            cosine[r] = np.bincount(self.example[places], part, size)
-        cosine = np.round(cosine + dense @ head, 12)
-        if but is not None:
-            cosine[np.arange(len(vectors)), but] = 0
-        least = -np.partition(-cosine, k - 1, axis=1)[:, k - 1] if k < size else np.zeros(len(vectors))
-        i, j = np.nonzero((cosine >= least[:, None]) & (cosine > 0))
-        turn = np.lexsort((j, -cosine[i, j], i))
-        i, j = i[turn], j[turn]
-        cuts = np.searchsorted(i, np.arange(len(vectors) + 1))
-        return [(j[a : min(a + k, b)], cosine[r, j[a : min(a + k, b)]]) for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))]
+        return self.index.neighbours(vectors, k, but)
 
     def nearest(self, number: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """``neighbours`` of one vector."""
@@ -236,6 +185,138 @@ class Model:
         return float(np.interp(vote, self.steps, self.levels))
 
 
+class Index:
+    """Examples in blocks of similar ones, with each term's largest weight in each block."""
+
+    def __init__(self, model: Model):
+        n, terms = len(model.ids), len(model.terms.terms)
+        owner = np.repeat(np.arange(n, dtype=np.int32), model.size)
+        self.number = model.number
+        self.weight = unit_weights(owner, model.number, model.count, model.idf, n).astype(np.float32)
+        self.start = np.concatenate([[0], np.cumsum(model.size)])
+        self.order = similar(owner, model.number, self.weight, n, BLOCK)  # example at each place
+        place = np.empty(n, np.int64)
+        place[self.order] = np.arange(n)
+        self.n, self.blocks = n, -(-n // BLOCK)
+        self.read = 0  # blocks read so far, of ...
+        self.asked = 0
+
+        often = np.bincount(model.number, minlength=terms)
+        frequent = np.flatnonzero(often >= OFTEN * n)
+        frequent = np.sort(frequent[np.argsort(-often[frequent], kind="stable")[:HEAD]])
+        self.column = np.full(terms, -1, np.int32)  # of a frequent term
+        self.column[frequent] = np.arange(len(frequent))
+        at, column = place[owner], self.column[model.number]
+        dense = column >= 0
+        self.head = np.zeros((self.blocks, len(frequent), BLOCK), np.float32)
+        self.head[at[dense] // BLOCK, column[dense], at[dense] % BLOCK] = self.weight[dense]
+        self.head_most = np.ascontiguousarray(self.head.max(axis=2).T)  # terms x blocks
+
+        # the other terms: cells of a term and a block, postings (place, weight) of each cell
+        key = model.number[~dense].astype(np.int64) * n + at[~dense]
+        turn = np.argsort(key)
+        term, self.place = np.divmod(key[turn], n)
+        self.posting = self.weight[~dense][turn]
+        cell = term * self.blocks + self.place // BLOCK
+        first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.empty(0, np.int64)
+        self.cell_most = np.maximum.reduceat(self.posting, first) if len(first) else np.empty(0, np.float32)
+        self.cell_block = cell[first] % self.blocks
+        self.cell_start = np.append(first, len(cell))
+        self.cells = np.searchsorted(cell[first] // self.blocks, np.arange(terms + 1))  # first cell of each term
+
+    def neighbours(self, vectors, k: int, but: list[int] | None):
+        """See ``Model.neighbours``."""
+        rows, out = len(vectors), []
+        query = np.zeros((rows, self.head.shape[1]), np.float32)
+        bound, rare = np.empty((rows, self.blocks)), []
+        for r, (number, w) in enumerate(vectors):
+            column = self.column[number]
+            query[r, column[column >= 0]] = w[column >= 0]
+            number, w = number[column < 0], w[column < 0]
+            length = self.cells[number + 1] - self.cells[number]
+            cells = ranges(self.cells[number], length)
+            weight, block = np.repeat(w, length), self.cell_block[cells]
+            bound[r] = np.bincount(block, weight * self.cell_most[cells], self.blocks)
+            rare.append((cells, weight, block))
+        bound += query @ self.head_most
+        possible = bound > 0
+        bound += MARGIN
+        by_bound = np.argsort(-bound, axis=1, kind="stable")
+        cosine = np.zeros((rows, self.blocks * BLOCK), np.float32)
+        done, least = np.zeros((rows, self.blocks), bool), np.zeros(rows)
+        left_out = None
+        if but is not None:
+            place = np.empty(self.n, np.int64)
+            place[self.order] = np.arange(self.n)
+            left_out = place[but]
+        for some in (2, 4, self.blocks):  # blocks of each text at once, the best bounds first
+            wanted = possible & (bound >= least[:, None]) & ~done
+            first = np.take_along_axis(wanted, by_bound, 1)
+            first &= np.cumsum(first, axis=1) <= some
+            np.put_along_axis(wanted, by_bound, first, 1)
+            for b in np.flatnonzero(wanted.any(axis=0)):
+                r = np.flatnonzero(wanted[:, b])
+                cosine[r, b * BLOCK : (b + 1) * BLOCK] = query[r] @ self.head[b]
+            for r in np.flatnonzero(wanted.any(axis=1)):
+                cells, weight, block = rare[r]
+                chosen = wanted[r][block]
+                cells, weight = cells[chosen], weight[chosen]
+                length = self.cell_start[cells + 1] - self.cell_start[cells]
+                postings = ranges(self.cell_start[cells], length)
+                cosine[r] += np.bincount(
+                    self.place[postings], np.repeat(weight, length) * self.posting[postings], cosine.shape[1]
+                )
+            if left_out is not None:
+                cosine[np.arange(rows), left_out] = 0
+            done |= wanted
+            if k < cosine.shape[1]:
+                least = -np.partition(-cosine, k - 1, axis=1)[:, k - 1] - MARGIN
+        self.read, self.asked = self.read + int(done.sum()), self.asked + done.size
+        scattered = np.zeros(len(self.column))
+        for r, (number, w) in enumerate(vectors):
+            near = np.flatnonzero((cosine[r] >= least[r] - MARGIN) & (cosine[r] > 0))
+            near = self.order[near]
+            scattered[number] = w
+            length = self.start[near + 1] - self.start[near]
+            at = ranges(self.start[near], length)
+            owner = np.repeat(np.arange(len(near)), length)
+            exact = np.round(np.bincount(owner, scattered[self.number[at]] * self.weight[at], len(near)), 12)
+            scattered[number] = 0
+            turn = np.lexsort((near, -exact))[:k]
+            turn = turn[exact[turn] > 0]
+            out.append((near[turn], exact[turn]))
+        return out
+
+
+def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, ``length`` of them, one range after the other."""
+    out = np.repeat(start - np.cumsum(length) + length, length)
+    out += np.arange(len(out))
+    return out
+
+
+def similar(owner, number, weight, n: int, size: int) -> np.ndarray:
+    """An order of the ``n`` examples in which each ``size`` on end resemble each other.
+
+    They are halved again and again along the main axis of a random projection of their vectors.
+    """
+    width, hashed_number = 128, mix(np.asarray(number).astype(np.uint64), 5)
+    column = (hashed_number & np.uint64(width - 1)).astype(np.int64)
+    sign = np.where(hashed_number >> np.uint64(40) & np.uint64(1), weight, -weight)
+    x = np.bincount(owner.astype(np.int64) * width + column, sign, n * width).reshape(n, width)
+
+    def halves(rows: np.ndarray) -> list[np.ndarray]:
+        if len(rows) <= size:
+            return [rows]
+        away = x[rows] - x[rows].mean(axis=0)
+        axis = np.linalg.eigh(away.T @ away)[1][:, -1]
+        rows = rows[np.argsort(away @ axis, kind="stable")]
+        cut = (-(-len(rows) // size) + 1) // 2 * size
+        return halves(rows[:cut]) + halves(rows[cut:])
+
+    return np.concatenate(halves(np.arange(n)))
+
+
 def unit_weights(owner, number, count, idf: np.ndarray, rows: int) -> np.ndarray:
     """TF-IDF weights, of unit length for each of ``rows`` texts."""
     w = np.log(np.asarray(count, float))
@@ -298,14 +379,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         return None
     sample = [known.where(F.col("toxic") == c).orderBy(hashed(F.col("doc_id")), "doc_id").limit(EXAMPLES) for c in (0, 1)]
     sample = spark.createDataFrame(sample[0].union(sample[1]).toPandas(), "doc_id long, toxic int")  # at most 2 * EXAMPLES ids
-    examples = written(rows.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]), "examples")
+    examples = rows.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic")
+    first = F.min(F.struct(F.md5("text"), "text"))  # of several texts of one id always the same
+    examples = written(examples.agg(first["text"].alias("text")), "examples")
     examples = examples.repartition("doc_id")
 
     def present(batches) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts, toxic = _texts(batch["text"]), batch["toxic"].to_numpy()
             for a, b in by_bytes([len(t) for t in texts], BATCH_BYTES):
-                x, owner = grams(texts[a:b])
+                x, owner = words(texts[a:b])
                 pair = np.unique(np.rec.fromarrays([owner, x], names="o,x"))
                 yield pd.DataFrame({"term": pair["x"].astype(np.int64), "toxic": toxic[a:b][pair["o"]].astype(np.int64)})
 
@@ -314,7 +397,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         return None
     found = examples.select("text", "toxic").mapInPandas(present, "term long, toxic long").groupBy("term")
     found = found.agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
-    found = found.toArrow().to_pandas().sort_values("term")  # the terms of at most 2 * EXAMPLES texts
+    found = found.toArrow().to_pandas()  # the terms of at most 2 * EXAMPLES texts
+    found = found.iloc[np.argsort(found["term"].to_numpy().astype(_U))]  # in the order of ``Terms``
     terms = Terms(found["term"].to_numpy().astype(_U))
     # terms that toxic examples have more often than chance: chi-squared beyond 2 ln(number of terms)
     n1, n0 = float(n[1]), float(n[0])

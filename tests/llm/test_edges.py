@@ -338,30 +338,56 @@ def test_toxicity(docs, labels, nothing):
 
 
 def test_nearest_examples_are_exact(spark):
-    """Block-max search against all cosines."""
+    """Block-max search against all cosines; blocks are left out."""
     rng = np.random.default_rng(2)
-    bad, words = [f"bad{i}" for i in range(9)], [f"w{i}" for i in range(300)]
+    bad, words = [f"bad{i}" for i in range(9)], [f"w{i}" for i in range(1200)]
     rows = []
-    for i in range(600):
-        text = list(rng.choice(words, 40)) + (list(rng.choice(bad, rng.integers(1, 5))) if i % 3 == 0 else [])
-        rows.append((i, " ".join(rng.permutation(text)), int(i % 3 == 0)))
+    for i in range(900):
+        topic = i % 4 * 300  # a text's words are of one of four topics, with some common ones
+        text = [*rng.choice(words[topic : topic + 300], 40), *rng.choice(words[:30], 8)]
+        rows.append((i, " ".join(rng.permutation(text + (list(rng.choice(bad, rng.integers(1, 5))) if i % 3 == 0 else []))), int(i % 3 == 0)))
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     model = toxicity.fit(docs, docs.select("doc_id", "toxic"))
-    dense = np.zeros((len(model.ids), len(model.terms.terms)))
-    cells = np.repeat(np.arange(len(model.first) - 1), np.diff(model.first))
-    number = cells // model.block_max.shape[1]
-    dense[model.example, number] = model.weight
-    for x, w in model.vectors([r[1] for r in rows[:100]]):
+    n = len(model.ids)
+    owner = np.repeat(np.arange(n), model.size)
+    weight = toxicity.unit_weights(owner, model.number, model.count, model.idf, n).astype(np.float32)
+    dense = np.zeros((n, len(model.terms.terms)))
+    dense[owner, model.number] = weight
+    index, k = model.index, toxicity.NEIGHBOURS
+    assert sorted(index.order) == list(range(n)) and index.blocks > 4
+    # every bound holds for every example of its block
+    most = np.zeros((dense.shape[1], index.blocks))
+    most[index.column >= 0] = index.head_most
+    for t in range(dense.shape[1]):
+        for c in range(index.cells[t], index.cells[t + 1]):
+            most[t, index.cell_block[c]] = index.cell_most[c]
+    for p, e in enumerate(index.order):
+        assert (dense[e] <= most[:, p // toxicity.BLOCK]).all()
+    texts = [r[1] for r in rows[:200]] + ["", "unknown", "w1", "bad1 bad1 bad2", "w1 " * 1000]
+    vectors = model.vectors(texts)
+    for (x, w), (at, got) in zip(vectors, model.neighbours(vectors)):
         q = np.zeros(dense.shape[1])
         q[x] = w
-        cosine = dense @ q
-        want = sorted((-round(c, 9), i) for i, c in enumerate(cosine) if c > 0)[: toxicity.NEIGHBOURS]
-        at, got = model.nearest(x, w)
-        assert np.allclose([-c for c, _ in want], got)
+        want = sorted((-c, i) for i, c in enumerate(np.round(dense @ q, 12)) if c > 0)[:k]
+        assert np.allclose([-c for c, _ in want], got, atol=1e-11, rtol=0)
+        assert [i for _, i in want] == list(at) or len(set(np.round(got, 11))) < len(got)
+    assert 0 < index.read < 0.75 * index.asked
+    own = model.own_votes(0, n)
+    for i in range(0, n, 17):
+        cosine = np.round(dense[i] @ dense.T, 6)
+        cosine[i] = 0
+        at = sorted(range(n), key=lambda j: (-cosine[j], j))[:k]
+        assert abs(own[i] - (cosine[at] ** 2 * model.toxic[at]).sum() / (cosine[at] ** 2).sum()) < 1e-4
     scored = toxicity.toxicity(docs, docs.select("doc_id", "toxic")).collect()
     assert np.mean([r["predicted"] == int(r["doc_id"] % 3 == 0) for r in scored]) > 0.97
 
 
+def test_toxicity_terms():
+    x, owner = toxicity.words(["Ab, ab!", "", "É é x1", "\u65e5\u672c a"])
+    assert owner.tolist() == [0, 0, 2, 2, 2, 3, 3, 3]
+    assert x[0] == x[1] and x[2] == x[3] and len(set(x.tolist())) == 6
+
+
 def test_rare_toxic_words(spark):
     """A text equal to the only toxic example of its language; its words are too rare for a significance test."""
     rng = np.random.default_rng(5)
@@ -373,7 +399,7 @@ def test_rare_toxic_words(spark):
     found = by_id(toxicity.toxicity(docs, docs.select("doc_id", "toxic")))
     (copy,), (clean,) = found[2000], found[2001]
     assert copy["evidence"][0]["doc_id"] == lone and copy["evidence"][0]["toxic"] == 1
-    assert abs(copy["evidence"][0]["cosine"] - 1) < 1e-9
+    assert abs(copy["evidence"][0]["cosine"] - 1) < 1e-6
     assert copy["predicted"] == 1 and clean["predicted"] == 0
 
 

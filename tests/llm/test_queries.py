@@ -122,6 +122,24 @@ def test_toxicity_held_out(spark, docs):
     assert sum(labels[r["doc_id"]] for r in caught) >= 0.9 * len(caught)
 
 
+def test_toxicity_by_language(spark):
+    """Held-out recall in each language, and precision, at sf0.1."""
+    sf = "/root/testdata/sf0.1"
+    said = spark.read.parquet(f"{sf}/documents.parquet").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    said = {r["doc_id"]: (r["lang"], r["toxic"]) for r in said.select("doc_id", "lang", "toxic").collect()}
+    held = [r for r in registry.QUERIES["op9_toxicity"](spark, sf).collect() if r["held_out"] and r["doc_id"] in said]
+    found = {}
+    for r in held:
+        lang, toxic = said[r["doc_id"]]
+        found.setdefault(lang, []).append((r["predicted"], toxic))
+    assert set(found) == {"en", "fr", "es", "de"}
+    for lang, rows in found.items():
+        assert sum(p for p, t in rows if t) >= 0.8 * sum(t for _, t in rows), lang  # 11 toxic ones in Spanish
+    assert sum(p for rows in found.values() for p, t in rows if t) >= 0.9 * sum(t for rows in found.values() for _, t in rows)
+    caught = [t for rows in found.values() for p, t in rows if p]
+    assert sum(caught) >= 0.85 * len(caught)
+
+
 def test_language(spark):
     rows = registry.QUERIES["op2_language_id"](spark, SF_SMALL).collect()
     known = [r for r in rows if r["declared"]]
