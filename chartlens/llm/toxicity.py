@@ -44,6 +44,7 @@ EXAMPLES = 2048  # of each class at most
 NEIGHBOURS = 8
 BLOCK = 64  # examples
 HEAD = 4096  # most frequent terms at most, as dense matrices
+FAINT = 0.02  # weight of the prior in a vote
 OFTEN = 0.05  # share of the examples that such a term is in
 TOGETHER = 128  # texts scored at once
 MARGIN = 1e-5  # of 32-bit bounds and sums; cosines are at most 1
@@ -123,6 +124,7 @@ class Model:
     steps: np.ndarray  # votes, rising
     levels: np.ndarray  # probabilities at these votes
     silent: float  # probability without any shared term
+    prior: float  # share of toxic labels
 
     def __post_init__(self) -> None:
         #: results by vector, for copies
@@ -177,9 +179,9 @@ class Model:
         return [self.vote(at, s) if len(at) else None for at, s in self.neighbours(own, but=list(range(a, b)))]
 
     def vote(self, at: np.ndarray, cosine: np.ndarray) -> float:
-        """Share of toxic votes, weighted by the squared cosine."""
+        """Share of toxic votes, weighted by the squared cosine; faint neighbours give way to the prior."""
         weight = cosine * cosine
-        return float((weight * self.toxic[at]).sum() / weight.sum())
+        return float(((weight * self.toxic[at]).sum() + FAINT * self.prior) / (weight.sum() + FAINT))
 
     def probability(self, vote: float) -> float:
         return float(np.interp(vote, self.steps, self.levels))
@@ -445,11 +447,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     count = count.astype(np.min_scalar_type(count.max(initial=0)))
     size = np.array([len(x.as_py()) // 4 for x in kept["number"]])
     del kept
-    model = Model(terms, idf, ids, toxic, size, number, count, np.zeros(1), np.zeros(1), 0.0)
+    prior = sizes[1] / (sizes[0] + sizes[1])
+    model = Model(terms, idf, ids, toxic, size, number, count, np.zeros(1), np.zeros(1), 0.0, prior)
 
     # each example's own neighbours; classes weigh as in all labels
     scale = np.where(toxic == 1, sizes[1] / n[1], sizes[0] / n[0])
-    prior = sizes[1] / (sizes[0] + sizes[1])
     shipped = spark.sparkContext.broadcast(model)
 
     def own_votes(batches) -> Iterator[pd.DataFrame]:
