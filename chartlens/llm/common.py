@@ -39,6 +39,18 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Hand rows with whole texts to Python workers ``rows`` at a time.
+
+    Spark's default of 10,000 rows a batch is meant for narrow rows; with long texts the JVM
+    and the worker hold several copies of some 20 MB each. Sets the session's
+    ``spark.sql.execution.arrow.maxRecordsPerBatch``, unless it is set to another value than the default.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(rows))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as parquet in the shared folder, and read back.
 

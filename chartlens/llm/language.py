@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bytes, ship, table, written
+from .common import by_bytes, ship, small_batches, table, written
 
 BUCKETS = 8192
 GRAM = 3
@@ -114,6 +114,7 @@ def identify(rows: DataFrame, keys: list[str]) -> DataFrame:
     """
     spark = rows.sparkSession
     ship(spark)
+    small_batches(spark)
     rows = rows.select(*keys, "text", "declared", "host", "domain", "suffix")
     classes = sorted(r["declared"] for r in rows.where("declared != ''").select("declared").distinct().collect())  # one row per language
     size = len(classes)

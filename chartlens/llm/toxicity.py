@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bytes, hashed, ship, table, written
+from .common import by_bytes, hashed, ship, small_batches, table, written
 from .text import mix, word_hashes
 
 EXAMPLES = 2048  # of each class at most
@@ -372,6 +372,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """
     spark = docs.sparkSession
     ship(spark)
+    small_batches(spark)
     rows = docs.select(F.col("doc_id"), F.col("text"))
     known = labels.where(~is_held_out(F.col("doc_id")) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
