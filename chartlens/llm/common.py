@@ -21,6 +21,15 @@ from chartlens.session import fresh_path
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+# Environment of the Python workers: the C library's allocator, and Arrow on top of it.
+WORKER_MEMORY = {
+    "MALLOC_MMAP_THRESHOLD_": str(4 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(8 << 20),
+    "MALLOC_ARENA_MAX": "2",
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -45,10 +54,14 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     Spark's default of 10,000 rows a batch is meant for narrow rows; with long texts the JVM
     and the worker hold several copies of some 20 MB each. Sets the session's
     ``spark.sql.execution.arrow.maxRecordsPerBatch``, unless it is set to another value than the default.
+    Workers also hand arrays of 4 MB and more back to the system when they are done with them;
+    otherwise every idle worker of an executor keeps its largest working set.
     """
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(name) == "10000":
         spark.conf.set(name, str(rows))
+    for name, value in WORKER_MEMORY.items():
+        spark.sparkContext.environment.setdefault(name, value)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -52,7 +52,7 @@ FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 BATCH_BYTES = 1 << 19
 EVIDENCE = 3  # examples returned with a score
-REMEMBERED = 50_000  # results
+REMEMBERED = 20_000  # results
 
 _U = np.uint64
 _APART = re.compile("([\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uac00-\ud7af])")
