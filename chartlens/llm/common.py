@@ -7,11 +7,13 @@ running totals that never put one whole group into one task.
 
 from __future__ import annotations
 
+import ctypes
 import os
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -64,6 +66,24 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
         spark.sparkContext.environment.setdefault(name, value)
 
 
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, handing free memory back to the system when a task ends.
+
+    An executor keeps its idle Python workers for a while; without this each keeps the
+    heap of its largest task beside those that work.
+    """
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+                trim(0)
+
+    return wrapped
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as parquet in the shared folder, and read back.
 

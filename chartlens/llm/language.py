@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bytes, ship, small_batches, table, written
+from .common import by_bytes, releasing, ship, small_batches, table, written
 
 BUCKETS = 8192
 GRAM = 3
@@ -120,7 +120,7 @@ def identify(rows: DataFrame, keys: list[str]) -> DataFrame:
     size = len(classes)
 
     counted = rows.where("declared is not null").select("text", "declared")
-    counted = counted.mapInPandas(lambda b: _fit_rows(b, classes), "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    counted = counted.mapInPandas(releasing(lambda b: _fit_rows(b, classes)), "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
     n = np.ones((size + 1, BUCKETS))
     counted = counted.toArrow()  # at most BUCKETS rows per language
     n.reshape(-1)[counted["place"].to_numpy()] += counted["n"].to_numpy()
@@ -135,7 +135,7 @@ def identify(rows: DataFrame, keys: list[str]) -> DataFrame:
     kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
     read = rows.select(*keys, "text", "declared", "host", "domain", place(F.col("declared")).alias("said"), place(F.col("suffix")).alias("ending"))
     read = read.mapInPandas(
-        lambda b: _text_rows(b, log_p),
+        releasing(lambda b: _text_rows(b, log_p)),
         f"{kinds}, declared string, host string, domain string, said int, ending int, likelihood array<double>, best int",
     )
     read = written(read, "likelihoods")
@@ -188,7 +188,7 @@ def identify(rows: DataFrame, keys: list[str]) -> DataFrame:
             yield out
 
     return joined.drop("host", "domain").mapInPandas(
-        fuse, f"{kinds}, declared string, language string, probability double, accepted boolean"
+        releasing(fuse), f"{kinds}, declared string, language string, probability double, accepted boolean"
     )
 
 

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, ship, whole_groups, written
+from .common import components, releasing, ship, whole_groups, written
 from .text import mix, shingles
 
 REGISTERS = 128
@@ -117,7 +117,7 @@ def sketches(docs: DataFrame, k: int, doc_id: str = "doc_id", text: str = "text"
     ship(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     schema = "id long, n long, sig binary, sketch binary"
-    return rows.mapInPandas(lambda batches: _sketch_rows(batches, k), schema)
+    return rows.mapInPandas(releasing(lambda batches: _sketch_rows(batches, k)), schema)
 
 
 def _set_rows(batches, k: int) -> Iterator[pd.DataFrame]:
@@ -268,7 +268,7 @@ def near_duplicates(
         """The full sets of some classes (rows: sig): read again from the row of a class's least doc_id."""
         ids = classes.join(wanted, "sig", "left_semi").select("id").distinct()
         texts = full.join(ids, full["id"].eqNullSafe(ids["id"]), "left_semi").where("text is not null").select("text")
-        sets = texts.mapInPandas(lambda x: _set_rows(x, k), "sig binary, items array<long>")
+        sets = texts.mapInPandas(releasing(lambda x: _set_rows(x, k)), "sig binary, items array<long>")
         # rows of one doc_id may differ in text, and rows of one text may repeat
         return written(sets.join(wanted, "sig", "left_semi").dropDuplicates(["sig"]), name)
 
@@ -277,7 +277,7 @@ def near_duplicates(
     a = side.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     b = side.select(F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     stars = met.where("sig != least").select(F.col("sig").alias("a"), F.col("least").alias("b")).distinct()
-    stars = stars.join(a, "a").join(b, "b").mapInPandas(lambda x: _hopeful(x, threshold), "a binary, b binary")
+    stars = stars.join(a, "a").join(b, "b").mapInPandas(releasing(lambda x: _hopeful(x, threshold)), "a binary, b binary")
     stars = written(stars, "stars")
     sets = sets_of(stars.select(F.col("a").alias("sig")).union(stars.select("b")).distinct(), "star-sets")
     both = stars.join(sets.select(F.col("sig").alias("a"), F.col("items").alias("xa")), "a")
@@ -302,10 +302,10 @@ def near_duplicates(
         "part", "sig", "root", "n", "sketch",
     )
     apart = apart.repartition(*BLOCK_KEYS).sortWithinPartitions(*BLOCK_KEYS, "sig")
-    still = written(apart.mapInPandas(lambda x: _open_rows(x, threshold), apart.schema), "open")
+    still = written(apart.mapInPandas(releasing(lambda x: _open_rows(x, threshold)), apart.schema), "open")
     sets = sets_of(still.select("sig").distinct(), "open-sets")
     still = still.join(sets, "sig").repartition(*BLOCK_KEYS).sortWithinPartitions(*BLOCK_KEYS, "sig")
-    late = written(still.mapInPandas(lambda x: _joined(x, threshold, percent), "a binary, b binary").distinct(), "late")
+    late = written(still.mapInPandas(releasing(lambda x: _joined(x, threshold, percent)), "a binary, b binary").distinct(), "late")
     if not late.isEmpty():
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(late))
 

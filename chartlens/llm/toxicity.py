@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bytes, hashed, ship, small_batches, table, written
+from .common import by_bytes, hashed, releasing, ship, small_batches, table, written
 from .text import mix, word_hashes
 
 EXAMPLES = 2048  # of each class at most
@@ -398,7 +398,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     n = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}  # two rows
     if len(n) < 2:
         return None
-    found = examples.select("text", "toxic").mapInPandas(present, "term long, toxic long").groupBy("term")
+    found = examples.select("text", "toxic").mapInPandas(releasing(present), "term long, toxic long").groupBy("term")
     found = found.agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
     found = found.toArrow().to_pandas()  # the terms of at most 2 * EXAMPLES texts
     found = found.iloc[np.argsort(found["term"].to_numpy().astype(_U))]  # in the order of ``Terms``
@@ -420,7 +420,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
         number = np.flatnonzero(total)
         yield pd.DataFrame({"number": [-1, *number], "n": [rows_seen, *total[number]]})
 
-    frequency = rows.select("text").mapInPandas(frequencies, "number long, n long")
+    frequency = rows.select("text").mapInPandas(releasing(frequencies), "number long, n long")
     frequency = frequency.groupBy("number").agg(F.sum("n").alias("n")).toArrow().to_pandas()  # one row per term
     corpus = int(frequency.loc[frequency["number"] < 0, "n"].sum())
     frequency = frequency[frequency["number"] >= 0]
@@ -441,7 +441,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
                 yield out
 
     # at most 2 * EXAMPLES rows
-    kept = examples.mapInPandas(vector, "doc_id long, toxic int, number binary, count binary").toArrow()
+    kept = examples.mapInPandas(releasing(vector), "doc_id long, toxic int, number binary, count binary").toArrow()
     kept = kept.sort_by([("toxic", "ascending"), ("doc_id", "ascending")])
     ids, toxic = kept["doc_id"].to_numpy(), kept["toxic"].to_numpy().astype(float)
     number, count = (np.frombuffer(b"".join(x.as_py() for x in kept[c]), "<i4") for c in ("number", "count"))
@@ -461,7 +461,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
                 b = min(a + TOGETHER, len(ids))
                 yield pd.DataFrame({"place": np.arange(a, b), "vote": pd.Series(shipped.value.own_votes(a, b), dtype=float)})
 
-    near = spark.range(0, len(ids), TOGETHER).mapInPandas(own_votes, "place long, vote double").toArrow().to_pandas()
+    near = spark.range(0, len(ids), TOGETHER).mapInPandas(releasing(own_votes), "place long, vote double").toArrow().to_pandas()
     shipped.unpersist()
     votes = near.sort_values("place")["vote"].to_numpy()
     heard = ~np.isnan(votes)
@@ -501,7 +501,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
             yield out
 
     out = rows.mapInPandas(
-        run, f"doc_id {kind}, held_out boolean, score double, near array<long>, cosine array<double>, toxic array<double>"
+        releasing(run), f"doc_id {kind}, held_out boolean, score double, near array<long>, cosine array<double>, toxic array<double>"
     )
     evidence = F.arrays_zip(F.col("near").alias("doc_id"), "cosine", F.col("toxic").cast("array<int>").alias("toxic"))
     predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
@@ -523,7 +523,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
             score = np.array([f[0] for f in model.scores(_texts(batch["text"]))])
             yield batch[names][score < threshold]
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInPandas(releasing(run), docs.schema)
 
 
 def op9_toxicity(spark, sf_dir) -> DataFrame:
