@@ -216,17 +216,24 @@ def formula(model: LinearRegressionModel, features: Sequence[str] = MODEL_FEATUR
     return _session().createDataFrame([(f"{LABEL_SOURCE} = " + " + ".join(terms),)], "formula string")
 
 
-def coefficient_table(model: LinearRegressionModel, features: Sequence[str] = MODEL_FEATURES) -> DataFrame:
-    """Coefficient, standard error, t and p value per feature and intercept.
+def coefficient_table(
+    model: LinearRegressionModel, features: Sequence[str] = MODEL_FEATURES, digits: int | None = None
+) -> DataFrame:
+    """Coefficient, standard error, t and p value per feature and intercept (R9), rounded to ``digits`` if asked.
 
-    The summary arrays carry the intercept as their last element.
+    The summary arrays carry the intercept as their last element. ``linear.solve`` gives
+    the same table from mergeable sums.
     """
     spark = _session()
     s = model.summary
     coefs = [*model.coefficients.toArray().tolist(), float(model.intercept)]
     names = [*features, "intercept"]
     se, tv, pv = s.coefficientStandardErrors, s.tValues, s.pValues
-    rows = [(i, n, float(coefs[i]), float(se[i]), float(tv[i]), float(pv[i])) for i, n in enumerate(names)]
+
+    def out(x: float) -> float:
+        return float(x) if digits is None else round(float(x), digits)
+
+    rows = [(i, n, out(coefs[i]), out(se[i]), out(tv[i]), out(pv[i])) for i, n in enumerate(names)]
     schema = T.StructType(
         [
             T.StructField("index", T.IntegerType()),

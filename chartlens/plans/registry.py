@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chartlens.operators import artists, clean, genres, lifecycle, model, spread
+from chartlens.operators import artists, clean, forest, genres, lifecycle, linear, model, spread
 from chartlens.plans import oracle as O
 from chartlens.plans import questions as Q
 from chartlens.plans.reports import TIER_ORIGIN_NAMES, TITLE_ORIGIN_NAMES
@@ -645,10 +645,129 @@ def _forest_predictions(c: DataFrame) -> DataFrame:
     return Q.q5_forest(c)[1].select("track_id", "region", "label", "prediction")
 
 
-@query("linear_predictions")
+# Least squares in SQL: sums of products about the means, Gauss-Jordan elimination, Student's t from its finite series.
+DIGITS = 6
+_K = len(MODEL_FEATURES)
+_TRAIN_X = ", ".join(f"cast({c} as double) as x{i}" for i, c in enumerate([*MODEL_FEATURES, "label"]))
+
+
+def _least_squares_ctes() -> dict[str, str]:
+    k, every = _K, range(_K + 1)
+    ctes = dict(
+        xy=f"select {_TRAIN_X} from splitted where split = 'train'",
+        centred="select " + ", ".join(f"avg(x{i}) as m{i}, stddev_pop(x{i}) as s{i}" for i in every) + ", count(*) as n from xy",
+        z="select " + ", ".join(f"(x{i} - m{i}) / s{i} as z{i}" for i in every) + " from xy, centred",
+        products="select " + ", ".join(f"sum(z{i} * z{j}) as p{i}_{j}" for i in every for j in every if i <= j) + " from z",
+        cells=" union all ".join(
+            f"select {i} as i, {j} as j, p{min(i, j)}_{max(i, j)} as v from products" for i in range(k) for j in every
+        ),
+        units="select c.i, c.j + 1 + u.j as j, case when c.i = u.j then 1e0 else 0e0 end as v "
+        f"from cells c, (select unnest(range({k})) as j) u where c.j = {k}",
+        g0="select * from cells union all select * from units",
+    )
+    for p in range(k):
+        ctes[f"g{p + 1}"] = f"""select a.i, a.j, case when a.i = {p} then a.v / d.v else a.v - f.v * r.v / d.v end as v
+            from g{p} a join (select j, v from g{p} where i = {p}) r on a.j = r.j
+                 join (select i, v from g{p} where j = {p}) f on a.i = f.i, (select v from g{p} where i = {p} and j = {p}) d"""
+    ctes["slopes"] = f"""select b.i, b.v * s.s / x.s as b, u.v / (x.s * x.s) as own, x.m, b.v as z
+        from g{k} b join g{k} u on u.i = b.i and u.j = {k} + 1 + b.i
+             join ({" union all ".join(f"select {i} as i, m{i} as m, s{i} as s from centred" for i in range(k))}) x on x.i = b.i,
+             (select s{k} as s from centred) s
+        where b.j = {k}"""
+    ctes["residual"] = f"""select c.n, c.n - {k} - 1 as freedom,
+        (select p{k}_{k} from products) * c.s{k} * c.s{k}
+          - (select sum(s.z * c2.v) from slopes s join cells c2 on c2.i = s.i and c2.j = {k}) * c.s{k} * c.s{k} as sse
+        from centred c"""
+    ctes["inverse"] = f"""select u.i, u.j - {k} - 1 as j, u.v / (a.s * b.s) as v
+        from g{k} u join ({" union all ".join(f"select {i} as i, s{i} as s from centred" for i in range(k))}) a on a.i = u.i
+             join ({" union all ".join(f"select {i} as i, s{i} as s from centred" for i in range(k))}) b on b.i = u.j - {k} - 1
+        where u.j > {k}"""
+    ctes["coefs"] = f"""select i, b, own as spread from slopes
+        union all
+        select {k}, c.m{k} - (select sum(b * m) from slopes),
+               1e0 / c.n + (select sum(v.v * a.m * b.m) from inverse v join slopes a on a.i = v.i join slopes b on b.i = v.j)
+        from centred c"""
+    ctes["tested"] = """select c.i, c.b, sqrt(r.sse / r.freedom * c.spread) as se,
+        c.b / sqrt(r.sse / r.freedom * c.spread) as t, r.freedom as f, atan(abs(c.b / sqrt(r.sse / r.freedom * c.spread)) / sqrt(r.freedom)) as o
+        from coefs c, residual r"""
+    ctes["series"] = """select t.i, sum(case when t.f % 2 = 0
+          then exp(lgamma(j.j + 0.5) - lgamma(j.j + 1) - lgamma(0.5) + 2 * j.j * ln(cos(t.o)))
+          else exp(lgamma(j.j + 1) - lgamma(j.j + 1.5) + lgamma(1.5) + 2 * j.j * ln(cos(t.o))) end) as s
+        from tested t join (select unnest(range((select freedom // 2 from residual))) as j) j
+             on j.j <= case when t.f % 2 = 0 then (t.f - 2) // 2 else (t.f - 3) // 2 end
+        group by t.i"""
+    ctes["fitted"] = """select t.i, t.b, t.se, t.t, greatest(0, 1 - case when t.f % 2 = 0 then sin(t.o) * s.s
+          else 2 / pi() * (t.o + sin(t.o) * cos(t.o) * s.s) end) as p
+        from tested t join series s on s.i = t.i"""
+    return ctes
+
+
+LINEAR_CTES = dict(**MODEL_CTES, **_least_squares_ctes())
+COEFFICIENTS_SQL = O.sql(
+    f"""select v."index", v.feature, round(f.b, {DIGITS}) as coefficient, round(f.se, {DIGITS}) as std_error,
+               round(f.t, {DIGITS}) as t_value, round(f.p, {DIGITS}) as p_value
+        from fitted f join (values {", ".join(f"({i}, '{c}')" for i, c in enumerate([*MODEL_FEATURES, "intercept"]))}) v("index", feature)
+             on v."index" = f.i""",
+    **LINEAR_CTES,
+)
+PREDICTED_CTES = dict(
+    **LINEAR_CTES,
+    predicted="select track_id, region, label, (select b from fitted where i = "
+    + f"{_K}) + "
+    + " + ".join(f"cast({c} as double) * (select b from fitted where i = {i})" for i, c in enumerate(MODEL_FEATURES))
+    + " as prediction from splitted where split = 'test'",
+)
+
+
+@query("linear_predictions", O.sql(f"select track_id, region, label, round(prediction, {DIGITS}) as prediction from predicted", **PREDICTED_CTES))
 def _linear_predictions(c: DataFrame) -> DataFrame:
-    """Linear regression predictions on the test split."""
-    return Q.q5_linear(c)[1].select("track_id", "region", "label", "prediction")
+    """Linear regression predictions on the test split (R6), to six places."""
+    rows = Q.q5_linear(c)[1]
+    return rows.select("track_id", "region", "label", F.round("prediction", DIGITS).alias("prediction"))
+
+
+def _train_sums(c: DataFrame):
+    train = Q.split_of(Q.model_data(c), "train").select("track_id", *MODEL_FEATURES, "label")
+    frame = linear.frame_of(train)
+    return train, frame
+
+
+@query(
+    "linear_sums",
+    O.sql(
+        " union all ".join(
+            f"select {i} as i, {j} as j, round(p{i}_{j}, {DIGITS}) as value from products" for i in range(_K + 1) for j in range(i, _K + 1)
+        ),
+        **LINEAR_CTES,
+    ),
+)
+def _linear_sums(c: DataFrame) -> DataFrame:
+    """X'X, X'y and y'y of the standardized training rows, merged from two disjoint halves."""
+    train, frame = _train_sums(c)
+    half = F.pmod(F.xxhash64("track_id"), F.lit(2)) == 0
+    merged = linear.merge_sums(linear.sums(train.where(half), frame), linear.sums(train.where(~half), frame))
+    return merged.where(f"j <= {_K}").select("i", "j", F.round("value", DIGITS).alias("value"))
+
+
+@query("coefficients_from_sums", COEFFICIENTS_SQL)
+def _coefficients_from_sums(c: DataFrame) -> DataFrame:
+    """Coefficients, standard errors, t and p values from the mergeable sums (R9), to six places."""
+    train, frame = _train_sums(c)
+    return linear.solve(linear.sums(train, frame), frame).table(c.sparkSession, DIGITS)
+
+
+@query(
+    "forest_walk",
+    O.sql("select track_id, region, label, true as same from splitted where split = 'test'", **MODEL_CTES),
+)
+def _forest_walk(c: DataFrame) -> DataFrame:
+    """Test rows scored by joins with the forest's node table, against the model's own predictions."""
+    fitted, predicted = Q.q5_forest(c)
+    nodes = forest.forest_nodes(fitted)
+    scored = forest.score(predicted, nodes, ["track_id", "region"]).withColumnRenamed("prediction", "walked")
+    same = F.abs(F.col("walked") - F.col("prediction")) <= 1e-9
+    rows = predicted.join(scored, ["track_id", "region"], "left")
+    return rows.select("track_id", "region", "label", F.coalesce(same, F.lit(False)).alias("same"))
 
 
 @query(
@@ -678,10 +797,10 @@ def _feature_importance(c: DataFrame) -> DataFrame:
     return model.feature_importance(Q.q5_forest(c)[0])
 
 
-@query("coefficient_table")
+@query("coefficient_table", COEFFICIENTS_SQL)
 def _coefficient_table(c: DataFrame) -> DataFrame:
-    """Linear model coefficients with standard errors, t and p values."""
-    return model.coefficient_table(Q.q5_linear(c)[0])
+    """Linear model coefficients with standard errors, t and p values (R9), to six places."""
+    return model.coefficient_table(Q.q5_linear(c)[0], digits=DIGITS)
 
 
 # Statements about the fitted models that hold whatever the fit, as rows that SQL can give.
@@ -869,10 +988,19 @@ def _forest_metrics(c: DataFrame) -> DataFrame:
     return model.regression_metrics(Q.q5_forest(c)[1])
 
 
-@query("linear_metrics")
+@query(
+    "linear_metrics",
+    O.sql(
+        f"""select count(*) as n, round(sqrt(sum((label - prediction) * (label - prediction)) / count(*)), {DIGITS}) as rmse,
+                   round(sum(abs(label - prediction)) / count(*), {DIGITS}) as mae,
+                   round(1 - sum((label - prediction) * (label - prediction)) / sum((label - m) * (label - m)), {DIGITS}) as r2
+            from (select *, avg(label) over () as m from predicted)""",
+        **PREDICTED_CTES,
+    ),
+)
 def _linear_metrics(c: DataFrame) -> DataFrame:
-    """RMSE, MAE, R^2 of the linear model on the test split (R6 + R7); rows-only check."""
-    return model.regression_metrics(Q.q5_linear(c)[1])
+    """RMSE, MAE, R^2 of the linear model on the test split (R6 + R7), to six places."""
+    return model.regression_metrics(Q.q5_linear(c)[1], digits=DIGITS)
 
 
 # ---------------------------------------------------------------- the growing fixture: named reports and the flagship plans
