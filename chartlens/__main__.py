@@ -38,6 +38,7 @@ def main(argv=None) -> None:
     ing.add_argument("--input", required=True, nargs="+")
     ing.add_argument("--format", default="csv", choices=["csv", "parquet"])
     ing.add_argument("--table", required=True)
+    ing.add_argument("--unlike-headers", action="store_true", help="CSV files may have columns in different orders")
     rep = sub.add_parser("reports", help="write question reports from the typed chart table or raw files")
     src = rep.add_mutually_exclusive_group(required=True)
     src.add_argument("--table", help="typed chart table written by `ingest`")
@@ -51,7 +52,7 @@ def main(argv=None) -> None:
     spark = _session(args.local)
     if args.cmd == "ingest":
         src = args.input if len(args.input) > 1 else args.input[0]
-        write_chart_table(read_charts(spark, src, args.format), args.table)
+        write_chart_table(read_charts(spark, src, args.format, unlike_headers=args.unlike_headers), args.table)
     else:
         if args.table:
             charts = read_chart_table(spark, args.table)

@@ -899,6 +899,22 @@ O.register(
 )
 
 
+def _read_unlike_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chart rows written as CSV shards with three orders of columns in one folder, read in one call by
+    ``read_charts`` (S1)."""
+    shards = fresh_path(spark, "unlike-shards")
+    rows = chart_rows(spark, sf_dir).drop("long_date").withColumn("extra", F.concat(F.lit("x, "), "track_id"))
+    orders = [CHART_COLUMNS, ["extra", *reversed(CHART_COLUMNS)], [*CHART_COLUMNS[7:], "extra", *CHART_COLUMNS[:7]]]
+    for i, order in enumerate(orders):
+        part = rows.where(F.col("rank") % len(orders) == i).select(*order)
+        part.write.mode("append").options(header=True, quote='"', escape='"').csv(shards)
+    return typed_charts(read_charts(spark, f"{shards}/*.csv", unlike_headers=True)).select(*TYPED, "_corrupt_record")
+
+
+QUERIES["read_unlike_headers"] = _read_unlike_headers
+O.register("read_unlike_headers", O.sql(f"select {TYPED_SQL}, cast(null as varchar) as _corrupt_record from chart"))
+
+
 def _streamed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV shards ingested by two runs with default arguments, half of the shards new to the second:
     every row once (S1 incremental form)."""

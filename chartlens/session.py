@@ -98,6 +98,33 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def replace(spark: SparkSession, staged: str, path: str) -> None:
+    """Puts the folder ``staged`` in the place of ``path``; what was there goes once the new one stands.
+
+    Two renames in one file system: a reader finds the old folder or the new one, whole.
+    If the second rename fails the old folder is put back. (On object stores a rename is a
+    copy of each file, so there the swap is as long as that copy.)
+    """
+    jvm = spark.sparkContext._jvm
+    new, target = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path)
+    old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.replaced-{uuid.uuid4().hex[:12]}")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    there = fs.exists(target)
+    if not there and target.getParent() is not None:
+        fs.mkdirs(target.getParent())
+    if there and not fs.rename(target, old):
+        raise OSError(f"{path} cannot be moved aside")
+    try:
+        if not fs.rename(new, target):
+            raise OSError(f"{staged} cannot be moved to {path}")
+    except BaseException:
+        if there:
+            fs.rename(old, target)
+        raise
+    if there:
+        fs.delete(old, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession, folder: str | None = None) -> Iterator[str]:
     """Tables that chartlens writes for its own use in this block are removed at its end.

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartlens.functions.dates import release_day
 from chartlens.schema import AUDIO_FEATURES, CHART_COLUMNS, CHART_SCHEMA
+from chartlens.session import remove, replace
 
 
 CORRUPT = "_corrupt_record"
@@ -21,6 +25,33 @@ def csv_header(spark: SparkSession, path: str | list[str]) -> list[str]:
     return spark.read.options(**CSV_OPTIONS).csv(path).columns
 
 
+def headers_of(spark: SparkSession, path: str | list[str], threads: int = 32) -> dict[str, list[str]]:
+    """First line of each CSV file of ``path`` -> the files that start with it, both in order of their names.
+
+    Files are listed by Spark; each is opened once and read up to its first line break,
+    by ``threads`` threads of the driver. Empty files are not listed; a file whose first line is empty has the header ``""``.
+    """
+    listed = spark.read.format("binaryFile").load(path).select("path")  # contents are not read
+    files = sorted(r["path"] for r in listed.toLocalIterator())
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def first_line(file: str) -> str:
+        target = jvm.org.apache.hadoop.fs.Path(file)
+        stream = target.getFileSystem(conf).open(target)
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
+        try:
+            text = jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8")
+            return jvm.java.io.BufferedReader(text).readLine() or ""
+        finally:
+            stream.close()
+
+    found: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(threads) as pool:
+        for file, line in zip(files, pool.map(first_line, files)):
+            found.setdefault(line, []).append(file)
+    return dict(sorted(found.items()))
+
+
 def csv_schema(header: list[str]) -> T.StructType:
     """All-text schema in the order of the file's header, and a column for malformed records.
 
@@ -58,6 +89,7 @@ def read_charts(
     fmt: str = "csv",
     strict: bool = False,
     multi_line: bool = False,
+    unlike_headers: bool = False,
 ) -> DataFrame:
     """Read chart rows by column name (S1): ``CHART_SCHEMA`` and ``_corrupt_record``.
 
@@ -67,7 +99,9 @@ def read_charts(
     the header, whatever their order, and other columns are left out; a
     missing column raises. Shards under one glob must share a header (Spark
     compares each file's own and fails on a difference); shards with another
-    header are given as another element of the list. No type inference: it
+    header are given as another element of the list, or all at once with ``unlike_headers``, which
+    looks at the first line of every file (``headers_of``) and reads the files of each header by their
+    own names; files without a line are left out. No type inference: it
     costs a full extra pass and types the same column differently from file
     to file. ``release_date`` stays text (see ``with_release_day``).
 
@@ -78,6 +112,10 @@ def read_charts(
     read by one task.
     """
     paths = [path] if isinstance(path, str) else list(path)
+    if unlike_headers and fmt == "csv":
+        paths = [files for header, files in headers_of(spark, paths).items() if header]
+        if not paths:
+            raise ValueError(f"no chart file with a header: {path}")
     out = None
     for p in paths:
         if fmt == "csv":
@@ -150,15 +188,17 @@ def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
 
     CSV with a header, as the reference's reports. Reports are small
     aggregates, but nothing here collects them: every task writes its own
-    part file.
+    part file. The report is written beside ``path`` and put in its place when it is
+    whole (``session.replace``): a job that fails leaves the old report as it was.
     """
-    writer = df.write.mode("overwrite")
-    if fmt == "csv":
-        writer.option("header", True).csv(path)
-    elif fmt == "parquet":
-        writer.parquet(path)
-    else:
+    if fmt not in ("csv", "parquet"):
         raise ValueError(f"unsupported report format: {fmt}")
+    spark, staged = df.sparkSession, f"{path.rstrip('/')}.staged-{uuid.uuid4().hex[:12]}"
+    try:
+        df.write.format(fmt).options(**({"header": "true"} if fmt == "csv" else {})).save(staged)
+        replace(spark, staged, path)
+    finally:
+        remove(spark, staged)
 
 
 def read_report(spark: SparkSession, path: str, schema, fmt: str = "csv") -> DataFrame:
