@@ -7,6 +7,8 @@ over per-(region, genre) aggregates (at most six rows per region).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from chartlens.functions.dates import month_of
 from chartlens.functions.genre import genre_of
 from chartlens.schema import GENRES, QUARTILES
 
+#: log2 of the registers of a distinct sketch
+SKETCH_LG_K = 12
+
 
 def with_genre(charts: DataFrame) -> DataFrame:
     """Add ``genre`` from danceability, energy and key (G1)."""
@@ -63,6 +68,32 @@ def region_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count_distinct("region").alias("n_regions"))
 
 
+def distinct_sketches(rows: DataFrame, by: Sequence[str], column: str = "region", lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """A HyperLogLog sketch of the distinct values of ``column`` per group (G5, mergeable form): ``by``, ``sketch``.
+
+    A sketch has at most about ``2 ** lg_k`` bytes, whatever it has seen, and sketches
+    of shards, months or regions merge (``sketched_count``): written per month, they
+    count any span of months without the rows, and a new month only adds its
+    own. NULLs are not counted.
+    """
+    return rows.groupBy(*by).agg(F.hll_sketch_agg(column, lg_k).alias("sketch"))
+
+
+def sketched_count(sketches: DataFrame, by: Sequence[str] = (), name: str = "n_regions") -> DataFrame:
+    """Estimated distinct values per group of merged ``distinct_sketches``.
+
+    Relative standard error about ``sketch_error(lg_k)``; sets that are small against the
+    sketch are counted exactly. Without sketches and groups: one row, 0.
+    """
+    merged = F.hll_sketch_estimate(F.hll_union_agg("sketch"))
+    return sketches.groupBy(*by).agg(F.coalesce(merged, F.lit(0)).cast("bigint").alias(name))
+
+
+def sketch_error(lg_k: int = SKETCH_LG_K) -> float:
+    """Relative standard error of ``sketched_count``."""
+    return 1.04 / 2 ** (lg_k / 2)
+
+
 def genre_counts(rows: DataFrame) -> DataFrame:
     """Chart rows per (region, month, genre) (G6): ``record_count``."""
     return genre_month_stats(rows).select("region", "month", "genre", "record_count")

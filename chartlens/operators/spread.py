@@ -19,12 +19,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartlens.functions.histogram import histogram, stats_of
 from chartlens.schema import TIERS
 
+#: Rows of one side of a title's edges in a join cell (``title_edges``); a cell has about this squared edges.
+EDGE_SIDE = 1024
+
 
 def origins(track_regions: DataFrame, key: str = "track_id", day: str = "first_chart_day") -> DataFrame:
     """Region(s) where each key first charted (M1); ties give several rows.
@@ -138,6 +141,12 @@ def corridor_avg(edges: DataFrame, group: Sequence[str] = ("tier",)) -> DataFram
     )
 
 
+def title_days(rows: DataFrame, key: str = "title") -> DataFrame:
+    """Chart rows per (title, region, date): ``n``. Rows without a title or a date are left out."""
+    known = rows.where(F.col(key).isNotNull() & F.col("date").isNotNull())
+    return known.groupBy(key, "region", "date").agg(F.count(F.lit(1)).alias("n"))
+
+
 def title_region_days(rows: DataFrame, key: str = "title") -> DataFrame:
     """Per (title, region): rows, day sums and rows on the title's first day (M2 input).
 
@@ -147,9 +156,11 @@ def title_region_days(rows: DataFrame, key: str = "title") -> DataFrame:
     title's first day; > 0 marks an origin), sum_days (sum over this
     region's rows of days since the title's first day).
     """
-    per_day = rows.where(F.col(key).isNotNull() & F.col("date").isNotNull()).groupBy(key, "region", "date").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    return region_days_of(title_days(rows, key), key)
+
+
+def region_days_of(per_day: DataFrame, key: str = "title") -> DataFrame:
+    """``title_region_days`` from ``title_days``."""
     # Reduce to one row per (title, region) before anything is keyed by
     # title alone: a hot title then reaches the per-title window as at most
     # one row per region.
@@ -223,6 +234,52 @@ def chart_day_spread(region_days: DataFrame, key: str = "title") -> DataFrame:
     ).withColumn("avg_days_to_popular", F.col("total_days") / F.col("edges"))
 
 
+def title_edges(days: DataFrame, key: str = "title", side: int = EDGE_SIDE) -> DataFrame:
+    """Chart-day edges one by one (M4): key, from_region, to_region, from_date, to_date.
+
+    ``days`` is ``title_days``, best written once: it is read three times. Every
+    origin row of a title (a row on its first day) meets each of its chart rows
+    in another region, so a row that the chart repeats repeats its edges.
+    ``days_to_popular`` (M5) applies to the result.
+
+    A title's edges are its origin rows times its chart rows, so both sides
+    of the join are dealt by their measured sizes. Equal rows travel as one counted
+    row, cut into pieces of at most ``side`` rows; a title's pieces go to
+    ``ceil(rows / side)`` parts of each side, and each pair of parts is a cell of
+    about ``side`` squared edges with a join key of its own. A piece is copied once
+    per part of the other side: once, for a title with up to ``side`` origin rows.
+    Counts become rows after the join only, inside a cell. Regions that are NULL
+    neither send nor receive an edge.
+    """
+    regions = region_days_of(days, key)
+    starts = title_origins(regions, key).where(F.col("first_region").isNotNull())
+    sizes = regions.groupBy(key).agg(
+        F.min("first_date").alias("from_date"), F.sum("n_rows").alias("_to"), F.sum("origin_rows").alias("_from")
+    )
+    sizes = sizes.select(
+        key, "from_date", F.ceil(F.col("_from") / side).alias("_o_parts"), F.ceil(F.col("_to") / side).alias("_d_parts")
+    )
+
+    def pieces(side_rows: DataFrame, count: str, parts: str, place: Sequence[str]) -> DataFrame:
+        numbered = side_rows.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(count) - 1) / side))))
+        held = F.least(F.lit(side).cast("bigint"), F.col(count) - F.col("_piece") * side)
+        return numbered.withColumn("_held", held).withColumn("_part", F.pmod(F.xxhash64(*place, "_piece"), F.col(parts)))
+
+    def copies(parts: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(parts) - 1))
+
+    o = pieces(starts.join(sizes, key), "origin_rows", "_o_parts", ["first_region"])
+    o = o.select(key, F.col("first_region").alias("from_region"), F.col("_held").alias("_o"), F.col("_part").alias("_o_part"), copies("_d_parts").alias("_d_part"))
+    d = pieces(days.where(F.col("region").isNotNull()).join(sizes, key), "n", "_d_parts", ["region", "date"])
+    d = d.select(
+        key, F.col("region").alias("to_region"), "from_date", F.col("date").alias("to_date"), F.col("_held").alias("_d"),
+        F.col("_part").alias("_d_part"), copies("_o_parts").alias("_o_part"),
+    )
+    met = d.join(o, [key, "_o_part", "_d_part"]).where(F.col("from_region") != F.col("to_region"))
+    each = F.explode(F.array_repeat(F.lit(0), (F.col("_o") * F.col("_d")).cast("int")))
+    return met.select(key, "from_region", "to_region", "from_date", "to_date", each.alias("_row")).drop("_row")
+
+
 def corridor_avg_rounded(spread: DataFrame) -> DataFrame:
     """Mean days per corridor rounded half-up to whole days (M8), ascending."""
     return spread.select(

@@ -211,6 +211,15 @@ def title_spread(charts: DataFrame) -> DataFrame:
     return spread.chart_day_spread(spread.title_region_days(title_rows(charts)))
 
 
+def title_edges(charts: DataFrame) -> DataFrame:
+    """Q3 edges one by one with their days: (title, from_region, to_region, from_date, to_date, days_to_popular).
+
+    The rows per title, region and day are written once; sizes, origins and chart days are read from them.
+    """
+    days = materialize(spread.title_days(title_rows(charts)), "title-days")
+    return spread.days_to_popular(spread.title_edges(days))
+
+
 def q3_corridors(charts: DataFrame, origins=None) -> DataFrame:
     """Q3 reports: rounded mean days from each origin (or the listed ones).
 
@@ -237,6 +246,12 @@ def q6_best_genre(charts: DataFrame, date_col: str = "date") -> DataFrame:
     return genres.best_genre(genres.genre_profile(genre_rows(charts, date_col)))
 
 
+def month_sketches(charts: DataFrame, column: str, by=(), date_col: str = "date") -> DataFrame:
+    """Sketches of the distinct values of a column per month (and ``by``), written once, to be merged over any span."""
+    rows = genres.with_month(charts.select(column, date_col, *by), date_col)
+    return materialize(genres.distinct_sketches(rows, ["month", *by], column), f"{column}-sketches")
+
+
 def q6_quartiles(charts: DataFrame, date_col: str = "date") -> DataFrame:
     """Q6: genre share quartiles per region."""
     return genres.share_quartile(genres.genre_share(genre_rows(charts, date_col)))

@@ -385,6 +385,7 @@ TITLE_CTES = dict(
     t_orig="""select a.title, a.first_date, o.region as first_region
               from t_first a join q3 o on a.title = o.title and a.first_date = o.date""",
     t_edges="""select a.title, a.first_region as from_region, b.region as to_region,
+                      a.first_date as from_date, b.date as to_date,
                       cast(b.date - a.first_date as int) as days_to_popular
                from t_orig a join q3 b on a.title = b.title and b.date >= a.first_date
                                       and a.first_region <> b.region""",
@@ -419,6 +420,19 @@ def _chart_day_spread(c: DataFrame) -> DataFrame:
     return Q.title_spread(c)
 
 
+@query(
+    "title_edges",
+    O.sql(
+        """select title, from_region, to_region, from_date, to_date, days_to_popular
+           from t_edges""",
+        **TITLE_CTES,
+    ),
+)
+def _title_edges(c: DataFrame) -> DataFrame:
+    """Title chart-day edges row by row with their days (M4 + M5)."""
+    return Q.title_edges(c)
+
+
 @query(
     "corridor_avg_rounded",
     O.sql(
@@ -510,6 +524,20 @@ def _region_count(c: DataFrame) -> DataFrame:
     return genres.region_count(Q.q6_best_genre(c, GENRE_DATE))
 
 
+@query(
+    "region_count_sketched",
+    O.sql(
+        """select 'exact' as method, count(distinct region) as n_regions from chart
+           union all select 'sketch', count(distinct region) from chart"""
+    ),
+)
+def _region_count_sketched(c: DataFrame) -> DataFrame:
+    """Distinct regions, exact and from merged monthly sketches (G5); so few are counted exactly by both."""
+    sketched = genres.sketched_count(Q.month_sketches(c, "region", date_col=GENRE_DATE))
+    both = genres.region_count(c).withColumn("method", F.lit("exact"))
+    return both.unionByName(sketched.withColumn("method", F.lit("sketch"))).select("method", "n_regions")
+
+
 @query(
     "genre_counts",
     O.sql("select region, month, genre, count(*) as record_count from g group by region, month, genre", **GENRE_CTES),
@@ -1059,6 +1087,20 @@ growing_query("growing_artist_tiers", O.ORACLE["artist_tiers"])(_artist_tiers)
 growing_query("growing_delay_by_region", O.ORACLE["delay_by_region"])(_delay_by_region)
 growing_query("growing_streak_by_region", O.ORACLE["streak_by_region"])(_streak_by_region)
 growing_query("growing_spread_by_destination", O.ORACLE["spread_by_destination"])(_spread_by_destination)
+@growing_query(
+    "growing_track_counts",
+    O.sql("select region, count(distinct track_id) as n_tracks, true as within_error from chart group by region"),
+)
+def _growing_track_counts(c: DataFrame) -> DataFrame:
+    """Distinct tracks per region, exact, and whether merged monthly sketches come within four standard errors."""
+    exact = c.groupBy("region").agg(F.count_distinct("track_id").alias("n_tracks"))
+    sketched = genres.sketched_count(Q.month_sketches(c, "track_id", ["region"]), ["region"], "estimate")
+    off = F.abs(F.col("s.estimate") - F.col("e.n_tracks"))
+    both = exact.alias("e").join(sketched.alias("s"), F.col("e.region").eqNullSafe(F.col("s.region")))
+    return both.select("e.region", "n_tracks", (off <= 4 * genres.sketch_error() * F.col("n_tracks")).alias("within_error"))
+
+
+growing_query("growing_title_edges", O.ORACLE["title_edges"])(_title_edges)
 growing_query("growing_chart_day_spread", O.ORACLE["chart_day_spread"])(_chart_day_spread)
 growing_query("growing_model_frame", O.ORACLE["model_frame"])(_model_frame)
 

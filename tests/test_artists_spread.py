@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import random
 
 import pytest
@@ -177,3 +178,59 @@ def test_unknown_region_counts_as_first_day(charts):
     assert [(r.track_id, r.first_region) for r in spread.origins(tr).collect()] == [("U", "X")]
     edges = spread.first_arrivals(tr.select("track_id", "region", "first_chart_day")).collect()
     assert [(r.track_id, r.from_region, r.to_region) for r in edges] == [("U", "X", "Y")]
+
+
+def title_frame(spark, rows):
+    return spark.createDataFrame(rows, "title string, date date, region string")
+
+
+def plain_title_edges(rows):
+    """Every origin row with every chart row of its title in another region."""
+    out = []
+    for title in {t for t, day, _ in rows if t is not None and day is not None}:
+        mine = [(day, region) for t, day, region in rows if t == title and day is not None]
+        first = min(day for day, _ in mine)
+        starts = [r for day, r in mine if day == first and r is not None]
+        out += [(title, o, r, first, day, (day - first).days) for o in starts for day, r in mine if r is not None and r != o]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("side", [1, 3, 1024])
+def test_title_edges_are_the_row_join(spark, side):
+    rng = random.Random(side)
+    rows = [(rng.choice(["a", "b", "c", None]), rng.choice([None] + [dt.date(2017, 3, x) for x in range(1, 7)]), rng.choice(["X", "Y", "Z", None]))
+            for _ in range(150)]
+    rows += [("first day nowhere", dt.date(2017, 1, 1), None), ("first day nowhere", dt.date(2017, 1, 2), "X")]
+    rows += [("repeated", dt.date(2017, 1, 1), "X")] * 7 + [("repeated", dt.date(2017, 1, 4), "Y")] * 5 + [("alone", dt.date(2017, 1, 1), "X")]
+    edges = spread.days_to_popular(spread.title_edges(spread.title_days(title_frame(spark, rows)), side=side))
+    assert sorted(tuple(r) for r in edges.collect()) == plain_title_edges(rows)
+    assert spread.title_edges(spread.title_days(title_frame(spark, []))).count() == 0
+
+
+def test_title_edges_sum_to_the_corridors(spark):
+    rng = random.Random(5)
+    rows = [(f"t{rng.randrange(9)}", dt.date(2017, 3, rng.randrange(1, 28)), rng.choice("VWXYZ")) for _ in range(500)]
+    df = title_frame(spark, rows)
+    edges = spread.days_to_popular(spread.title_edges(spread.title_days(df)))
+    got = {(r.from_region, r.to_region): r.avg_days_to_popular for r in spread.corridor_avg(edges, group=()).collect()}
+    want = {(r.from_region, r.to_region): r.avg_days_to_popular for r in spread.chart_day_spread(spread.title_region_days(df)).collect()}
+    assert got == want
+
+
+def test_hot_title_is_dealt(spark):
+    """A title with a third of all rows and several origin rows: no task has twice the mean of the edges."""
+    hot = [("hot", dt.date(2017, 3, 1) + dt.timedelta(i % 300), f"r{i % 37}") for i in range(6000)]
+    hot += [("hot", dt.date(2017, 3, 1), "r0")] * 40 + [("hot", dt.date(2017, 4, 1), "r1")] * 2000
+    rest = [(f"t{i % 2000}", dt.date(2017, 3, 1) + dt.timedelta(i // 2000), f"r{i % 37}") for i in range(16000)]
+    names = ["spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"]
+    old = {n: spark.conf.get(n) for n in names}
+    try:
+        spark.conf.set(names[0], "false")
+        spark.conf.set(names[1], "-1")
+        edges = spread.title_edges(spread.title_days(title_frame(spark, hot + rest)), side=32)
+        tasks = [r["count"] for r in edges.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for n in names:
+            spark.conf.set(n, old[n])
+    assert sum(tasks) > 300_000 and len(tasks) == 8
+    assert max(tasks) < 2 * sum(tasks) / len(tasks)

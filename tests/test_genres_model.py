@@ -200,3 +200,19 @@ def test_model_frame_is_one_scan(spark, tmp_path):
     frame = model.model_frame(Q.lifecycle_base(read_chart_table(spark, str(tmp_path / "t"))))
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_distinct_sketches_merge(spark):
+    """Sketches per month give the union's count within the stated error, also when a month is added later."""
+    rows = spark.range(300_000).select(
+        (F.col("id") % 120_000).cast("string").alias("track"), (F.col("id") % 7).alias("month"), F.when(F.col("id") % 5 > 0, F.lit("r")).alias("region")
+    )
+    sketches = genres.distinct_sketches(rows.where("month < 6"), ["month"], "track")
+    later = genres.distinct_sketches(rows.where("month = 6"), ["month"], "track")
+    found = genres.sketched_count(sketches.unionByName(later), name="n").first()["n"]
+    assert abs(found - 120_000) <= 4 * genres.sketch_error() * 120_000
+    assert found == genres.sketched_count(genres.distinct_sketches(rows, [], "track"), name="n").first()["n"]
+    assert sketches.select(F.max(F.octet_length("sketch"))).first()[0] <= 2**genres.SKETCH_LG_K + 64
+    few = genres.sketched_count(genres.distinct_sketches(rows, ["month"], "region"), ["month"])
+    assert {r["month"]: r["n_regions"] for r in few.collect()} == dict.fromkeys(range(7), 1)
+    assert genres.sketched_count(genres.distinct_sketches(rows.where("false"), ["month"], "track")).first()["n_regions"] == 0
