@@ -5,7 +5,7 @@ of ``BLOCK`` words. The mix is a row of slots of one block each. Slot k belongs
 to the source in whose stretch of the cumulated shares the point
 ``k * golden ratio mod 1`` falls (M. Drmota and R. Tichy, "Sequences,
 Discrepancies and Applications", 1997), so any run of slots has every source in
-its share to within a few blocks. A source's slots, ranked, take its blocks in
+its share to within a few blocks. Documents leave in the order of the slots that read them. A source's slots, ranked, take its blocks in
 turn, from the first again after the last, up to its target exactly: slots
 beyond it stay empty, and the few that the schedule leaves a source short of
 follow at the end.
@@ -103,11 +103,13 @@ def schedule(spark, sources: DataFrame, block: int = BLOCK) -> DataFrame:
     return every.select("slot", "rank", "block", "epoch", size.alias("words"))
 
 
-def mix_amounts(sizes: DataFrame, weights=WEIGHTS, share=SHARE, epochs=EPOCHS, block: int = BLOCK) -> DataFrame:
-    """Per row of (doc_id, source, size): those, source_size, target and taken, the words the mix has of it.
+def mix_readings(sizes: DataFrame, weights=WEIGHTS, share=SHARE, epochs=EPOCHS, block: int = BLOCK) -> DataFrame:
+    """Per row of (doc_id, source, size): those, source_size, target, taken, first_slot, at and readings.
 
-    Rows without words are never taken. A null source is a source; null and
-    repeated doc_ids are taken row by row. An empty table gives no rows.
+    ``readings`` has one entry (slot, held) for each time the mix reads the row, in
+    order: the first slot in which it does and the words it takes then, all of the row's but for one
+    that its source's target cuts. At most ``epochs`` entries; null for a row never taken. ``at`` is the
+    row's place in its source's stream.
     """
     spark = sizes.sparkSession
     sizes = written(sizes.select("doc_id", "source", "size"), "sizes")
@@ -116,17 +118,31 @@ def mix_amounts(sizes: DataFrame, weights=WEIGHTS, share=SHARE, epochs=EPOCHS, b
     pieces = stream.withColumn(
         "block", F.explode(F.sequence(F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("size") - 1) / block)))
     )
-    slots = schedule(spark, sources, block).select("rank", "block", "words")
+    slots = schedule(spark, sources, block).select("slot", "rank", "block", "epoch", "words")
     held = F.least(F.col("at") + F.col("size"), F.col("block") * block + F.col("words"))
-    held = F.greatest(held - F.greatest(F.col("at"), F.col("block") * block), F.lit(0))
-    # a row with words is known by its place in its stream
-    found = pieces.join(slots, ["rank", "block"]).select("rank", "at", held.alias("held"))
-    taken = found.groupBy("rank", "at").agg(F.sum("held").alias("taken"))
-    rows = stream.join(taken, ["rank", "at"], "left").join(sources, "rank")
-    rows = rows.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+    held = held - F.greatest(F.col("at"), F.col("block") * block)
+    # a row with words is known by its place in its stream; both groupings share one shuffle
+    found = pieces.join(slots, ["rank", "block"]).select("rank", "at", "epoch", "slot", held.alias("held")).where("held > 0")
+    found = found.repartition("rank", "at").groupBy("rank", "at", "epoch").agg(F.min("slot").alias("slot"), F.sum("held").alias("held"))
+    found = found.groupBy("rank", "at").agg(
+        F.sum("held").alias("taken"), F.min("slot").alias("first_slot"), F.sort_array(F.collect_list(F.struct("slot", "held"))).alias("readings")
+    )
+    rows = stream.join(found, ["rank", "at"], "left").join(sources, "rank")
+    names = ["doc_id", "source", "size", "source_size", "target"]
+    rows = rows.select(*names, F.coalesce("taken", F.lit(0)).alias("taken"), "first_slot", "at", "readings")
     bare = sizes.where("size = 0").alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
     bare = bare.select("d.doc_id", "d.source", "d.size", "s.source_size", "s.target", F.lit(0).cast("long").alias("taken"))
-    return rows.unionByName(bare)
+    return rows.unionByName(bare, allowMissingColumns=True)
+
+
+def mix_amounts(sizes: DataFrame, weights=WEIGHTS, share=SHARE, epochs=EPOCHS, block: int = BLOCK) -> DataFrame:
+    """Per row of (doc_id, source, size): those, source_size, target, taken, the words the mix has of it, and first_slot.
+
+    ``first_slot`` is the first slot of the schedule that reads the row: null for a row that is never taken.
+    Rows without words are never taken. A null source is a source; null and
+    repeated doc_ids are taken row by row. An empty table gives no rows.
+    """
+    return mix_readings(sizes, weights, share, epochs, block).drop("at", "readings")
 
 
 def _first_words(text: Column, n: Column) -> Column:
@@ -135,32 +151,36 @@ def _first_words(text: Column, n: Column) -> Column:
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, epochs=EPOCHS, block: int = BLOCK) -> DataFrame:
-    """The mix as documents: each row as often as the mix has it whole, then its first words if it has a part.
+    """The mix as documents, in the order of the schedule: each row as often as the mix reads it, cut where its target ends.
 
     Columns are those of ``docs``; a cut row has its own ``n_chars``. At most
-    one row of a source is cut, where its target ends.
+    one row of a source is cut. Partition i of the result holds the i-th of equal
+    stretches of slots, sorted by slot, so a reader that takes rows as
+    they come has the sources in their shares to within a few blocks; rows read in one slot are in
+    the order of their source's stream.
     """
     size = "__size"
     names = docs.columns
     sized = docs.withColumn(size, words(F.col("text")))
-    amounts = mix_amounts(sized.select("doc_id", "source", F.col(size).alias("size")), weights, share, epochs, block)
+    amounts = mix_readings(sized.select("doc_id", "source", F.col(size).alias("size")), weights, share, epochs, block)
+    amounts = written(amounts.where("taken > 0").select("doc_id", "source", "size", "taken", "first_slot", "at", "readings"), "readings")
+    end = (amounts.select(F.max(F.array_max("readings")["slot"])).first()[0] or 0) + 1
     key = ["doc_id", "source", "size"]
     # rows alike in all three take the amounts in order
-    alike = Window.partitionBy(*key).orderBy(F.desc("taken"))
-    amounts = amounts.where("taken > 0").withColumn("turn", F.row_number().over(alike)).alias("a")
+    alike = Window.partitionBy(*key).orderBy(F.desc("taken"), "first_slot", "at")
+    amounts = amounts.withColumn("turn", F.row_number().over(alike)).alias("a")
     alike = Window.partitionBy("doc_id", "source", size).orderBy(F.col("text"))
     sized = sized.withColumn("__turn", F.row_number().over(alike)).alias("d")
     on = (F.col(f"d.{size}") == F.col("a.size")) & (F.col("d.__turn") == F.col("a.turn"))
     for k in key[:2]:
         on = on & F.col(f"d.{k}").eqNullSafe(F.col(f"a.{k}"))
-    both = sized.join(amounts, on).select("d.*", F.col("a.taken").alias("__taken"))
-    rest = (F.col("__taken") % F.col(size)).cast("int")
-    whole = (F.col("__taken") / F.col(size)).cast("int")
-    parts = F.concat(F.array_repeat(F.lit(0), whole), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
-    out = both.withColumn("__part", F.explode(parts))
-    cut = F.when(F.col("__part") > 0, _first_words(F.col("text"), F.col("__part"))).otherwise(F.col("text"))
-    out = out.withColumn("__cut", cut)
-    changed = {"text": F.col("__cut"), "n_chars": F.when(F.col("__part") > 0, F.length("__cut")).otherwise(F.col("n_chars")) if "n_chars" in names else None}
+    both = sized.join(amounts, on).select("d.*", F.col("a.at").alias("__at"), F.explode("a.readings").alias("__read"))
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stretch = F.floor(F.col("__read.slot") * partitions / end).cast("int")
+    out = both.repartitionById(partitions, stretch).sortWithinPartitions("__read.slot", "source", "__at")
+    part = F.col("__read.held") < F.col(size)
+    out = out.withColumn("__cut", F.when(part, _first_words(F.col("text"), F.col("__read.held").cast("int"))).otherwise(F.col("text")))
+    changed = {"text": F.col("__cut"), "n_chars": F.when(part, F.length("__cut")).otherwise(F.col("n_chars")) if "n_chars" in names else None}
     return out.select(*[changed[c].cast(docs.schema[c].dataType).alias(c) if c in changed else F.col(c) for c in names])
 
 
@@ -195,8 +215,40 @@ d AS (
          floor(t.target)::BIGINT % nullif(t.source_size, 0) AS part,
          sum(z.size) OVER (PARTITION BY t.rank ORDER BY md5(coalesce(z.doc_id::VARCHAR, 'null')), z.size
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - z.size AS start
-  FROM sizes z JOIN t ON z.source IS NOT DISTINCT FROM t.source)
+  FROM sizes z JOIN t ON z.source IS NOT DISTINCT FROM t.source),
+g AS (
+  SELECT rank, source_size, ceil(source_size / 1024)::BIGINT AS blocks, floor(target)::BIGINT // source_size AS whole,
+         floor(target)::BIGINT % source_size AS part
+  FROM t WHERE floor(target) > 0),
+c AS (SELECT *, whole * blocks + ceil(part / 1024)::BIGINT AS slots FROM g),
+u AS (
+  SELECT *, sum(slots) OVER (ORDER BY rank) / sum(slots) OVER () AS high,
+         (sum(slots) OVER (ORDER BY rank) - slots) / sum(slots) OVER () AS low, sum(slots) OVER () AS n
+  FROM c),
+points AS (
+  SELECT slot, slot * 0.6180339887498949::DOUBLE - floor(slot * 0.6180339887498949::DOUBLE) AS x
+  FROM (SELECT unnest(range((SELECT max(n) FROM u)::BIGINT)) AS slot)),
+drawn AS (
+  SELECT slot, rank, slots, row_number() OVER (PARTITION BY rank ORDER BY slot) - 1 AS turn
+  FROM points JOIN u ON x >= low AND x < high),
+had AS (SELECT rank, count(*) AS had FROM drawn WHERE turn < slots GROUP BY rank),
+late AS (
+  SELECT rank, n, unnest(range(coalesce(had, 0)::BIGINT, slots::BIGINT)) AS turn FROM u LEFT JOIN had USING (rank)),
+turns AS (
+  SELECT slot, rank, turn FROM drawn WHERE turn < slots
+  UNION ALL SELECT n + turn, rank, turn FROM late),
+placed AS (
+  SELECT slot, rank, turn % blocks AS block,
+         least(turn % blocks * 1024 + 1024, CASE WHEN turn // blocks < whole THEN source_size ELSE part END) AS upto
+  FROM turns JOIN u USING (rank)),
+met AS (
+  SELECT rank, start, min(slot)::BIGINT AS first_slot
+  FROM (SELECT rank, start, size, unnest(range((start // 1024)::BIGINT, ((start + size - 1) // 1024 + 1)::BIGINT)) AS block FROM d WHERE size > 0) e
+  JOIN placed USING (rank, block)
+  WHERE least(start + size, upto) > greatest(start, block * 1024)
+  GROUP BY rank, start)
 SELECT doc_id, source, size, source_size, target,
-       CASE WHEN size = 0 THEN 0 ELSE (whole * size + greatest(0, least(start + size, part) - start))::BIGINT END AS taken
-FROM d
+       CASE WHEN size = 0 THEN 0 ELSE (whole * size + greatest(0, least(start + size, part) - start))::BIGINT END AS taken,
+       CASE WHEN size > 0 THEN first_slot END AS first_slot
+FROM d LEFT JOIN met USING (rank, start)
 """

@@ -184,6 +184,41 @@ def test_mixing_schedule(spark):
         assert all(abs(seen[k] - (i + 1) * share[k] / total) < 8 for k in seen)
 
 
+def _sources_in_order(spark, docs):
+    """The mix's words and sources as its partitions have them."""
+    from pyspark.sql import functions as F
+
+    rows = mixing.mix(docs, block=32).select("source", F.size(F.split("text", " ")).alias("n"), F.monotonically_increasing_id().alias("i"))
+    return [(r["source"], r["n"]) for r in sorted(rows.collect(), key=lambda r: r["i"])]
+
+
+def _worst(run, share):
+    """How many words any prefix of the mix is off a source's share of it."""
+    seen, total, worst = dict.fromkeys(share, 0), 0, 0
+    for source, n in run:
+        seen[source] += n
+        total += n
+        worst = max([worst, *(abs(seen[s] - total * share[s]) for s in share)])
+    return worst
+
+
+def test_mix_follows_its_schedule(spark, monkeypatch):
+    """Every prefix of the mix has the sources in their shares, and only because of the low-discrepancy points."""
+    rows = [(i, " ".join(["w"] * (5 + i % 23)), None, f"s{i % 3}", 0, 0, "", "", "") for i in range(1500)]
+    docs = spark.createDataFrame(rows, DOCS)
+    run = _sources_in_order(spark, docs)
+    total = sum(n for _, n in run)
+    share = {s: sum(n for x, n in run if x == s) / total for s in ("s0", "s1", "s2")}
+    assert _worst(run, share) < 12 * 32
+    sizes = docs.selectExpr("doc_id", "source", "cast(5 + doc_id % 23 as long) as size")
+    slots = {r["doc_id"]: (r["taken"], r["first_slot"]) for r in mixing.mix_amounts(sizes, block=32).collect()}
+    assert all((taken > 0) == (slot is not None) for taken, slot in slots.values())
+    monkeypatch.setattr(mixing, "GOLDEN", 0.0)
+    assert _worst(_sources_in_order(spark, docs), share) > total / 10
+    other = {r["doc_id"]: (r["taken"], r["first_slot"]) for r in mixing.mix_amounts(sizes, block=32).collect()}
+    assert {d: t for d, (t, _) in other.items()} == {d: t for d, (t, _) in slots.items()} and other != slots
+
+
 def test_token_counts(docs, nothing):
     import sentencepiece
 
