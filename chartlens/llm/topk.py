@@ -4,11 +4,13 @@ Vectors are rotated on the eigenvectors of their Gram matrix (the SVD's right
 singular vectors), so the first few coordinates carry most of a product
 (in the manner of C. Teflioudi and R. Gemulla, "Exact and Approximate Maximum
 Inner Product Search with LEMP", 2016, and H. Li et al., "FEXIPRO", 2017). A task
-holds one block of queries and one lane of candidates, takes the candidates by
+holds one block of queries and one lane of candidates of like lengths, takes the candidates by
 descending length, and drops a pair once Cauchy-Schwarz bounds it below the
 query's k-th best score: first by the lengths, then by the partial sum over the
 first coordinates plus the product of the residuals' lengths. What is left is
-scored exactly in integers. First bounds come from the longest vectors.
+scored exactly in integers. First bounds come from the longest vectors; with them
+a query is only sent to the lanes that are long enough for it, and a lane only to
+the blocks of queries that come to it.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -32,22 +34,15 @@ BLOCK = 1024  # candidates at once
 SEEDS = 2048  # longest vectors, for the first bounds
 HEAD = 16  # rotated coordinates in the partial sum
 LARGEST = 2.0**63  # scaled components are 64-bit integers
+CLASSES = 64  # classes of length to a doubling; 64-bit components of any practical width give some 5,000
 
 
 def _vectors(batches) -> Iterator[pd.DataFrame]:
-    """Scaled integer vectors as bytes; rows that take no part are left out."""
+    """Integer vectors as bytes."""
     for batch in batches:
-        ids, out, norms = [], [], []
-        for i, v in zip(batch["id"], batch["vector"]):
-            x = np.array([np.nan if c is None else c for c in v], float) if v is not None else np.array([np.nan])
-            with np.errstate(over="ignore"):
-                x = np.floor(x * SCALE)
-            if not np.isfinite(x).all() or (np.abs(x) >= LARGEST).any():
-                continue
-            ids.append(i)
-            out.append(x.astype("<i8").tobytes())
-            norms.append(float(np.sqrt((x * x).sum())))
-        yield pd.DataFrame({"id": ids, "x": out, "norm": norms})
+        x = [v.astype("<i8") for v in batch["x"]]
+        norms = [float(np.sqrt((v.astype(float) ** 2).sum())) for v in x]
+        yield pd.DataFrame({"id": batch["id"], "x": [v.tobytes() for v in x], "norm": norms})
 
 
 def _matrix(cells, width: int) -> np.ndarray:
@@ -146,6 +141,65 @@ def search(query_ids, q, floor, ids, c, norms, basis, k: int) -> tuple[np.ndarra
     return best[0], order[best[1]], best[2]
 
 
+def _class(length: Column) -> Column:
+    """Number of the class of a length: never falls with the length, 0 up to 1."""
+    return F.floor(CLASSES * F.log2(F.greatest(length, F.lit(1.0)))).cast("int")
+
+
+def _lanes(counts: dict[int, int], size: int) -> dict[int, tuple[int, int]]:
+    """Lanes of about ``size`` rows from rows per value, larger values first: first lane and number of lanes of each value.
+
+    A value of many rows has lanes of its own; smaller ones share one.
+    """
+    out, lane, held = {}, 0, 0
+    for value in sorted(counts, reverse=True):
+        n = counts[value]
+        if held and held + n > size:
+            lane, held = lane + 1, 0
+        splits = max(1, -(-n // size))
+        out[value] = (lane, splits)
+        held += n
+        if splits > 1:
+            lane, held = lane + splits, 0
+    return out
+
+
+def deal(rows: DataFrame, queries: DataFrame, lane: int = LANE, block: int = QUERIES) -> tuple[DataFrame, DataFrame]:
+    """(candidates, queries) with the columns lane and q_lane: one row per task that needs it.
+
+    ``rows`` (norm, row and others) are dealt by classes of descending length into lanes of
+    about ``lane`` rows; ``row`` tells rows of one class apart, so that equal ones spread.
+    ``queries`` (norm, floor, row and others) go to the lanes that hold a vector
+    of at least floor / norm (Cauchy-Schwarz), which are the first ones, and those that go equally
+    far share blocks of about ``block``. A lane is copied to those blocks only. The driver
+    holds counts per class of length, a number fixed by the range of a double and ``CLASSES``.
+    """
+    spark = rows.sparkSession
+    classes = {r["class"]: r["count"] for r in rows.groupBy(_class(F.col("norm")).alias("class")).count().collect()}
+    dealt = _lanes(classes, lane)
+    last, ends = -1, {}
+    for c in range(max(classes, default=0), min(classes, default=0) - 1, -1):
+        if c in dealt:
+            last = sum(dealt[c]) - 1
+        ends[c] = last  # the last lane with vectors of this class or longer
+    # a class less, for rounding; lanes hold whole classes
+    needed = F.when(F.col("norm") > 0, _class((F.col("floor").cast("double") - 2) / F.col("norm") / (1 + 1e-8)) - 1).otherwise(0)
+    needed = F.least(F.greatest(needed, F.lit(min(ends))), F.lit(max(ends)))
+    ends = spark.createDataFrame([*ends.items()], "class int, last int")
+    queries = written(queries.withColumn("class", needed).join(ends, "class").drop("class"), "reach")
+    reaches = {r["last"]: r["count"] for r in queries.groupBy("last").count().collect()}  # at most one per class
+    blocks = _lanes(reaches, block)
+    come = [(c, f, n, max([b + m for far, (b, m) in blocks.items() if far >= f], default=0)) for c, (f, n) in dealt.items()]
+    come = spark.createDataFrame(come, "class int, first int, splits int, blocks int")
+    blocks = spark.createDataFrame([(far, b, m) for far, (b, m) in blocks.items()], "last int, first int, splits int")
+
+    own = (F.col("first") + F.pmod(F.xxhash64("row"), F.col("splits"))).cast("int")
+    candidates = rows.withColumn("class", _class(F.col("norm"))).join(come, "class").where("blocks > 0").withColumn("lane", own)
+    candidates = candidates.withColumn("q_lane", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    queries = queries.join(blocks, "last").withColumn("q_lane", own).withColumn("lane", F.explode(F.sequence(F.lit(0), "last")))
+    return candidates.drop("class", "first", "splits", "blocks"), queries.drop("last", "first", "splits")
+
+
 def top_k(
     vectors: DataFrame, k: int = K, every: int = EVERY, vec_id: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
@@ -156,26 +210,27 @@ def top_k(
     smaller vec_id; with fewer candidates all are returned. Rows that are null
     or hold a null or non-finite component, rows with a null id, and rows with
     a scaled component of 2^63 or more (not an integer of 64 bits) take no part. A score
-    beyond 64 bits among a query's best of a block is an error. Rows that repeat an
-    id and its vector count once; a vector shorter than others ends in zeros.
+    beyond 64 bits among a query's best of a block is an error. Repeated rows are candidates one by
+    one and take a rank each; queries that repeat an id are one query whose candidates count once per row. A
+    vector shorter than others ends in zeros.
     """
     spark = vectors.sparkSession
     ship(spark)
-    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).alias("vector")).where("id is not null")
-    rows = rows.mapInPandas(_vectors, "id long, x binary, norm double").dropDuplicates(["id", "x"])
+    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("x")).where("id is not null")
+    rows = rows.where(F.forall("x", lambda c: F.abs(c * SCALE) < LARGEST))  # false for NaN, which Spark puts above all
+    rows = rows.select("id", F.transform("x", lambda c: F.floor(c * SCALE)).alias("x"))
+    rows = rows.mapInPandas(_vectors, "id long, x binary, norm double").withColumn("row", F.monotonically_increasing_id())
     rows = written(rows, "vectors")
     is_query = F.col("id") % every == 0
-    n, n_q, width = rows.agg(F.count("*"), F.count_if(is_query), F.max(F.octet_length("x"))).first()
+    n_q, width = rows.agg(F.count_if(is_query), F.max(F.octet_length("x"))).first()
     width = (width or 8) // 8
     gram = rows.select("x").mapInPandas(lambda b: _gram(b, width), "place int, value double")
     gram = gram.groupBy("place").agg(F.sum("value").alias("value")).orderBy("place").collect()  # width^2 rows
     square = np.array([r["value"] for r in gram] or np.zeros(width * width)).reshape(width, width)
     basis = np.linalg.eigh(square)[1][:, ::-1].copy()
 
-    lanes, q_lanes = max(1, -(-n // LANE)), max(1, -(-n_q // QUERIES))
-    candidates = rows.withColumn("lane", F.pmod(F.xxhash64("id"), F.lit(lanes)).cast("int"))
-    candidates = candidates.withColumn("q_lane", F.explode(F.sequence(F.lit(0), F.lit(q_lanes - 1))))
-    queries = rows.where(is_query).withColumn("q_lane", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(q_lanes)).cast("int"))
+    q_lanes = max(1, -(-n_q // QUERIES))
+    queries = rows.where(is_query).withColumn("q_lane", F.pmod(F.xxhash64("row"), F.lit(q_lanes)).cast("int"))
     seeds = rows.orderBy(F.desc("norm"), "id").limit(SEEDS)
     seeds = seeds.withColumn("q_lane", F.explode(F.sequence(F.lit(0), F.lit(q_lanes - 1))))
 
@@ -191,7 +246,7 @@ def top_k(
             i, _, score = run(q, c)
             last = np.flatnonzero(np.arange(len(i)) - np.searchsorted(i, i) == k - 1)
             q.iloc[i[last], q.columns.get_loc("floor")] = score[last]
-        return q[["id", "x", "q_lane", "floor"]]
+        return q[["id", "x", "norm", "row", "floor"]]
 
     def best(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
@@ -200,8 +255,8 @@ def top_k(
         return pd.DataFrame({"query_id": q["id"].to_numpy()[i], "vec_id": c["id"].to_numpy()[j], "score": score})
 
     queries = queries.groupBy("q_lane").cogroup(seeds.groupBy("q_lane"))
-    queries = written(queries.applyInPandas(first_bounds, "id long, x binary, q_lane int, floor long"), "queries")
-    queries = queries.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    queries = written(queries.applyInPandas(first_bounds, "id long, x binary, norm double, row long, floor long"), "queries")
+    candidates, queries = deal(rows, queries)
     pairs = queries.groupBy("lane", "q_lane").cogroup(candidates.groupBy("lane", "q_lane"))
     found = pairs.applyInPandas(best, "query_id long, vec_id long, score long")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

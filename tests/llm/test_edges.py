@@ -281,21 +281,65 @@ def test_top_k(spark):
     rows += [(350, [0.5] * 8, 1), (350, [0.5] * 8, 1), (400, [9.9, -9.9], 1), (305, [1e30] * 8, 1)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     got = sorted(tuple(r) for r in topk.top_k(df, vec_id="vec_id").select("query_id", "rank", "vec_id", "score").collect())
-    use = {}
+    use = []
     for i, v, _ in rows:
         if i is None or v is None or any(x is None or not np.isfinite(x) or abs(x) > 1e20 for x in v):
             continue
-        use[i] = [int(np.floor(256 * float(np.float32(x)))) for x in v] + [0] * (8 - len(v))
+        use.append((i, [int(np.floor(256 * float(np.float32(x)))) for x in v] + [0] * (8 - len(v))))
     want = []
-    for q in use:
-        if q % 50 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(use[q], use[c])), c) for c in use if c != q)[:5]
-            want += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scored)]
+    for q in sorted({i for i, _ in use if i % 50 == 0}):
+        # every row with another id is a candidate, repeated ones too; a query that repeats meets each once per row
+        scored = sorted((-sum(a * b for a, b in zip(x, y)), c) for i, x in use if i == q for c, y in use if c != q)[:5]
+        want += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scored)]
     assert got == sorted(want)
     assert topk.top_k(df.where("vec_id < 0")).count() == 0
     assert topk.top_k(df.where("vec_id = 50")).count() == 0
 
 
+def test_top_k_equals_sql_with_repeated_rows(spark):
+    import duckdb
+
+    rows = [(i, [float((i * j) % 11) / 3 - 1 for j in range(1, 7)]) for i in range(260)]
+    rows += [rows[7]] * 4 + [rows[100]] * 2 + [(3, [2.0] * 6)] * 3 + [(50, [1.5] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    con = duckdb.connect()
+    con.register("embeddings", df.toArrow())
+    got = topk.top_k(df).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(tuple(r) for r in got) == sorted(con.execute(topk.OP7_SQL).fetchall())
+
+
+def test_top_k_deals_by_length(spark, monkeypatch):
+    """Lanes of like lengths; lanes too short for a block of queries are not sent to it, and nothing is lost."""
+    monkeypatch.setattr(topk, "LANE", 64)
+    monkeypatch.setattr(topk, "QUERIES", 8)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 12)) * rng.gamma(0.5, 1, (3000, 1))
+    x[:1000] = x[1]  # a third of all rows are alike
+    x[5] = 0
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    c = np.floor(256 * x).astype(np.int64)
+    want = []
+    for q in range(0, 3000, 50):
+        score = c @ c[q]
+        order = [int(j) for j in np.lexsort((np.arange(3000), -score)) if j != q][:5]
+        want += [(q, r + 1, j, int(score[j])) for r, j in enumerate(order)]
+    dealt = []
+    plain = topk.deal
+
+    def noted(rows, queries):
+        dealt.append(plain(rows, queries, 64, 8))
+        return dealt[0]
+
+    monkeypatch.setattr(topk, "deal", noted)
+    assert sorted(tuple(r) for r in topk.top_k(df).collect()) == want
+    candidates, queries = dealt[0]
+    lanes = candidates.groupBy("lane", "q_lane").count().collect()
+    assert max(r["count"] for r in lanes) <= 2 * 64
+    everywhere = 3000 * queries.select("q_lane").distinct().count()
+    assert sum(r["count"] for r in lanes) < everywhere / 2  # without bounds every row goes to every block
+    assert queries.count() < 60 * candidates.select("lane").distinct().count()
+
+
 def test_top_k_of_long_vectors(spark):
     """Scaled components of 2^27 and more, and products that only integers tell apart."""
     rows = [(i, [float((i * j) % 7) / 3 - 1 for j in range(1, 9)]) for i in range(120)]
