@@ -243,6 +243,11 @@ def near_duplicates(
     no row of its group has a doc_id, and such a row counts as kept. Other
     columns of ``docs`` are not read.
     """
+    return _judged(docs, k, percent, doc_id, text).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame, k: int, percent: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``near_duplicates`` with the row's set (sig) and its group (root: a set of it), both null for an empty set."""
     spark = docs.sparkSession
     ship(spark)
     threshold = percent / 100
@@ -313,7 +318,7 @@ def near_duplicates(
     named = classes.select("sig", "id").join(roots.withColumnRenamed("node", "sig"), "sig", "left")
     named = named.select("sig", "id", root)
     least = named.groupBy("root").agg(F.min("id").alias("component"))
-    named = named.join(least, "root").select("sig", "component")
+    named = named.join(least, "root").select("sig", "component", "root")
     out = rows.join(named, "sig", "left")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component"))
     return out.select(
@@ -321,20 +326,40 @@ def near_duplicates(
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.col("id").eqNullSafe(component).alias("kept"),
+        "sig",
+        "root",
     )
 
 
 def keep_one(docs: DataFrame, k: int = WORDS, percent: int = THRESHOLD) -> DataFrame:
     """``docs`` with one document left of each near-duplicate group.
 
-    Rows and columns are as given; of rows that repeat a kept doc_id one stays.
+    Rows and columns are as given; of rows that repeat a kept doc_id and its set one stays.
+    Rows that share a doc_id with different sets are judged each in its own group: (5, A), (7, A), (7, B)
+    keep 5 and the 7 of B; if they are near copies of each other, the one of the least set signature stays.
     Rows without a doc_id cannot be told apart by it: if one of them is kept, all stay.
     """
-    judged = near_duplicates(docs, k, percent)
-    keep = judged.where("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    found = docs.join(keep, docs["doc_id"].eqNullSafe(keep["__keep"]), "left_semi")
+    judged = written(_judged(docs, k, percent), "judged")
+    mark = F.xxhash64("sig")
+    ids = judged.groupBy("doc_id").agg(F.max("kept").alias("kept"), (F.min(mark) != F.max(mark)).alias("mixed"))
+    several = ids.where("mixed and doc_id is not null").select(F.col("doc_id").alias("__id"))
+    keep = ids.where("kept and (doc_id is null or not mixed)").select(F.col("doc_id").alias("__id"))
+    found = docs.join(keep, docs["doc_id"].eqNullSafe(keep["__id"]), "left_semi")
     named = found.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return named.unionByName(found.where(F.col("doc_id").isNull()))
+    out = named.unionByName(found.where(F.col("doc_id").isNull()))
+    if several.isEmpty():
+        return out
+
+    # few: ids that name more than one text
+    @F.pandas_udf("binary")
+    def signature(texts: pd.Series) -> pd.Series:
+        return next(_sketch_rows([pd.DataFrame({"id": 0, "text": texts})], k))["sig"]
+
+    sets = judged.join(several, judged["doc_id"] == several["__id"], "left_semi").where("kept")
+    sets = sets.groupBy("doc_id", "root").agg(F.min("sig").alias("__set")).select(F.col("doc_id").alias("__id"), "__set")
+    rows = docs.join(several, docs["doc_id"] == several["__id"], "left_semi").withColumn("__sig", signature("text"))
+    rows = rows.join(sets, (F.col("doc_id") == F.col("__id")) & F.col("__sig").eqNullSafe(F.col("__set")), "left_semi")
+    return out.unionByName(rows.dropDuplicates(["doc_id", "__sig"]).drop("__sig"))
 
 
 def op3_minhash_near_dedup(spark, sf_dir) -> DataFrame:

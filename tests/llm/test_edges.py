@@ -104,6 +104,17 @@ def test_near_duplicates(docs, nothing):
     assert sorted(r["doc_id"] or 0 for r in left.collect()) == [0, 0, 1, 2, 3, 4, 5, 6, 7, 9]
 
 
+def test_keep_one_of_ids_with_several_texts(spark):
+    """No text without a kept copy is lost where rows of different texts share a doc_id."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, a), (7, a), (7, b), (8, b), (9, c), (9, ""), (9, c + " more"), (9, None), (10, c), (11, "x y"), (11, "x y")]
+    docs = spark.createDataFrame([(i, t, "en", str(n)) for n, (i, t) in enumerate(rows)], "doc_id long, text string, sig string, root string")
+    left = neardup.keep_one(docs)
+    assert left.columns == docs.columns
+    got = sorted((r["doc_id"], (r["text"] or "").removesuffix(" more")) for r in left.collect())
+    assert got == sorted([(5, a), (7, b), (9, c), (9, ""), (11, "x y")])
+
+
 def test_near_duplicate_groups(spark):
     """A large group whose members are linked through others only, against brute force."""
     rng = np.random.default_rng(5)
