@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartlens.functions.ranking import with_global_position
+from chartlens.functions.ranking import split_points, with_global_position
 from chartlens.schema import TIERS
 
 KEY = ["track_id", "region"]
@@ -85,6 +85,23 @@ def artist_tiers(counts: DataFrame, partitions: int | None = None) -> DataFrame:
     return ranked.select("artist", "n_track_regions", "position", tier.alias("tier"))
 
 
+def tiers_by_count(counts: DataFrame) -> DataFrame:
+    """Artists and their tiers as ``artist_tiers`` gives them, without positions: artist, n_track_regions, tier.
+
+    Only the last artist of ``top`` and of ``middle`` are looked for, by a histogram
+    of the counts (``ranking.split_points``); every other artist is compared with these two. So no
+    artist is sorted, written or joined, and the two names are all that reach the driver.
+    """
+    n, name = F.col("n_track_regions"), F.col("artist")
+    last = split_points(counts, "n_track_regions", "artist", lambda total: [k * F.floor(total / 3) for k in (1, 2)])
+    tier = F.lit(TIERS[2])
+    for (most, final), label in reversed(list(zip(last, TIERS))):
+        # NULL names stand first among equals
+        upto = name.isNull() if final is None else F.coalesce(name <= F.lit(final), F.lit(True))
+        tier = F.when((n > most) | ((n == most) & upto), label).otherwise(tier)
+    return counts.select("artist", "n_track_regions", tier.alias("tier"))
+
+
 def tier_tracks(bridge: DataFrame, tiers: DataFrame) -> DataFrame:
     """(track, region, tier) for every tier one of the pair's artists is in (A5).
 

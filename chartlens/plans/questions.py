@@ -2,8 +2,8 @@
 
 Each function takes the typed chart DataFrame (``sources.typed_charts`` or
 ``sources.read_chart_table``). Most only build lazy plans; the exceptions
-run jobs on purpose: ``tier_inputs`` writes the tier bridge and the numbered
-artists, ``lifecycle_summary`` writes the track-regions, ``assembled_data`` checkpoints the model rows, and ``q5_forest`` /
+run jobs on purpose: ``tier_inputs`` writes the tier bridge and looks up where the
+tiers end, ``lifecycle_summary`` writes the track-regions, ``assembled_data`` checkpoints the model rows, and ``q5_forest`` /
 ``q5_linear`` fit models. Written tables stay until the application's folder
 is removed, or the end of a ``session.scratch`` block. The ``..._question``
 functions also give the funnel of their question, counted by the same jobs.
@@ -104,7 +104,7 @@ def tier_question(charts: DataFrame) -> tuple[DataFrame, Callable[[], DataFrame]
     pairs = artists.artist_bridge(artists.explode_artists(rows.rows, outer=True))
     pairs = SideCounter(pairs, [("track-regions with artists, one per artist", F.col("artist").isNotNull())])
     bridge = materialize(pairs.rows, "tier-bridge")
-    tiers = artists.artist_tiers(artists.artist_counts(bridge.where(F.col("artist").isNotNull())))
+    tiers = artists.tiers_by_count(artists.artist_counts(bridge.where(F.col("artist").isNotNull())))
     flags = artists.all_tier_flags(bridge, tiers)
     flags = SideCounter(flags, also={t: F.col(f"in_{t}") for t in TIERS})
     edges = _edges(flags.rows.where(F.col("first_chart_day").isNotNull()))
@@ -157,11 +157,11 @@ def tier_inputs(charts: DataFrame):
     """(bridge, tiers) of the tier question.
 
     The bridge (distinct track, region, artist) is read twice: for the
-    global artist counts and for the join back to tiers. It is written
+    artist counts (by each round of ``tiers_by_count``) and for the join back to tiers. It is written
     once (``materialize``) so the chart rows are scanned and exploded once.
     """
     bridge = materialize(artists.artist_bridge(artist_rows(charts)), "tier-bridge")
-    tiers = artists.artist_tiers(artists.artist_counts(bridge))
+    tiers = artists.tiers_by_count(artists.artist_counts(bridge))
     return bridge, tiers
 
 

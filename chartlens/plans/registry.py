@@ -307,6 +307,12 @@ def _artist_counts(c: DataFrame) -> DataFrame:
 @query("artist_tiers", O.sql("select * from tiers", **ARTIST_CTES))
 def _artist_tiers(c: DataFrame) -> DataFrame:
     """Artist popularity thirds: top, middle, bottom with the remainder (A4)."""
+    return artists.artist_tiers(artists.artist_counts(artists.artist_bridge(Q.artist_rows(c))))
+
+
+@query("tiers_by_count", O.sql("select artist, n_track_regions, tier from tiers", **ARTIST_CTES))
+def _tiers_by_count(c: DataFrame) -> DataFrame:
+    """The same thirds from a histogram of the counts, without positions (A4)."""
     return Q.tier_inputs(c)[1]
 
 
@@ -1084,6 +1090,7 @@ def _named_title_corridors(c: DataFrame) -> DataFrame:
 
 
 growing_query("growing_artist_tiers", O.ORACLE["artist_tiers"])(_artist_tiers)
+growing_query("growing_tiers_by_count", O.ORACLE["tiers_by_count"])(_tiers_by_count)
 growing_query("growing_delay_by_region", O.ORACLE["delay_by_region"])(_delay_by_region)
 growing_query("growing_streak_by_region", O.ORACLE["streak_by_region"])(_streak_by_region)
 growing_query("growing_spread_by_destination", O.ORACLE["spread_by_destination"])(_spread_by_destination)
