@@ -966,6 +966,28 @@ QUERIES["streamed_twice"] = _streamed_twice
 O.register("streamed_twice", O.sql(f"select {TYPED_SQL} from chart"))
 
 
+def _streamed_unlike_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV shards of three column orders in one folder, one with a column more, ingested by a run without
+    and one with ``unlike_headers``: every row once, by its shard's own names (S1)."""
+    from chartlens.streaming import ingest_chart_shards
+
+    shards, table = fresh_path(spark, "unlike-shards"), fresh_path(spark, "unlike-table")
+    rows = chart_rows(spark, sf_dir).drop("long_date")
+    names = rows.columns
+    orders = [names, ["other", *reversed(names)], [*names[5:], *names[:5]]]
+    for n, order in enumerate(orders):
+        part = rows.where((F.col("rank") % 3 == n) if n else F.coalesce(F.col("rank") % 3 == 0, F.lit(True)))
+        part = part.withColumn("other", F.lit("1,2")).select(*order)
+        part.write.mode("append").option("header", True).csv(shards)
+        if n != 1:
+            ingest_chart_shards(spark, shards, table, unlike_headers=n > 0).awaitTermination()
+    return spark.read.parquet(table).select(*TYPED)
+
+
+QUERIES["streamed_unlike_headers"] = _streamed_unlike_headers
+O.register("streamed_unlike_headers", O.sql(f"select {TYPED_SQL} from chart"))
+
+
 def _streamed_chart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chart rows written as CSV shards, ingested by the streaming file source
     into the typed chart table, and read back (S1 incremental form)."""
