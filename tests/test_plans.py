@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from chartlens.operators import lifecycle
+from chartlens.operators import artists, lifecycle
 from chartlens.plans import questions as Q
 from chartlens.plans.registry import QUERIES
 from chartlens.session import fresh_path
@@ -52,10 +52,12 @@ def test_filters_reach_the_scan(table):
 
 
 def test_only_bounded_explicit_broadcasts(table):
-    # The only broadcast hint in the tier plan is the per-partition offsets
+    # The only broadcast hint of the artist positions is the per-partition offsets
     # table (one row per range partition); other broadcasts are Spark's own
-    # size-checked choices.
-    df = Q.q4_spread(table)
+    # size-checked choices. The tier question takes no positions, so it has no hint at all.
+    q4 = Q.q4_spread(table)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in q4
+    df = artists.artist_tiers(artists.artist_counts(Q.tier_inputs(table)[0]))
     optimized = df._jdf.queryExecution().optimizedPlan().toString()
     assert optimized.count("strategy=broadcast") == 1
     assert re.search(r"Join Inner, \(_pid#\d+ = _pid#\d+\), rightHint=\(strategy=broadcast\)", optimized)
