@@ -24,7 +24,8 @@ def plan_of(df) -> str:
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - MODEL_TABLES))
 def test_no_python_udf_and_no_cross_join(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_SMALL))
-    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+    python = ("BatchEvalPython", "ArrowEvalPython", "InPandas", "InArrow", "PythonUDTF")
+    for bad in (*python, "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan, f"{name}: {bad}"
 
 
