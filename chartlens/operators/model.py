@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import UnsupportedOperationException
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     LinearRegression,
     LinearRegressionModel,
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartlens.functions.buckets import hash_bucket
+from chartlens.operators import linear
 from chartlens.operators.lifecycle import block_pieces, month_blocks, numbered_pieces, summary_columns
 from chartlens.schema import (
     AUDIO_FEATURES,
@@ -222,13 +225,21 @@ def coefficient_table(
     """Coefficient, standard error, t and p value per feature and intercept (R9), rounded to ``digits`` if asked.
 
     The summary arrays carry the intercept as their last element. ``linear.solve`` gives
-    the same table from mergeable sums.
+    the same table from mergeable sums; it does so here where Spark has no standard errors: for a
+    label that does not vary, or features that determine one another. A t or p that is not
+    defined (no residual, no coefficient) is then NULL.
     """
     spark = _session()
     s = model.summary
     coefs = [*model.coefficients.toArray().tolist(), float(model.intercept)]
     names = [*features, "intercept"]
-    se, tv, pv = s.coefficientStandardErrors, s.tValues, s.pValues
+    try:
+        se, tv, pv = s.coefficientStandardErrors, s.tValues, s.pValues
+    except UnsupportedOperationException:
+        x = vector_to_array(F.col(s.featuresCol))
+        rows = s.predictions.select(*[x[i].alias(f) for i, f in enumerate(features)], s.labelCol)
+        frame = linear.frame_of(rows, features, s.labelCol)
+        return linear.solve(linear.sums(rows, frame), frame).table(spark, digits)
 
     def out(x: float) -> float:
         return float(x) if digits is None else round(float(x), digits)

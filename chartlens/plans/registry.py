@@ -859,12 +859,19 @@ def _importance_identities(c: DataFrame) -> DataFrame:
         from (values {FEATURE_VALUES}, ({len(AUDIO_FEATURES) + 1}, 'intercept')) v("index", feature)""",
 )
 def _coefficient_identities(c: DataFrame) -> DataFrame:
-    """Coefficient table: t is coefficient over standard error, p a probability."""
-    table = model.coefficient_table(Q.q5_linear(c)[0])
-    ratio = F.abs(F.col("t_value") - F.col("coefficient") / F.col("std_error")) <= 1e-9 * (1 + F.abs("t_value"))
-    return table.select(
-        "index", "feature", ratio.alias("t_is_ratio"), F.col("p_value").between(0, 1).alias("p_in_range")
-    )
+    """Coefficient table: t is coefficient over standard error, p a probability.
+
+    Without a standard error above 0 there is no ratio: t is then NULL, and so may p be.
+    """
+    return coefficient_identities(model.coefficient_table(Q.q5_linear(c)[0]))
+
+
+def coefficient_identities(table: DataFrame) -> DataFrame:
+    ratio = F.try_divide("coefficient", "std_error")
+    same = F.abs(F.col("t_value") - ratio) <= 1e-9 * (1 + F.abs("t_value"))
+    undefined = F.col("t_value").isNull() & ratio.isNull()
+    in_range = F.coalesce(F.col("p_value").between(0, 1), undefined)
+    return table.select("index", "feature", F.coalesce(same, undefined).alias("t_is_ratio"), in_range.alias("p_in_range"))
 
 
 @query(

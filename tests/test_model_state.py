@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from chartlens.operators import forest, linear, model
 from chartlens.plans import questions as Q
+from chartlens.plans import registry
 from chartlens.plans.registry import charts_of
 from chartlens.schema import FOREST_DEPTH, FOREST_TREES, MODEL_FEATURES
 from tests.conftest import SF_SMALL
@@ -133,6 +134,27 @@ def test_degenerate_fits(spark):
     assert fit.table(spark).collect()[-1]["coefficient"] == 2.0 and math.isnan(fit.std_error[0])
 
 
+@pytest.mark.parametrize("case", ["label", "features"])
+def test_coefficient_table_where_spark_has_no_standard_errors(spark, case):
+    """A label that does not vary (every track peaked at rank 1), or one feature that another determines."""
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 50, 60).astype(float)
+    label = np.full(60, 1.0) if case == "label" else 3 * x + 1 + rng.normal(size=60)
+    rows = [(float(a), float(2 * a if case == "features" else b), float(y)) for a, b, y in zip(x, rng.permutation(x), label)]
+    df = model.assemble(spark.createDataFrame(rows, "a double, b double, label double"), ["a", "b"])
+    table = model.coefficient_table(model.fit_linear(df), ["a", "b"])
+    a, b, intercept = table.collect()
+    if case == "label":
+        assert [tuple(r)[2:] for r in (a, b)] == [(0.0, 0.0, None, None)] * 2
+        assert (intercept["coefficient"], intercept["std_error"], intercept["t_value"]) == (1.0, 0.0, None)
+    else:
+        slope, at_0 = np.polyfit(x, label, 1)
+        assert a["coefficient"] + 2 * b["coefficient"] == pytest.approx(slope)
+        assert intercept["coefficient"] == pytest.approx(at_0) and a["std_error"] > 0
+    said = registry.coefficient_identities(table).collect()
+    assert len(said) == 3 and all(r["t_is_ratio"] and r["p_in_range"] for r in said)
+
+
 @pytest.mark.parametrize(("t", "freedom", "p"), [
     (0.0, 5, 1.0), (1.0, 1, 0.5), (2.0, 2, 0.18350341907227397), (12.706204736432095, 1, 0.05), (1.959963984540054, 10**7, 0.05),
     (2.2281388519649385, 10, 0.05), (-2.2281388519649385, 10, 0.05), (40.0, 3000, 0.0), (math.inf, 3, 0.0),
