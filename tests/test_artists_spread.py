@@ -207,6 +207,14 @@ def test_title_edges_are_the_row_join(spark, side):
     assert spread.title_edges(spread.title_days(title_frame(spark, []))).count() == 0
 
 
+def test_title_edges_are_made_by_many_tasks(spark):
+    """Few counted rows that stand for many edges: 3 titles of 400 x 400, in one task before."""
+    rows = [(t, dt.date(2017, 1, 1 + i % 2), r) for t in "ABC" for r in "XY" for i in range(400)]
+    edges = spread.title_edges(spread.title_days(title_frame(spark, rows)), side=32)
+    sizes = [r["count"] for r in edges.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 3 * 2 * 200 * 400 and len(sizes) > 4 and max(sizes) < sum(sizes) / 4
+
+
 def test_title_edges_sum_to_the_corridors(spark):
     rng = random.Random(5)
     rows = [(f"t{rng.randrange(9)}", dt.date(2017, 3, rng.randrange(1, 28)), rng.choice("VWXYZ")) for _ in range(500)]
