@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, table, written
+from .common import releasing, ship, small_batches, table, written
 
 LETTERS = "ABCDE"
 WORDS = 50  # A: fewer words fail
@@ -52,6 +52,7 @@ def text_failures(text: str) -> int:
 def failures(docs: DataFrame, part: str = "source") -> DataFrame:
     """Per row: doc_id, part (null: empty), text_hash, mask (filters A to D that the text fails). Null texts are empty."""
     ship(docs.sparkSession)
+    small_batches(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(
         "doc_id", F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), F.sha2(text, 256).alias("text_hash"), text.alias("text")
@@ -64,7 +65,7 @@ def failures(docs: DataFrame, part: str = "source") -> DataFrame:
             out["mask"] = np.array([text_failures(t) for t in batch["text"]], np.int32)
             yield out
 
-    return rows.mapInPandas(run, f"doc_id {kind}, part string, text_hash string, mask int")
+    return rows.mapInPandas(releasing(run), f"doc_id {kind}, part string, text_hash string, mask int")
 
 
 def failure_counts(failed: DataFrame, labels: DataFrame) -> DataFrame:
@@ -184,7 +185,7 @@ def audit(docs: DataFrame, labels: DataFrame, part: str = "source") -> DataFrame
                 out.insert(0, "part", some["part"].to_numpy()[out.pop("at").to_numpy()])
                 yield out
 
-    return wide.mapInPandas(run, STEP_SCHEMA)
+    return wide.mapInPandas(releasing(run), STEP_SCHEMA)
 
 
 def shares(docs: DataFrame, labels: DataFrame, part: str = "source") -> DataFrame:

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, releasing, ship, whole_groups, written
+from .common import components, releasing, ship, small_batches, whole_groups, written
 from .text import mix, shingles
 
 REGISTERS = 128
@@ -115,6 +115,7 @@ def _sketch_rows(batches, k: int) -> Iterator[pd.DataFrame]:
 def sketches(docs: DataFrame, k: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: id, n (distinct shingles), sig (128-bit hash of the set), sketch."""
     ship(docs.sparkSession)
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     schema = "id long, n long, sig binary, sketch binary"
     return rows.mapInPandas(releasing(lambda batches: _sketch_rows(batches, k)), schema)

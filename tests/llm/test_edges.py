@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from chartlens.llm import fingerprints, language, mixing, neardup, packing, sharding, tokencount, topk, toxicity, urlfilter
+from chartlens.llm import filteraudit, fingerprints, language, mixing, neardup, packing, sharding, tokencount, topk, toxicity, urlfilter
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, id string, part string, score string"
 LONG = "lorem ipsum dolor sit amet consectetur " * 30000
@@ -580,3 +580,19 @@ def test_many_globs():
 
 def test_url_filter_empty(spark):
     assert urlfilter.filter_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+@pytest.mark.parametrize("builder", [
+    lambda docs: filteraudit.failures(docs),
+    lambda docs: neardup.sketches(docs, 4),
+], ids=["op12", "op3"])
+def test_whole_texts_go_to_workers_in_small_batches(spark, builder):
+    """10,000 whole texts a batch before."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        builder(spark.createDataFrame([(1, "s", "some text")], "doc_id long, source string, text string"))
+        assert int(spark.conf.get(name)) <= 2000
+    finally:
+        spark.conf.set(name, before)
