@@ -25,6 +25,7 @@ import os
 import re
 import struct
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
@@ -121,7 +122,10 @@ class WordEncoder:
             self.known = {"": b""}
         if len(self.runs) > REMEMBERED:
             self.runs = {"": b""}
-        fresh = self._new(list(set().union(*units) - self.known.keys()))
+        missing: set[str] = set()
+        for u in units:  # most strings are known: looked up, not gathered
+            missing.update(filterfalse(self.known.__contains__, u))
+        fresh = self._new(list(missing))
         short = {w: x for w, x in fresh.items() if len(w) <= LONGEST_REMEMBERED}
         self.known.update(short)
         known = self.known
