@@ -72,15 +72,21 @@ def chart_columns(raw: DataFrame, strict: bool = False) -> DataFrame:
     columns with such values. ``strict`` raises instead.
     """
     typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in CHART_SCHEMA.fields}
+    kinds = dict(raw.dtypes)
+    parsed = {n: f"_raw_{n}" for n, f in zip(typed, CHART_SCHEMA.fields) if kinds.get(n) != f.dataType.simpleString()}
+    record = F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")
+    # in a projection of their own, so that a value is parsed once and not again wherever it is looked at
+    rows = raw.select(
+        *[c.alias(n) for n, c in typed.items()], *[F.col(n).alias(r) for n, r in parsed.items()], record.alias(CORRUPT)
+    )
     bad = F.concat_ws(
-        ",", *[F.when(F.trim(F.col(n).cast("string")) != "", F.when(c.isNull(), F.lit(n))) for n, c in typed.items()]
+        ",", *[F.when(F.col(n).isNull() & (F.trim(F.col(r).cast("string")) != ""), F.lit(n)) for n, r in parsed.items()]
     )
-    record = F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")
-    corrupt = F.coalesce(record, F.when(bad != "", F.concat(F.lit("bad values: "), bad)))
+    corrupt = F.coalesce(F.col(CORRUPT), F.when(bad != "", F.concat(F.lit("bad values: "), bad)))
     if strict:
         error = F.raise_error(F.concat(F.lit("malformed chart row: "), corrupt)).cast("string")
         corrupt = F.when(corrupt.isNotNull(), error)
-    return raw.select(*[c.alias(n) for n, c in typed.items()], corrupt.alias(CORRUPT))
+    return rows.select(*typed, corrupt.alias(CORRUPT))
 
 
 def read_charts(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from chartlens.plans.registry import charts_of
 from chartlens.schema import CHART_COLUMNS
 from chartlens.sources import read_chart_table, read_charts, typed_charts, write_chart_table
+from chartlens.sources.charts import chart_columns
 from tests.conftest import SF_SMALL
 
 
@@ -140,3 +142,10 @@ def test_shared_folder_is_needed_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Session())
+
+
+def test_a_value_is_parsed_once(spark, tmp_path):
+    """The check for malformed values and the NaN rule look at parsed values; both parsed them again before."""
+    raw = spark.read.schema(", ".join(f"{c} string" for c in CHART_COLUMNS)).csv(str(tmp_path))
+    plan = typed_charts(chart_columns(raw))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"cast\(af_tempo#\d+ as double\)", plan)) == 1
