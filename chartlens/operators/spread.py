@@ -249,12 +249,13 @@ def title_edges(days: DataFrame, key: str = "title", side: int = EDGE_SIDE) -> D
     about ``side`` squared edges with a join key of its own. A piece is copied once
     per part of the other side: once, for a title with up to ``side`` origin rows.
     Counts become rows after the join only, inside a cell. The counted rows are small
-    whatever the edges, so the planner would put all cells into a task or two by their
-    bytes; the chart rows are dealt by cell into a given number of tasks instead. Regions
-    that are NULL neither send nor receive an edge.
+    whatever the edges, so by their bytes the planner would put all cells into a task or
+    two, or broadcast the chart rows and make all edges where the origin rows are. So the chart rows
+    are dealt by cell into ``spark.sql.shuffle.partitions`` tasks and meet the origin rows there by a
+    merge join, whichever side is smaller. Regions that are NULL neither send nor receive an edge.
     """
     spark = days.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     regions = region_days_of(days, key)
     starts = title_origins(regions, key).where(F.col("first_region").isNotNull())
     sizes = regions.groupBy(key).agg(
@@ -280,7 +281,7 @@ def title_edges(days: DataFrame, key: str = "title", side: int = EDGE_SIDE) -> D
         F.col("_part").alias("_d_part"), copies("_o_parts").alias("_o_part"),
     )
     cell = [key, "_o_part", "_d_part"]
-    met = d.repartition(tasks, *cell).join(o, cell).where(F.col("from_region") != F.col("to_region"))
+    met = d.repartition(tasks, *cell).join(o.hint("merge"), cell).where(F.col("from_region") != F.col("to_region"))
     each = F.explode(F.array_repeat(F.lit(0), (F.col("_o") * F.col("_d")).cast("int")))
     return met.select(key, "from_region", "to_region", "from_date", "to_date", each.alias("_row")).drop("_row")
 

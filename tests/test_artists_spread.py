@@ -215,6 +215,23 @@ def test_title_edges_are_made_by_many_tasks(spark):
     assert sum(sizes) == 3 * 2 * 200 * 400 and len(sizes) > 4 and max(sizes) < sum(sizes) / 4
 
 
+@pytest.mark.parametrize("origins, days", [(25, 40), (1, 800)])
+def test_title_edges_are_made_by_many_tasks_whichever_side_is_smaller(spark, tmp_path, origins, days):
+    """25 origin rows, copied to 1,000 parts each, and few counted chart rows, or the reverse. A side was broadcast
+    before; when it was the chart rows, one task made all edges."""
+    rows = [(t, f"r{i}", dt.date(2017, 1, 1), 1) for t in "ABC" for i in range(origins)]
+    rows += [(t, "there", dt.date(2017, 1, 2) + dt.timedelta(i), 32000 // days) for t in "ABC" for i in range(days)]
+    counted = spark.createDataFrame(rows, "title string, region string, date date, n bigint")
+    counted.write.parquet(str(tmp_path / "days"))
+    edges = spread.title_edges(spark.read.parquet(str(tmp_path / "days")), side=32)
+    tasks = edges.groupBy(F.spark_partition_id()).count()
+    sizes = [r["count"] for r in tasks.collect()]
+    assert sum(sizes) == 3 * (origins * 32000 + origins * (origins - 1)) and len(sizes) > 4 and max(sizes) < sum(sizes) / 4
+    # Which side was broadcast hung on the one that was there first, so the plan is looked at too.
+    joins = [line for line in tasks._jdf.queryExecution().executedPlan().toString().splitlines() if "Join [" in line and "_o_part" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+
+
 def test_title_edges_sum_to_the_corridors(spark):
     rng = random.Random(5)
     rows = [(f"t{rng.randrange(9)}", dt.date(2017, 3, rng.randrange(1, 28)), rng.choice("VWXYZ")) for _ in range(500)]
